@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from contextlib import contextmanager
 from datetime import datetime, timedelta
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
@@ -313,8 +314,35 @@ def _overwrite_partitions(df: DataFrame, target: Target, partitions, rows_per_fi
         writer = _writer(out, target, "overwrite", partitions, rows_per_file)
         writer.option("partitionOverwriteMode", "dynamic").save(target.location)
     else:
-        writer = _writer(out, target, "overwrite", (), rows_per_file)
-        writer.option("partitionOverwriteMode", "dynamic").insertInto(target.location, True)
+        with _dynamic_overwrite(df.sparkSession):
+            _writer(out, target, "overwrite", (), rows_per_file).insertInto(target.location, True)
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Overwrite only the partitions that get rows, for writes into a catalog table.
+
+    Those ignore the writer's option of that name and would empty the table, so the session's
+    setting has to hold it. Loads side by side share a session: the first one to need the setting
+    makes it and the last one to finish puts the old value back.
+    """
+    name, session = "spark.sql.sources.partitionOverwriteMode", spark._jsparkSession.hashCode()
+    with _SETTING:
+        if session not in _WRITING:
+            _WRITING[session] = [0, spark.conf.get(name)]
+            spark.conf.set(name, "dynamic")
+        _WRITING[session][0] += 1
+    try:
+        yield
+    finally:
+        with _SETTING:
+            _WRITING[session][0] -= 1
+            if _WRITING[session][0] == 0:
+                spark.conf.set(name, _WRITING.pop(session)[1])
+
+
+_SETTING = Lock()
+_WRITING: dict[int, list] = {}
 
 
 def _drop_partitions(spark: SparkSession, target: Target, partitions, rows: list) -> None:
