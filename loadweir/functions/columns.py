@@ -16,7 +16,16 @@ def path_col(path: str) -> Column:
 
 def path_type(df: DataFrame, path: str) -> T.DataType:
     """The type a path has in ``df``; plan-time only."""
-    return df.select(path_col(path).alias("v")).schema["v"].dataType
+    kind: T.DataType = df.schema
+    for part in path.split("."):
+        name = part.strip("`").lower()
+        fields = kind.fields if isinstance(kind, T.StructType) else []
+        found = [f for f in fields if f.name.lower() == name]
+        if len(found) != 1:
+            # An array of structs, a map or a name in doubt: let Spark resolve it or say why not.
+            return df.select(path_col(path).alias("v")).schema["v"].dataType
+        kind = found[0].dataType
+    return kind
 
 
 def json_get(col: str | Column, path: str, sql_type: str) -> Column:

@@ -53,7 +53,7 @@ def load_audit(spark: SparkSession, results: Sequence[Mapping[str, Any]]) -> Dat
         rows.append(
             tuple(str(v) if isinstance(v, datetime) else v for v in map(row.get, schema.names))
         )
-    audit = spark.createDataFrame(rows, texts)
+    audit = spark.createDataFrame(rows, texts).coalesce(1)
     return audit.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 

@@ -28,7 +28,7 @@ from loadweir.operators.conform import REASONS, conformed_columns, reject_reason
 from loadweir.operators.cursor import backfill, past_cursor
 from loadweir.operators.merging import append, merge
 from loadweir.operators.metrics import load_audit
-from loadweir.operators.quality import gate, run_checks, split_tagged, tag_rows
+from loadweir.operators.quality import gate, run_checks, tag_rows
 from loadweir.plans.state import (
     derive_load_id,
     high_water,
@@ -38,7 +38,7 @@ from loadweir.plans.state import (
 )
 from loadweir.sinks.tables import append_once_table, merge_table, retain_table, staged, write_table
 from loadweir.sinks.target import Dataset
-from loadweir.spec import ROW_CHECKS, Column, ResourceSpec
+from loadweir.spec import ROW_CHECKS, Check, Column, ResourceSpec
 
 CURSOR = "__cursor"
 RAW = "__raw"
@@ -110,7 +110,7 @@ def judge(batch: DataFrame, spec: ResourceSpec) -> DataFrame:
         columns = conformed_columns(batch, contract, spec.extra_columns)
     else:
         columns = [quoted(name) for name in batch.columns]
-    raw = F.when(F.size(reasons) > 0, F.to_json(F.struct(*_shielded(batch, spec))))
+    raw = F.when(F.size(reasons) > 0, F.to_json(F.struct(*_raw_values(batch, spec, contract))))
     return batch.select(*columns, reasons.alias(REASONS), place.alias(CURSOR), raw.alias(RAW))
 
 
@@ -120,12 +120,24 @@ def _contract(spec: ResourceSpec, batch: DataFrame) -> list[Column]:
     return [c for c in spec.columns if own is not None or c.name.lower() != "_extracted_at"]
 
 
-def _shielded(batch: DataFrame, spec: ResourceSpec) -> list:
-    """The raw columns of a reject without its protected fields, which may hold anything."""
+def _raw_values(batch: DataFrame, spec: ResourceSpec, contract: list[Column]) -> list:
+    """What a reject is kept with: its values as they came, under the contract's names.
+
+    Only columns the load reads anyway are named, so the source scan stays pruned. Protected
+    fields are left out, because a value that broke its contract may hold anything.
+    """
     hidden = {f.lower() for f in spec.pii_fields}
-    hidden |= {c.source.split(".")[0].lower() for c in spec.columns if c.name.lower() in hidden}
-    shown = [quoted(n) for n in batch.columns if n.lower() not in hidden]
-    return shown or [F.lit(None).cast("string").alias("raw")]
+    have = match_names(batch.columns, [c.source.split(".")[0] for c in contract])
+    values = {c.name: path_col(c.source) for c in contract if have[c.source.split(".")[0]]}
+    if not contract or spec.extra_columns == "keep":
+        known = {name.lower() for c in contract for name in (c.name, c.source)}
+        values |= {n: quoted(n) for n in batch.columns if n.lower() not in known}
+    if spec.incremental is not None and spec.incremental.enabled:
+        field = spec.incremental.cursor_field
+        if field not in values and field not in {c.source for c in contract}:
+            values[field] = path_col(field)
+    shown = [value.alias(name) for name, value in values.items() if name.lower() not in hidden]
+    return shown or [F.lit(None).cast("string").alias("hidden")]
 
 
 def finish(
@@ -253,42 +265,71 @@ def _moves_cursor(spec: ResourceSpec, options: LoadOptions) -> bool:
 
 
 def _checked(tagged, spec, dataset, load_id, extracted_at, as_of, options):
-    """Gate the staged batch, store its rejects, and return the good rows with their numbers."""
-    good = tagged.filter(F.size(REASONS) == 0)
-    rejects = tagged.filter(F.size(REASONS) > 0)
+    """Gate the judged batch, store its rejects, and return the good rows with their numbers."""
     checks = () if options.skip_validation else spec.checks
-    rows_only = tuple(c for c in checks if c.type in ROW_CHECKS and c.severity == "error")
-    if options.quarantine and rows_only:
-        good, failing = split_tagged(tag_rows(good, rows_only))
-        names = F.transform("failed_checks", lambda name: F.concat(F.lit("check "), name))
-        failing = failing.withColumns(
-            {REASONS: names, RAW: F.to_json(F.struct(*_shielded(failing.drop(*_OWN), spec)))}
-        )
-        rejects = rejects.select(*_OWN[:3]).unionByName(failing.select(*_OWN[:3]))
-    body = good.drop(*_OWN)
+    if options.quarantine:
+        tagged = _divert(tagged, spec, checks)
+    is_good = F.size(REASONS) == 0
+    facts = tagged.agg(
+        F.count_if(is_good).alias("good"),
+        F.count_if(~is_good).alias("rejected"),
+        F.max(F.when(is_good, F.col(CURSOR))).cast("string").alias("newest"),
+    ).first()
+    body = tagged.filter(is_good).drop(*_OWN)
     if checks:
-        named = {n.lower() for c in checks for n in (*c.targets, *c.required_columns)}
-        seen = body
-        if "_extracted_at" in named:
-            kind = T.TimestampType()
-            seen = body.withColumn("_extracted_at", typed_literal(extracted_at, kind))
-        gate(run_checks(seen, checks, as_of, _contract(spec, body)), options.fail_on_error)
-    facts = good.agg(F.count(F.lit(1)).alias("good"), F.max(CURSOR).cast("string").alias("newest")).first()
-    rejected = rejects.count()
-    if rejected:
-        rejects = rejects.select(
+        results = _check_batch(body, spec, dataset, checks, extracted_at, as_of, facts["good"] == 0)
+        gate(results, options.fail_on_error)
+    if facts["rejected"]:
+        rejects = tagged.filter(~is_good).select(
             F.lit(spec.name).alias("resource"),
             quoted(REASONS).alias("reasons"),
             quoted(RAW).alias("raw"),
         )
         reject_id = f"{spec.name}:{load_id}"
         save_rejects(stamp(rejects, reject_id, extracted_at), dataset, reject_id)
-    return body, {"good": facts["good"], "newest": facts["newest"], "rejected": rejected}
+    return body, facts
+
+
+def _divert(tagged: DataFrame, spec: ResourceSpec, checks: Sequence[Check]) -> DataFrame:
+    """Q12 in a load: a conformed row that fails an ``error`` check on rows becomes a reject."""
+    rules = tuple(c for c in checks if c.type in ROW_CHECKS and c.severity == "error")
+    hidden = {f.lower() for f in spec.pii_fields} | {name.lower() for name in _OWN}
+    shown = [quoted(name) for name in tagged.columns if name.lower() not in hidden]
+    failed = F.transform("failed_checks", lambda name: F.concat(F.lit("check "), name))
+    diverted = (F.size(REASONS) == 0) & (F.size("failed_checks") > 0)
+    raw = F.to_json(F.struct(*(shown or [F.lit(None).cast("string").alias("hidden")])))
+    return tag_rows(tagged, rules).withColumns(
+        {
+            REASONS: F.when(diverted, failed).otherwise(quoted(REASONS)),
+            RAW: F.when(diverted, raw).otherwise(quoted(RAW)),
+        }
+    )
 
 
 _OWN = (REASONS, CURSOR, RAW, "failed_checks")
 
 
+def _check_batch(body, spec, dataset, checks, extracted_at, as_of, is_empty) -> DataFrame:
+    """Check results of a batch. A load that brings nothing is as fresh as what is stored."""
+    spark, target = body.sparkSession, dataset.address(spec.name)
+    named = {n.lower() for c in checks for n in (*c.targets, *c.required_columns)}
+    seen = body
+    if "_extracted_at" in named:
+        stamped = typed_literal(extracted_at, T.TimestampType())
+        seen = body.withColumn("_extracted_at", stamped)
+    contract = _contract(spec, body)
+    ages = [c for c in checks if c.type == "freshness"]
+    if not (ages and is_empty and target.exists(spark)):
+        return run_checks(seen, checks, as_of, contract)
+    names = list(dict.fromkeys(n for c in ages for n in c.targets))
+    stored = target.read(spark).select(
+        *[quoted(stored_name(spec, n, dataset.case)).alias(n) for n in names]
+    )
+    fresh = run_checks(stored, ages, as_of)
+    others = [c for c in checks if c.type != "freshness"]
+    return run_checks(seen, others, as_of, contract).unionByName(fresh) if others else fresh
+
+
 def _write(good, spec, dataset, load_id, extracted_at, options) -> None:
     target = dataset.address(spec.name)
     layout = {

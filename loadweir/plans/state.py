@@ -10,9 +10,10 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadweir.operators.metrics import load_audit
-from loadweir.sinks.tables import append_once_table, write_table
+from loadweir.sinks.tables import append_fixed, append_once_table
 from loadweir.sinks.target import Dataset
 
 # Two appends to one folder at a time would remove each other's temporary files, so loads that run
@@ -43,8 +44,9 @@ def high_water(spark: SparkSession, dataset: Dataset, resource: str) -> str | No
     target = dataset.bookkeeping("cursors")
     if not target.exists(spark):
         return None
+    saved = target.read(spark, schema=T.StructType.fromDDL(CURSOR_SCHEMA))
     newest = F.max_by("high_water", F.struct("extracted_at", "load_id")).alias("high_water")
-    return target.read(spark).filter(F.col("resource") == resource).agg(newest).first()[0]
+    return saved.filter(F.col("resource") == resource).agg(newest).first()[0]
 
 
 def save_cursor(
@@ -57,11 +59,11 @@ def save_cursor(
     extracted_at: datetime,
 ) -> None:
     """append one row; called only after the rows themselves are written."""
-    row = (resource, cursor, as_text(value), load_id, as_text(extracted_at))
-    frame = spark.createDataFrame([row], CURSOR_SCHEMA.replace("timestamp", "string"))
-    frame = frame.withColumn("extracted_at", F.col("extracted_at").cast("timestamp"))
+    row = [resource, cursor, as_text(value), load_id, as_text(extracted_at)]
+    fields = T.StructType.fromDDL(CURSOR_SCHEMA).fields
+    values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]
     with _ONE_WRITER:
-        write_table(frame, dataset.bookkeeping("cursors"), "append")
+        append_fixed(spark.range(0, 1, 1, 1).select(*values), dataset.bookkeeping("cursors"))
 
 
 def save_audit(
@@ -70,7 +72,7 @@ def save_audit(
     """A2: append audit rows and return them."""
     audit = load_audit(spark, results)
     with _ONE_WRITER:
-        write_table(audit, dataset.bookkeeping("loads"), "append")
+        append_fixed(audit, dataset.bookkeeping("loads"))
     return audit
 
 

@@ -114,6 +114,11 @@ def write_table(
         _save(_writer(df, target, "append", partitions, rows_per_file), target)
 
 
+def append_fixed(df: DataFrame, target: Target) -> None:
+    """Append rows of a schema that never changes: nothing about the table is read first."""
+    _save(_writer(df, target, "append", (), None), target)
+
+
 def _fit_table(df: DataFrame, target: Target) -> DataFrame:
     """P12 for an append: stored columns keep their types, and new ones are added to the table."""
     spark = df.sparkSession
@@ -307,9 +312,11 @@ def _merge_partitions(
     _drop_partitions(batch.sparkSession, target, partitions, emptied)
 
 
-def _overwrite_partitions(df: DataFrame, target: Target, partitions, rows_per_file) -> None:
+def _overwrite_partitions(
+    df: DataFrame, target: Target, partitions, rows_per_file, cluster_by: Sequence[str] = ()
+) -> None:
     """Replace exactly the partitions ``df`` has rows for. Its columns are in the table's order."""
-    out = lay_out(df, partitions)
+    out = lay_out(df, partitions, cluster_by)
     if target.is_folder:
         writer = _writer(out, target, "overwrite", partitions, rows_per_file)
         writer.option("partitionOverwriteMode", "dynamic").save(target.location)
@@ -423,16 +430,41 @@ def compact(
     target_bytes: int = 256 * 1024 * 1024,
     cluster_by: Sequence[str] = (),
 ) -> None:
-    """Rewrite the table into files of about ``target_bytes``; its rows do not change."""
+    """Rewrite small files into files of about ``target_bytes``; the rows do not change.
+
+    A partitioned table rewrites only partitions that hold more than twice the files they need.
+    """
     stored = target.read(spark)
     partitions = target.partition_columns(spark)
-    size = _stored_bytes(spark, target, stored)
-    n_files = max(1, -(-size // target_bytes))
     if partitions:
-        out = lay_out(stored, partitions, cluster_by, n_files if cluster_by else None)
-    else:
-        out = lay_out(stored, (), cluster_by, n_files)
-    _replace(out, target, partitions, None, True)
+        crowded = _crowded_partitions(stored, partitions, target_bytes)
+        if crowded is not None:
+            if crowded:
+                rows = stored.filter(_in_partitions(stored, partitions, crowded))
+                _overwrite_partitions(rows, target, partitions, None, cluster_by)
+            return
+        _replace(lay_out(stored, partitions, cluster_by), target, partitions, None, True)
+        return
+    n_files = max(1, -(-_stored_bytes(spark, target, stored) // target_bytes))
+    _replace(lay_out(stored, (), cluster_by, n_files), target, (), None, True)
+
+
+def _crowded_partitions(stored: DataFrame, partitions, target_bytes: int) -> list | None:
+    """Partitions with too many files, or None if they are too many to name.
+
+    Only file names and sizes are looked at; each task sends one row per file.
+    """
+    files = stored.select(
+        *map(quoted, partitions),
+        F.col("_metadata.file_path").alias("__path"),
+        F.col("_metadata.file_size").alias("__size"),
+    ).distinct()
+    needed = F.greatest(F.lit(1), F.ceil(F.sum("__size") / target_bytes))
+    per = files.groupBy(*map(quoted, partitions)).agg(
+        (F.count(F.lit(1)) > 2 * needed).alias("__crowded")
+    )
+    rows = per.filter("__crowded").drop("__crowded").limit(MAX_NAMED_PARTITIONS + 1).collect()
+    return rows if len(rows) <= MAX_NAMED_PARTITIONS else None
 
 
 def _stored_bytes(spark: SparkSession, target: Target, stored: DataFrame) -> int:

@@ -44,29 +44,29 @@ class Target:
         return files.exists(self.location)
 
     def read(
-        self, spark: SparkSession, partition_types: Mapping[str, T.DataType] | None = None
+        self,
+        spark: SparkSession,
+        partition_types: Mapping[str, T.DataType] | None = None,
+        schema: T.StructType | None = None,
     ) -> DataFrame:
         """The stored rows.
 
-        A folder has no catalog to hold its schema, so its files' schemas are merged; a large table
-        should be a catalog table. ``partition_types`` overrides what Spark infers from folder
-        names, so that a text such as ``007`` stays a text.
+        A folder has no catalog to hold its schema, so its files' schemas are merged unless
+        ``schema`` is given; a large table should be a catalog table. ``partition_types`` overrides
+        what Spark infers from folder names, so that a text such as ``007`` stays a text.
         """
         if not self.is_folder:
             return spark.table(self.location)
+        if schema is not None:
+            return spark.read.format(self.fmt).schema(schema).load(self.location)
         reader = spark.read.format(self.fmt)
         if self.fmt in ("parquet", "orc"):
             reader = reader.option("mergeSchema", True)
         stored = reader.load(self.location)
         if not partition_types:
             return stored
-        schema = T.StructType(
-            [
-                T.StructField(f.name, partition_types.get(f.name, f.dataType))
-                for f in stored.schema.fields
-            ]
-        )
-        return spark.read.format(self.fmt).schema(schema).load(self.location)
+        fields = [(f.name, partition_types.get(f.name, f.dataType)) for f in stored.schema.fields]
+        return self.read(spark, schema=T.StructType([T.StructField(*f) for f in fields]))
 
     def partition_columns(self, spark: SparkSession) -> list[str]:
         """The columns the stored table is partitioned by."""

@@ -72,14 +72,14 @@ _N_TAGS = " + ".join(f"CASE WHEN {rule} THEN 1 ELSE 0 END" for rule in _CUSTOMER
 _CHANGED = """
 changed AS (
     SELECT o_orderkey, o_custkey, o_orderstatus,
-           CASE WHEN o_orderkey % 30 = 0 THEN 2.5 ELSE 1.5 END AS o_totalprice,
-           CASE WHEN o_orderkey % 30 = 0 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END
-               AS o_orderdate,
+           CASE WHEN o_orderpriority = '2-HIGH' THEN 2.5 ELSE 1.5 END AS o_totalprice,
+           CASE WHEN o_orderpriority = '2-HIGH' THEN o_orderdate + INTERVAL 1 DAY
+                ELSE o_orderdate END AS o_orderdate,
            o_orderpriority
-    FROM orders WHERE o_orderkey % 10 = 0
+    FROM orders WHERE o_orderstatus = 'P'
     UNION ALL
-    SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-    FROM orders WHERE o_orderkey % 100 = 1
+    SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+    FROM orders WHERE o_orderpriority = '1-URGENT'
 )
 """
 
@@ -175,15 +175,17 @@ ORACLE: dict[str, str] = {
         WHERE event_id % 50 = 0 OR ts >= TIMESTAMP '2024-01-24'""",
     "retention_table": "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-23 12:00:00'",
     "write_append": """
-        SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey % 3 < 2
+        SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag
+        FROM lineitem WHERE l_returnflag <> 'R'
         UNION ALL
-        SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey % 3 > 0""",
+        SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag
+        FROM lineitem WHERE l_returnflag <> 'A'""",
     "write_append_table": """
-        SELECT l_orderkey, l_linenumber, l_quantity, CAST(NULL AS VARCHAR) AS batch
-        FROM lineitem WHERE l_orderkey % 3 < 2
+        SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, CAST(NULL AS VARCHAR) AS batch
+        FROM lineitem WHERE l_returnflag <> 'R'
         UNION ALL
-        SELECT l_orderkey, l_linenumber, l_quantity, 'second'
-        FROM lineitem WHERE l_orderkey % 3 > 0""",
+        SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, 'second'
+        FROM lineitem WHERE l_returnflag <> 'A'""",
     "write_replace": "SELECT * FROM customer WHERE c_acctbal > 0",
     "write_merge": f"""
         WITH {_CHANGED}
@@ -195,7 +197,7 @@ ORACLE: dict[str, str] = {
         SELECT * FROM orders o
         WHERE NOT EXISTS (SELECT 1 FROM changed c WHERE c.o_orderkey = o.o_orderkey)
         UNION ALL
-        SELECT * REPLACE (CASE WHEN o_orderkey % 20 = 0 THEN 'X' ELSE o_orderstatus END
+        SELECT * REPLACE (CASE WHEN o_orderpriority = '5-LOW' THEN 'X' ELSE o_orderstatus END
                           AS o_orderstatus)
         FROM changed""",
     "dedup_latest": """
@@ -214,11 +216,11 @@ ORACLE: dict[str, str] = {
         SELECT CAST(count(*) AS BIGINT) AS row_count, true AS within_bound FROM orders""",
     "compact_table": "SELECT o_orderkey, o_custkey FROM orders",
     "append_once": """
-        SELECT event_id, user_id, 'load-' || (event_id % 7) AS _load_id FROM events
-        WHERE event_id % 7 < 4
+        SELECT event_id, user_id, event_type, 'load-' || event_type AS _load_id FROM events
+        WHERE event_type <> 'purchase'
         UNION ALL
-        SELECT event_id, user_id, 'load-' || (event_id % 7) FROM events
-        WHERE event_id % 7 > 2 AND event_id % 7 <> 3""",
+        SELECT event_id, user_id, event_type, 'load-' || event_type FROM events
+        WHERE event_type = 'purchase'""",
     "append_once_table": "SELECT event_id, 'load-1' AS _load_id FROM events",
     "dq_not_null": _results(
         _check("not_null:o_orderkey", "not_null", "o_orderkey", _rows_where("o_orderkey IS NULL")),
@@ -377,9 +379,9 @@ ORACLE: dict[str, str] = {
     "load_resource_merge": """
         WITH current AS (
             SELECT * REPLACE (
-                CASE WHEN o_orderkey % 10 = 0 THEN o_orderdate + INTERVAL 3650 DAY
+                CASE WHEN o_orderstatus = 'P' THEN o_orderdate + INTERVAL 3650 DAY
                      ELSE o_orderdate END AS o_orderdate,
-                CASE WHEN o_orderkey % 10 = 0 THEN 0.5 ELSE o_totalprice END AS o_totalprice)
+                CASE WHEN o_orderstatus = 'P' THEN 0.5 ELSE o_totalprice END AS o_totalprice)
             FROM orders
         ),
         early AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),

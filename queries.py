@@ -374,9 +374,10 @@ def retention_table(spark, sf_dir):
 
 
 def _slices(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two overlapping parts of lineitem."""
-    part = lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
-    return part.filter(F.col("l_orderkey") % 3 < 2), part.filter(F.col("l_orderkey") % 3 > 0)
+    """Two parts of lineitem that overlap in the lines neither returned nor accepted."""
+    part = lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    flag = F.col("l_returnflag")
+    return part.filter(flag != "R"), part.filter(flag != "A")
 
 
 @query
@@ -392,7 +393,7 @@ def write_append_table(spark, sf_dir):
     first, second = _slices(table(spark, sf_dir, "lineitem"))
     sink.write_table(first, target)
     sink.write_table(second.withColumn("batch", F.lit("second")), target)
-    return target.read(spark).select("l_orderkey", "l_linenumber", "l_quantity", "batch")
+    return target.read(spark)
 
 
 @query
@@ -406,16 +407,17 @@ def write_replace(spark, sf_dir):
 
 
 def _changed(orders: DataFrame) -> DataFrame:
-    """A batch of changed and new orders, a third of them twice: the later date wins."""
-    key = F.col("o_orderkey")
-    changed = orders.filter(key % 10 == 0).withColumn("o_totalprice", F.lit(1.5))
-    later = changed.filter(key % 30 == 0).select(
+    """Changed and new orders; those of one priority change twice and the later date wins."""
+    pending = orders.filter(F.col("o_orderstatus") == "P")
+    changed = pending.withColumn("o_totalprice", F.lit(1.5))
+    later = changed.filter(F.col("o_orderpriority") == "2-HIGH").select(
         *[
             (F.col(c) + F.make_dt_interval(F.lit(1)) if c == "o_orderdate" else F.col(c)).alias(c)
             for c in changed.columns
         ]
     )
-    new = orders.filter(key % 100 == 1).withColumn("o_orderkey", -key)
+    urgent = orders.filter(F.col("o_orderpriority") == "1-URGENT")
+    new = urgent.withColumn("o_orderkey", -F.col("o_orderkey") - 1)
     later = later.withColumn("o_totalprice", F.lit(2.5))
     return changed.unionAll(later).unionAll(new)
 
@@ -433,7 +435,7 @@ def write_merge_table(spark, sf_dir):
     target = Target.folder(shared_dir(spark, "merge"))
     orders = table(spark, sf_dir, "orders")
     sink.write_table(orders, target, "replace", partition_by=["o_orderstatus"])
-    moved = F.when(F.col("o_orderkey") % 20 == 0, "X").otherwise(F.col("o_orderstatus"))
+    moved = F.when(F.col("o_orderpriority") == "5-LOW", "X").otherwise(F.col("o_orderstatus"))
     changed = _changed(orders).withColumn("o_orderstatus", moved)
     sink.merge_table(changed, target, "o_orderkey", "o_orderdate", ["o_orderstatus"])
     return target.read(spark)
@@ -492,10 +494,10 @@ def compact_table(spark, sf_dir):
 @query
 def append_once(spark, sf_dir):
     """A replayed batch adds nothing."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id")
-    day = F.concat(F.lit("load-"), F.col("event_id") % 7)
-    stored = events.filter(F.col("event_id") % 7 < 4).withColumn("_load_id", day)
-    batch = events.filter(F.col("event_id") % 7 > 2).withColumn("_load_id", day)
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    loads = events.withColumn("_load_id", F.concat(F.lit("load-"), "event_type"))
+    stored = loads.filter(F.col("event_type") != "purchase")
+    batch = loads.filter(F.col("event_type") != "click")
     return mrg.append_once(stored, batch)
 
 
@@ -738,10 +740,10 @@ def stream_merge(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    """ST3: a tenth of the events arrives again; each is kept once."""
+    """ST3: the error events arrive again; each is kept once."""
     out = shared_dir(spark, "stream")
     events = stream(spark, sf_dir, "events")
-    again = stream(spark, sf_dir, "events").filter(F.col("event_id") % 10 == 0)
+    again = stream(spark, sf_dir, "events").filter(F.col("event_type") == "error")
     once = streams.stream_dedup(events.unionAll(again), "event_id", "ts", "40 days", hot_key_slots=8)
     _finish(streams.stream_append(once, out, shared_dir(spark, "checkpoint")))
     return zoneless(spark.read.parquet(out)).select("event_id", "ts", "user_id")
@@ -798,9 +800,9 @@ def load_resource_merge(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     early = orders.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     load_resource(spark, ORDERS_SPEC, early, dataset, LOADED_AT)
-    key, date = F.col("o_orderkey"), F.col("o_orderdate")
-    redated = F.when(key % 10 == 0, date + F.make_dt_interval(F.lit(3650))).otherwise(date)
-    price = F.when(key % 10 == 0, F.lit(0.5)).otherwise(F.col("o_totalprice"))
+    pending, date = F.col("o_orderstatus") == "P", F.col("o_orderdate")
+    redated = F.when(pending, date + F.make_dt_interval(F.lit(3650))).otherwise(date)
+    price = F.when(pending, F.lit(0.5)).otherwise(F.col("o_totalprice"))
     current = orders.withColumns({"o_orderdate": redated, "o_totalprice": price})
     load_resource(spark, ORDERS_SPEC, current, dataset, LOADED_AT + timedelta(hours=1))
     return zoneless(dataset.address("orders").read(spark)).drop("_load_id")
