@@ -339,7 +339,7 @@ def _write(good, spec, dataset, load_id, extracted_at, options) -> None:
     spread = {"cluster_by": dataset.cluster_by, "parallelism": dataset.parallelism}
     rows = finish(good, spec, dataset.case, load_id, extracted_at)
     if options.full_refresh or spec.write_disposition == "replace":
-        write_table(rows, target, "replace", **layout, **spread)
+        write_table(rows, target, "replace", **layout, **spread, stage=not options.stage)
     elif spec.write_disposition == "append":
         append_once_table(rows, target, load_id, **layout, **spread)
     else:

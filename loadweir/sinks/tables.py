@@ -17,7 +17,7 @@ from loadweir.operators.conform import evolve_union, fit_columns, merged_schema
 from loadweir.operators.cursor import apply_retention
 from loadweir.operators.merging import all_set, latest_per_key, merge
 from loadweir.session import shared_dir
-from loadweir.sinks.target import BACKUP, ROW_LEVEL_FORMATS, FileTree, Target
+from loadweir.sinks.target import PREVIOUS, ROW_LEVEL_FORMATS, FileTree, Target
 
 # A merge names the partitions it rewrites one by one up to this many; beyond it, the rewritten
 # share of the table is no longer small and the whole table is rewritten instead.
@@ -93,10 +93,12 @@ def write_table(
     cluster_by: Sequence[str] = (),
     rows_per_file: int | None = None,
     parallelism: int | None = None,
+    stage: bool = True,
 ) -> None:
     """Append to or replace a table, laid out as asked.
 
-    ``replace`` drops old partitions too, which dynamic overwrite would keep.
+    ``replace`` drops old partitions too, which dynamic overwrite would keep. ``stage=False`` saves
+    a copy when a catalog table is replaced by rows that are stored elsewhere already.
     """
     spark = df.sparkSession
     if disposition not in ("append", "replace"):
@@ -109,7 +111,7 @@ def write_table(
     df, partitions = date_partitions(df, partition_by)
     df = lay_out(df, partitions, cluster_by, parallelism)
     if disposition == "replace":
-        _replace(df, target, partitions, rows_per_file, exists)
+        _replace(df, target, partitions, rows_per_file, exists, stage)
     else:
         _save(_writer(df, target, "append", partitions, rows_per_file), target)
 
@@ -140,27 +142,37 @@ def _fit_table(df: DataFrame, target: Target) -> DataFrame:
     return fit_columns(df, wide)
 
 
-def _replace(df, target: Target, partitions, rows_per_file, exists: bool) -> None:
+def _replace(
+    df, target: Target, partitions, rows_per_file, exists: bool, stage: bool = True
+) -> None:
     """Put ``df`` in the place of the table, which ``df`` itself may read.
 
-    A folder is written next to the old one and swapped in by two renames, so a failed write
-    leaves the old table whole. A catalog table is staged in the shared folder first.
+    A folder is written beside the old one and swapped in by two renames, so a failed write leaves
+    the old table whole. A plain catalog table is dropped before it is written again, so its new
+    rows are staged first, unless they come from a staged table already. Formats with row-level
+    operations replace a table atomically themselves.
     """
-    spark = df.sparkSession
+    spark, files = df.sparkSession, FileTree(df.sparkSession)
     if not exists:
         _save(_writer(df, target, "errorifexists", partitions, rows_per_file), target)
-        return
-    files = FileTree(spark)
-    if target.is_folder:
+    elif target.fmt in ROW_LEVEL_FORMATS or not (target.is_folder or stage):
+        _save(_writer(df, target, "overwrite", partitions, rows_per_file), target)
+    elif target.is_folder:
         fresh = f"{target.location}__next-{uuid4().hex}"
         _writer(df, target, "errorifexists", partitions, rows_per_file).save(fresh)
-        files.rename(target.location, target.location + BACKUP)
+        files.rename(target.location, target.location + PREVIOUS)
         files.rename(fresh, target.location)
-        files.delete(target.location + BACKUP)
-        return
-    with staged(df, "replace") as held:
-        writer = _writer(held, target, "overwrite", partitions, rows_per_file)
-        writer.option("partitionOverwriteMode", "static").saveAsTable(target.location)
+        files.delete(target.location + PREVIOUS)
+    else:
+        path = shared_dir(spark, "replace")
+        df.write.parquet(path)
+        held = spark.read.schema(df.schema).parquet(path)
+        try:
+            _save(_writer(held, target, "overwrite", partitions, rows_per_file), target)
+        except Exception as error:
+            error.add_note(f"The new rows of {target.location} are kept in {path}")
+            raise
+        files.delete(path)
 
 
 @contextmanager

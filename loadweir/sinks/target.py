@@ -31,16 +31,18 @@ class Target:
         return cls(name, False, fmt)
 
     def exists(self, spark: SparkSession) -> bool:
+        """Whether the table is there, after putting right a folder swap that stopped half way.
+
+        One load at a time writes a table, so a leftover is never another load's work in progress.
+        """
         if not self.is_folder:
             return spark.catalog.tableExists(self.location)
-        files = FileTree(spark)
-        backup = f"{self.location}{BACKUP}"
-        if files.exists(backup):
-            # A swap stopped half way: either the new table is in place or the old one comes back.
+        files, previous = FileTree(spark), self.location + PREVIOUS
+        if files.exists(previous):
             if files.exists(self.location):
-                files.delete(backup)
+                files.delete(previous)
             else:
-                files.rename(backup, self.location)
+                files.rename(previous, self.location)
         return files.exists(self.location)
 
     def read(
@@ -75,7 +77,7 @@ class Target:
         return FileTree(spark).partition_keys(self.location)
 
 
-BACKUP = "__previous"
+PREVIOUS = "__previous"
 
 
 @dataclass(frozen=True)

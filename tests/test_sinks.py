@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from loadweir.sinks import jdbc
 from loadweir.sinks import tables as sink
-from loadweir.sinks.target import BACKUP, Dataset, FileTree, Target
+from loadweir.sinks.target import PREVIOUS, Dataset, FileTree, Target
 
 SCHEMA = "id int, ts int, p string, v string"
 
@@ -50,10 +50,22 @@ def test_replace_may_read_its_own_target(spark, target, rows):
 def test_swap_recovers_from_a_stop_in_between(spark, folder, rows):
     target, files = Target.folder(folder), FileTree(spark)
     sink.write_table(frame(spark, (1, 1, "a", "x")), target)
-    files.rename(folder, folder + BACKUP)
+    files.rename(folder, folder + PREVIOUS)
     assert target.exists(spark)
     assert rows(target.read(spark), "id") == [(1,)]
-    assert not files.exists(folder + BACKUP)
+    # Stopped after the second rename: the old rows go.
+    sink.write_table(frame(spark, (9, 9, "z", "old")), Target.folder(folder + PREVIOUS))
+    assert target.exists(spark)
+    assert not files.exists(folder + PREVIOUS)
+    assert rows(target.read(spark), "id") == [(1,)]
+
+
+def test_a_failed_replace_leaves_the_table_whole(spark, target, rows):
+    sink.write_table(frame(spark, (1, 1, "a", "x")), target)
+    broken = frame(spark, (2, 0, "b", "y")).withColumn("ts", F.expr("1 div ts"))
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        sink.write_table(broken, target, "replace")
+    assert rows(target.read(spark), "id") == [(1,)]
 
 
 @pytest.mark.parametrize("partition_by", [[], ["p"]])

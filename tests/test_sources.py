@@ -1,3 +1,4 @@
+import io
 import json
 import os
 
@@ -85,7 +86,18 @@ def test_feed_from_parent_with_repeats(spark, rows):
     assert rows(readers.feed_from_parent(child, parent, "pid", "id")) == [(1, "a"), (1, "b")]
 
 
-@pytest.mark.parametrize("slice_bytes", [1, 7, 40, 10_000])
+@pytest.mark.parametrize("block", [1, 3, 1000])
+@pytest.mark.parametrize("width", [1, 2, 5, 1000])
+def test_slices_share_lines_between_them(block, width):
+    data = b"aa\n\nbbb\nc\n\n\ndddd"
+    found = []
+    for start in range(0, len(data), width):
+        stream = io.BytesIO(data)
+        found += landing.lines_starting_in(stream, start, min(start + width, len(data)), block)
+    assert found == [b"aa", b"bbb", b"c", b"dddd"]
+
+
+@pytest.mark.parametrize("slice_bytes", [40, 10_000])
 def test_landing_slices_lose_and_repeat_nothing(spark, tmp_path, rows, slice_bytes):
     folder = str(tmp_path / "land")
     records = [{"id": i, "text": "é" * (i % 9)} for i in range(25)]
