@@ -36,7 +36,14 @@ from loadweir.plans.state import (
     save_cursor,
     save_rejects,
 )
-from loadweir.sinks.tables import append_once_table, merge_table, retain_table, staged, write_table
+from loadweir.sinks.tables import (
+    append_once_table,
+    compact,
+    merge_table,
+    retain_table,
+    staged,
+    write_table,
+)
 from loadweir.sinks.target import Dataset
 from loadweir.spec import ROW_CHECKS, Check, Column, ResourceSpec
 
@@ -244,6 +251,8 @@ def _attempt(spark, spec, source, dataset, extracted_at, load_id, as_of, options
             )
         if dataset.retention_days is not None and as_of is not None:
             retain_table(spark, target, "_extracted_at", as_of, dataset.retention_days)
+        if dataset.compact_after_write:
+            compact(spark, target, cluster_by=dataset.cluster_by)
         result["success"] = True
     except Exception as error:  # noqa: BLE001 - handed to the caller with its audit row
         failure = error

@@ -109,11 +109,13 @@ def write_table(
         df = _fit_table(df, target)
         partition_by = target.partition_columns(spark)
     df, partitions = date_partitions(df, partition_by)
-    df = lay_out(df, partitions, cluster_by, parallelism)
     if disposition == "replace":
-        _replace(df, target, partitions, rows_per_file, exists, stage)
+        _replace(
+            df, target, exists, partitions, cluster_by, parallelism, rows_per_file, stage
+        )
     else:
-        _save(_writer(df, target, "append", partitions, rows_per_file), target)
+        laid = lay_out(df, partitions, cluster_by, parallelism)
+        _save(_writer(laid, target, "append", partitions, rows_per_file), target)
 
 
 def append_fixed(df: DataFrame, target: Target) -> None:
@@ -143,7 +145,14 @@ def _fit_table(df: DataFrame, target: Target) -> DataFrame:
 
 
 def _replace(
-    df, target: Target, partitions, rows_per_file, exists: bool, stage: bool = True
+    df: DataFrame,
+    target: Target,
+    exists: bool,
+    partitions: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    parallelism: int | None = None,
+    rows_per_file: int | None = None,
+    stage: bool = True,
 ) -> None:
     """Put ``df`` in the place of the table, which ``df`` itself may read.
 
@@ -153,22 +162,26 @@ def _replace(
     operations replace a table atomically themselves.
     """
     spark, files = df.sparkSession, FileTree(df.sparkSession)
+
+    def save(rows: DataFrame, to: Target, mode: str) -> None:
+        laid = lay_out(rows, partitions, cluster_by, parallelism)
+        _save(_writer(laid, to, mode, partitions, rows_per_file), to)
+
     if not exists:
-        _save(_writer(df, target, "errorifexists", partitions, rows_per_file), target)
+        save(df, target, "errorifexists")
     elif target.fmt in ROW_LEVEL_FORMATS or not (target.is_folder or stage):
-        _save(_writer(df, target, "overwrite", partitions, rows_per_file), target)
+        save(df, target, "overwrite")
     elif target.is_folder:
-        fresh = f"{target.location}__next-{uuid4().hex}"
-        _writer(df, target, "errorifexists", partitions, rows_per_file).save(fresh)
+        fresh = Target.folder(f"{target.location}__next-{uuid4().hex}", target.fmt)
+        save(df, fresh, "errorifexists")
         files.rename(target.location, target.location + PREVIOUS)
-        files.rename(fresh, target.location)
+        files.rename(fresh.location, target.location)
         files.delete(target.location + PREVIOUS)
     else:
         path = shared_dir(spark, "replace")
         df.write.parquet(path)
-        held = spark.read.schema(df.schema).parquet(path)
         try:
-            _save(_writer(held, target, "overwrite", partitions, rows_per_file), target)
+            save(spark.read.schema(df.schema).parquet(path), target, "overwrite")
         except Exception as error:
             error.add_note(f"The new rows of {target.location} are kept in {path}")
             raise
@@ -250,7 +263,7 @@ def merge_table(
             )
             return
     merged = _merged(stored, batch, keys, order, keep_newer)
-    _replace(lay_out(merged, partitions), target, partitions, rows_per_file, True)
+    _replace(merged, target, True, partitions, rows_per_file=rows_per_file)
 
 
 def _merged(stored, batch, keys, order, keep_newer) -> DataFrame:
@@ -422,7 +435,7 @@ def retain_table(
     kept = apply_retention(stored, column, as_of, days)
     day = next((p for p in (f"{column}_date", column) if partitions == [p]), None)
     if day is None:
-        _replace(lay_out(kept, partitions), target, partitions, None, True)
+        _replace(kept, target, True, partitions)
         return
     cutoff = F.lit((as_of - timedelta(days=days)).date().isoformat()).cast("date")
     expired = stored.filter(quoted(day) < cutoff).select(quoted(day)).distinct().collect()
@@ -444,43 +457,28 @@ def compact(
 ) -> None:
     """Rewrite small files into files of about ``target_bytes``; the rows do not change.
 
-    A partitioned table rewrites only partitions that hold more than twice the files they need.
+    A table, or a partition of one, is left alone unless it holds more than twice the files it
+    needs. Only file names and sizes are looked at to find out: each task sends one row per file.
     """
     stored = target.read(spark)
     partitions = target.partition_columns(spark)
-    if partitions:
-        crowded = _crowded_partitions(stored, partitions, target_bytes)
-        if crowded is not None:
-            if crowded:
-                rows = stored.filter(_in_partitions(stored, partitions, crowded))
-                _overwrite_partitions(rows, target, partitions, None, cluster_by)
-            return
-        _replace(lay_out(stored, partitions, cluster_by), target, partitions, None, True)
-        return
-    n_files = max(1, -(-_stored_bytes(spark, target, stored) // target_bytes))
-    _replace(lay_out(stored, (), cluster_by, n_files), target, (), None, True)
-
-
-def _crowded_partitions(stored: DataFrame, partitions, target_bytes: int) -> list | None:
-    """Partitions with too many files, or None if they are too many to name.
-
-    Only file names and sizes are looked at; each task sends one row per file.
-    """
     files = stored.select(
         *map(quoted, partitions),
         F.col("_metadata.file_path").alias("__path"),
         F.col("_metadata.file_size").alias("__size"),
     ).distinct()
-    needed = F.greatest(F.lit(1), F.ceil(F.sum("__size") / target_bytes))
     per = files.groupBy(*map(quoted, partitions)).agg(
-        (F.count(F.lit(1)) > 2 * needed).alias("__crowded")
+        F.count(F.lit(1)).alias("__files"),
+        F.greatest(F.lit(1), F.ceil(F.sum("__size") / target_bytes)).alias("__needed"),
     )
-    rows = per.filter("__crowded").drop("__crowded").limit(MAX_NAMED_PARTITIONS + 1).collect()
-    return rows if len(rows) <= MAX_NAMED_PARTITIONS else None
-
-
-def _stored_bytes(spark: SparkSession, target: Target, stored: DataFrame) -> int:
-    if target.is_folder:
-        return FileTree(spark).total_bytes(target.location)
-    folders = {path.rsplit("/", 1)[0] for path in stored.inputFiles()}
-    return sum(FileTree(spark).total_bytes(f) for f in folders)
+    crowded = per.filter("__files > 2 * __needed")
+    rows = crowded.limit(MAX_NAMED_PARTITIONS + 1).collect()
+    if not rows:
+        return
+    if not partitions:
+        _replace(stored, target, True, (), cluster_by, int(rows[0]["__needed"]))
+    elif len(rows) > MAX_NAMED_PARTITIONS:
+        _replace(stored, target, True, partitions, cluster_by)
+    else:
+        named = stored.filter(_in_partitions(stored, partitions, [tuple(r)[:-2] for r in rows]))
+        _overwrite_partitions(named, target, partitions, None, cluster_by)

@@ -99,6 +99,7 @@ class Dataset:
     rows_per_file: int | None = None
     parallelism: int | None = None
     retention_days: int | None = None
+    compact_after_write: bool = False
 
     def __post_init__(self) -> None:
         if (self.root is None) == (self.schema is None):
@@ -147,10 +148,6 @@ class FileTree:
         if not files.rename(where, self._jvm.org.apache.hadoop.fs.Path(new)):
             raise OSError(f"could not rename {old} to {new}")
 
-    def total_bytes(self, path: str) -> int:
-        files, where = self._open(path)
-        return files.getContentSummary(where).getLength()
-
     def partition_keys(self, path: str) -> list[str]:
         """``key`` of every ``key=value`` folder level, following the first one down."""
         files, where = self._open(path)

@@ -399,4 +399,13 @@ ORACLE: dict[str, str] = {
         FROM orders
         UNION ALL SELECT 'customer', true, count(*), 0 FROM customer
         UNION ALL SELECT 'events', false, 0, 0 FROM (SELECT count(*) FROM events)""",
+    "load_from_config": """
+        SELECT 'shop_load' AS pipeline_name, 'orders' AS resource, n >= 500 AS success,
+               CASE WHEN n >= 500 THEN n ELSE 0 END AS rows_processed,
+               CASE WHEN n >= 500 THEN n ELSE 0 END AS raw_orders
+        FROM (SELECT count(*) AS n FROM orders
+              WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '1998-01-01')
+        UNION ALL
+        SELECT 'shop_load', 'supplier', n >= 500, CASE WHEN n >= 500 THEN n ELSE 0 END, NULL
+        FROM (SELECT count(*) AS n FROM supplier)""",
 }

@@ -21,6 +21,7 @@ from loadweir.operators import cursor as cur
 from loadweir.operators import merging as mrg
 from loadweir.operators import metrics as met
 from loadweir.operators import nested, quality
+from loadweir.plans.configured import load_configured
 from loadweir.plans.load import LoadOptions, load_frame, load_resource, load_resources
 from loadweir.session import shared_dir
 from loadweir.sinks import tables as sink
@@ -828,3 +829,43 @@ def load_audit_rows(spark, sf_dir):
     }
     audit = load_resources(spark, specs, sources, dataset, LOADED_AT, parallel_loads=3)
     return audit.select("resource", "success", "rows_processed", "rows_rejected")
+
+
+@query
+def load_from_config(spark, sf_dir):
+    """C2 from parsed configuration: placeholders, an increment, a replace, and a failing check."""
+    source = {
+        "name": "shop",
+        "resources": [
+            {
+                "name": "orders",
+                "primary_key": ["o_orderkey"],
+                "write_disposition": "merge",
+                "params": {"priority": "{level}", "per_page": 100},
+                "incremental": {"cursor_field": "o_orderdate", "initial_value": "1998-01-01T00:00:00Z"},
+            },
+            {"name": "customer", "primary_key": ["c_custkey"], "write_disposition": "replace"},
+            {
+                "name": "supplier",
+                "data_quality": {"checks": [{"type": "not_null", "columns": ["s_suppkey"]}]},
+            },
+        ],
+    }
+    load = {
+        "name": "shop_load",
+        "source": {"resources": ["orders", "supplier"], "params": {"level": "2-HIGH"}},
+        "destination": {"dataset_name": "shop"},
+        "data_quality": {"checks": [{"name": "enough", "type": "volume", "min_rows": 500}]},
+    }
+    destination = {"settings": {"max_parallel_loads": 2}, "naming": {"prefix": "raw_"}}
+
+    def open_resource(spec, params):
+        rows = table(spark, sf_dir, spec.name)
+        wanted = params.get("priority")
+        return rows.filter(F.col("o_orderpriority") == wanted) if wanted else rows
+
+    audit = load_configured(
+        spark, source, load, destination, open_resource, LOADED_AT,
+        root=shared_dir(spark, "configured"), parameters=({"level": "1-URGENT"},),
+    )
+    return audit.select("pipeline_name", "resource", "success", "rows_processed", "row_counts.raw_orders")
