@@ -17,7 +17,7 @@ from loadweir.operators.conform import evolve_union, fit_columns, merged_schema
 from loadweir.operators.cursor import apply_retention
 from loadweir.operators.merging import all_set, latest_per_key, merge
 from loadweir.session import shared_dir
-from loadweir.sinks.target import PREVIOUS, ROW_LEVEL_FORMATS, FileTree, Target
+from loadweir.sinks.target import ROW_LEVEL_FORMATS, FileTree, Target
 
 # A merge names the partitions it rewrites one by one up to this many; beyond it, the rewritten
 # share of the table is no longer small and the whole table is rewritten instead.
@@ -161,7 +161,7 @@ def _replace(
     rows are staged first, unless they come from a staged table already. Formats with row-level
     operations replace a table atomically themselves.
     """
-    spark, files = df.sparkSession, FileTree(df.sparkSession)
+    spark = df.sparkSession
 
     def save(rows: DataFrame, to: Target, mode: str) -> None:
         laid = lay_out(rows, partitions, cluster_by, parallelism)
@@ -174,9 +174,7 @@ def _replace(
     elif target.is_folder:
         fresh = Target.folder(f"{target.location}__next-{uuid4().hex}", target.fmt)
         save(df, fresh, "errorifexists")
-        files.rename(target.location, target.location + PREVIOUS)
-        files.rename(fresh.location, target.location)
-        files.delete(target.location + PREVIOUS)
+        target.swap_in(spark, fresh.location)
     else:
         path = shared_dir(spark, "replace")
         df.write.parquet(path)
@@ -185,7 +183,7 @@ def _replace(
         except Exception as error:
             error.add_note(f"The new rows of {target.location} are kept in {path}")
             raise
-        files.delete(path)
+        FileTree(spark).delete(path)
 
 
 @contextmanager
@@ -320,10 +318,9 @@ def _merge_partitions(
 ) -> None:
     """Rewrite the touched partitions, which are swapped in when the whole write has succeeded.
 
-    Dynamic overwrite writes next to the files being read and replaces them at job commit, so no
-    copy is staged. A partition that lost its last row to another one gets no new files and is
-    dropped afterwards; stopping in between leaves old versions, which the next run of the same
-    batch removes.
+    New files are written beside those being read, so no copy is staged. A partition that lost its
+    last row to another one gets no new files and is dropped afterwards. A stop in between leaves
+    old versions, which the next run of the same batch replaces.
     """
     if not touched:
         return
@@ -343,8 +340,9 @@ def _overwrite_partitions(
     """Replace exactly the partitions ``df`` has rows for. Its columns are in the table's order."""
     out = lay_out(df, partitions, cluster_by)
     if target.is_folder:
-        writer = _writer(out, target, "overwrite", partitions, rows_per_file)
-        writer.option("partitionOverwriteMode", "dynamic").save(target.location)
+        fresh = Target.folder(f"{target.location}__next-{uuid4().hex}", target.fmt)
+        _save(_writer(out, fresh, "errorifexists", partitions, rows_per_file), fresh)
+        target.swap_in_partitions(df.sparkSession, fresh.location)
     else:
         with _dynamic_overwrite(df.sparkSession):
             _writer(out, target, "overwrite", (), rows_per_file).insertInto(target.location, True)

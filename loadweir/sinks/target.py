@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,14 +37,39 @@ class Target:
         """
         if not self.is_folder:
             return spark.catalog.tableExists(self.location)
-        files, previous = FileTree(spark), self.location + PREVIOUS
+        files, previous, held = FileTree(spark), self.location + PREVIOUS, self.location + HELD
         if files.exists(previous):
             if files.exists(self.location):
                 files.delete(previous)
             else:
-                files.rename(previous, self.location)
+                files.move(previous, self.location)
+        if files.exists(held):
+            for leaf in files.partition_folders(held):
+                if not files.exists(f"{self.location}/{leaf}"):
+                    files.move(f"{held}/{leaf}", f"{self.location}/{leaf}")
+            files.delete(held)
         return files.exists(self.location)
 
+    def swap_in(self, spark: SparkSession, fresh: str) -> None:
+        """Put the folder ``fresh`` in the place of the whole table."""
+        files = FileTree(spark)
+        files.move(self.location, self.location + PREVIOUS)
+        files.move(fresh, self.location)
+        files.delete(self.location + PREVIOUS)
+
+    def swap_in_partitions(self, spark: SparkSession, fresh: str) -> None:
+        """Put the partitions of ``fresh`` in the place of the table's own, one by one.
+
+        Old partitions are held until all are replaced, so a stop loses none of them.
+        """
+        files = FileTree(spark)
+        for leaf in files.partition_folders(fresh):
+            if files.exists(f"{self.location}/{leaf}"):
+                files.move(f"{self.location}/{leaf}", f"{self.location}{HELD}/{leaf}")
+            files.move(f"{fresh}/{leaf}", f"{self.location}/{leaf}")
+        files.delete(self.location + HELD)
+        files.delete(fresh)
+
     def read(
         self,
         spark: SparkSession,
@@ -77,7 +102,9 @@ class Target:
         return FileTree(spark).partition_keys(self.location)
 
 
+# Endings of the folders that hold what a swap is replacing.
 PREVIOUS = "__previous"
+HELD = "__held"
 
 
 @dataclass(frozen=True)
@@ -143,19 +170,35 @@ class FileTree:
         files, where = self._open(path)
         files.delete(where, True)
 
-    def rename(self, old: str, new: str) -> None:
+    def move(self, old: str, new: str) -> None:
         files, where = self._open(old)
-        if not files.rename(where, self._jvm.org.apache.hadoop.fs.Path(new)):
-            raise OSError(f"could not rename {old} to {new}")
+        to = self._jvm.org.apache.hadoop.fs.Path(new)
+        files.mkdirs(to.getParent())
+        if not files.rename(where, to):
+            raise OSError(f"could not move {old} to {new}")
+
+    def _steps(self, path: str) -> Iterator[str]:
+        """Names of the ``key=value`` folders right below ``path``."""
+        files, where = self._open(path)
+        for status in files.listStatus(where):
+            name = status.getPath().getName()
+            if status.isDirectory() and "=" in name:
+                yield name
 
     def partition_keys(self, path: str) -> list[str]:
         """``key`` of every ``key=value`` folder level, following the first one down."""
-        files, where = self._open(path)
         keys: list[str] = []
-        while True:
-            below = (s.getPath() for s in files.listStatus(where) if s.isDirectory())
-            found = next((path for path in below if "=" in path.getName()), None)
-            if found is None:
-                return keys
-            keys.append(found.getName().split("=", 1)[0])
-            where = found
+        step = next(self._steps(path), None)
+        while step is not None:
+            keys.append(step.split("=", 1)[0])
+            path = f"{path}/{step}"
+            step = next(self._steps(path), None)
+        return keys
+
+    def partition_folders(self, path: str) -> list[str]:
+        """The innermost ``key=value/...`` folders, relative to ``path``."""
+        leaves = []
+        for step in self._steps(path):
+            below = self.partition_folders(f"{path}/{step}")
+            leaves += [f"{step}/{leaf}" for leaf in below] or [step]
+        return leaves

@@ -50,7 +50,7 @@ def test_replace_may_read_its_own_target(spark, target, rows):
 def test_swap_recovers_from_a_stop_in_between(spark, folder, rows):
     target, files = Target.folder(folder), FileTree(spark)
     sink.write_table(frame(spark, (1, 1, "a", "x")), target)
-    files.rename(folder, folder + PREVIOUS)
+    files.move(folder, folder + PREVIOUS)
     assert target.exists(spark)
     assert rows(target.read(spark), "id") == [(1,)]
     # Stopped after the second rename: the old rows go.
@@ -60,6 +60,29 @@ def test_swap_recovers_from_a_stop_in_between(spark, folder, rows):
     assert rows(target.read(spark), "id") == [(1,)]
 
 
+def test_a_stopped_partition_swap_loses_nothing(spark, folder, rows, monkeypatch):
+    target = Target.folder(folder)
+    start = frame(spark, (1, 1, "a", "x"), (2, 1, "a", "kept"), (3, 1, "b", "x"), (4, 1, "b", "kept"))
+    batch = frame(spark, (1, 2, "a", "new"), (3, 2, "b", "new"))
+    want = [(1, "new"), (2, "kept"), (3, "new"), (4, "kept")]
+    for stop_after in (1, 2, 3):
+        sink.write_table(start, target, "replace", partition_by=["p"])
+        moves, move = [], FileTree.move
+
+        def stopping(self, old, new):
+            if len(moves) == stop_after:
+                raise RuntimeError("driver lost")
+            moves.append(new)
+            move(self, old, new)
+
+        with monkeypatch.context() as broken:
+            broken.setattr(FileTree, "move", stopping)
+            with pytest.raises(RuntimeError, match="driver lost"):
+                sink.merge_table(batch, target, "id", "ts", ["p"])
+        sink.merge_table(batch, target, "id", "ts", ["p"])
+        assert rows(target.read(spark), "id", "v") == want
+
+
 def test_a_failed_replace_leaves_the_table_whole(spark, target, rows):
     sink.write_table(frame(spark, (1, 1, "a", "x")), target)
     broken = frame(spark, (2, 0, "b", "y")).withColumn("ts", F.expr("1 div ts"))
