@@ -1,4 +1,5 @@
 from loadweir.functions.columns import (
+    failed_texts,
     hash_text,
     json_get,
     mask_text,
@@ -10,6 +11,7 @@ from loadweir.functions.columns import (
 from loadweir.functions.naming import table_name, to_case
 
 __all__ = [
+    "failed_texts",
     "hash_text",
     "json_get",
     "mask_text",

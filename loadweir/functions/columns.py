@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime, timezone
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,6 +71,19 @@ def mask_text(col: Column, keep: int = 4) -> Column:
     return F.when(split > 0, tail).otherwise(hidden)
 
 
+def failed_texts(rules: Sequence[tuple[Column, str]]) -> Column:
+    """The texts of the rules a row fails, as an array; a rule that is NULL is not failed.
+
+    The array is built for failing rows only: for all others one compiled condition is enough.
+    """
+    none = F.array().cast("array<string>")
+    if not rules:
+        return none
+    any_failed = reduce(or_, [failed for failed, _ in rules])
+    texts = F.array(*[F.when(failed, F.lit(text)) for failed, text in rules])
+    return F.when(any_failed, F.array_compact(texts)).otherwise(none)
+
+
 def orderable(field: T.StructField) -> Column:
     """A column in a form that can be sorted: maps and variants have no order of their own."""
     column = F.col(f"`{field.name}`")

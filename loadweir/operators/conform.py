@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadweir.functions.columns import path_col, path_type
+from loadweir.functions.columns import failed_texts, path_col, path_type
 from loadweir.operators.columns import match_names, quoted
 from loadweir.spec import Column
 
@@ -79,20 +79,18 @@ def conform(df: DataFrame, columns: Sequence[Column], extra: str = "drop") -> Da
     return df.select(*conformed_columns(df, columns, extra))
 
 
-def reject_reasons(df: DataFrame, columns: Sequence[Column]) -> SparkColumn:
-    """Why a row breaks the contract, as an array of texts that is empty for a good row."""
-    reasons = []
+def contract_rules(df: DataFrame, columns: Sequence[Column]) -> list[tuple[SparkColumn, str]]:
+    """``(a row breaks it, what to say)`` for every rule a contract makes."""
+    rules = []
     for column, source, source_type in _bind(df, columns):
         if source is None:
             continue
         if source_type.simpleString() != column.sql_type:
             failed = source.isNotNull() & _value(source, source_type, column).isNull()
-            reasons.append(F.when(failed, F.lit(f"{column.name}: not a valid {column.data_type}")))
+            rules.append((failed, f"{column.name}: not a valid {column.data_type}"))
         if not column.nullable:
-            reasons.append(F.when(source.isNull(), F.lit(f"{column.name}: null")))
-    if not reasons:
-        return F.array().cast("array<string>")
-    return F.filter(F.array(*reasons), lambda reason: reason.isNotNull())
+            rules.append((source.isNull(), f"{column.name}: null"))
+    return rules
 
 
 def split_rejects(
@@ -103,10 +101,9 @@ def split_rejects(
     Good rows are conformed. Rejects keep their raw values, since a failed cast would erase the
     very value someone needs to see, and gain an array of reasons.
     """
-    reasons = reject_reasons(df, columns)
-    good = df.filter(F.size(reasons) == 0).select(*conformed_columns(df, columns, extra))
-    rejects = df.withColumn(REASONS, reasons).filter(F.size(REASONS) > 0)
-    return good, rejects
+    judged = df.withColumn(REASONS, failed_texts(contract_rules(df, columns)))
+    good = judged.filter(F.size(REASONS) == 0).select(*conformed_columns(df, columns, extra))
+    return good, judged.filter(F.size(REASONS) > 0)
 
 
 def _wider(name: str, left: T.DataType, right: T.DataType) -> T.DataType:

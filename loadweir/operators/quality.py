@@ -15,7 +15,7 @@ from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from loadweir.functions.columns import path_type, typed_literal
+from loadweir.functions.columns import failed_texts, path_type, typed_literal
 from loadweir.operators.columns import match_names, quoted
 from loadweir.operators.merging import all_set
 from loadweir.spec import ROW_CHECKS, Check, Column
@@ -245,11 +245,7 @@ def tag_rows(df: DataFrame, checks: Sequence[Check], tag: str = "failed_checks")
 
     Good and quarantined rows are filters of this frame on ``size(failed_checks)``.
     """
-    rules = _row_rules(df, checks)
-    if not rules:
-        return df.withColumn(tag, F.array().cast("array<string>"))
-    failed = F.array(*[F.when(rule.failed, F.lit(rule.name)) for rule in rules])
-    return df.withColumn(tag, F.filter(failed, lambda name: name.isNotNull()))
+    return df.withColumn(tag, failed_texts([(r.failed, r.name) for r in _row_rules(df, checks)]))
 
 
 def split_tagged(tagged: DataFrame, tag: str = "failed_checks") -> tuple[DataFrame, DataFrame]:

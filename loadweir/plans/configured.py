@@ -9,7 +9,9 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loadweir.operators.metrics import post_load
 from loadweir.plans.load import LoadOptions, load_resources
+from loadweir.sinks.tables import write_table
 from loadweir.sinks.target import Dataset
 from loadweir.sources.params import bind_params, merge_params
 from loadweir.spec import Check, ResourceSpec, specs_from_source
@@ -59,7 +61,9 @@ def load_configured(
     ``open_resource(spec, params)`` returns a resource's frame for its bound parameters (S6).
     ``parameters`` are the overrides of a trigger, a job and a run, later ones winning. Among them
     ``backfill_days``, ``force_refresh`` and ``skip_validation`` choose the kind of run. Checks
-    declared for the load as a whole apply to each of its resources.
+    declared for the load as a whole apply to each of its resources. Statements to run afterwards
+    (A6) see the loaded tables by their stored names and replace the tables they are named after;
+    they run only if every resource was loaded.
     """
     asked = load.get("pipeline", load)
     body = source.get("source", source)
@@ -83,7 +87,7 @@ def load_configured(
     )
     target = destination.get("destination", destination)
     dataset = dataset_from_config(target, asked["destination"]["dataset_name"], root)
-    return load_resources(
+    audit = load_resources(
         spark,
         chosen,
         frames,
@@ -94,3 +98,17 @@ def load_configured(
         pipeline=asked.get("name", ""),
         parallel_loads=(target.get("settings") or {}).get("max_parallel_loads", 4),
     )
+    after = asked.get("transformations") or {}
+    if after.get("enabled") and after.get("post_load"):
+        if audit.filter("NOT success").isEmpty():
+            _run_after(spark, chosen, dataset, after["post_load"], params)
+    return audit
+
+
+def _run_after(spark, specs, dataset: Dataset, statements, params) -> None:
+    """Each result is written before the next statement, which then reads the stored table."""
+    tables = {dataset.name_of(s.name): dataset.address(s.name).read(spark) for s in specs}
+    for statement in statements:
+        name, target = statement["name"], dataset.address(statement["name"])
+        write_table(post_load(spark, tables, {name: statement["sql"]}, params)[name], target, "replace")
+        tables[name] = target.read(spark)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadweir.functions.columns import path_col, typed_literal
+from loadweir.functions.columns import failed_texts, path_col, typed_literal
 from loadweir.functions.naming import to_case
 from loadweir.operators.columns import (
     apply_aliases,
@@ -24,7 +24,7 @@ from loadweir.operators.columns import (
     quoted,
     stamp,
 )
-from loadweir.operators.conform import REASONS, conformed_columns, reject_reasons
+from loadweir.operators.conform import REASONS, conformed_columns, contract_rules
 from loadweir.operators.cursor import backfill, past_cursor
 from loadweir.operators.merging import append, merge
 from loadweir.operators.metrics import load_audit
@@ -95,30 +95,30 @@ def judge(batch: DataFrame, spec: ResourceSpec) -> DataFrame:
     Everything a load needs to know about a row is here, so the batch has to be read only once.
     """
     contract = _contract(spec, batch)
-    reasons = reject_reasons(batch, contract)
-    extra = []
+    rules = contract_rules(batch, contract)
     cursor = spec.incremental
     if cursor is not None and cursor.enabled:
         place = path_col(cursor.cursor_field)
-        extra.append(F.when(place.isNull(), F.lit(f"{cursor.cursor_field}: no cursor")))
+        rules.append((place.isNull(), f"{cursor.cursor_field}: no cursor"))
     else:
         place = F.lit(None).cast("string")
     if spec.write_disposition == "merge":
         sources = {c.name: c.source for c in contract}
         required = {c.name for c in contract if not c.nullable}
-        for key in spec.primary_key:
-            if key not in required:
-                where = path_col(sources.get(key, key))
-                extra.append(F.when(where.isNull(), F.lit(f"{key}: null key")))
-    if extra:
-        found = F.filter(F.array(*extra), lambda reason: reason.isNotNull())
-        reasons = F.array_union(reasons, found)
+        rules += [
+            (path_col(sources.get(key, key)).isNull(), f"{key}: null key")
+            for key in spec.primary_key
+            if key not in required
+        ]
     if contract:
         columns = conformed_columns(batch, contract, spec.extra_columns)
     else:
         columns = [quoted(name) for name in batch.columns]
-    raw = F.when(F.size(reasons) > 0, F.to_json(F.struct(*_raw_values(batch, spec, contract))))
-    return batch.select(*columns, reasons.alias(REASONS), place.alias(CURSOR), raw.alias(RAW))
+    values = F.struct(*_raw_values(batch, spec, contract))
+    raw = F.when(F.size(REASONS) > 0, F.to_json(values))
+    # Reasons come first and on their own, so that they are worked out once per row.
+    judged = batch.withColumn(REASONS, failed_texts(rules))
+    return judged.select(*columns, quoted(REASONS), place.alias(CURSOR), raw.alias(RAW))
 
 
 def _contract(spec: ResourceSpec, batch: DataFrame) -> list[Column]:

@@ -5,10 +5,16 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+BATCH_ROWS = 8192
+
 
 @dataclass
 class FileSlice(InputPartition):
@@ -55,8 +61,6 @@ class LandingReader(DataSourceReader):
         self.record = record
 
     def partitions(self) -> list[FileSlice]:
-        from pyarrow import fs
-
         files, folder = fs.FileSystem.from_uri(self.path)
         found = files.get_file_info(fs.FileSelector(folder, recursive=True))
         return [
@@ -66,17 +70,16 @@ class LandingReader(DataSourceReader):
             for start in range(0, info.size, self.slice_bytes)
         ]
 
-    def read(self, partition: FileSlice) -> Iterator[tuple]:
-        from pyarrow import fs
-
+    def read(self, partition: FileSlice) -> Iterator[pa.RecordBatch]:
         files, _ = fs.FileSystem.from_uri(self.path)
-        names = self.schema.names
+        shape = to_arrow_schema(self.schema)
         with files.open_input_file(partition.path) as stream:
-            for line in lines_starting_in(stream, partition.start, partition.end):
-                record = self.record(line)
-                if record is not None:
+            lines = lines_starting_in(stream, partition.start, partition.end)
+            while block := list(islice(lines, BATCH_ROWS)):
+                records = [r for r in map(self.record, block) if r is not None]
+                for record in records:
                     record.setdefault("_source_file", partition.path)
-                    yield tuple(record.get(name) for name in names)
+                yield pa.RecordBatch.from_pylist(records, shape)
 
 
 def lines_starting_in(stream, start: int, end: int, block: int = 1 << 20) -> Iterator[bytes]:

@@ -78,6 +78,28 @@ def test_load(spark, folder, rows):
     assert all("volume_check" in r.error for r in failed.collect())
 
 
+def test_statements_after_the_load(spark, folder, rows):
+    load = {
+        "source": {"resources": ["users"]},
+        "destination": {"dataset_name": "data"},
+        "transformations": {
+            "enabled": True,
+            "post_load": [
+                {"name": "adults", "sql": "SELECT id FROM raw_users WHERE age >= :age"},
+                {"name": "adultCount", "sql": "SELECT count(*) AS n FROM adults"},
+            ],
+        },
+    }
+    people = spark.sql("SELECT * FROM VALUES (1, 17), (2, 18), (3, 70) AS t(id, age)")
+    for _ in range(2):
+        load_configured(
+            spark, SOURCE, load, DESTINATION, lambda *_: people, AT, root=folder, parameters=({"age": 18},)
+        )
+    data = dataset_from_config(DESTINATION, "data", folder)
+    assert rows(data.address("adults").read(spark)) == [(2,), (3,)]
+    assert rows(data.address("adultCount").read(spark)) == [(2,)]
+
+
 def test_unknown_resource(spark):
     load = {"source": {"resources": ["orders"]}, "destination": {"dataset_name": "d"}}
     with pytest.raises(ValueError, match="Resource 'orders' not found in source 'mock'"):
