@@ -42,19 +42,22 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 def load_audit(spark: SparkSession, results: Sequence[Mapping[str, Any]]) -> DataFrame:
     """A2: one audit row per load. The rows are load results, not data."""
-    schema = T.StructType.fromDDL(AUDIT_SCHEMA)
-    # Times go in as text and are cast by Spark, which knows the session's zone; Python does not.
-    texts = T.StructType.fromDDL(AUDIT_SCHEMA.replace("timestamp", "string"))
+    fields = T.StructType.fromDDL(AUDIT_SCHEMA).fields
     rows = []
     for result in results:
-        row = {name: result.get(name) for name in schema.names}
-        if row["start_time"] is not None and row["end_time"] is not None:
+        row = dict(result)
+        if row.get("start_time") is not None and row.get("end_time") is not None:
             row["duration_seconds"] = (row["end_time"] - row["start_time"]).total_seconds()
-        rows.append(
-            tuple(str(v) if isinstance(v, datetime) else v for v in map(row.get, schema.names))
-        )
-    audit = spark.createDataFrame(rows, texts).coalesce(1)
-    return audit.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        counts = [F.lit(x) for pair in (row.get("row_counts") or {}).items() for x in pair]
+        row["row_counts"] = F.create_map(*counts) if counts else None
+        rows.append(F.struct(*[_fact(row.get(f.name), f) for f in fields]))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+
+
+def _fact(value: Any, field: T.StructField) -> Column:
+    """Times go in as text and are cast by Spark, which knows the session's zone."""
+    literal = F.lit(str(value)) if isinstance(value, datetime) else F.lit(value)
+    return literal.cast(field.dataType).alias(field.name)
 
 
 def freshness(

@@ -18,6 +18,8 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Noting the Python line of every column expression costs more than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

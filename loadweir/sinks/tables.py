@@ -252,24 +252,26 @@ def merge_table(
         batch, _ = date_partitions(batch, partition_by)
     kinds = {f.name: f.dataType for f in batch.schema.fields if f.name in partitions}
     stored = target.read(spark, kinds)
-    if partitions and len(kinds) == len(partitions):
-        touched = _touched_partitions(stored, batch, keys, partitions, partition_fixed)
-        if touched is not None and _same_columns(stored, batch):
+    if partitions and len(kinds) == len(partitions) and _same_columns(stored, batch):
+        contenders = _contenders(stored, batch, keys, keep_newer)
+        plan = _partitions_to_rewrite(stored, contenders, keys, order, partitions, partition_fixed)
+        if plan is not None:
             _merge_partitions(
-                batch, target, stored, keys, order, partitions, touched, rows_per_file,
-                keep_newer, partition_fixed,
-            )
+                batch, target, stored, keys, order, partitions, plan, rows_per_file, keep_newer
+            )
             return
-    merged = _merged(stored, batch, keys, order, keep_newer)
+    merged = merge(stored, _contenders(stored, batch, keys, keep_newer), keys, order)
     _replace(merged, target, True, partitions, rows_per_file=rows_per_file)
 
 
-def _merged(stored, batch, keys, order, keep_newer) -> DataFrame:
-    if keep_newer:
-        arriving = batch.filter(all_set(keys)).select(*map(quoted, keys)).distinct()
-        rivals = stored.join(arriving, on=keys, how="left_semi").select(*map(quoted, stored.columns))
-        batch = evolve_union(rivals, batch)
-    return merge(stored, batch, keys, order)
+def _contenders(stored, batch, keys, keep_newer) -> DataFrame:
+    """The rows that compete for the batch's keys: the batch, and with ``keep_newer`` stored ones."""
+    usable = batch.filter(all_set(keys))
+    if not keep_newer:
+        return usable
+    arriving = usable.select(*map(quoted, keys)).distinct()
+    rivals = stored.join(arriving, on=keys, how="left_semi").select(*map(quoted, stored.columns))
+    return evolve_union(rivals, usable)
 
 
 def _same_columns(stored: DataFrame, batch: DataFrame) -> bool:
@@ -279,42 +281,65 @@ def _same_columns(stored: DataFrame, batch: DataFrame) -> bool:
     return {f.name: f.dataType for f in wide.fields} == kinds
 
 
-def _touched_partitions(stored, batch, keys, partitions, fixed) -> list | None:
-    """The distinct partition values a merge has to rewrite, or None if they are too many.
+def _partitions_to_rewrite(
+    stored, contenders, keys, order, partitions, fixed
+) -> tuple[list[tuple], list[tuple]] | None:
+    """``(touched, emptied)`` partition values of a merge, or None if there are too many to name.
 
-    Only keys and partition columns are read, and what reaches the driver is bounded.
+    One pass over the keys and partition columns of the table. Rows are reduced to one per
+    partition inside each task, and what reaches the driver is bounded.
     """
-    usable = batch.filter(all_set(keys))
-    values = usable.select(*map(quoted, partitions))
+    where = [quoted(p) for p in partitions]
+    flags = ("replaced", "kept", "landing")
+
+    def flagged(df: DataFrame, *values: Column) -> DataFrame:
+        return df.select(*where, *[v.cast("int").alias(f"__{n}") for v, n in zip(values, flags)])
+
+    winners = latest_per_key(contenders, keys, order)
+    marks = flagged(winners, F.lit(0), F.lit(0), F.lit(1))
     if not fixed:
-        arriving = usable.select(*map(quoted, keys)).distinct()
+        arriving = contenders.select(*map(quoted, keys)).distinct().withColumn("__hit", F.lit(1))
         old = stored.select(*[quoted(c) for c in dict.fromkeys([*keys, *partitions])])
-        held = old.join(arriving, on=keys, how="left_semi")
-        values = values.unionByName(held.select(*map(quoted, partitions)))
-    rows = values.distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
-    return rows if len(rows) <= MAX_NAMED_PARTITIONS else None
-
-
-def _in_partitions(stored: DataFrame, partitions: Sequence[str], rows: list) -> Column:
-    """True in the named partitions. Literals on partition columns prune folders at plan time."""
-    if len(partitions) == 1:
-        name = partitions[0]
-        kind = stored.schema[name].dataType
-        values = [r[0] for r in rows if r[0] is not None]
-        inside = quoted(name).isin([F.lit(v).cast(kind) for v in values]) if values else F.lit(False)
-        return inside | quoted(name).isNull() if len(values) < len(rows) else inside
-    inside = F.lit(False)
-    for row in rows:
-        same = F.lit(True)
-        for name, value in zip(partitions, row):
-            literal = F.lit(value).cast(stored.schema[name].dataType)
-            same = same & (quoted(name).isNull() if value is None else quoted(name) == literal)
-        inside = inside | same
-    return inside
+        hit = F.col("__hit").isNotNull()
+        found = flagged(old.join(arriving, on=keys, how="left"), hit, ~hit, F.lit(0))
+        marks = marks.unionByName(found)
+    sums = marks.groupBy(*where).agg(*[F.max(f"__{n}").alias(f"__{n}") for n in flags])
+    touched = sums.filter("__replaced = 1 OR __landing = 1")
+    rows = touched.limit(MAX_NAMED_PARTITIONS + 1).collect()
+    if len(rows) > MAX_NAMED_PARTITIONS:
+        return None
+    named = [(tuple(r[p] for p in partitions), r["__kept"] + r["__landing"]) for r in rows]
+    return [values for values, _ in named], [values for values, left in named if left == 0]
+
+
+def _in_partitions(stored: DataFrame, partitions: Sequence[str], rows: list[tuple]) -> Column:
+    """True in the named partitions. Literals on partition columns prune folders at plan time.
+
+    Written as text, which Spark reads in one call and turns into a balanced tree.
+    """
+    kinds = {p: stored.schema[p].dataType.simpleString() for p in partitions}
+
+    def literal(name: str, value: object) -> str:
+        text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        return f"CAST('{text}' AS {kinds[name]})"
+
+    def among(name: str, values: list) -> str:
+        listed = ", ".join(literal(name, v) for v in values if v is not None)
+        parts = [f"`{name}` IN ({listed})"] if listed else []
+        return " OR ".join(parts + ([f"`{name}` IS NULL"] if None in values else []))
+
+    groups: dict[tuple, list] = {}
+    for *outer, last in rows:
+        groups.setdefault(tuple(outer), []).append(last)
+    terms = []
+    for outer, values in groups.items():
+        levels = [(n, [v]) for n, v in zip(partitions, outer)] + [(partitions[-1], values)]
+        terms.append(" AND ".join(f"({among(n, vs)})" for n, vs in levels))
+    return F.expr(" OR ".join(f"({t})" for t in terms) if terms else "false")
 
 
 def _merge_partitions(
-    batch, target, stored, keys, order, partitions, touched, rows_per_file, keep_newer, fixed
+    batch, target, stored, keys, order, partitions, plan, rows_per_file, keep_newer
 ) -> None:
     """Rewrite the touched partitions, which are swapped in when the whole write has succeeded.
 
@@ -322,14 +347,12 @@ def _merge_partitions(
     last row to another one gets no new files and is dropped afterwards. A stop in between leaves
     old versions, which the next run of the same batch replaces.
     """
+    touched, emptied = plan
     if not touched:
         return
     part = stored.filter(_in_partitions(stored, partitions, touched))
-    merged = _merged(part, batch, keys, order, keep_newer).select(*map(quoted, stored.columns))
-    emptied = []
-    if not fixed:
-        filled = {tuple(r) for r in merged.select(*map(quoted, partitions)).distinct().collect()}
-        emptied = [row for row in touched if tuple(row) not in filled]
+    merged = merge(part, _contenders(part, batch, keys, keep_newer), keys, order)
+    merged = merged.select(*map(quoted, stored.columns))
     _overwrite_partitions(merged, target, partitions, rows_per_file)
     _drop_partitions(batch.sparkSession, target, partitions, emptied)
 

@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,6 +140,26 @@ def test_merge_with_odd_partition_values(spark, folder, rows):
     assert rows(target.read(spark, kinds), "id", "p") == [(1, "007"), (2, "007"), (3, "50%")]
 
 
+def test_merge_with_two_partition_columns(spark, target, rows):
+    def cells(*values):
+        return spark.createDataFrame(list(values), "id int, v string, p string, d date")
+
+    day, other = date(2024, 1, 1), date(2024, 1, 2)
+    start = cells(
+        (1, "x", "o'b", day), (2, "x", "o'b", other), (3, "x", None, day), (4, "x", "c\\d", None),
+        (5, "kept", "o'b", day), (6, "far", "z", other),
+    )
+    sink.write_table(start, target, partition_by=["p", "d"])
+    far = {f for f in target.read(spark).inputFiles() if "p=z" in f}
+    batch = cells((1, "y", "o'b", day), (2, "y", None, day), (4, "y", "c\\d", None), (7, "new", "n", None))
+    sink.merge_table(batch, target, "id", [], ["p", "d"])
+    assert rows(target.read(spark), "id", "v", "p", "d") == [
+        (1, "y", "o'b", day), (2, "y", None, day), (3, "x", None, day), (4, "y", "c\\d", None),
+        (5, "kept", "o'b", day), (6, "far", "z", other), (7, "new", "n", None),
+    ]
+    assert {f for f in target.read(spark).inputFiles() if "p=z" in f} == far
+
+
 def test_merge_with_a_new_column(spark, target, rows):
     sink.write_table(frame(spark, (1, 1, "a", "x")), target, partition_by=["p"])
     batch = frame(spark, (2, 1, "b", "y")).withColumn("flag", F.lit(True))
