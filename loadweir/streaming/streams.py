@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loadweir.operators.columns import quoted
 from loadweir.operators.quality import split_tagged, tag_rows
-from loadweir.sinks.tables import append_once_table, merge_table
+from loadweir.sinks.tables import append_once_table, merge_table, staged
 from loadweir.sinks.target import Target
 from loadweir.spec import Check
 
@@ -53,12 +53,15 @@ def stream_merge(
     """ST2: upsert each micro-batch by key.
 
     Stored rows of the batch's keys compete with the batch, so a late older row never replaces a
-    newer one, and a batch that is run again changes nothing.
+    newer one, and a batch that is run again changes nothing. A merge looks at its batch more than
+    once, so the batch is staged first and the stream, with whatever state it has, runs once. Give
+    ``partition_by`` for a large target: only partitions that change are rewritten.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            merge_table(batch, target, keys, order, partition_by, keep_newer=True)
+        with staged(batch, "stream") as rows:
+            if not rows.isEmpty():
+                merge_table(rows, target, keys, order, partition_by, keep_newer=True)
 
     return _start(sdf.writeStream.foreachBatch(write).outputMode("append"), checkpoint, trigger)
 
@@ -130,8 +133,9 @@ def stream_interval_metrics(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            merge_table(batch, target, "window_start", "row_count")
+        with staged(batch, "stream") as rows:
+            if not rows.isEmpty():
+                merge_table(rows, target, "window_start", "row_count")
 
     return _start(metrics.writeStream.foreachBatch(write).outputMode("update"), checkpoint, trigger)
 
