@@ -265,13 +265,17 @@ def merge_table(
 
 
 def _contenders(stored, batch, keys, keep_newer) -> DataFrame:
-    """The rows that compete for the batch's keys: the batch, and with ``keep_newer`` stored ones."""
+    """The rows that compete for the batch's keys: the batch, and with ``keep_newer`` stored ones.
+
+    Columns stay in the batch's order, which ties are broken by; a stored table has its partition
+    columns last.
+    """
     usable = batch.filter(all_set(keys))
     if not keep_newer:
         return usable
     arriving = usable.select(*map(quoted, keys)).distinct()
     rivals = stored.join(arriving, on=keys, how="left_semi").select(*map(quoted, stored.columns))
-    return evolve_union(rivals, usable)
+    return evolve_union(usable, rivals)
 
 
 def _same_columns(stored: DataFrame, batch: DataFrame) -> bool:

@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +109,37 @@ def test_merge_is_idempotent(spark, target, rows, partition_by):
         assert rows(target.read(spark), "id", "ts", "p", "v") == want
 
 
+@pytest.mark.parametrize("keep_newer", [False, True])
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_merges_agree_with_a_dictionary(spark, folder, rows, partition_by, keep_newer):
+    """Random batches with repeated keys, ties, NULL keys and partitions that empty and return."""
+    random = Random(7)
+    target, model = Target.folder(folder), {}
+
+    def rank(row):  # greatest first by time, then by the other columns; NULL is the least
+        return [(x is not None, x if x is not None else 0) for x in (row[1], row[2], row[3])]
+
+    for _ in range(4):
+        batch = [
+            (
+                random.choice([None, *range(12)]),
+                random.choice([None, *range(4)]),
+                random.choice(["a", "b", "c", "d", None]),
+                random.choice("xyz"),
+            )
+            for _ in range(25)
+        ]
+        best = {}
+        for row in batch:
+            if row[0] is not None and (row[0] not in best or rank(row) > rank(best[row[0]])):
+                best[row[0]] = row
+        for key, row in best.items():
+            if not keep_newer or key not in model or rank(row) > rank(model[key]):
+                model[key] = row
+        sink.merge_table(frame(spark, *batch), target, "id", "ts", partition_by, keep_newer=keep_newer)
+        assert rows(target.read(spark), "id", "ts", "p", "v") == sorted(model.values(), key=repr)
+
+
 def test_merge_leaves_other_partitions_alone(spark, folder):
     target = Target.folder(folder)
     sink.write_table(
