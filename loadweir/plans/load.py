@@ -234,6 +234,8 @@ def _attempt(spark, spec, source, dataset, extracted_at, load_id, as_of, options
     failure = None
     try:
         state = high_water(spark, dataset, spec.name)
+        # A derived id comes from the extraction time, so a replay carries that time as well.
+        replay_at = extracted_at if load_id is None else None
         load_id = load_id or derive_load_id(spec.name, state, extracted_at)
         result |= {"load_id": load_id, "high_water": state}
         with ExitStack() as held:
@@ -241,7 +243,7 @@ def _attempt(spark, spec, source, dataset, extracted_at, load_id, as_of, options
             if options.stage:
                 tagged = held.enter_context(staged(tagged, "load"))
             good, facts = _checked(tagged, spec, dataset, load_id, extracted_at, as_of, options)
-            _write(good, spec, dataset, load_id, extracted_at, options)
+            _write(good, spec, dataset, load_id, extracted_at, replay_at, options)
         result |= {"rows_processed": facts["good"], "rows_rejected": facts["rejected"]}
         if _moves_cursor(spec, options) and facts["newest"] not in (None, state):
             result["high_water"] = facts["newest"]
@@ -339,21 +341,28 @@ def _check_batch(body, spec, dataset, checks, extracted_at, as_of, is_empty) ->
     return run_checks(seen, others, as_of, contract).unionByName(fresh) if others else fresh
 
 
-def _write(good, spec, dataset, load_id, extracted_at, options) -> None:
-    target = dataset.address(spec.name)
+def _write(good, spec, dataset, load_id, extracted_at, replay_at, options) -> None:
+    target, parallelism = dataset.address(spec.name), dataset.parallelism
     layout = {
         "partition_by": dataset.partition_by,
+        "cluster_by": dataset.cluster_by,
         "rows_per_file": dataset.rows_per_file,
     }
-    spread = {"cluster_by": dataset.cluster_by, "parallelism": dataset.parallelism}
     rows = finish(good, spec, dataset.case, load_id, extracted_at)
     if options.full_refresh or spec.write_disposition == "replace":
-        write_table(rows, target, "replace", **layout, **spread, stage=not options.stage)
+        write_table(
+            rows, target, "replace", **layout, parallelism=parallelism, stage=not options.stage
+        )
     elif spec.write_disposition == "append":
-        append_once_table(rows, target, load_id, **layout, **spread)
+        append_once_table(
+            rows, target, load_id, extracted_at=replay_at, **layout, parallelism=parallelism
+        )
     else:
         keys = [stored_name(spec, k, dataset.case) for k in spec.primary_key]
-        merge_table(rows, target, keys, _merge_order(spec, rows, dataset.case), **layout)
+        order = _merge_order(spec, rows, dataset.case)
+        merge_table(
+            rows, target, keys, order, partition_fixed=dataset.partition_fixed, **layout
+        )
 
 
 def _merge_order(spec: ResourceSpec, rows: DataFrame, case: str) -> list[str]:

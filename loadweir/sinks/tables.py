@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadweir.functions.columns import typed_literal
 from loadweir.operators.columns import match_names, quoted
 from loadweir.operators.conform import evolve_union, fit_columns, merged_schema
 from loadweir.operators.cursor import apply_retention
@@ -203,17 +204,30 @@ def staged(df: DataFrame, purpose: str):
 
 
 def append_once_table(
-    df: DataFrame, target: Target, load_id: str, id_column: str = "_load_id", **layout
+    df: DataFrame,
+    target: Target,
+    load_id: str,
+    id_column: str = "_load_id",
+    extracted_at: datetime | None = None,
+    **layout,
 ) -> bool:
     """Append ``df`` unless the table already holds rows of ``load_id``; True if it wrote.
 
-    The probe is a pushed-down filter for one row. All rows of ``df`` must carry ``load_id``.
+    The probe is a pushed-down filter for one row. All rows of ``df`` must carry ``load_id``. Ids
+    are unlike each other, so they prune no file by its value range; if a replay is known to carry
+    the same ``extracted_at``, give it, and the probe skips all files of other times.
     """
     spark = df.sparkSession
     if target.exists(spark):
         stored = target.read(spark)
         if id_column in stored.columns:
-            if not stored.filter(quoted(id_column) == load_id).select(id_column).isEmpty():
+            seen = stored.filter(quoted(id_column) == load_id)
+            if extracted_at is not None and "_extracted_at" in stored.columns:
+                at = typed_literal(extracted_at, stored.schema["_extracted_at"].dataType)
+                seen = seen.filter(quoted("_extracted_at") == at)
+                if "_extracted_at_date" in stored.columns:
+                    seen = seen.filter(quoted("_extracted_at_date") == F.to_date(at))
+            if not seen.select(id_column).isEmpty():
                 return False
     write_table(df, target, "append", **layout)
     return True
@@ -228,6 +242,7 @@ def merge_table(
     partition_fixed: bool = False,
     rows_per_file: int | None = None,
     keep_newer: bool = False,
+    cluster_by: Sequence[str] = (),
 ) -> None:
     """Upsert ``batch`` by key.
 
@@ -242,7 +257,7 @@ def merge_table(
         raise ValueError("a merge needs a primary key")
     if not target.exists(spark):
         batch = latest_per_key(batch.filter(all_set(keys)), keys, order)
-        write_table(batch, target, "replace", partition_by, rows_per_file=rows_per_file)
+        write_table(batch, target, "replace", partition_by, cluster_by, rows_per_file)
         return
     if target.fmt in ROW_LEVEL_FORMATS and not target.is_folder:
         _merge_in_place(batch, target, keys, order, keep_newer)
@@ -257,11 +272,12 @@ def merge_table(
         plan = _partitions_to_rewrite(stored, contenders, keys, order, partitions, partition_fixed)
         if plan is not None:
             _merge_partitions(
-                batch, target, stored, keys, order, partitions, plan, rows_per_file, keep_newer
-            )
+                batch, target, stored, keys, order, partitions, plan, rows_per_file, keep_newer,
+                cluster_by,
+            )
             return
     merged = merge(stored, _contenders(stored, batch, keys, keep_newer), keys, order)
-    _replace(merged, target, True, partitions, rows_per_file=rows_per_file)
+    _replace(merged, target, True, partitions, cluster_by, rows_per_file=rows_per_file)
 
 
 def _contenders(stored, batch, keys, keep_newer) -> DataFrame:
@@ -343,7 +359,7 @@ def _in_partitions(stored: DataFrame, partitions: Sequence[str], rows: list[tupl
 
 
 def _merge_partitions(
-    batch, target, stored, keys, order, partitions, plan, rows_per_file, keep_newer
+    batch, target, stored, keys, order, partitions, plan, rows_per_file, keep_newer, cluster_by
 ) -> None:
     """Rewrite the touched partitions, which are swapped in when the whole write has succeeded.
 
@@ -357,7 +373,7 @@ def _merge_partitions(
     part = stored.filter(_in_partitions(stored, partitions, touched))
     merged = merge(part, _contenders(part, batch, keys, keep_newer), keys, order)
     merged = merged.select(*map(quoted, stored.columns))
-    _overwrite_partitions(merged, target, partitions, rows_per_file)
+    _overwrite_partitions(merged, target, partitions, rows_per_file, cluster_by)
     _drop_partitions(batch.sparkSession, target, partitions, emptied)
 
 

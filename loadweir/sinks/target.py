@@ -112,6 +112,7 @@ class Dataset:
     """A destination dataset: the tables of one pipeline plus its cursors, audit and rejects.
 
     Give ``root`` for folders or ``schema`` (with an optional ``catalog``) for catalog tables.
+    ``partition_fixed`` says that a key never changes partition, so a merge need not look for it.
     """
 
     root: str | None = None
@@ -122,6 +123,7 @@ class Dataset:
     suffix: str = ""
     case: str = "snake_case"
     partition_by: Sequence[str] = ()
+    partition_fixed: bool = False
     cluster_by: Sequence[str] = ()
     rows_per_file: int | None = None
     parallelism: int | None = None

@@ -167,6 +167,18 @@ def test_append_replay_adds_nothing(spark, dataset):
     assert dataset.address("commits").read(spark).count() == 4
 
 
+def test_replays_of_partitioned_appends(spark, dataset):
+    data = Dataset(root=dataset.root, schema=dataset.schema, partition_by=["_extracted_at"])
+    spec, df = ResourceSpec("commits"), spark.range(4)
+    for at in (AT, AT, AT + timedelta(days=1), AT + timedelta(days=1)):
+        load_resource(spark, spec, df, data, at)
+    assert data.address("commits").read(spark).count() == 8
+    # An id of the caller's own is looked for in all of the table.
+    for at in (AT + timedelta(days=2), AT + timedelta(days=3)):
+        load_resource(spark, spec, df, data, at, load_id="mine")
+    assert data.address("commits").read(spark).count() == 12
+
+
 def test_a_stop_before_the_cursor_is_absorbed(spark, folder, rows, monkeypatch):
     dataset = Dataset(root=folder)
     batch = channels(spark, ("a", "A", "2024-01-05T00:00:00Z", "1"))
