@@ -200,6 +200,11 @@ ORACLE: dict[str, str] = {
         SELECT * REPLACE (CASE WHEN o_orderpriority = '5-LOW' THEN 'X' ELSE o_orderstatus END
                           AS o_orderstatus)
         FROM changed""",
+    "write_catalog_table": f"""
+        WITH {_CHANGED}
+        SELECT * FROM orders o
+        WHERE NOT EXISTS (SELECT 1 FROM changed c WHERE c.o_orderkey = o.o_orderkey)
+        UNION ALL SELECT * FROM changed""",
     "dedup_latest": """
         SELECT * FROM lineitem
         QUALIFY row_number() OVER (

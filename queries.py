@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -442,6 +443,18 @@ def write_merge_table(spark, sf_dir):
     return target.read(spark)
 
 
+@query
+def write_catalog_table(spark, sf_dir):
+    """A catalog table addressed through its dataset, partitioned and merged."""
+    schema = f"loadweir_{uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{shared_dir(spark, 'catalog')}'")
+    target = Dataset(schema=schema, prefix="raw_").address("webOrders")
+    orders = table(spark, sf_dir, "orders")
+    sink.write_table(orders, target, "replace", partition_by=["o_orderpriority"])
+    sink.merge_table(_changed(orders), target, "o_orderkey", "o_orderdate", ["o_orderpriority"])
+    return spark.table(f"{schema}.raw_web_orders")
+
+
 @query
 def dedup_latest(spark, sf_dir):
     """One line per order and number, the last shipped."""

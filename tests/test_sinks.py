@@ -150,6 +150,14 @@ def test_merge_leaves_other_partitions_alone(spark, folder):
     assert {f for f in target.read(spark).inputFiles() if "p=b" in f} == before
 
 
+def test_named_partitions_prune_folders(spark, target):
+    sink.write_table(frame(spark, (1, 1, "a", "x"), (2, 1, "b", "y")), target, partition_by=["p"])
+    stored = target.read(spark)
+    named = stored.filter(sink._in_partitions(stored, ["p"], [("a",)]))
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p" in plan and "DataFilters: []" in plan
+
+
 def test_merge_drops_an_emptied_partition(spark, target, rows):
     sink.write_table(frame(spark, (1, 1, "a", "x"), (2, 1, "b", "y")), target, partition_by=["p"])
     sink.merge_table(frame(spark, (1, 2, "b", "z")), target, "id", "ts", ["p"])
