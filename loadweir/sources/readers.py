@@ -86,7 +86,8 @@ def parse_json_records(
     corrupt = F.col(f"_body.{CORRUPT}")
     kept = [quoted(k) for k in keep]
     if records_path is None:
-        return parsed.select(*kept, *[F.col("_body")[n].alias(n) for n in record.names], corrupt.alias(CORRUPT))
+        fields = [F.col("_body")[name].alias(name) for name in record.names]
+        return parsed.select(*kept, *fields, corrupt.alias(CORRUPT))
     return _records(parsed, path_col(f"_body.{records_path}"), corrupt, kept)
 
 

@@ -166,7 +166,7 @@ class ResourceSpec:
 
     @classmethod
     def from_dict(cls, config: Mapping[str, Any]) -> ResourceSpec:
-        """Build a spec from one parsed resource mapping of an ingestion config file.
+        """Build a spec from one parsed resource mapping of a configuration file.
 
         ``schema`` and ``table_schema`` are the same thing here, so a declared contract is never
         ignored because of the name it was given.

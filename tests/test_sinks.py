@@ -324,8 +324,8 @@ def test_retention_may_empty_the_edge_day(spark, target, rows):
 
 
 def test_addresses():
-    data = Dataset(catalog="dev", schema="youtube", prefix="raw_")
-    assert data.address("channelStats").location == "`dev`.`youtube`.`raw_channel_stats`"
+    data = Dataset(catalog="dev", schema="video", prefix="raw_")
+    assert data.address("channelStats").location == "`dev`.`video`.`raw_channel_stats`"
     assert Dataset(root="/data/x/").address("posts") == Target.folder("/data/x/posts")
     with pytest.raises(ValueError):
         Dataset()
