@@ -3,8 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loadweir.llm import byte_bpe
+from loadweir.llm import byte_bpe, simhash
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = simhash.near_duplicates(docs, width=4, radius=4)
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -12,5 +20,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, "doc_id").drop("same")
 
 
-QUERIES = {"op8_byte_bpe": op8_byte_bpe}
+QUERIES = {
+    "op6_simhash": op6_simhash,
+    "op8_byte_bpe": op8_byte_bpe,
+}
 ORACLE: dict[str, str] = {}
