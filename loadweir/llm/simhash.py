@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,10 @@ BITS = 64
 SEED = 42
 #: Bits of the code that deals variants to rounds: 2 ** 3 rounds.
 ROUND_BITS = 3
-#: Variants that one shuffle partition gets, about.
-PARTITION_VARIANTS = 2_000_000
+#: Variants that one bucket gets in a round, about.
+BUCKET_VARIANTS = 1_000_000
+#: Fingerprints whose variants of a round are made at once.
+CHUNK = 4_000
 
 
 def fingerprint(text: str | None, width: int) -> int:
@@ -65,45 +68,87 @@ def fingerprints(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def _code(column):
-    """The linear code of a fingerprint: bit ``b`` is the parity of those bits whose place has bit ``b``."""
-    total = F.lit(0)
-    for b in range(ROUND_BITS):
-        mask = sum(1 << j for j in range(BITS) if j >> b & 1)
-        signed = mask - (1 << BITS) if mask >> (BITS - 1) else mask
-        total = total + (F.bit_count(column.bitwiseAND(F.lit(signed))) % 2) * (1 << b)
-    return total.cast("int")
-
+def _flips(half: int) -> list[np.ndarray]:
+    """All sets of at most ``half`` bits as masks, by the code of the round they lead to.
 
-def _flips(spark, half: int) -> DataFrame:
-    """All sets of at most ``half`` bits, as masks, with their codes: 2,081 rows for two bits."""
-    masks, codes = [], []
+    The code of a fingerprint is linear: the places of its bits, modulo the number of rounds, joined
+    by exclusive or. So flipping a mask's bits changes the code by the mask's own code.
+    """
+    by_code: list[list[int]] = [[] for _ in range(1 << ROUND_BITS)]
     for k in range(half + 1):
         for places in combinations(range(BITS), k):
-            masks.append(sum(1 << p for p in places))
             code = 0
             for p in places:
                 code ^= p % (1 << ROUND_BITS)
-            codes.append(code)
-    table = pa.table({"mask": pa.array(np.array(masks, np.uint64).view(np.int64)), "code": pa.array(codes, pa.int32())})
-    return spark.createDataFrame(table)
+            by_code[code].append(sum(1 << p for p in places))
+    return [np.array(masks, np.uint64) for masks in by_code]
+
+
+def _codes(fps: np.ndarray) -> np.ndarray:
+    codes = np.zeros(len(fps), np.int64)
+    for b in range(ROUND_BITS):
+        mask = np.uint64(sum(1 << j for j in range(BITS) if j >> b & 1))
+        codes |= (np.bitwise_count(fps & mask).astype(np.int64) & 1) << b
+    return codes
 
 
-def _neighbours(radius: int):
-    """Links between rows that follow each other with the same variant, each checked against ``radius``."""
+def _bucket(variants: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = (variants * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+    return (mixed % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+
+
+def _emit(turn: int, half: int, buckets: int):
+    """The variants of one round, packed into one row for each bucket and chunk of fingerprints."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_v, last_f = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        flips = _flips(half)
         for batch in batches:
-            v = np.concatenate([last_v, batch.column(0).to_numpy(zero_copy_only=False)])
-            f = np.concatenate([last_f, batch.column(1).to_numpy(zero_copy_only=False)])
-            same = np.flatnonzero(v[1:] == v[:-1])
-            last_v, last_f = v[-1:], f[-1:]
-            pairs = np.stack([f[same], f[same + 1]])
-            near = np.bitwise_count((pairs[0] ^ pairs[1]).view(np.uint64)) <= radius
-            pairs = np.unique(np.sort(pairs[:, near & (pairs[0] != pairs[1])], axis=0), axis=1)
-            if pairs.shape[1]:
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0].copy()), pa.array(pairs[1].copy())], ["a", "b"])
+            whole = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            for start in range(0, len(whole), CHUNK):
+                fps = whole[start : start + CHUNK]
+                codes = _codes(fps)
+                found = [
+                    (np.bitwise_xor.outer(fps[codes == code], flips[code ^ turn]), fps[codes == code], len(flips[code ^ turn]))
+                    for code in range(len(flips))
+                ]
+                variants = np.concatenate([v.ravel() for v, _, _ in found])
+                sources = np.concatenate([np.repeat(f, n) for _, f, n in found])
+                bucket = _bucket(variants, buckets)
+                order = np.argsort(bucket, kind="stable")
+                variants, sources = variants[order], sources[order]
+                ends = np.cumsum(np.bincount(bucket, minlength=buckets))
+                rows = [(i, a, b) for i, (a, b) in enumerate(zip([0, *ends[:-1]], ends)) if b > a]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([i for i, _, _ in rows], pa.int32()),
+                        pa.array([variants[a:b].tobytes() for _, a, b in rows], pa.binary()),
+                        pa.array([sources[a:b].tobytes() for _, a, b in rows], pa.binary()),
+                    ],
+                    ["bucket", "variants", "fps"],
+                )
+
+    return run
+
+
+def _collide(radius: int):
+    """Links between the fingerprints of a bucket that share a variant, each checked against ``radius``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        variants = np.frombuffer(b"".join(table.column("variants").to_pylist()), np.uint64)
+        fps = np.frombuffer(b"".join(table.column("fps").to_pylist()), np.uint64)
+        ordered = np.sort(variants)
+        shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+        place = np.searchsorted(shared, variants)
+        place[place == len(shared)] = 0
+        met = np.flatnonzero(shared[place] == variants) if len(shared) else np.zeros(0, np.int64)
+        v, f = variants[met], fps[met]
+        order = np.lexsort((f, v))
+        v, f = v[order], f[order]
+        same = np.flatnonzero(v[1:] == v[:-1])
+        pairs = np.stack([f[same], f[same + 1]]).view(np.int64)
+        near = np.bitwise_count((pairs[0] ^ pairs[1]).view(np.uint64)) <= radius
+        pairs = np.unique(np.sort(pairs[:, near & (pairs[0] != pairs[1])], axis=0), axis=1)
+        return pa.table({"a": pa.array(pairs[0].copy()), "b": pa.array(pairs[1].copy())})
 
     return run
 
@@ -112,23 +157,21 @@ def links(distinct: DataFrame, radius: int = 4) -> DataFrame:
     """Pairs ``a``, ``b`` of fingerprints (column ``fp``, each once) that connect all within ``radius`` bits.
 
     Those that share a variant are all near each other, so a chain through them loses no link of a
-    component; their pairs are not expanded. The flips, at most C(64, 0..radius/2) rows whatever the
-    input, are the one side that is broadcast.
+    component; their pairs are not expanded. Variants travel packed, a row for each bucket and chunk;
+    the number of buckets grows with the input, so that a bucket holds :data:`BUCKET_VARIANTS`.
     """
     if radius % 2 or not 0 < radius <= 6:
         raise ValueError("the radius is 2, 4 or 6")
-    spark = distinct.sparkSession
-    flips = F.broadcast(staged(_flips(spark, radius // 2), "flips"))
-    each = sum(1 for k in range(radius // 2 + 1) for _ in combinations(range(BITS), k)) >> ROUND_BITS
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), distinct.count() * each // PARTITION_VARIANTS + 1)
-    held, paths = distinct.select("fp", _code(F.col("fp")).alias("own")), []
+    spark, half = distinct.sparkSession, radius // 2
+    each = sum(comb(BITS, k) for k in range(half + 1)) >> ROUND_BITS
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), distinct.count() * each // BUCKET_VARIANTS + 1)
+    paths = []
     for turn in range(1 << ROUND_BITS):
-        variants = held.join(flips, F.col("own").bitwiseXOR(F.lit(turn)) == flips.code).select(
-            F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), "fp"
+        packed = distinct.select("fp").mapInArrow(
+            _emit(turn, half, buckets), "bucket int, variants binary, fps binary"
         )
-        met = variants.repartition(parts, "variant").sortWithinPartitions("variant")
         paths.append(shared_dir(spark, f"links-{turn}"))
-        met.mapInArrow(_neighbours(radius), "a long, b long").write.parquet(paths[-1])
+        packed.groupBy("bucket").applyInArrow(_collide(radius), "a long, b long").write.parquet(paths[-1])
     return spark.read.schema("a long, b long").parquet(*paths)
 
 
