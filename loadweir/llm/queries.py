@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadweir.llm import byte_bpe, simhash
+from loadweir.llm import byte_bpe, simhash, substring
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    cut = substring.cut_repeats(docs, width=35)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +27,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
     "op8_byte_bpe": op8_byte_bpe,
 }
