@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadweir.llm import byte_bpe, simhash, substring
+from loadweir.llm import byte_bpe, decontaminate, simhash, substring
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,9 +26,23 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, "doc_id").drop("same")
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    found = decontaminate.find_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_decontaminate": op10_decontaminate,
 }
 ORACLE: dict[str, str] = {}
