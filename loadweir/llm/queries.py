@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadweir.llm import byte_bpe, decontaminate, simhash, substring
+from loadweir.llm import byte_bpe, decontaminate, quality, simhash, substring
+from loadweir.llm.common import staged
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,12 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, "doc_id").drop("same")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", "text")
+    judged = quality.judge(staged(quality.measure(docs).drop("text"), "measured"))
+    return judged.select("doc_id", *quality.BASE, "base_failed", "kept")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = decontaminate.find_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10)
@@ -43,6 +50,7 @@ QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_quality_rules": op9_quality_rules,
     "op10_decontaminate": op10_decontaminate,
 }
 ORACLE: dict[str, str] = {}
