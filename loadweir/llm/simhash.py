@@ -10,7 +10,7 @@ made twice and the disk holds one round at a time.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import combinations
+from itertools import combinations, repeat
 from math import comb
 
 import numpy as np
@@ -26,6 +26,8 @@ from loadweir.session import shared_dir
 
 BITS = 64
 SEED = 42
+#: Seeds of the fingerprints by which :func:`keep_one` links texts.
+SEEDS = (42, 43)
 #: Bits of the code that deals variants to rounds: 2 ** 3 rounds.
 ROUND_BITS = 3
 #: Variants that one bucket gets in a round, about.
@@ -34,36 +36,43 @@ BUCKET_VARIANTS = 1_000_000
 CHUNK = 4_000
 
 
-def fingerprint(text: str | None, width: int) -> int:
-    """The unsigned fingerprint of a text's shingles of ``width`` words, repeats included.
+def fingerprint(text: str | None, width: int, repeats: bool = True, seed: int = SEED) -> int:
+    """The unsigned fingerprint of a text's shingles of ``width`` words.
 
-    A-Z in lower case; words are separated by ASCII blanks. Fewer words than ``width`` are one
-    shingle; no words (null, empty, blank): 0. A bit is 1 if it is in over half of the hashes.
+    With ``repeats`` each shingle counts as often as it stands, else once. A-Z in lower case; words
+    are separated by ASCII blanks. Fewer words than ``width`` are one shingle; no words (null, empty,
+    blank): 0. A bit is 1 if it is in over half of the hashes.
     """
     words = (text or "").encode().lower().split()
     if not words:
         return 0
+    digest = xxhash.xxh64_intdigest
     joined = b" ".join(words)
     if len(words) <= width:
-        return xxhash.xxh64_intdigest(joined, SEED)
+        return digest(joined, seed)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     begins = np.concatenate([[0], ends[:-1]])[: len(words) - width + 1].tolist()
-    ends = (ends[width - 1 :] - 1).tolist()
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(begins, ends)], "<u8")
+    shingles = [joined[a:b] for a, b in zip(begins, (ends[width - 1 :] - 1).tolist())]
+    shingles = shingles if repeats else set(shingles)
+    hashes = np.fromiter(map(digest, shingles, repeat(seed)), "<u8", len(shingles))
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    over = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
+    over = 2 * bits.sum(axis=0, dtype=np.int32) > len(hashes)
     return int(np.packbits(over, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """``key`` and ``fp``, the fingerprint's 64 bits as a long, for every row."""
-    schema = T.StructType([docs.schema[key], T.StructField("fp", T.LongType(), False)])
+def fingerprints(
+    docs: DataFrame, key: str, text: str, width: int, repeats: bool = True, seeds: tuple[int, ...] = (SEED,)
+) -> DataFrame:
+    """``key`` and ``fp0``, ``fp1`` and so on, a fingerprint's 64 bits as a long for each seed, for every row."""
+    names = [f"fp{i}" for i in range(len(seeds))]
+    schema = T.StructType([docs.schema[key], *(T.StructField(n, T.LongType(), False) for n in names)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], [key, "fp"])
+            texts = batch.column(1).to_pylist()
+            found = [np.array([fingerprint(t, width, repeats, s) for t in texts], np.uint64) for s in seeds]
+            columns = [pa.array(f.view(np.int64)) for f in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [key, *names])
 
     return docs.select(key, text).mapInArrow(run, schema)
 
@@ -176,21 +185,56 @@ def links(distinct: DataFrame, radius: int = 4) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 4
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = 5,
+    radius: int = 4,
+    repeats: bool = True,
+    seeds: tuple[int, ...] = (SEED,),
 ) -> DataFrame:
-    """``key``, ``fp`` and ``component_id``, the smallest key that links reach, for every row.
+    """``key``, ``fp`` (of the first seed) and ``component_id``, the smallest key that links reach, for every row.
 
-    Links join fingerprints of at most ``radius`` differing bits. Rows without words have fingerprint
-    0 and are linked like any other. Repeated rows come back as often as they came. A null key is
-    never the smallest; a component of null keys alone has a null id. Other columns play no part.
+    Links join rows whose fingerprints of one seed differ in at most ``radius`` bits. Rows without
+    words have fingerprint 0 and are linked like any other. Repeated rows come back as often as they
+    came. A null key is never the smallest; a component of null keys alone has a null id. Other
+    columns play no part; ``key`` may be a struct, which is compared field by field.
     """
     spark = docs.sparkSession
     with tidy_shuffles(spark):
-        marked = staged(fingerprints(docs, key, text, width), "fingerprints")
-        distinct = staged(marked.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
-        found = components(links(distinct.select("fp"), radius))
-        named = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-        named = named.select("fp", "first", F.coalesce("root", "fp").alias("root"))
+        marked = staged(fingerprints(docs, key, text, width, repeats, seeds), "fingerprints")
+        distinct = staged(marked.groupBy("fp0").agg(F.min(key).alias("first")), "distinct")
+        edges = links(distinct.select(F.col("fp0").alias("fp")), radius)
+        for i in range(1, len(seeds)):
+            # a fingerprint of another seed stands for the smallest first one it comes with
+            both = staged(marked.select("fp0", F.col(f"fp{i}").alias("fp")).distinct(), "both")
+            stands = staged(both.groupBy("fp").agg(F.min("fp0").alias("node")), "stands")
+            met = links(stands.select("fp"), radius)
+            met = met.join(stands.select(F.col("fp").alias("a"), F.col("node").alias("na")), "a")
+            met = met.join(stands.select(F.col("fp").alias("b"), F.col("node").alias("nb")), "b")
+            edges = edges.unionByName(met.select(F.col("na").alias("a"), F.col("nb").alias("b")))
+            same = both.join(stands, "fp").select(F.col("fp0").alias("a"), F.col("node").alias("b"))
+            edges = edges.unionByName(same)
+        found = components(edges)
+        named = distinct.join(found.withColumnRenamed("node", "fp0"), "fp0", "left")
+        named = named.select("fp0", "first", F.coalesce("root", "fp0").alias("root"))
         smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-        named = staged(named.join(smallest, "root").select("fp", "component_id"), "named")
-        return staged(marked.join(named, "fp").select(key, "fp", "component_id"), "near-duplicates")
+        named = staged(named.join(smallest, "root").select("fp0", "component_id"), "named")
+        columns = [key, F.col("fp0").alias("fp"), "component_id"]
+        return staged(marked.join(named, "fp0").select(*columns), "near-duplicates")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 4) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that of the smallest ``key``; all columns as they are.
+
+    Texts of 0.8 similarity or more on five-word shingles share nearly all of their words: the
+    fingerprints here are of each text's distinct words, from two seeds. (Fingerprints of the shingles
+    themselves differ in about nine bits at that similarity, beyond what ball hashing can reach; the
+    README has figures.) Of repeated rows one stays. Texts without words are one group.
+    """
+    row = "row_of_" + "_".join(docs.columns)
+    numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    pairs = numbered.select(F.struct(F.col(f"`{key}`").alias("id"), F.col(f"`{row}`").alias("n")).alias("id"), text)
+    found = near_duplicates(pairs, "id", text, width=1, radius=radius, repeats=False, seeds=SEEDS)
+    firsts = found.where(F.col("id") == F.col("component_id")).select(F.col("id.n").alias(row))
+    return numbered.join(firsts, row, "left_semi").drop(row)
