@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadweir.llm import byte_bpe, decontaminate, quality, simhash, substring
+from loadweir.llm import byte_bpe, decontaminate, quality, sharding, simhash, substring
 from loadweir.llm.common import staged
 
 
@@ -22,6 +22,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), shards=24)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return byte_bpe.round_trip(docs, "doc_id").drop("same")
@@ -49,6 +53,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
+    "op7_sharding": op7_sharding,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontaminate": op10_decontaminate,
