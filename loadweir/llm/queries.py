@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadweir.llm import byte_bpe, chat, decontaminate, quality, sharding, simhash, substring
+from loadweir.llm import byte_bpe, chat, decontaminate, quality, sharding, simhash, substring, warc
 from loadweir.llm.common import staged
 
 
@@ -21,6 +21,19 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_windows(turns.unionByName(planted), budget=1024, history=2))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    # the table has no time of capture: a second for each id
+    index = warc.archive_and_index(pages, F.timestamp_seconds(F.col("page_id") + 1_704_067_200))
+    return index.select(
+        F.expr("cast(nullif(record_id, '') as bigint)").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.expr("cast(nullif(refers_to, '') as bigint)").alias("refers_to"),
+    )
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     cut = substring.cut_repeats(docs, width=35)
@@ -64,6 +77,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op4_warc": op4_warc,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
