@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadweir.llm import byte_bpe, chat, decontaminate, quality, sharding, simhash, substring, warc
+from loadweir.llm import byte_bpe, chat, decontaminate, html_text, quality, sharding, simhash, substring, warc
 from loadweir.llm.common import staged
 
 
@@ -21,6 +21,12 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_windows(turns.unionByName(planted), budget=1024, history=2))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    found = html_text.extract(pages, html_text.train(pages))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     # the table has no time of capture: a second for each id
@@ -77,6 +83,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_html_text": op2_html_text,
     "op4_warc": op4_warc,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
