@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadweir.llm import byte_bpe, chat, decontaminate, html_text, quality, sharding, simhash, substring, warc
+from loadweir.llm import byte_bpe, chat, class_lm, decontaminate, html_text, quality, sharding, simhash, substring, warc
 from loadweir.llm.common import staged
 
 
@@ -27,6 +27,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     # the table has no time of capture: a second for each id
@@ -84,6 +88,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_html_text": op2_html_text,
+    "op3_class_lm": op3_class_lm,
     "op4_warc": op4_warc,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash": op6_simhash,
