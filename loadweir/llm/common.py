@@ -36,7 +36,7 @@ def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a lineage cut that outlives executors."""
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
