@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from loadweir.functions.columns import orderable
 from loadweir.operators.columns import quoted
 from loadweir.operators.conform import evolve_union
-from loadweir.session import broadcast_if_small
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -84,10 +83,10 @@ def append_once(target: DataFrame, batch: DataFrame, id_column: str = "_load_id"
     """Append, but a batch whose load id the target already holds adds nothing.
 
     Load ids are few and their rows many, so a join of rows on the id would send a whole batch to
-    one task. Instead both sides are first reduced to their distinct ids, and the ids in both are
-    broadcast if counting shows that they are few; otherwise Spark plans the join.
+    one task. Instead both sides are first reduced to their distinct ids; adaptive execution then
+    broadcasts the ids in both if they measure small.
     """
     mine = batch.select(quoted(id_column)).distinct()
     seen = target.select(quoted(id_column)).distinct().join(mine, on=id_column, how="left_semi")
-    fresh = batch.join(broadcast_if_small(seen), on=id_column, how="left_anti")
+    fresh = batch.join(seen, on=id_column, how="left_anti")
     return evolve_union(target, fresh.select(*map(quoted, batch.columns)))

@@ -93,18 +93,22 @@ def error_metrics(runs: DataFrame, ok: str | Column, by: Sequence[str | Column]
 def sla_misses(
     runs: DataFrame, max_minutes: float, start: str = "start_time", end: str = "end_time"
 ) -> DataFrame:
-    """A5: runs that took longer than ``max_minutes``, with their length in whole minutes."""
-    seconds = F.timestamp_diff("SECOND", F.col(start), F.col(end))
-    return runs.filter(seconds > int(max_minutes * 60)).withColumn(
+    """A5: runs that took longer than ``max_minutes``, to the microsecond; their length in whole minutes."""
+    took = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end))
+    return runs.filter(took > round(max_minutes * 60_000_000)).withColumn(
         "duration_minutes", F.timestamp_diff("MINUTE", F.col(start), F.col(end)).cast("bigint")
     )
 
 
-def stale_tables(fresh: DataFrame, sla_hours: int) -> DataFrame:
-    """A5: tables of an A3 frame that lag more than ``sla_hours``, or that are empty."""
+def stale_tables(fresh: DataFrame, sla_hours: int, as_of: datetime) -> DataFrame:
+    """A5: tables of an A3 frame that lag more than ``sla_hours``, or that are empty.
+
+    The times are compared as they are; the frame's whole hours are for display.
+    """
     if sla_hours < 1:
         raise ValueError("SLA hours must be at least 1")
-    return fresh.filter((F.col("lag_hours") > sla_hours) | F.col("lag_hours").isNull())
+    latest = typed_literal(as_of - timedelta(hours=sla_hours), fresh.schema["newest"].dataType)
+    return fresh.filter((F.col("newest") < latest) | F.col("newest").isNull())
 
 
 def post_load(

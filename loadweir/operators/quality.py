@@ -152,8 +152,9 @@ def run_checks(
                 column = _find(df, name)
                 slot = f"newest_{len(aggregates)}"
                 aggregates.append(F.max(quoted(column)).alias(slot))
-                age = _seconds_between(df, column, F.col(slot), as_of)
-                fresh = F.coalesce(age <= int(check.max_age_hours * 3600), F.lit(False))
+                age = _age(df, column, F.col(slot), as_of)
+                most = round(check.max_age_hours * 3_600_000_000)
+                fresh = F.coalesce(age <= most, F.lit(False))
                 label = _label(check, name, len(check.targets) == 1)
                 results.append(_result(label, check, name, total, (~fresh).cast("int"), fresh))
         elif check.type == "volume":
@@ -188,10 +189,10 @@ def _has_all(df: DataFrame, names: Sequence[str]) -> bool:
     return None not in match_names(df.columns, names).values()
 
 
-def _seconds_between(df: DataFrame, column: str, newest: SparkColumn, as_of: datetime):
-    """Whole seconds from ``newest`` to ``as_of``, floored, whichever timestamp type is used."""
+def _age(df: DataFrame, column: str, newest: SparkColumn, as_of: datetime):
+    """Microseconds from ``newest`` to ``as_of``, whichever timestamp type is used."""
     kind = path_type(df, f"`{column}`")
-    return F.timestamp_diff("SECOND", newest, typed_literal(as_of, kind))
+    return F.timestamp_diff("MICROSECOND", newest, typed_literal(as_of, kind))
 
 
 def _unique(df: DataFrame, check: Check) -> DataFrame:

@@ -242,9 +242,11 @@ def _attempt(spark, spec, source, dataset, extracted_at, load_id, as_of, options
             tagged = judge(new_rows(source, spec, state, options, as_of), spec)
             if options.stage:
                 tagged = held.enter_context(staged(tagged, "load"))
-            good, facts = _checked(tagged, spec, dataset, load_id, extracted_at, as_of, options)
+            good, facts = _checked(
+                tagged, spec, dataset, load_id, extracted_at, as_of, options, result
+            )
             _write(good, spec, dataset, load_id, extracted_at, replay_at, options)
-        result |= {"rows_processed": facts["good"], "rows_rejected": facts["rejected"]}
+        result["rows_processed"] = facts["good"]
         if _moves_cursor(spec, options) and facts["newest"] not in (None, state):
             result["high_water"] = facts["newest"]
             field = spec.incremental.cursor_field
@@ -275,8 +277,11 @@ def _moves_cursor(spec: ResourceSpec, options: LoadOptions) -> bool:
     return cursor is not None and cursor.enabled and options.backfill_days is None
 
 
-def _checked(tagged, spec, dataset, load_id, extracted_at, as_of, options):
-    """Gate the judged batch, store its rejects, and return the good rows with their numbers."""
+def _checked(tagged, spec, dataset, load_id, extracted_at, as_of, options, result):
+    """Store the rejects of the judged batch, gate it, and return the good rows with their numbers.
+
+    A load that its gate stops has rejects and counts them, too.
+    """
     checks = () if options.skip_validation else spec.checks
     if options.quarantine:
         tagged = _divert(tagged, spec, checks)
@@ -287,9 +292,7 @@ def _checked(tagged, spec, dataset, load_id, extracted_at, as_of, options):
         F.max(F.when(is_good, F.col(CURSOR))).cast("string").alias("newest"),
     ).first()
     body = tagged.filter(is_good).drop(*_OWN)
-    if checks:
-        results = _check_batch(body, spec, dataset, checks, extracted_at, as_of, facts["good"] == 0)
-        gate(results, options.fail_on_error)
+    result["rows_rejected"] = facts["rejected"]
     if facts["rejected"]:
         rejects = tagged.filter(~is_good).select(
             F.lit(spec.name).alias("resource"),
@@ -298,6 +301,9 @@ def _checked(tagged, spec, dataset, load_id, extracted_at, as_of, options):
         )
         reject_id = f"{spec.name}:{load_id}"
         save_rejects(stamp(rejects, reject_id, extracted_at), dataset, reject_id)
+    if checks:
+        results = _check_batch(body, spec, dataset, checks, extracted_at, as_of, facts["good"] == 0)
+        gate(results, options.fail_on_error)
     return body, facts
 
 

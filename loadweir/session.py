@@ -5,8 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 
 def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -40,11 +39,3 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="loadweir-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/loadweir/{purpose}-{uuid4().hex}"
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Hint a broadcast only after counting, and only up to a bound; otherwise leave ``df`` alone.
-
-    The count stops at ``max_rows + 1`` rows. Use it on frames that are cheap to produce.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -1,106 +1,22 @@
-"""A Spark data source over a landing folder of JSON lines, one record per line."""
+"""A landing folder of JSON records as a source type, through Spark's own reader."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import islice
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-import pyarrow as pa
-from pyarrow import fs
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+CORRUPT = "_corrupt_record"
 
-BATCH_ROWS = 8192
 
+def open_landing(spark: SparkSession, path: str, schema: str | T.StructType, **options) -> DataFrame:
+    """The records of ``path`` with the fields of ``schema``, ``_corrupt_record`` and ``_source_file``.
 
-@dataclass
-class FileSlice(InputPartition):
-    """A byte range of one landed file; lines belong to the slice they start in."""
-
-    path: str
-    start: int
-    end: int
-
-
-class LandingSource(DataSource):
-    """``spark.read.format("landing").schema(...).option("path", folder)``.
-
-    Adds ``_source_file`` to the declared fields if the schema names it. Files are cut into slices
-    of ``slice_bytes``, so one file with most of the rows is still read by many tasks. Subclass it
-    and override :meth:`record` to land another line format.
+    Lines may be compressed. A line that is no record, or that holds a value of another type, keeps
+    its raw text in ``_corrupt_record`` and is never dropped; what can be read of it is read.
     """
-
-    @classmethod
-    def name(cls) -> str:
-        return "landing"
-
-    def schema(self) -> str:
-        raise ValueError("a landing source needs a declared schema")
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return LandingReader(schema, self.options, self.record)
-
-    @staticmethod
-    def record(line: bytes) -> dict | None:
-        """One line as a mapping, or None to skip it."""
-        try:
-            value = json.loads(line)
-        except ValueError:
-            return None
-        return value if isinstance(value, dict) else None
-
-
-class LandingReader(DataSourceReader):
-    def __init__(self, schema: StructType, options, record) -> None:
-        self.schema = schema
-        self.path = options["path"]
-        self.slice_bytes = int(options.get("slice_bytes", 64 * 1024 * 1024))
-        self.record = record
-
-    def partitions(self) -> list[FileSlice]:
-        files, folder = fs.FileSystem.from_uri(self.path)
-        found = files.get_file_info(fs.FileSelector(folder, recursive=True))
-        return [
-            FileSlice(info.path, start, min(start + self.slice_bytes, info.size))
-            for info in sorted(found, key=lambda i: i.path)
-            if info.is_file and not info.base_name.startswith(("_", "."))
-            for start in range(0, info.size, self.slice_bytes)
-        ]
-
-    def read(self, partition: FileSlice) -> Iterator[pa.RecordBatch]:
-        files, _ = fs.FileSystem.from_uri(self.path)
-        shape = to_arrow_schema(self.schema)
-        with files.open_input_file(partition.path) as stream:
-            lines = lines_starting_in(stream, partition.start, partition.end)
-            while block := list(islice(lines, BATCH_ROWS)):
-                records = [r for r in map(self.record, block) if r is not None]
-                for record in records:
-                    record.setdefault("_source_file", partition.path)
-                yield pa.RecordBatch.from_pylist(records, shape)
-
-
-def lines_starting_in(stream, start: int, end: int, block: int = 1 << 20) -> Iterator[bytes]:
-    """The lines whose first byte lies in ``[start, end)``, however far the last one runs."""
-    at = max(start - 1, 0)
-    stream.seek(at)
-    rest = b""
-    skipping = start > 0
-    while True:
-        data = stream.read(block)
-        pieces = (rest + data).split(b"\n")
-        rest = pieces.pop()
-        for piece in pieces:
-            if skipping:
-                skipping = False
-            elif at >= end:
-                return
-            elif piece.strip():
-                yield piece
-            at += len(piece) + 1
-        if not data:
-            if rest.strip() and not skipping and at < end:
-                yield rest
-            return
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    own = [f for f in fields if f.name not in (CORRUPT, "_source_file")]
+    declared = T.StructType([*own, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(declared).options(**{"columnNameOfCorruptRecord": CORRUPT, **options})
+    return reader.json(path).withColumn("_source_file", F.col("_metadata.file_path"))

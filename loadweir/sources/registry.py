@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadweir.sources.landing import LandingSource
+from loadweir.sources.landing import open_landing
 from loadweir.sources.readers import read_files, read_jdbc, read_json_records, read_stream
 
 # The source type names of the configuration. A "rest_api" source is read from the
@@ -16,19 +16,13 @@ _OPENERS: dict[str, Callable[..., DataFrame]] = {
     "file": read_files,
     "database": read_jdbc,
     "stream": read_stream,
+    "landing": open_landing,
 }
 
 
-def register_source(
-    kind: str, opener: Callable[..., DataFrame], spark: SparkSession | None = None
-) -> None:
-    """Add a source type. ``opener(spark, **options)`` returns a DataFrame.
-
-    Give ``spark`` as well to register the package's own ``landing`` data source in that session.
-    """
+def register_source(kind: str, opener: Callable[..., DataFrame]) -> None:
+    """Add a source type. ``opener(spark, **options)`` returns a DataFrame."""
     _OPENERS[kind] = opener
-    if spark is not None:
-        spark.dataSource.register(LandingSource)
 
 
 def open_source(spark: SparkSession, kind: str, **options) -> DataFrame:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import sha256
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -151,19 +151,18 @@ def stream_quarantine(
 ) -> StreamingQuery:
     """ST5: rows that pass the row checks go to ``good``, others to ``rejects`` with their reasons.
 
-    The batch is kept while both are written, so the source is read once. Each write carries the
-    batch id as its load id, so a batch that is run again adds nothing.
+    The batch is staged in the shared folder while both are written, so the source is read once.
+    Each write carries the stream's id, which its checkpoint keeps, and the batch id as its load id:
+    a batch that is run again adds nothing, and another stream's batches are never taken for it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        load_id = f"{name}-{batch_id}"
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load_id = f"{name}-{stream or sha256(checkpoint.encode()).hexdigest()}-{batch_id}"
         tagged = tag_rows(batch, checks).withColumn("_load_id", F.lit(load_id))
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            passed, failed = split_tagged(tagged)
+        with staged(tagged, "quarantine") as held:
+            passed, failed = split_tagged(held)
             append_once_table(passed, good, load_id)
             append_once_table(failed, rejects, load_id)
-        finally:
-            tagged.unpersist()
 
     return _start(sdf.writeStream.foreachBatch(write).outputMode("append"), checkpoint, trigger)

@@ -334,11 +334,11 @@ ORACLE: dict[str, str] = {
                CAST(trunc((epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(o_orderdate)))
                           / 3600000000.0) AS BIGINT) AS lag_hours
         FROM orders
-        HAVING lag_hours > 48
+        HAVING max(o_orderdate) < TIMESTAMP '2024-01-29'
         UNION ALL
         SELECT 'events', CAST(trunc((epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(ts)))
                                     / 3600000000.0) AS BIGINT) AS lag_hours
-        FROM events HAVING lag_hours > 48""",
+        FROM events HAVING max(ts) < TIMESTAMP '2024-01-29'""",
     "metric_errors": """
         SELECT CAST(ts AS DATE) AS day, count(*) AS runs,
                count(*) FILTER (WHERE event_type = 'error') AS errors,
@@ -348,11 +348,11 @@ ORACLE: dict[str, str] = {
     "metric_sla_miss": """
         WITH runs AS (
             SELECT user_id, CAST(ts AS DATE) AS day,
-                   (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS seconds
+                   epoch_us(max(ts)) - epoch_us(min(ts)) AS took
             FROM events GROUP BY ALL
         )
-        SELECT user_id, day, CAST(seconds // 60 AS BIGINT) AS duration_minutes
-        FROM runs WHERE seconds > 72000""",
+        SELECT user_id, day, CAST(took // 60000000 AS BIGINT) AS duration_minutes
+        FROM runs WHERE took > 72000000000""",
     "post_load_sql": """
         SELECT event_type, max(n) AS peak, count(*) AS hours
         FROM (SELECT event_type, date_trunc('hour', ts), count(*) AS n FROM events

@@ -28,7 +28,6 @@ from loadweir.session import shared_dir
 from loadweir.sinks import tables as sink
 from loadweir.sinks.target import Dataset, Target
 from loadweir.sources import readers
-from loadweir.sources.landing import LandingSource
 from loadweir.sources.params import bind_params, read_query
 from loadweir.sources.registry import open_source, select_resources
 from loadweir.spec import Check, Column, Incremental, ResourceSpec
@@ -118,13 +117,14 @@ def src_open_source(spark, sf_dir):
 
 @query
 def src_landing_format(spark, sf_dir):
-    """Events landed as JSON lines, read back by the package's own data source."""
+    """Events landed as compressed JSON lines, opened by their source type."""
     folder = shared_dir(spark, "landing")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    events.write.json(folder)
-    spark.dataSource.register(LandingSource)
-    reader = spark.read.format("landing").option("path", folder)
-    return reader.schema("event_id bigint, user_id bigint, event_type string").load()
+    events.write.option("compression", "gzip").json(folder)
+    landed = open_source(
+        spark, "landing", path=folder, schema="event_id bigint, user_id bigint, event_type string"
+    )
+    return landed.filter(F.col("_corrupt_record").isNull()).select(*events.columns)
 
 
 @query
@@ -681,7 +681,7 @@ def metric_freshness(spark, sf_dir):
 @query
 def metric_stale_tables(spark, sf_dir):
     """A5: tables staler than they may be."""
-    return met.stale_tables(metric_freshness(spark, sf_dir), 48).select("table_name", "lag_hours")
+    return met.stale_tables(metric_freshness(spark, sf_dir), 48, AS_OF).select("table_name", "lag_hours")
 
 
 @query

@@ -16,9 +16,12 @@ def test_freshness_and_staleness(spark):
     frames = {"a": fresh, "empty": fresh.limit(0)}
     lag = met.freshness(frames, {"a": "ts", "empty": "ts"}, datetime(2024, 1, 3))
     assert {r.table_name: r.lag_hours for r in lag.collect()} == {"a": 23, "empty": None}
-    assert [r.table_name for r in met.stale_tables(lag, 24).collect()] == ["empty"]
+    assert [r.table_name for r in met.stale_tables(lag, 24, datetime(2024, 1, 3)).collect()] == ["empty"]
+    # 24 hours and 59 minutes are more than 24 hours
+    later = datetime(2024, 1, 3, 0, 59)
+    assert "a" in [r.table_name for r in met.stale_tables(lag, 22, later).collect()]
     with pytest.raises(ValueError):
-        met.stale_tables(lag, 0)
+        met.stale_tables(lag, 0, datetime(2024, 1, 3))
 
 
 def test_errors_count_unknown_outcomes(spark):

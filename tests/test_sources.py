@@ -1,10 +1,10 @@
-import io
+import gzip
 import json
 import os
 
 import pytest
 
-from loadweir.sources import landing, readers
+from loadweir.sources import readers
 from loadweir.sources.params import bind_params, merge_params, read_query
 from loadweir.sources.registry import open_source, register_source, select_resources
 
@@ -86,32 +86,18 @@ def test_feed_from_parent_with_repeats(spark, rows):
     assert rows(readers.feed_from_parent(child, parent, "pid", "id")) == [(1, "a"), (1, "b")]
 
 
-@pytest.mark.parametrize("block", [1, 3, 1000])
-@pytest.mark.parametrize("width", [1, 2, 5, 1000])
-def test_slices_share_lines_between_them(block, width):
-    data = b"aa\n\nbbb\nc\n\n\ndddd"
-    found = []
-    for start in range(0, len(data), width):
-        stream = io.BytesIO(data)
-        found += landing.lines_starting_in(stream, start, min(start + width, len(data)), block)
-    assert found == [b"aa", b"bbb", b"c", b"dddd"]
-
-
-@pytest.mark.parametrize("slice_bytes", [40, 10_000])
-def test_landing_slices_lose_and_repeat_nothing(spark, tmp_path, rows, slice_bytes):
+def test_landing_loses_no_line(spark, tmp_path, rows):
     folder = str(tmp_path / "land")
-    records = [{"id": i, "text": "é" * (i % 9)} for i in range(25)]
-    lines(folder, "a.json", *[json.dumps(r, ensure_ascii=False) for r in records[:20]], "", "not json")
-    with open(f"{folder}/b.json", "w") as out:  # no newline at the end
-        out.write("\n".join(json.dumps(r) for r in records[20:]))
-    lines(folder, "_SUCCESS")
-    spark.dataSource.register(landing.LandingSource)
-    reader = spark.read.format("landing").option("path", folder).option("slice_bytes", slice_bytes)
-    df = reader.schema("id bigint, text string, _source_file string").load()
-    assert rows(df, "id", "text") == sorted(((r["id"], r["text"]) for r in records), key=repr)
-    assert {os.path.basename(r[0]) for r in rows(df, "_source_file")} == {"a.json", "b.json"}
-    if slice_bytes == 40:
-        assert df.rdd.getNumPartitions() > 2
+    lines(folder, "b.json", '{"id": 1, "text": "é"}', "not json", '{"id": "abc", "text": "x"}', "")
+    with gzip.open(f"{folder}/a.json.gz", "wt") as out:
+        out.write("\n".join(json.dumps({"id": i, "text": "t"}) for i in range(10, 1010)))
+    df = open_source(spark, "landing", path=folder, schema="id bigint, text string")
+    assert len(rows(df.filter("_corrupt_record IS NULL"), "id", "text")) == 1001
+    assert rows(df.filter("_corrupt_record IS NOT NULL"), "id", "text", "_corrupt_record") == [
+        (None, "x", '{"id": "abc", "text": "x"}'),
+        (None, None, "not json"),
+    ]
+    assert {os.path.basename(r[0]) for r in rows(df, "_source_file")} == {"a.json.gz", "b.json"}
 
 
 class Reader:
