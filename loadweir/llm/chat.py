@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VOCABULARY = "byte_bpe_50k.json"
+#: History takes at most the budget divided by this.
+HISTORY_SHARE = 3
 _TURN = re.compile(r"<turn (\d+) (new|repeat) ((?:[^\\<>]+|\\.)*)>((?:[^\\<>]+|\\.)*)</turn>\n", re.DOTALL)
 SPAN = T.StructType().add("start", "integer").add("end", "integer")
 WINDOW = T.StructType(
@@ -109,19 +111,30 @@ class _Windows:
     system: _Turn | None = None
     past: list[_Turn] = field(default_factory=list)
     new: list[_Turn] = field(default_factory=list)
+    repeated: list[_Turn] = field(default_factory=list)
     count: int = 0
     total: int = 0
     turns: int = 0
 
-    def _fixed(self) -> int:
-        """Tokens of the system turn, if the window has to repeat it."""
-        return self.system.tokens if self.system and self.count else 0
+    def _begin(self, turn: _Turn) -> None:
+        """Choose what a window repeats: the system turn, then the last turns that fit in a share of the budget."""
+        self.repeated = [self.system] if self.system and self.count else []
+        fixed = sum(t.tokens for t in self.repeated)
+        room = min(self.budget // HISTORY_SHARE, self.budget - fixed - turn.tokens)
+        for old in reversed(self.past[-self.history :] if self.history else []):
+            if old.tokens > room:
+                break
+            self.repeated.insert(1 if fixed or self.system in self.repeated else 0, old)
+            room -= old.tokens
 
     def add(self, role: str, text: str, tokens: int) -> dict | None:
         turn = _Turn(self.turns, role, text, tokens, self.total)
         done = None
-        if self.new and self._fixed() + turn.before - self.new[0].before + tokens > self.budget:
+        fixed = sum(t.tokens for t in self.repeated)
+        if self.new and fixed + turn.before - self.new[0].before + tokens > self.budget:
             done = self.close()
+        if not self.new:
+            self._begin(turn)
         if turn.number == 0 and role == "system":
             self.system = turn
         self.new.append(turn)
@@ -133,15 +146,7 @@ class _Windows:
         if not self.new:
             return None
         span = self.total - self.new[0].before
-        left = self.budget - self._fixed() - span
-        repeated: list[_Turn] = []
-        for turn in reversed(self.past[-self.history :] if self.history else []):
-            if turn.tokens > left:
-                break
-            repeated.insert(0, turn)
-            left -= turn.tokens
-        if self.system and self.count:
-            repeated.insert(0, self.system)
+        repeated = self.repeated
         text, loss, at = [], [], 0
         for turn, new in [(t, False) for t in repeated] + [(t, True) for t in self.new]:
             written, begin, end = turn.written(new)
@@ -178,7 +183,7 @@ def format_windows(
     Rows go by ``turn`` (nulls first); ties by role and text; repeated rows are turns of their own. A
     null role or text is empty; rows with a null conversation are one conversation. The first turn,
     if its role is ``system``, is in every window; up to ``history`` earlier turns are repeated while
-    they fit. A turn larger than the budget has a window of its own: turns are never cut. ``loss`` are
+    they fit in a third of the budget. A turn larger than the budget has a window of its own: turns are never cut. ``loss`` are
     the character ranges of the new assistant texts, as escaped. Other columns play no part.
 
     Windows are made from a sorted stream that holds one window at a time, so a conversation may be

@@ -136,7 +136,7 @@ def judge(measured: DataFrame, lang: str = "lang", source: str = "source") -> Da
 
     A document is kept if it passes the base rules and every metric lies within the fences of its
     language and source. A null language or source is a group of its own. Without any document that
-    passes the base rules nothing is kept.
+    passes the base rules nothing is kept. Columns of these names are replaced.
     """
     bounds = [f"{name}_{end}" for name in RULES for end in ("low", "high")]
     fine = sketches(measured, [lang, source])
@@ -157,4 +157,5 @@ def judge(measured: DataFrame, lang: str = "lang", source: str = "source") -> Da
     ]
     broken = F.array_compact(F.array(*broken))
     kept = ~F.col("d.base_failed") & (F.size(broken) == 0)
-    return joined.select("d.*", kept.alias("kept"), broken.alias("broken"))
+    own = [F.col(f"d.`{c}`") for c in measured.columns if c not in ("kept", "broken")]
+    return joined.select(*own, kept.alias("kept"), broken.alias("broken"))

@@ -97,4 +97,50 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_decontaminate": op10_decontaminate,
 }
-ORACLE: dict[str, str] = {}
+_BLANK = r"[ \t\n\x0b\f\r]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_RUNS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+#: SQL for the two operators whose results it can express; the others are held against brute force.
+ORACLE = {
+    "op5_substring_dedup": rf"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{_BLANK}'), lambda x: x <> '') AS w
+            FROM documents
+        ),
+        starts AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS k
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+        ),
+        repeated AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY k) AS c FROM starts) WHERE c > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM repeated),
+        each AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+        cut AS (
+            SELECT doc_id, count(gone.p) AS n, string_agg(x, ' ' ORDER BY p) FILTER (gone.p IS NULL) AS kept
+            FROM each LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN cut USING (doc_id)""",
+    "op10_decontaminate": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_RUNS}') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_RUNS}') AS w FROM benchmark),
+        tests AS (
+            SELECT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS k
+            FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+                  FROM b WHERE len(w) > 0)
+        ),
+        sizes AS (SELECT DISTINCT n FROM tests),
+        starts AS (
+            SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+            FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)
+        ),
+        met AS (SELECT DISTINCT doc_id, n, i, item_id FROM starts JOIN tests USING (n, k)),
+        hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM met) GROUP BY doc_id),
+        named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
+}
