@@ -209,7 +209,8 @@ def near_duplicates(
             # a fingerprint of another seed stands for the smallest first one it comes with
             both = staged(marked.select("fp0", F.col(f"fp{i}").alias("fp")).distinct(), "both")
             stands = staged(both.groupBy("fp").agg(F.min("fp0").alias("node")), "stands")
-            met = links(stands.select("fp"), radius)
+            # a row per fingerprint, not per link: the links of a large group are many times its size
+            met = components(links(stands.select("fp"), radius), "a", "b").toDF("a", "b")
             met = met.join(stands.select(F.col("fp").alias("a"), F.col("node").alias("na")), "a")
             met = met.join(stands.select(F.col("fp").alias("b"), F.col("node").alias("nb")), "b")
             edges = edges.unionByName(met.select(F.col("na").alias("a"), F.col("nb").alias("b")))
