@@ -28,6 +28,11 @@ BITS = 64
 SEED = 42
 #: Seeds of the fingerprints by which :func:`keep_one` links texts.
 SEEDS = (42, 43)
+#: Least similarity of the shingles of near-duplicates, in per cent.
+SIMILAR = 80
+#: Seeds and odd factor of the MinHashes by which :func:`verified_pairs` makes blocks.
+MIN_SEEDS = tuple(np.uint64(xxhash.xxh64_intdigest(str(i).encode(), SEED)) for i in range(8))
+MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Bits of the code that deals variants to rounds: 2 ** 3 rounds.
 ROUND_BITS = 3
 #: Variants that one bucket gets in a round, about.
@@ -225,17 +230,92 @@ def near_duplicates(
         return staged(marked.join(named, "fp0").select(*columns), "near-duplicates")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 4) -> DataFrame:
+def _shapes(width: int):
+    """A text's digest, the hashes of its distinct shingles, their fingerprint and their least values."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            rows = []
+            for words in ((t or "").encode().lower().split() for t in texts):
+                joined = b" ".join(words)
+                parts = {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
+                hashes = np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in parts), np.uint64, len(parts))
+                bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                over = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
+                least = [int(((hashes ^ s) * MIX).min()) for s in MIN_SEEDS]
+                centre = np.packbits(over, bitorder="little").view("<u8")
+                signed = np.concatenate([centre, np.array(least, np.uint64)]).view(np.int64).tolist()
+                rows.append((xxhash.xxh3_128_digest(joined), signed[0], signed[1:], hashes.view(np.int64)))
+            added = [
+                pa.array([r[0] for r in rows], pa.binary()),
+                pa.array([r[1] for r in rows], pa.int64()),
+                pa.array([r[2] for r in rows], pa.list_(pa.int64())),
+                pa.array([r[3] for r in rows], pa.list_(pa.int64())),
+            ]
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in ("id", "n", "group")]
+            names = ["id", "n", "group", "digest", "fp", "least", "shingles"]
+            yield pa.RecordBatch.from_arrays([*kept, *added], names)
+
+    return run
+
+
+def verified_pairs(shapes: DataFrame, percent: int = SIMILAR) -> DataFrame:
+    """Pairs ``a``, ``b`` of rows (column ``n``) of a ``group`` whose shingles are similar by ``percent`` or more.
+
+    Not all pairs of a group are looked at, for it may hold a third of all rows. Rows meet in blocks:
+    the whole group, and for each of :data:`MIN_SEEDS` those with an equal MinHash, which rows of
+    0.8 similarity have for four seeds in five. A block's pivot is the row whose fingerprint is
+    nearest to the block's majority, for copies the text they were made from; every row is compared,
+    exactly, with the pivots of its blocks.
+    """
+    slots = F.array(F.struct(F.lit(-1).alias("slot"), F.lit(0).cast("long").alias("value")))
+    mins = F.transform("least", lambda v, i: F.struct(i.alias("slot"), v.alias("value")))
+    rows = shapes.select("n", "group", "fp", F.explode(F.concat(slots, mins)).alias("block"))
+    rows = rows.select("n", "fp", F.struct("group", "block.slot", "block.value").alias("block"))
+    ones = [F.sum(F.expr(f"shiftright(fp, {i}) & 1L")).alias(f"s{i}") for i in range(BITS)]
+    blocks = rows.groupBy("block").agg(F.count("*").alias("rows"), *ones).where("rows > 1")
+    centre = " | ".join(f"if(2 * s{i} > rows, shiftleft(1L, {i}), 0L)" for i in range(BITS))
+    blocks = blocks.select("block", F.expr(centre).alias("centre"))
+    near = rows.join(blocks, "block").select("block", "n", F.expr("bit_count(fp ^ centre)").alias("d"))
+    pivots = near.groupBy("block").agg(F.min(F.struct("d", "n")).alias("p")).select("block", F.col("p.n").alias("a"))
+    met = rows.join(pivots, "block").where("a <> n").select("a", F.col("n").alias("b")).distinct()
+    sets = [shapes.select(F.col("n").alias(c), F.col("shingles").alias(f"s{c}")) for c in ("a", "b")]
+    both = met.join(sets[1], "b").join(sets[0], "a")
+    both = both.select("a", "b", (F.size("sa") + F.size("sb")).alias("all"), F.size(F.array_intersect("sa", "sb")).alias("same"))
+    return both.where(F.expr(f"100 * same >= {percent} * (all - same)")).select("a", "b")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 4) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that of the smallest ``key``; all columns as they are.
 
-    Texts of 0.8 similarity or more on five-word shingles share nearly all of their words: the
-    fingerprints here are of each text's distinct words, from two seeds. (Fingerprints of the shingles
-    themselves differ in about nine bits at that similarity, beyond what ball hashing can reach; the
-    README has figures.) Of repeated rows one stays. Texts without words are one group.
+    Texts of 0.8 similarity or more on shingles of ``width`` words share nearly all of their words:
+    the fingerprints here are of each text's distinct words, from two seeds. (Fingerprints of the
+    shingles themselves differ in about nine bits at that similarity, beyond what ball hashing can
+    reach; the README has figures.) Their links make groups of candidates; in these a link holds only
+    if the shingles are that similar (:func:`verified_pairs`), so texts that merely share many words
+    stay. Words are compared with A-Z in lower case; texts of equal words are copies, fewer words than
+    ``width`` one shingle, and texts without words (null, empty, blank) copies of each other. Of
+    repeated rows one stays. A null key is the largest.
     """
-    row = "row_of_" + "_".join(docs.columns)
+    spark, row = docs.sparkSession, "row_of_" + "_".join(docs.columns)
     numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    pairs = numbered.select(F.struct(F.col(f"`{key}`").alias("id"), F.col(f"`{row}`").alias("n")).alias("id"), text)
-    found = near_duplicates(pairs, "id", text, width=1, radius=radius, repeats=False, seeds=SEEDS)
-    firsts = found.where(F.col("id") == F.col("component_id")).select(F.col("id.n").alias(row))
-    return numbered.join(firsts, row, "left_semi").drop(row)
+    ids = numbered.select(F.col(f"`{key}`").alias("id"), F.col(f"`{row}`").alias("n"), F.col(f"`{text}`").alias("text"))
+    found = near_duplicates(ids.select("n", "text"), "n", "text", width=1, radius=radius, repeats=False, seeds=SEEDS)
+    with tidy_shuffles(spark):
+        several = found.groupBy("component_id").agg(F.count("*").alias("rows")).where("rows > 1")
+        members = staged(found.join(several, "component_id").select("n", F.col("component_id").alias("group")), "members")
+        longs = T.ArrayType(T.LongType())
+        schema = T.StructType([ids.schema["id"]]).add("n", "long").add("group", "long").add("digest", "binary")
+        schema = schema.add("fp", "long").add("least", longs).add("shingles", longs)
+        shapes = ids.join(members, "n").select("id", "n", "group", "text").mapInArrow(_shapes(width), schema)
+        shapes = staged(shapes, "shapes")
+        order = F.struct(F.col("id").isNull().alias("none"), "id", "n")
+        firsts = shapes.groupBy("group", "digest").agg(F.min(order).alias("first"))
+        firsts = staged(firsts.select("first", F.col("first.n").alias("n")), "firsts")
+        alike = components(verified_pairs(shapes.join(firsts.select("n"), "n", "left_semi")))
+        named = firsts.join(alike.withColumnRenamed("node", "n"), "n", "left")
+        stay = named.groupBy(F.coalesce("root", "n").alias("root")).agg(F.min("first").alias("first"))
+        gone = members.select("n").join(stay.select(F.col("first.n").alias("n")), "n", "left_anti")
+        gone = staged(gone.select(F.col("n").alias(row)), "gone")
+    return numbered.join(gone, row, "left_anti").drop(row)

@@ -297,6 +297,19 @@ def test_keep_one(spark, edges):
     assert simhash.keep_one(edges.limit(0)).count() == 0
 
 
+def test_keep_one_holds_links_against_shingles(spark):
+    base = [f"w{i}" for i in range(400)]
+    rows = [(100, base), (101, base[::-1])]  # the same words, no common shingle
+    for i in range(40):  # 0.84 similar to the base, 0.70 to each other
+        copy = list(base)
+        for k in range(7):
+            copy[5 + 57 * k + i] = f"x{i}-{k}"
+        rows.append((i, copy))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one(docs).collect()}
+    assert kept == {0, 101}
+
+
 # 7 sharding
 
 
