@@ -86,7 +86,10 @@ def contract_rules(df: DataFrame, columns: Sequence[Column]) -> list[tuple[Spark
         if source is None:
             continue
         if source_type.simpleString() != column.sql_type:
-            failed = source.isNotNull() & _value(source, source_type, column).isNull()
+            value = _value(source, source_type, column)
+            failed = source.isNotNull() & value.isNull()
+            if isinstance(source_type, T.FractionalType) and column.sql_type in _INTEGERS:
+                failed = failed | (value.isNotNull() & (F.floor(source) != F.ceil(source)))
             rules.append((failed, f"{column.name}: not a valid {column.data_type}"))
         if not column.nullable:
             rules.append((source.isNull(), f"{column.name}: null"))

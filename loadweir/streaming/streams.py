@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loadweir.operators.columns import quoted
+from loadweir.operators.merging import all_set
 from loadweir.operators.quality import split_tagged, tag_rows
 from loadweir.sinks.tables import append_once_table, merge_table, staged
 from loadweir.sinks.target import Target
@@ -49,6 +50,7 @@ def stream_merge(
     checkpoint: str,
     trigger: dict[str, Any] | None = None,
     partition_by: Sequence[str] = (),
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """ST2: upsert each micro-batch by key.
 
@@ -56,10 +58,19 @@ def stream_merge(
     newer one, and a batch that is run again changes nothing. A merge looks at its batch more than
     once, so the batch is staged first and the stream, with whatever state it has, runs once. Give
     ``partition_by`` for a large target: only partitions that change are rewritten.
+
+    Rows with a NULL in their key go to the folder ``rejects`` of this stream, a sub-folder per
+    batch, which a batch that is run again replaces. Without that folder such a row stops the stream.
     """
+    key_set = all_set(keys)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with staged(batch, "stream") as rows:
+            keyless = rows.filter(~key_set)
+            if not keyless.isEmpty():
+                if rejects is None:
+                    raise ValueError(f"batch {batch_id} has rows with a NULL key; give a folder for rejects")
+                keyless.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
             if not rows.isEmpty():
                 merge_table(rows, target, keys, order, partition_by, keep_newer=True)
 

@@ -65,6 +65,14 @@ def test_json_column(spark):
     assert value == '{"a":1}'
 
 
+@pytest.mark.parametrize("kind", ["double", "float", "decimal(5,2)"])
+def test_fractions_are_no_integers(spark, rows, kind):
+    df = spark.sql(f"SELECT CAST(v AS {kind}) AS v FROM VALUES (3.5), (4.0), (-0.25), (NULL) AS t(v)")
+    good, rejects = split_rejects(df, [Column("v", "integer")])
+    assert sorted(rows(good), key=str) == [(4,), (None,)]
+    assert sorted(float(v) for v, _ in rows(rejects)) == [-0.25, 3.5]
+
+
 def test_evolution_adds_and_widens(spark, rows):
     old = spark.sql("SELECT 1 AS id, 2 AS n, named_struct('a', 1) AS s")
     new = spark.sql("SELECT 5L AS ID, 2.5D AS n, named_struct('b', 'x', 'a', 3L) AS s, true AS flag")

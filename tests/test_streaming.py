@@ -55,6 +55,18 @@ def test_merge_ignores_late_older_rows(spark, feed, rows, folder):
     assert rows(target.read(spark), "id", "v") == rows(whole, "id", "v")
 
 
+def test_merge_keeps_rows_without_a_key(spark, feed, rows):
+    sdf = feed([(1, "00:00:00", 1), (0, "00:00:00", 2)], [(0, "00:01:00", 3)])
+    sdf = sdf.selectExpr("nullif(id, 0) AS id", "ts", "v")
+    target, rejects = Target.folder(shared_dir(spark, "out")), shared_dir(spark, "rejects")
+    log = shared_dir(spark, "log")
+    finish(streams.stream_merge(sdf, target, "id", "ts", log, rejects=rejects), 2)
+    assert rows(target.read(spark), "id", "v") == [(1, 1)]
+    assert sorted(r.v for r in spark.read.parquet(rejects).collect()) == [2, 3]
+    with pytest.raises(Exception, match="NULL key"):
+        streams.stream_merge(sdf, target, "id", "ts", shared_dir(spark, "log")).awaitTermination()
+
+
 @pytest.mark.parametrize("slots", [None, 4])
 def test_dedup_over_several_files(spark, feed, rows, slots):
     sdf = feed(
