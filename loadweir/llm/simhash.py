@@ -33,6 +33,8 @@ SIMILAR = 80
 #: Seeds and odd factor of the MinHashes by which :func:`verified_pairs` makes blocks.
 MIN_SEEDS = tuple(np.uint64(xxhash.xxh64_intdigest(str(i).encode(), SEED)) for i in range(8))
 MIX = np.uint64(0x9E3779B97F4A7C15)
+#: One text of so many is looked at to find shingles that many texts share, and at most so many are told apart.
+SAMPLED, COMMON = 16, 1_000_000
 #: Bits of the code that deals variants to rounds: 2 ** 3 rounds.
 ROUND_BITS = 3
 #: Variants that one bucket gets in a round, about.
@@ -230,6 +232,12 @@ def near_duplicates(
         return staged(marked.join(named, "fp0").select(*columns), "near-duplicates")
 
 
+def _shingles(words: list[bytes], width: int) -> np.ndarray:
+    """The hashes of a text's distinct shingles."""
+    parts = {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
+    return np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in parts), np.uint64, len(parts))
+
+
 def _shapes(width: int):
     """A text's digest, the hashes of its distinct shingles, their fingerprint and their least values."""
 
@@ -239,8 +247,7 @@ def _shapes(width: int):
             rows = []
             for words in ((t or "").encode().lower().split() for t in texts):
                 joined = b" ".join(words)
-                parts = {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
-                hashes = np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in parts), np.uint64, len(parts))
+                hashes = _shingles(words, width)
                 bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
                 over = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
                 least = [int(((hashes ^ s) * MIX).min()) for s in MIN_SEEDS]
@@ -286,6 +293,105 @@ def verified_pairs(shapes: DataFrame, percent: int = SIMILAR) -> DataFrame:
     return both.where(F.expr(f"100 * same >= {percent} * (all - same)")).select("a", "b")
 
 
+def _sets(width: int):
+    """``n`` and ``shingles`` of every text (columns ``n``, ``text``)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            sets = [_shingles((t or "").encode().lower().split(), width).view(np.int64) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["n", "shingles"])
+
+    return run
+
+
+def _prefixes(width: int, percent: int, common):
+    """The rarest shingles of every text, as many as it cannot lose all of to a text that similar."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = common.value
+        for batch in batches:
+            found = []
+            for text in batch.column(2).to_pylist():
+                hashes = np.sort(_shingles((text or "").encode().lower().split(), width))
+                rank = np.zeros(len(hashes), np.int64)
+                if len(known):
+                    place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                    rank = np.where(known[place] == hashes, counts[place], 0)
+                ordered = hashes[np.argsort(rank, kind="stable")]
+                found.append((ordered[: len(hashes) - -(-percent * len(hashes) // 100) + 1], len(hashes)))
+            taken = np.array([len(f) for f, _ in found], np.int64)
+            row = np.repeat(np.arange(len(found)), taken)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([f for f, _ in found]).view(np.int64) if found else np.zeros(0, np.int64)),
+                    batch.column(0).take(pa.array(row)),
+                    batch.column(1).take(pa.array(row)),
+                    pa.array(np.repeat(np.array([n for _, n in found], np.int32), taken)),
+                    pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in taken]) if found else np.zeros(0, np.int32)),
+                ],
+                ["hash", "n", "root", "size", "pos"],
+            )
+
+    return run
+
+
+def _common(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many texts of a sample share, and how many: they only put shingles into an order."""
+    sample = texts.select("n", "text").where(F.pmod(F.xxhash64("n"), F.lit(SAMPLED)) == 0)
+    sets = sample.mapInArrow(_sets(width), "n long, shingles array<long>")
+    counts = sets.select(F.explode("shingles").alias("hash")).groupBy("hash").agg(F.count("*").alias("c")).where("c > 3")
+    counts = staged(counts, "common")
+    # at most COMMON shingles can have this share of all their counts
+    least = (counts.agg(F.sum("c")).first()[0] or 0) // COMMON
+    table = counts.where(F.col("c") > least).toArrow()
+    hashes = table.column("hash").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], table.column("c").to_numpy()[order]
+
+
+def joined_by_prefix(texts: DataFrame, width: int, percent: int = SIMILAR) -> DataFrame:
+    """``node``, ``root``: which roots of ``texts`` (``n``, ``root``, ``text``) pairs that similar join. None is lost.
+
+    Shingles are put in one order, rare ones first. Of two texts similar by ``percent`` both have their
+    first common shingle among the first ``100 - percent`` per cent, so they meet there; and what is left
+    behind it must be enough for the similarity. Texts that meet are compared exactly, unless they have
+    one root already: first each with one of those it meets, so that groups of copies get one root
+    without all their pairs, then all that meet and still have different roots.
+    """
+    spark = texts.sparkSession
+    common = spark.sparkContext.broadcast(_common(texts, width))
+    schema = "hash long, n long, root long, size int, pos int"
+    entries = staged(texts.select("n", "root", "text").mapInArrow(_prefixes(width, percent, common), schema), "prefixes")
+    row = F.struct("n", "root", "size", "pos")
+    mixed = entries.groupBy("hash").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(row).alias("x"))
+    met = staged(entries.join(mixed.where("lo < hi").select("hash", "x"), "hash").select("hash", "x", row.alias("y")), "met")
+    # from the first common shingle on there are as many as the similarity needs
+    enough = f"{100 + percent}L * least(x.size - x.pos, y.size - y.pos) >= {percent}L * (x.size + y.size)"
+    ends = ["x.n as a", "y.n as b", "x.root as ra", "y.root as rb"]
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        pairs = staged(pairs.selectExpr(*ends).distinct(), "pairs")
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct()
+        sets = texts.select("n", "text").join(nodes, "n", "left_semi").mapInArrow(_sets(width), "n long, shingles array<long>")
+        sets = staged(sets, "sets")
+        both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+        both = both.withColumn("same", F.size(F.array_intersect("sa", "sb")))
+        both = both.where(f"100L * same >= {percent}L * (size(sa) + size(sb) - same)")
+        return staged(both.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "similar")
+
+    links = similar(met.where(f"x.root <> y.root and {enough}"))
+    new = staged(components(links), "roots")
+    now = met.select("hash", "y").join(new.select(F.col("node").alias("r"), "root"), F.col("y.root") == F.col("r"), "left")
+    now = now.select("hash", F.col("y").alias("x"), F.coalesce("root", "y.root").alias("now"))
+    mixed = now.groupBy("hash").agg(F.min("now").alias("lo"), F.max("now").alias("hi")).where("lo < hi")
+    now = staged(now.join(mixed.select("hash"), "hash", "left_semi"), "met-again")
+    other = now.select("hash", F.col("x").alias("y"), F.col("now").alias("then"))
+    links = links.unionByName(similar(now.join(other, "hash").where(f"now < then and {enough}")))
+    common.unpersist()
+    return components(links)
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 4) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that of the smallest ``key``; all columns as they are.
 
@@ -294,7 +400,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     shingles themselves differ in about nine bits at that similarity, beyond what ball hashing can
     reach; the README has figures.) Their links make groups of candidates; in these a link holds only
     if the shingles are that similar (:func:`verified_pairs`), so texts that merely share many words
-    stay. Words are compared with A-Z in lower case; texts of equal words are copies, fewer words than
+    stay. What the pivots leave apart is joined exactly (:func:`joined_by_prefix`). Words are compared with A-Z in lower case; texts of equal words are copies, fewer words than
     ``width`` one shingle, and texts without words (null, empty, blank) copies of each other. Of
     repeated rows one stays. A null key is the largest.
     """
@@ -315,7 +421,10 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
         firsts = staged(firsts.select("first", F.col("first.n").alias("n")), "firsts")
         alike = components(verified_pairs(shapes.join(firsts.select("n"), "n", "left_semi")))
         named = firsts.join(alike.withColumnRenamed("node", "n"), "n", "left")
-        stay = named.groupBy(F.coalesce("root", "n").alias("root")).agg(F.min("first").alias("first"))
+        named = staged(named.select("n", "first", F.coalesce("root", "n").alias("root")), "named")
+        more = joined_by_prefix(ids.join(named, "n").select("n", "root", "text"), width)
+        named = named.join(more.select(F.col("node").alias("root"), F.col("root").alias("least")), "root", "left")
+        stay = named.groupBy(F.coalesce("least", "root").alias("root")).agg(F.min("first").alias("first"))
         gone = members.select("n").join(stay.select(F.col("first.n").alias("n")), "n", "left_anti")
         gone = staged(gone.select(F.col("n").alias(row)), "gone")
     return numbered.join(gone, row, "left_anti").drop(row)

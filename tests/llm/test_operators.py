@@ -310,6 +310,21 @@ def test_keep_one_holds_links_against_shingles(spark):
     assert kept == {0, 101}
 
 
+def test_keep_one_finds_copies_behind_boilerplate(spark):
+    draw = random.Random(8)
+    passage = [f"w{i}" for i in range(320)]
+    rows = []
+    for i in range(150):
+        own = passage + [f"own{i}-{k}" for k in range(80)]
+        copy = list(own)
+        for k in draw.sample(range(400), 2):
+            copy[k] = f"new{i}-{k}"
+        rows += [(2 * i, own), (2 * i + 1, copy)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    kept = sorted(r.doc_id for r in simhash.keep_one(docs).collect())
+    assert kept == list(range(0, 300, 2))
+
+
 # 7 sharding
 
 
