@@ -400,7 +400,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     shingles themselves differ in about nine bits at that similarity, beyond what ball hashing can
     reach; the README has figures.) Their links make groups of candidates; in these a link holds only
     if the shingles are that similar (:func:`verified_pairs`), so texts that merely share many words
-    stay. What the pivots leave apart is joined exactly (:func:`joined_by_prefix`). Words are compared with A-Z in lower case; texts of equal words are copies, fewer words than
+    stay. What the pivots leave apart, and texts that no fingerprint links, are joined exactly
+    (:func:`joined_by_prefix`), so no pair of that similarity is lost. Words are compared with A-Z in lower case; texts of equal words are copies, fewer words than
     ``width`` one shingle, and texts without words (null, empty, blank) copies of each other. Of
     repeated rows one stays. A null key is the largest.
     """
@@ -421,10 +422,13 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
         firsts = staged(firsts.select("first", F.col("first.n").alias("n")), "firsts")
         alike = components(verified_pairs(shapes.join(firsts.select("n"), "n", "left_semi")))
         named = firsts.join(alike.withColumnRenamed("node", "n"), "n", "left")
-        named = staged(named.select("n", "first", F.coalesce("root", "n").alias("root")), "named")
+        named = named.select("n", "first", F.coalesce("root", "n").alias("root"))
+        # texts that no fingerprint links are joined as well
+        alone = ids.join(members, "n", "left_anti").select("n", order.alias("first"), F.col("n").alias("root"))
+        named = staged(named.unionByName(alone), "named")
         more = joined_by_prefix(ids.join(named, "n").select("n", "root", "text"), width)
         named = named.join(more.select(F.col("node").alias("root"), F.col("root").alias("least")), "root", "left")
         stay = named.groupBy(F.coalesce("least", "root").alias("root")).agg(F.min("first").alias("first"))
-        gone = members.select("n").join(stay.select(F.col("first.n").alias("n")), "n", "left_anti")
+        gone = ids.select("n").join(stay.select(F.col("first.n").alias("n")), "n", "left_anti")
         gone = staged(gone.select(F.col("n").alias(row)), "gone")
     return numbered.join(gone, row, "left_anti").drop(row)

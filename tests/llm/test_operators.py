@@ -325,6 +325,23 @@ def test_keep_one_finds_copies_behind_boilerplate(spark):
     assert kept == list(range(0, 300, 2))
 
 
+def test_keep_one_finds_what_fingerprints_miss(spark):
+    draw = random.Random(9)
+    rows = []
+    for i in range(200):  # 55 Zipf-like words, one changed: 46 of 56 shingles shared
+        own = [f"w{int(draw.paretovariate(0.5)) % 5000}" for _ in range(55)]
+        copy = own[:20] + [f"new{i}"] + own[21:]
+        rows += [(2 * i, own), (2 * i + 1, copy)]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    shingles = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (words(t) for _, t in rows)]
+    alike = [i for i in range(0, 400, 2) if 10 * len(shingles[i] & shingles[i + 1]) >= 8 * len(shingles[i] | shingles[i + 1])]
+    prints = [[simhash.fingerprint(t, 1, False, seed) for _, t in rows] for seed in simhash.SEEDS]
+    assert len(alike) > 100 and any(all((f[i] ^ f[i + 1]).bit_count() > 4 for f in prints) for i in alike)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one(docs).collect()}
+    assert kept == set(range(400)) - {i + 1 for i in alike}
+
+
 # 7 sharding
 
 
