@@ -2,8 +2,10 @@
 
 Documents are linked if they share a hub (an equal text, a site, both ends of a link). Each round a
 document sees how many members of its hub every shard holds and asks for the fullest shard that has
-room; as many are let in as the shard's quota allows. Hubs are counted before anything is joined, so
-a hub of a third of all documents is one row of counts. Documents without links then fill the shards
+room; as many are let in as the shard's quota allows. Hubs start whole, in the shard of their hash; of
+a shard over its quota, hubs that fit elsewhere ask as a whole for a shard with room, so only hubs
+larger than the room are split. Hubs are counted before anything is joined, so a hub of a third of all
+documents is one row of counts. Documents without links then fill the shards
 up to sizes at most one apart. Everything here is Spark expressions.
 """
 
@@ -53,28 +55,43 @@ def propagate(members: DataFrame, shards: int, quota: int, rounds: int) -> DataF
     """
     start = F.pmod(F.xxhash64("hub"), F.lit(shards)).cast("int")
     labels = staged(members.groupBy("row").agg(F.min(start).alias("shard")), "labels")
-    for _ in range(rounds):
-        room = [max(0, quota - n) for n in _loads(labels, shards)]
+    for turn in range(rounds):
+        loads = _loads(labels, shards)
+        room = [max(0, quota - n) for n in loads]
+        # the share of a shard's hubs that is to leave it
+        out = _listed([FINE * max(0, n - quota) // max(1, n) for n in loads])
         seen = members.join(labels, "row")
         counts = seen.groupBy("hub").agg(
             F.count("*").alias("size"),
             F.array(*[F.count(F.when(F.col("shard") == k, 1)) for k in range(shards)]).alias("held"),
         )
         open_ = _listed(room)
+        # shards that hold nothing of a hub are seen by each hub in another order
+        turned = F.xxhash64("hub", F.lit(turn))
         best = F.array_max(
-            F.transform("held", lambda n, k: F.when(F.get(open_, k) > 0, F.struct(n.alias("n"), (-k).alias("k"))))
+            F.transform(
+                "held",
+                lambda n, k: F.when(
+                    F.get(open_, k) > 0,
+                    F.struct(n.alias("n"), F.when(n == 0, F.pmod(turned + k, F.lit(shards))).otherwise(0).alias("t"), (-k).alias("k")),
+                ),
+            )
         )
         counts = counts.select("hub", "size", "held", best.alias("best")).where(F.col("best").isNotNull())
         wish = seen.join(counts, "hub").select(
             "row",
             "shard",
-            F.when(F.col("size") * 20 <= quota, F.xxhash64("hub")).otherwise(F.xxhash64("row")).alias("mark"),
+            F.when(F.col("size") <= F.get(open_, -F.col("best.k")), F.xxhash64("hub")).otherwise(F.xxhash64("row")).alias("mark"),
+            (
+                (F.pmod(F.xxhash64("hub", F.lit(turn), F.lit("out")), F.lit(FINE)) < F.get(out, F.col("shard")))
+                & (F.col("size") <= F.get(open_, -F.col("best.k")))
+            ).alias("leaves"),
             (-F.col("best.k")).cast("int").alias("to"),
             F.col("best.n").alias("there"),
             F.get("held", F.col("shard")).alias("here"),
         )
         gain = F.struct((F.col("there") - F.col("here")).alias("gain"), (-F.col("to")).alias("k"), "mark")
-        wish = wish.where((F.col("there") > F.col("here")) | ((F.col("there") == F.col("here")) & (F.col("to") < F.col("shard"))))
+        wish = wish.where(F.col("leaves") | (F.col("there") > F.col("here")) | ((F.col("there") == F.col("here")) & (F.col("to") < F.col("shard"))))
         wish = staged(wish.groupBy("row").agg(F.max(gain).alias("w")), "wishes")
         asked = _loads(wish.select((-F.col("w.k")).alias("shard")), shards)
         if not sum(asked):
@@ -97,21 +114,25 @@ def balance(rows: DataFrame, members: DataFrame, shards: int, rounds: int = 6) -
     spark = rows.sparkSession
     with tidy_shuffles(spark):
         total = rows.count()
-        linked = members.join(members.groupBy("hub").count().where("count > 1").select("hub"), "hub", "left_semi")
-        linked = staged(linked.select("row", "hub"), "linked")
-        labels = propagate(linked, shards, -(-total // shards), rounds)
-        hubs = linked.groupBy("row").agg(F.min("hub").alias("hub"))
-        near = F.pmod(F.xxhash64("hub"), F.lit(BUCKETS // 16)) * 16 + F.pmod(F.xxhash64("row"), F.lit(16))
+        quota = -(-total // shards)
+        linked = members.join(members.groupBy("hub").agg(F.count("*").alias("size")).where("size > 1"), "hub")
+        linked = staged(linked.select("row", "hub", (F.col("size") * 20 > quota).alias("big")), "linked")
+        labels = propagate(linked.select("row", "hub"), shards, quota, rounds)
+        hubs = linked.groupBy("row").agg(F.min(F.struct("hub", "big")).alias("h")).select("row", "h.hub", "h.big")
+
+        def in_order(n: int) -> Column:
+            # small hubs lie in one bucket each and before the big ones, which are the ones to be split
+            big = n // 2 + F.pmod(F.xxhash64("hub"), F.lit(n // 32)) * 16 + F.pmod(F.xxhash64("row"), F.lit(16))
+            return F.when(F.col("big"), big).otherwise(F.pmod(F.xxhash64("hub"), F.lit(n // 2)))
+
+        near = in_order(BUCKETS)
         placed = numbered(labels.join(hubs, "row"), F.col("shard"), near, ["hub", "row"], "slot")
         placed = staged(placed.select("row", "shard", "slot"), "placed")
         loads = _loads(placed, shards)
         sizes = [total // shards + (k < total % shards) for k in range(shards)]
         stay = placed.where(F.col("slot") < F.get(_listed(sizes), F.col("shard")))
         half = BUCKETS // 2
-        spread = F.when(
-            F.col("hub").isNotNull(),
-            F.pmod(F.xxhash64("hub"), F.lit(half // 16)) * 16 + F.pmod(F.xxhash64("row"), F.lit(16)),
-        ).otherwise(half + F.pmod(F.xxhash64("row"), F.lit(half)))
+        spread = F.when(F.col("hub").isNotNull(), in_order(half)).otherwise(half + F.pmod(F.xxhash64("row"), F.lit(half)))
         # linked ones come first and hub by hub, so that what is left of a hub stays together
         rest = rows.select("row").join(stay, "row", "left_anti").join(hubs, "row", "left")
         rest = numbered(rest, F.lit(0), spread, ["hub", "row"], "n")

@@ -364,6 +364,21 @@ def test_hot_group_fills_few_shards(spark):
     assert len(Counter(r.shard for r in rows)) == 8 and set(Counter(r.shard for r in rows).values()) == {500}
 
 
+def test_rounds_move_whole_groups_out_of_full_shards(spark):
+    hub = "if(id % 3 = 0, 'same', concat('h', cast(id div 24 as string)))"
+    docs = spark.range(6000).selectExpr("id as row", f"md5({hub}) as hub")
+    docs = staged(docs, "docs")
+    start = {r.row: r.shard for r in sharding.propagate(docs, 8, 750, 0).collect()}
+    end = {r.row: r.shard for r in sharding.propagate(docs, 8, 750, 6).collect()}
+    assert sum(start[r] != end[r] for r in start) > 100
+    parts = defaultdict(set)
+    for row, shard in end.items():
+        parts[0 if row % 3 == 0 else row // 24 + 1].add(shard)
+    assert all(len(p) == 1 for p in parts.values())
+    cut = sharding.cut(sharding.balance(docs.select("row"), docs, 8), docs).where("parts > 1").collect()
+    assert sum(r.members == 16 for r in cut) <= 12  # of 250; the hot one has to be cut
+
+
 def test_shard_edges(spark, edges):
     assert sharding.shard_documents(edges).count() == len(EDGES)
     assert sharding.shard_documents(edges.limit(0)).count() == 0
