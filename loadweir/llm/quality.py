@@ -19,9 +19,9 @@ SYMBOLS = "#*$%&|<>"
 LEAST_DOCUMENTS = 100
 #: Fences lie this many times the distance of the quartiles beyond them.
 REACH = 3
-#: Each metric, its largest value that is never rejected, and its smallest (None: no lower fence).
+#: Each metric, and what its upper and its lower fence (None: none) keep from the quartile at least.
 #: Symbols, repeated lines and repeated words are per thousand; word lengths are in tenths.
-RULES = {"symbols": (100, None), "dup_lines": (400, None), "repeats": (450, None), "length": (62, 30)}
+RULES = {"symbols": (50, None), "dup_lines": (100, None), "repeats": (100, None), "length": (10, 10)}
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -122,11 +122,15 @@ def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
     )
     quartiles = gathered.select(*group, "total", F.expr(running).alias("q"))
     spread = REACH * (F.col("q.hi") - F.col("q.lo"))
+    # a bucket's values reach up to 1/32 beyond its lower edge
+    top = F.col("q.hi") + F.floor(F.col("q.hi") / 32)
     bounds = []
-    for name, (least_high, most_low) in RULES.items():
+    for name, (above, below) in RULES.items():
         mine = F.col("metric") == name
-        high = F.greatest(F.col("q.hi") + spread, F.lit(least_high))
-        low = F.least(F.col("q.lo") - spread, F.lit(most_low)) if most_low is not None else F.lit(0)
+        high = top + F.greatest(spread, F.lit(above))
+        low = F.lit(0)
+        if below is not None:
+            low = F.col("q.lo") - F.greatest(spread, F.lit(below))
         bounds += [F.max(F.when(mine, high)).alias(f"{name}_high"), F.max(F.when(mine, low)).alias(f"{name}_low")]
     return quartiles.groupBy(*keys).agg(F.max("total").alias("documents"), *bounds)
 

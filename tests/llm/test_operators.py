@@ -454,6 +454,18 @@ def test_quality_sketches_merge_and_bound(spark):
     assert sum(r.kept for r in judged.values()) == 301
 
 
+def test_quality_verdict_depends_on_source(spark):
+    def text(i, symbols):
+        return " ".join(f"w{i:03}x{j:02}" + "#" * (j < symbols) for j in range(60))
+
+    rows = [(i, "en", "plain", text(i, 0)) for i in range(200)] + [(200 + i, "en", "code", text(i, 3 + i % 4)) for i in range(200)]
+    rows += [(900, "en", "plain", text(900, 5)), (901, "en", "code", text(900, 5))]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    judged = {r.doc_id: r for r in quality.judge(staged(quality.measure(docs), "measured")).collect()}
+    assert judged[900].broken == ["symbols"] and judged[901].kept
+    assert sum(r.kept for r in judged.values()) == 401
+
+
 def test_quality_edges(spark, edges):
     judged = quality.judge(staged(quality.measure(edges), "measured"))
     assert judged.count() == len(EDGES) and judged.where("kept").count() == 0
