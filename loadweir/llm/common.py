@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadweir.session import shared_dir
+from loadweir.sinks.target import FileTree
 
 #: Bytes that separate words: space and \t \n \v \f \r. ``bytes.split()`` splits on exactly these.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -37,7 +38,16 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a lineage cut that outlives executors."""
     path = shared_dir(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.staged_at = path
+    return found
+
+
+def forget(spark: SparkSession, *tables: DataFrame | str) -> None:
+    """Delete staged tables, or folders by path, whose readers have all ended."""
+    files = FileTree(spark)
+    for table in tables:
+        files.delete(table if isinstance(table, str) else table.staged_at)
 
 
 def lower_ascii(column):

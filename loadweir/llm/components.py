@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadweir.llm.common import staged
+from loadweir.llm.common import forget, staged
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -18,7 +18,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     pairs = staged(pairs.where((F.col(a) != F.col(b))).distinct(), "edges")
-    seen = None
+    spark, seen = edges.sparkSession, None
     while True:
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_000_007)).first()
         if now == seen:
@@ -32,4 +32,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = staged(large.where("u <> v").distinct(), "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("v"))
         small = large.join(least.withColumnRenamed("v", "m"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = staged(small.where("u <> v").unionByName(least).distinct(), "small-star")
+        before, pairs = pairs, staged(small.where("u <> v").unionByName(least).distinct(), "small-star")
+        forget(spark, before, large)

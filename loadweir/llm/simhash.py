@@ -4,7 +4,9 @@ Two fingerprints that differ in at most ``2 h`` bits have a common variant withi
 Every distinct fingerprint emits all its variants within ``h`` bits; those that share a variant meet
 in one place, are at most ``2 h`` bits apart, and are linked. The variants are dealt out in rounds by
 a linear code of their bits: a round emits only the flips that lead into its class, so no variant is
-made twice and the disk holds one round at a time.
+made twice and the disk holds one round at a time. A cheap round of single flips comes first; what it
+and each later fold have joined travels along as a root, and a place links roots that differ only, by
+a forest, so that a group of n fingerprints near each other makes rows in proportion to n.
 """
 
 from __future__ import annotations
@@ -20,21 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadweir.llm.common import staged, tidy_shuffles
+from loadweir.llm.common import forget, staged, tidy_shuffles
 from loadweir.llm.components import components
 from loadweir.session import shared_dir
 
 BITS = 64
 SEED = 42
-#: Seeds of the fingerprints by which :func:`keep_one` links texts.
-SEEDS = (42, 43)
-#: Least similarity of the shingles of near-duplicates, in per cent.
-SIMILAR = 80
-#: Seeds and odd factor of the MinHashes by which :func:`verified_pairs` makes blocks.
-MIN_SEEDS = tuple(np.uint64(xxhash.xxh64_intdigest(str(i).encode(), SEED)) for i in range(8))
-MIX = np.uint64(0x9E3779B97F4A7C15)
-#: One text of so many is looked at to find shingles that many texts share, and at most so many are told apart.
-SAMPLED, COMMON = 16, 1_000_000
 #: Bits of the code that deals variants to rounds: 2 ** 3 rounds.
 ROUND_BITS = 3
 #: Variants that one bucket gets in a round, about.
@@ -43,12 +36,11 @@ BUCKET_VARIANTS = 1_000_000
 CHUNK = 4_000
 
 
-def fingerprint(text: str | None, width: int, repeats: bool = True, seed: int = SEED) -> int:
-    """The unsigned fingerprint of a text's shingles of ``width`` words.
+def fingerprint(text: str | None, width: int) -> int:
+    """The unsigned fingerprint of a text's shingles of ``width`` words, each as often as it stands.
 
-    With ``repeats`` each shingle counts as often as it stands, else once. A-Z in lower case; words
-    are separated by ASCII blanks. Fewer words than ``width`` are one shingle; no words (null, empty,
-    blank): 0. A bit is 1 if it is in over half of the hashes.
+    A-Z in lower case; words are separated by ASCII blanks. Fewer words than ``width`` are one
+    shingle; no words (null, empty, blank): 0. A bit is 1 if it is in over half of the hashes.
     """
     words = (text or "").encode().lower().split()
     if not words:
@@ -56,30 +48,24 @@ def fingerprint(text: str | None, width: int, repeats: bool = True, seed: int =
     digest = xxhash.xxh64_intdigest
     joined = b" ".join(words)
     if len(words) <= width:
-        return digest(joined, seed)
+        return digest(joined, SEED)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     begins = np.concatenate([[0], ends[:-1]])[: len(words) - width + 1].tolist()
     shingles = [joined[a:b] for a, b in zip(begins, (ends[width - 1 :] - 1).tolist())]
-    shingles = shingles if repeats else set(shingles)
-    hashes = np.fromiter(map(digest, shingles, repeat(seed)), "<u8", len(shingles))
+    hashes = np.fromiter(map(digest, shingles, repeat(SEED)), "<u8", len(shingles))
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     over = 2 * bits.sum(axis=0, dtype=np.int32) > len(hashes)
     return int(np.packbits(over, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(
-    docs: DataFrame, key: str, text: str, width: int, repeats: bool = True, seeds: tuple[int, ...] = (SEED,)
-) -> DataFrame:
-    """``key`` and ``fp0``, ``fp1`` and so on, a fingerprint's 64 bits as a long for each seed, for every row."""
-    names = [f"fp{i}" for i in range(len(seeds))]
-    schema = T.StructType([docs.schema[key], *(T.StructField(n, T.LongType(), False) for n in names)])
+def fingerprints(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    """``key`` and ``fp``, the fingerprint's 64 bits as a long, for every row."""
+    schema = T.StructType([docs.schema[key], T.StructField("fp", T.LongType(), False)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            found = [np.array([fingerprint(t, width, repeats, s) for t in texts], np.uint64) for s in seeds]
-            columns = [pa.array(f.view(np.int64)) for f in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [key, *names])
+            found = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], [key, "fp"])
 
     return docs.select(key, text).mapInArrow(run, schema)
 
@@ -113,322 +99,167 @@ def _bucket(variants: np.ndarray, buckets: int) -> np.ndarray:
     return (mixed % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
 
 
-def _emit(turn: int, half: int, buckets: int):
-    """The variants of one round, packed into one row for each bucket and chunk of fingerprints."""
+def _emit(turn: int | None, half: int, buckets: int):
+    """The variants of one round (of all if None), packed into one row for each bucket and chunk.
+
+    A variant comes with the number of its mask, which gives its fingerprint back, and with its root
+    where that is another one.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flips = _flips(half)
+        firsts = np.cumsum([0, *map(len, flips)])
+        everything = np.concatenate(flips)
         for batch in batches:
-            whole = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            whole, known = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
             for start in range(0, len(whole), CHUNK):
-                fps = whole[start : start + CHUNK]
+                fps, roots = whole[start : start + CHUNK], known[start : start + CHUNK]
                 codes = _codes(fps)
-                found = [
-                    (np.bitwise_xor.outer(fps[codes == code], flips[code ^ turn]), fps[codes == code], len(flips[code ^ turn]))
-                    for code in range(len(flips))
-                ]
-                variants = np.concatenate([v.ravel() for v, _, _ in found])
-                sources = np.concatenate([np.repeat(f, n) for _, f, n in found])
+                found = []
+                for code in range(len(flips)) if turn is not None else [None]:
+                    of = codes == code if code is not None else np.ones(len(fps), bool)
+                    masks = everything if code is None else flips[code ^ turn]
+                    first = 0 if code is None else firsts[code ^ turn]
+                    numbers = np.arange(first, first + len(masks), dtype=np.uint16)
+                    found.append(
+                        (
+                            np.bitwise_xor.outer(fps[of], masks).ravel(),
+                            np.tile(numbers, int(of.sum())),
+                            np.repeat(roots[of], len(masks)),
+                            np.repeat(roots[of] != fps[of], len(masks)),
+                        )
+                    )
+                variants, numbers, owners, joined = map(np.concatenate, zip(*found))
                 bucket = _bucket(variants, buckets)
                 order = np.argsort(bucket, kind="stable")
-                variants, sources = variants[order], sources[order]
+                variants, numbers, owners, joined = (x[order] for x in (variants, numbers, owners, joined))
                 ends = np.cumsum(np.bincount(bucket, minlength=buckets))
                 rows = [(i, a, b) for i, (a, b) in enumerate(zip([0, *ends[:-1]], ends)) if b > a]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([i for i, _, _ in rows], pa.int32()),
-                        pa.array([variants[a:b].tobytes() for _, a, b in rows], pa.binary()),
-                        pa.array([sources[a:b].tobytes() for _, a, b in rows], pa.binary()),
-                    ],
-                    ["bucket", "variants", "fps"],
-                )
+                packed = [
+                    [variants[a:b].tobytes() for _, a, b in rows],
+                    [numbers[a:b].tobytes() for _, a, b in rows],
+                    [np.packbits(joined[a:b]).tobytes() for _, a, b in rows],
+                    [owners[a:b][joined[a:b]].tobytes() for _, a, b in rows],
+                ]
+                columns = [pa.array([i for i, _, _ in rows], pa.int32()), *(pa.array(x, pa.binary()) for x in packed)]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "variants", "masks", "joined", "roots"])
 
     return run
 
 
-def _collide(radius: int):
-    """Links between the fingerprints of a bucket that share a variant, each checked against ``radius``."""
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least node that links reach, and the node, for every node that is not the least itself."""
+    nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = places[: len(a)], places[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], least)
+        np.minimum.at(new, label[b], least)
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
+        if np.array_equal(new, label):
+            other = label != np.arange(len(nodes))
+            return nodes[label[other]], nodes[other]
+        label = new
+
+
+def _collide(radius: int, half: int):
+    """A forest of the roots in a bucket whose fingerprints share a variant, each link checked against ``radius``."""
 
     def run(table: pa.Table) -> pa.Table:
-        variants = np.frombuffer(b"".join(table.column("variants").to_pylist()), np.uint64)
-        fps = np.frombuffer(b"".join(table.column("fps").to_pylist()), np.uint64)
+        everything = np.concatenate(_flips(half))
+        packed = [table.column(c).to_pylist() for c in ("variants", "masks", "joined", "roots")]
+        variants = np.frombuffer(b"".join(packed[0]), np.uint64)
+        fps = variants ^ everything[np.frombuffer(b"".join(packed[1]), np.uint16)]
+        joined = [np.unpackbits(np.frombuffer(j, np.uint8), count=len(v) // 8) for v, j in zip(packed[0], packed[2])]
+        roots = fps.copy()
+        roots[np.concatenate(joined).view(bool)] = np.frombuffer(b"".join(packed[3]), np.uint64)
         ordered = np.sort(variants)
         shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
         place = np.searchsorted(shared, variants)
         place[place == len(shared)] = 0
         met = np.flatnonzero(shared[place] == variants) if len(shared) else np.zeros(0, np.int64)
-        v, f = variants[met], fps[met]
-        order = np.lexsort((f, v))
-        v, f = v[order], f[order]
-        same = np.flatnonzero(v[1:] == v[:-1])
-        pairs = np.stack([f[same], f[same + 1]]).view(np.int64)
-        near = np.bitwise_count((pairs[0] ^ pairs[1]).view(np.uint64)) <= radius
-        pairs = np.unique(np.sort(pairs[:, near & (pairs[0] != pairs[1])], axis=0), axis=1)
-        return pa.table({"a": pa.array(pairs[0].copy()), "b": pa.array(pairs[1].copy())})
+        v, f, r = variants[met], fps[met], roots[met].view(np.int64)
+        order = np.lexsort((r, v))
+        v, f, r = v[order], f[order], r[order]
+        # those that share a variant are all near each other: a chain through their roots is enough
+        at = np.flatnonzero((v[1:] == v[:-1]) & (r[1:] != r[:-1]))
+        at = at[np.bitwise_count(f[at] ^ f[at + 1]) <= radius]
+        a, b = _forest(r[at], r[at + 1])
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
     return run
 
 
-def links(distinct: DataFrame, radius: int = 4) -> DataFrame:
-    """Pairs ``a``, ``b`` of fingerprints (column ``fp``, each once) that connect all within ``radius`` bits.
+def linked(distinct: DataFrame, radius: int = 4) -> DataFrame:
+    """``fp``, ``root``: the least fingerprint that links within ``radius`` bits reach, for each of ``distinct``.
 
-    Those that share a variant are all near each other, so a chain through them loses no link of a
-    component; their pairs are not expanded. Variants travel packed, a row for each bucket and chunk;
-    the number of buckets grows with the input, so that a bucket holds :data:`BUCKET_VARIANTS`.
+    ``distinct`` has a column ``fp``, each once. Variants travel packed, a row for each bucket and
+    chunk; the number of buckets grows with the input, so that a bucket holds
+    :data:`BUCKET_VARIANTS`. After the round of single flips, the first of the full rounds and the
+    last, links are folded into the roots, and their tables deleted.
     """
     if radius % 2 or not 0 < radius <= 6:
         raise ValueError("the radius is 2, 4 or 6")
     spark, half = distinct.sparkSession, radius // 2
-    each = sum(comb(BITS, k) for k in range(half + 1)) >> ROUND_BITS
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), distinct.count() * each // BUCKET_VARIANTS + 1)
-    paths = []
-    for turn in range(1 << ROUND_BITS):
-        packed = distinct.select("fp").mapInArrow(
-            _emit(turn, half, buckets), "bucket int, variants binary, fps binary"
-        )
-        paths.append(shared_dir(spark, f"links-{turn}"))
-        packed.groupBy("bucket").applyInArrow(_collide(radius), "a long, b long").write.parquet(paths[-1])
-    return spark.read.schema("a long, b long").parquet(*paths)
+    least, rows = int(spark.conf.get("spark.sql.shuffle.partitions")), distinct.count()
+    turns = [(half, turn) for turn in range(1 << ROUND_BITS)]
+    roots = staged(distinct.select("fp", F.col("fp").alias("root")), "roots")
+    for several in ([[(1, None)]] if half > 1 else []) + [turns[:1], turns[1:]]:
+        paths = []
+        for flips, turn in several:
+            each = sum(comb(BITS, k) for k in range(flips + 1)) >> (0 if turn is None else ROUND_BITS)
+            buckets = max(least, rows * each // BUCKET_VARIANTS + 1)
+            schema = "bucket int, variants binary, masks binary, joined binary, roots binary"
+            packed = roots.mapInArrow(_emit(turn, flips, buckets), schema)
+            paths.append(shared_dir(spark, "links"))
+            met = packed.groupBy("bucket").applyInArrow(_collide(2 * flips, flips), "a long, b long")
+            met.write.parquet(paths[-1])
+        edges = spark.read.schema("a long, b long").parquet(*paths)
+        found = components(edges).select(F.col("node").alias("root"), F.col("root").alias("over"))
+        before, roots = roots, staged(roots.join(found, "root", "left").select("fp", F.coalesce("over", "root").alias("root")), "roots")
+        forget(spark, before, *paths)
+    return roots
 
 
 def near_duplicates(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    width: int = 5,
-    radius: int = 4,
-    repeats: bool = True,
-    seeds: tuple[int, ...] = (SEED,),
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 4
 ) -> DataFrame:
-    """``key``, ``fp`` (of the first seed) and ``component_id``, the smallest key that links reach, for every row.
+    """``key``, ``fp`` and ``component_id``, the smallest key that links reach, for every row.
 
-    Links join rows whose fingerprints of one seed differ in at most ``radius`` bits. Rows without
-    words have fingerprint 0 and are linked like any other. Repeated rows come back as often as they
-    came. A null key is never the smallest; a component of null keys alone has a null id. Other
-    columns play no part; ``key`` may be a struct, which is compared field by field.
+    Links join rows whose fingerprints differ in at most ``radius`` bits. Rows without words have
+    fingerprint 0 and are linked like any other. Repeated rows come back as often as they came. A
+    null key is never the smallest; a component of null keys alone has a null id. Other columns play
+    no part; ``key`` may be a struct, which is compared field by field.
     """
     spark = docs.sparkSession
     with tidy_shuffles(spark):
-        marked = staged(fingerprints(docs, key, text, width, repeats, seeds), "fingerprints")
-        distinct = staged(marked.groupBy("fp0").agg(F.min(key).alias("first")), "distinct")
-        edges = links(distinct.select(F.col("fp0").alias("fp")), radius)
-        for i in range(1, len(seeds)):
-            # a fingerprint of another seed stands for the smallest first one it comes with
-            both = staged(marked.select("fp0", F.col(f"fp{i}").alias("fp")).distinct(), "both")
-            stands = staged(both.groupBy("fp").agg(F.min("fp0").alias("node")), "stands")
-            # a row per fingerprint, not per link: the links of a large group are many times its size
-            met = components(links(stands.select("fp"), radius), "a", "b").toDF("a", "b")
-            met = met.join(stands.select(F.col("fp").alias("a"), F.col("node").alias("na")), "a")
-            met = met.join(stands.select(F.col("fp").alias("b"), F.col("node").alias("nb")), "b")
-            edges = edges.unionByName(met.select(F.col("na").alias("a"), F.col("nb").alias("b")))
-            same = both.join(stands, "fp").select(F.col("fp0").alias("a"), F.col("node").alias("b"))
-            edges = edges.unionByName(same)
-        found = components(edges)
-        named = distinct.join(found.withColumnRenamed("node", "fp0"), "fp0", "left")
-        named = named.select("fp0", "first", F.coalesce("root", "fp0").alias("root"))
+        marked = staged(fingerprints(docs, key, text, width), "fingerprints")
+        distinct = staged(marked.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
+        roots = linked(distinct.select("fp"), radius)
+        named = distinct.join(roots, "fp")
         smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-        named = staged(named.join(smallest, "root").select("fp0", "component_id"), "named")
-        columns = [key, F.col("fp0").alias("fp"), "component_id"]
-        return staged(marked.join(named, "fp0").select(*columns), "near-duplicates")
-
-
-def _shingles(words: list[bytes], width: int) -> np.ndarray:
-    """The hashes of a text's distinct shingles."""
-    parts = {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
-    return np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in parts), np.uint64, len(parts))
-
+        named = staged(named.join(smallest, "root").select("fp", "component_id"), "named")
+        found = staged(marked.join(named, "fp").select(key, "fp", "component_id"), "near-duplicates")
+        forget(spark, marked, distinct, roots, named)
+        return found
 
-def _shapes(width: int):
-    """A text's digest, the hashes of its distinct shingles, their fingerprint and their least values."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            rows = []
-            for words in ((t or "").encode().lower().split() for t in texts):
-                joined = b" ".join(words)
-                hashes = _shingles(words, width)
-                bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                over = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
-                least = [int(((hashes ^ s) * MIX).min()) for s in MIN_SEEDS]
-                centre = np.packbits(over, bitorder="little").view("<u8")
-                signed = np.concatenate([centre, np.array(least, np.uint64)]).view(np.int64).tolist()
-                rows.append((xxhash.xxh3_128_digest(joined), signed[0], signed[1:], hashes.view(np.int64)))
-            added = [
-                pa.array([r[0] for r in rows], pa.binary()),
-                pa.array([r[1] for r in rows], pa.int64()),
-                pa.array([r[2] for r in rows], pa.list_(pa.int64())),
-                pa.array([r[3] for r in rows], pa.list_(pa.int64())),
-            ]
-            kept = [batch.column(batch.schema.get_field_index(c)) for c in ("id", "n", "group")]
-            names = ["id", "n", "group", "digest", "fp", "least", "shingles"]
-            yield pa.RecordBatch.from_arrays([*kept, *added], names)
-
-    return run
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, radius: int = 4) -> DataFrame:
+    """``docs`` with one row of each component of near-duplicates: that of the smallest ``key``; columns as they are.
 
-
-def verified_pairs(shapes: DataFrame, percent: int = SIMILAR) -> DataFrame:
-    """Pairs ``a``, ``b`` of rows (column ``n``) of a ``group`` whose shingles are similar by ``percent`` or more.
-
-    Not all pairs of a group are looked at, for it may hold a third of all rows. Rows meet in blocks:
-    the whole group, and for each of :data:`MIN_SEEDS` those with an equal MinHash, which rows of
-    0.8 similarity have for four seeds in five. A block's pivot is the row whose fingerprint is
-    nearest to the block's majority, for copies the text they were made from; every row is compared,
-    exactly, with the pivots of its blocks.
-    """
-    slots = F.array(F.struct(F.lit(-1).alias("slot"), F.lit(0).cast("long").alias("value")))
-    mins = F.transform("least", lambda v, i: F.struct(i.alias("slot"), v.alias("value")))
-    rows = shapes.select("n", "group", "fp", F.explode(F.concat(slots, mins)).alias("block"))
-    rows = rows.select("n", "fp", F.struct("group", "block.slot", "block.value").alias("block"))
-    ones = [F.sum(F.expr(f"shiftright(fp, {i}) & 1L")).alias(f"s{i}") for i in range(BITS)]
-    blocks = rows.groupBy("block").agg(F.count("*").alias("rows"), *ones).where("rows > 1")
-    centre = " | ".join(f"if(2 * s{i} > rows, shiftleft(1L, {i}), 0L)" for i in range(BITS))
-    blocks = blocks.select("block", F.expr(centre).alias("centre"))
-    near = rows.join(blocks, "block").select("block", "n", F.expr("bit_count(fp ^ centre)").alias("d"))
-    pivots = near.groupBy("block").agg(F.min(F.struct("d", "n")).alias("p")).select("block", F.col("p.n").alias("a"))
-    met = rows.join(pivots, "block").where("a <> n").select("a", F.col("n").alias("b")).distinct()
-    sets = [shapes.select(F.col("n").alias(c), F.col("shingles").alias(f"s{c}")) for c in ("a", "b")]
-    both = met.join(sets[1], "b").join(sets[0], "a")
-    both = both.select("a", "b", (F.size("sa") + F.size("sb")).alias("all"), F.size(F.array_intersect("sa", "sb")).alias("same"))
-    return both.where(F.expr(f"100 * same >= {percent} * (all - same)")).select("a", "b")
-
-
-def _sets(width: int):
-    """``n`` and ``shingles`` of every text (columns ``n``, ``text``)."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            sets = [_shingles((t or "").encode().lower().split(), width).view(np.int64) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["n", "shingles"])
-
-    return run
-
-
-def _prefixes(width: int, percent: int, common):
-    """The rarest shingles of every text, as many as it cannot lose all of to a text that similar."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = common.value
-        for batch in batches:
-            found = []
-            for text in batch.column(2).to_pylist():
-                hashes = np.sort(_shingles((text or "").encode().lower().split(), width))
-                rank = np.zeros(len(hashes), np.int64)
-                if len(known):
-                    place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                    rank = np.where(known[place] == hashes, counts[place], 0)
-                ordered = hashes[np.argsort(rank, kind="stable")]
-                found.append((ordered[: len(hashes) - -(-percent * len(hashes) // 100) + 1], len(hashes)))
-            taken = np.array([len(f) for f, _ in found], np.int64)
-            row = np.repeat(np.arange(len(found)), taken)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([f for f, _ in found]).view(np.int64) if found else np.zeros(0, np.int64)),
-                    batch.column(0).take(pa.array(row)),
-                    batch.column(1).take(pa.array(row)),
-                    pa.array(np.repeat(np.array([n for _, n in found], np.int32), taken)),
-                    pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in taken]) if found else np.zeros(0, np.int32)),
-                ],
-                ["hash", "n", "root", "size", "pos"],
-            )
-
-    return run
-
-
-def _common(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that many texts of a sample share, and how many: they only put shingles into an order."""
-    sample = texts.select("n", "text").where(F.pmod(F.xxhash64("n"), F.lit(SAMPLED)) == 0)
-    sets = sample.mapInArrow(_sets(width), "n long, shingles array<long>")
-    counts = sets.select(F.explode("shingles").alias("hash")).groupBy("hash").agg(F.count("*").alias("c")).where("c > 3")
-    counts = staged(counts, "common")
-    # at most COMMON shingles can have this share of all their counts
-    least = (counts.agg(F.sum("c")).first()[0] or 0) // COMMON
-    table = counts.where(F.col("c") > least).toArrow()
-    hashes = table.column("hash").to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], table.column("c").to_numpy()[order]
-
-
-def joined_by_prefix(texts: DataFrame, width: int, percent: int = SIMILAR) -> DataFrame:
-    """``node``, ``root``: which roots of ``texts`` (``n``, ``root``, ``text``) pairs that similar join. None is lost.
-
-    Shingles are put in one order, rare ones first. Of two texts similar by ``percent`` both have their
-    first common shingle among the first ``100 - percent`` per cent, so they meet there; and what is left
-    behind it must be enough for the similarity. Texts that meet are compared exactly, unless they have
-    one root already: first each with one of those it meets, so that groups of copies get one root
-    without all their pairs, then all that meet and still have different roots.
-    """
-    spark = texts.sparkSession
-    common = spark.sparkContext.broadcast(_common(texts, width))
-    schema = "hash long, n long, root long, size int, pos int"
-    entries = staged(texts.select("n", "root", "text").mapInArrow(_prefixes(width, percent, common), schema), "prefixes")
-    row = F.struct("n", "root", "size", "pos")
-    mixed = entries.groupBy("hash").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(row).alias("x"))
-    met = staged(entries.join(mixed.where("lo < hi").select("hash", "x"), "hash").select("hash", "x", row.alias("y")), "met")
-    # from the first common shingle on there are as many as the similarity needs
-    enough = f"{100 + percent}L * least(x.size - x.pos, y.size - y.pos) >= {percent}L * (x.size + y.size)"
-    ends = ["x.n as a", "y.n as b", "x.root as ra", "y.root as rb"]
-
-    def similar(pairs: DataFrame) -> DataFrame:
-        pairs = staged(pairs.selectExpr(*ends).distinct(), "pairs")
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct()
-        sets = texts.select("n", "text").join(nodes, "n", "left_semi").mapInArrow(_sets(width), "n long, shingles array<long>")
-        sets = staged(sets, "sets")
-        both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-        both = both.withColumn("same", F.size(F.array_intersect("sa", "sb")))
-        both = both.where(f"100L * same >= {percent}L * (size(sa) + size(sb) - same)")
-        return staged(both.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "similar")
-
-    links = similar(met.where(f"x.root <> y.root and {enough}"))
-    new = staged(components(links), "roots")
-    now = met.select("hash", "y").join(new.select(F.col("node").alias("r"), "root"), F.col("y.root") == F.col("r"), "left")
-    now = now.select("hash", F.col("y").alias("x"), F.coalesce("root", "y.root").alias("now"))
-    mixed = now.groupBy("hash").agg(F.min("now").alias("lo"), F.max("now").alias("hi")).where("lo < hi")
-    now = staged(now.join(mixed.select("hash"), "hash", "left_semi"), "met-again")
-    other = now.select("hash", F.col("x").alias("y"), F.col("now").alias("then"))
-    links = links.unionByName(similar(now.join(other, "hash").where(f"now < then and {enough}")))
-    common.unpersist()
-    return components(links)
-
-
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, radius: int = 4) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: that of the smallest ``key``; all columns as they are.
-
-    Texts of 0.8 similarity or more on shingles of ``width`` words share nearly all of their words:
-    the fingerprints here are of each text's distinct words, from two seeds. (Fingerprints of the
-    shingles themselves differ in about nine bits at that similarity, beyond what ball hashing can
-    reach; the README has figures.) Their links make groups of candidates; in these a link holds only
-    if the shingles are that similar (:func:`verified_pairs`), so texts that merely share many words
-    stay. What the pivots leave apart, and texts that no fingerprint links, are joined exactly
-    (:func:`joined_by_prefix`), so no pair of that similarity is lost. Words are compared with A-Z in lower case; texts of equal words are copies, fewer words than
-    ``width`` one shingle, and texts without words (null, empty, blank) copies of each other. Of
-    repeated rows one stays. A null key is the largest.
+    Components are those of :func:`near_duplicates`: fingerprints of the shingles of ``width`` words
+    within ``radius`` bits. Rows without words (null, empty, blank) have one fingerprint and so are
+    copies of each other. Of repeated rows one stays. A null key is the largest.
     """
     spark, row = docs.sparkSession, "row_of_" + "_".join(docs.columns)
     numbered = staged(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    ids = numbered.select(F.col(f"`{key}`").alias("id"), F.col(f"`{row}`").alias("n"), F.col(f"`{text}`").alias("text"))
-    found = near_duplicates(ids.select("n", "text"), "n", "text", width=1, radius=radius, repeats=False, seeds=SEEDS)
-    with tidy_shuffles(spark):
-        several = found.groupBy("component_id").agg(F.count("*").alias("rows")).where("rows > 1")
-        members = staged(found.join(several, "component_id").select("n", F.col("component_id").alias("group")), "members")
-        longs = T.ArrayType(T.LongType())
-        schema = T.StructType([ids.schema["id"]]).add("n", "long").add("group", "long").add("digest", "binary")
-        schema = schema.add("fp", "long").add("least", longs).add("shingles", longs)
-        shapes = ids.join(members, "n").select("id", "n", "group", "text").mapInArrow(_shapes(width), schema)
-        shapes = staged(shapes, "shapes")
-        order = F.struct(F.col("id").isNull().alias("none"), "id", "n")
-        firsts = shapes.groupBy("group", "digest").agg(F.min(order).alias("first"))
-        firsts = staged(firsts.select("first", F.col("first.n").alias("n")), "firsts")
-        alike = components(verified_pairs(shapes.join(firsts.select("n"), "n", "left_semi")))
-        named = firsts.join(alike.withColumnRenamed("node", "n"), "n", "left")
-        named = named.select("n", "first", F.coalesce("root", "n").alias("root"))
-        # texts that no fingerprint links are joined as well
-        alone = ids.join(members, "n", "left_anti").select("n", order.alias("first"), F.col("n").alias("root"))
-        named = staged(named.unionByName(alone), "named")
-        more = joined_by_prefix(ids.join(named, "n").select("n", "root", "text"), width)
-        named = named.join(more.select(F.col("node").alias("root"), F.col("root").alias("least")), "root", "left")
-        stay = named.groupBy(F.coalesce("least", "root").alias("root")).agg(F.min("first").alias("first"))
-        gone = ids.select("n").join(stay.select(F.col("first.n").alias("n")), "n", "left_anti")
-        gone = staged(gone.select(F.col("n").alias(row)), "gone")
+    # nulls come last in the order of the smallest
+    order = F.struct(F.col(f"`{key}`").isNull().alias("none"), F.col(f"`{key}`").alias("id"), F.col(f"`{row}`").alias("n"))
+    found = near_duplicates(numbered.select(order.alias("key"), F.col(f"`{text}`").alias("text")), "key", "text", width, radius)
+    gone = staged(found.where("key <> component_id").select(F.col("key.n").alias(row)), "gone")
+    forget(spark, found)
     return numbered.join(gone, row, "left_anti").drop(row)
