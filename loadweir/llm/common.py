@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -34,10 +34,10 @@ def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(CLEANUP, before)
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, options: Mapping[str, str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a lineage cut that outlives executors."""
     path = shared_dir(df.sparkSession, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **(options or {})).parquet(path)
     found = df.sparkSession.read.schema(df.schema).parquet(path)
     found.staged_at = path
     return found

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadweir.llm import byte_bpe, chat, class_lm, decontaminate, html_text, quality, sharding, simhash, substring, warc
+from loadweir.llm import (
+    byte_bpe,
+    chat,
+    class_lm,
+    decontaminate,
+    html_text,
+    jaccard,
+    quality,
+    ranked,
+    sharding,
+    simhash,
+    spelling,
+    substring,
+    warc,
+)
 from loadweir.llm.common import staged
 
 
@@ -85,6 +99,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return spelling.variants(spelling.word_counts(docs))
+
+
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return jaccard.similar_groups(docs, width=3, percent=90)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return ranked.search(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_html_text": op2_html_text,
@@ -96,13 +125,61 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_decontaminate": op10_decontaminate,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_ngram_jaccard": op12_ngram_jaccard,
+    "op13_ranked_search": op13_ranked_search,
 }
 _BLANK = r"[ \t\n\x0b\f\r]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RUNS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: SQL for the two operators whose results it can express; the others are held against brute force.
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+#: SQL for the operators whose results it can express; the others are held against brute force.
 ORACLE = {
+    "op12_ngram_jaccard": rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(string_split_regex({_LOWER}, '{_BLANK}'), lambda x: x <> '') AS w FROM documents
+        ),
+        grams AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS k FROM grams GROUP BY doc_id),
+        firsts AS (SELECT k, min(doc_id) AS doc_id, any_value(n) AS n FROM sizes GROUP BY k),
+        shared AS (SELECT g, doc_id, n FROM grams JOIN firsts USING (doc_id)),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM shared a JOIN shared b ON a.g = b.g AND a.doc_id <> b.doc_id AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+        ),
+        reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM firsts
+            UNION SELECT r.a, p.b FROM reached r JOIN pairs p ON p.a = r.b
+        ),
+        roots AS (SELECT a AS doc_id, min(b) AS root FROM reached GROUP BY a)
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(r.root, d.doc_id) AS component_id
+        FROM d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN firsts f ON f.k = s.k LEFT JOIN roots r ON r.doc_id = f.doc_id""",
+    "op13_ranked_search": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS w FROM documents),
+        b AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM benchmark
+        ),
+        whole AS (SELECT count(*) FILTER (len(w) > 0) AS n, sum(len(w)) AS l FROM d),
+        tfs AS (
+            SELECT doc_id, term, any_value(size) AS size, count(*) AS tf
+            FROM (SELECT doc_id, len(w) AS size, unnest(w) AS term FROM d) GROUP BY doc_id, term
+        ),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS weight
+            FROM tfs, whole WHERE term IN (SELECT term FROM b) GROUP BY term, n
+        ),
+        scores AS (
+            SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * size * n) // l)))) AS BIGINT) AS score
+            FROM b JOIN weights USING (term) JOIN tfs USING (term), whole GROUP BY item_id, doc_id
+        )
+        SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0
+        WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 10""",
     "op5_substring_dedup": rf"""
         WITH d AS (
             SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{_BLANK}'), lambda x: x <> '') AS w

@@ -25,10 +25,13 @@ from loadweir.llm import (
     components,
     decontaminate,
     html_text,
+    jaccard,
     quality,
     queries,
+    ranked,
     sharding,
     simhash,
+    spelling,
     substring,
     warc,
 )
@@ -494,6 +497,183 @@ def test_decontamination_edges(spark, edges):
     assert decontaminate.find_matches(edges.limit(0), tests.limit(0)).count() == 0
 
 
+# 11 spelling variants
+
+
+def brute_variants(counts, letters=6, least=5, ratio=5):
+    kept = {w: n for w, n in counts.items() if len(w) >= letters and n >= least}
+    without, near = defaultdict(set), defaultdict(set)
+    for w in kept:
+        for i in range(len(w)):
+            without[w[:i] + w[i + 1 :]].add((w, i))
+    for short, found in without.items():
+        for w, i in found:
+            if short in kept:
+                near[w].add(short)
+                near[short].add(w)
+            near[w] |= {x for x, j in found if i == j and x != w}
+    form = {}
+    for w, n in kept.items():
+        best = min(near[w], key=lambda x: (-kept[x], x), default=None)
+        form[w] = best if best is not None and kept[best] >= ratio * n else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {(w, form[w], root(w), n, len(near[w]), kept.get(form[w])) for w, n in kept.items()}
+
+
+def planted_counts(texts):
+    counts = Counter()
+    for d, text in texts.items():
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text):
+            w = lower(run)
+            h = zlib.crc32(f"{d}:{w}".encode())
+            counts[w if h % 199 else w[: h % len(w)] + w[h % len(w) + 1 :]] += 1
+    return counts
+
+
+def test_spelling_whole_table(spark, texts):
+    got = {(r.word, r.form, r.root, r.n, r.n_near, r.form_n) for r in RUN["op11_spelling_variants"](spark, SMALL).collect()}
+    wanted = brute_variants(planted_counts(texts))
+    assert got == wanted and any(r != w for w, _, r, *_ in wanted)
+
+
+@pytest.mark.parametrize("bucket", [40, 40_000])
+def test_near_words_in_blocks(spark, monkeypatch, bucket):
+    """Words of few letters and many lengths, with whole halves in common, in one block and in many."""
+    monkeypatch.setattr(spelling, "BUCKET_LETTERS", bucket)
+    draw = random.Random(11)
+    words = {"".join(draw.choices("ab\u00e9", k=draw.randint(1, 8))) for _ in range(250)} | {"a" * 3000, "a" * 3001, "b" + "a" * 2999}
+    counts = {w: draw.choice([1, 6, 31, 160]) for w in words}
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = {tuple(r) for r in spelling.variants(df, letters=1, least=1).select("word", "form", "root", "n", "n_near", "form_n").collect()}
+    assert got == brute_variants(counts, 1, 1)
+
+
+def test_spelling_edges(spark, edges):
+    counts = {r.word: r.n for r in spelling.word_counts(edges).collect()}
+    assert counts["word"] == 20_000 and counts["endoftext"] == 1 and None not in counts
+    assert counts["no"] == counts["at"] == 1 and "\u00fcn\u00ef" not in counts and "\u00dcn\u00ef" in counts
+    none = spelling.variants(spelling.word_counts(edges.limit(0)))
+    assert none.count() == 0 and none.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+# 12 n-gram Jaccard join
+
+
+def gram_set(text, width):
+    w = words(lower(text))
+    return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
+
+
+def brute_groups(sets, percent):
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            same = len(sets[a] & sets[b])
+            if same and 100 * same >= percent * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {d: (len(sets[d]), find(d)) for d in sets}
+
+
+@pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80)])
+def test_jaccard_joins_all_that_are_similar(spark, monkeypatch, width, percent):
+    """Near copies of many degrees around two texts, copies, short texts, and a passage that all share."""
+    monkeypatch.setattr(jaccard, "PART_BYTES", 20_000)
+    draw = random.Random(12)
+    passage, rows = [f"p{i}" for i in range(30)], []
+    for base in range(2):
+        text = [f"b{base}-{draw.randint(0, 60)}" for _ in range(150)]
+        for _ in range(60):
+            copy = list(text)
+            for _ in range(draw.randint(0, 9)):
+                copy[draw.randrange(len(copy))] = f"x{draw.randint(0, 40)}"
+            rows.append(copy)
+    rows += [passage + [f"own{i}-{k}" for k in range(draw.randint(0, 30))] for i in range(40)]
+    rows += [["a", "b"], ["a", "b"], ["a"], ["A", "b", "c"], [], [f"s{i}" for i in range(11)], [f"s{i}" for i in range(12)]]
+    draw.shuffle(rows)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_groups(docs, width=width, percent=percent).collect()}
+    wanted = brute_groups({i: gram_set(" ".join(w), width) for i, w in enumerate(rows)}, percent)
+    assert got == wanted and len({c for _, c in wanted.values()}) < len(rows) - 20
+
+
+def test_jaccard_edges(spark, edges):
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar_groups(edges).collect()), key=str)
+    wanted = [(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 4, 5), (5, 4, 5), (6, 1, 6), (7, 1, 7), (None, 1, None)]
+    assert got == sorted(wanted, key=str)
+    assert jaccard.similar_groups(edges.limit(0)).count() == 0
+
+
+# 13 ranked search
+
+
+def brute_ranks(docs, items, k):
+    pattern = re.compile(ranked.TERM_PATTERN)
+    docs = [(d, Counter(pattern.findall(lower(t)))) for d, t in docs]
+    n, total = sum(bool(c) for _, c in docs), sum(sum(c.values()) for _, c in docs)
+    df = Counter(t for _, c in docs for t in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for d, c in docs:
+            m = 10 + 90 * sum(c.values()) * n // total if total else 0
+            each = (
+                math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+                for t in set(pattern.findall(lower(text)))
+                if c[t]
+            )
+            scores.append((-sum(each), d is None, d))
+        best = sorted(s for s in scores if s[0] < 0)[:k]
+        out += [(item, i + 1, d, -s) for i, (s, _, d) in enumerate(best)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("part", "block", "taken"), [(3_000, 500, 2), (8 << 20, 4 << 20, 64)])
+def test_ranks_are_exact(spark, monkeypatch, texts, part, block, taken):
+    for name, value in (("PART_BYTES", part), ("BLOCK_BYTES", block), ("TAKEN", taken)):
+        monkeypatch.setattr(ranked, name, value)
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").repartition(3)
+    got = sorted(tuple(r) for r in ranked.search(docs, items, k=7).select("item_id", "rank", "doc_id", "score").collect())
+    assert got == brute_ranks(texts.items(), [(r.item_id, r.text) for r in items.collect()], 7)
+
+
+def test_treap_holds_all_cells():
+    draw = random.Random(13)
+    cells = {(draw.randrange(40), draw.randrange(9)): draw.randint(1, 99) for _ in range(150)}
+    rows, columns = (np.array(x, np.int64) for x in zip(*cells))
+    values = np.array(list(cells.values()), np.int64)
+    height = ranked.height_of(40, 9)
+    nodes = ranked.treap(rows, columns, values, height)
+    assert len(nodes[0]) < 3 * len(cells)
+    row = dict(zip(ranked.PARTS[2:], (x.tobytes() for x in nodes)))
+    index = ranked._Index({"terms": [b"%d" % i for i in range(40)], "ids": list(range(9)), **row})
+    for r in range(40):
+        scores, found = index.best([b"%d" % r], [3], 9, 0)
+        assert dict(zip(found.tolist(), scores.tolist())) == {c: 3 * v for (x, c), v in cells.items() if x == r}
+
+
+def test_search_edges(spark, edges):
+    items = spark.createDataFrame([(1, "One word, all!"), (2, None), (3, "..."), (4, "nowhere"), (5, "a b")], "item_id int, text string")
+    got = sorted(tuple(r) for r in ranked.search(edges, items).select("item_id", "rank", "doc_id", "score").collect())
+    docs = [(r.doc_id, r.text or "") for r in edges.collect()]
+    assert got == brute_ranks(docs, [(r.item_id, r.text or "") for r in items.collect()], 10)
+    assert {r[0] for r in got} == {1, 5} and [r[2] for r in got if r[0] == 5] == [5, 5]
+    assert ranked.search(edges.limit(0), items).count() == ranked.search(edges, items.limit(0)).count() == 0
+
+
 # pipeline
 
 
