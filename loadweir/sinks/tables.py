@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from contextlib import contextmanager
 from datetime import datetime, timedelta
+from functools import reduce
+from operator import and_
 from threading import Lock
 from uuid import uuid4
 
@@ -15,14 +18,14 @@ from pyspark.sql import types as T
 from loadweir.functions.columns import typed_literal
 from loadweir.operators.columns import match_names, quoted
 from loadweir.operators.conform import evolve_union, fit_columns, merged_schema
-from loadweir.operators.cursor import apply_retention
 from loadweir.operators.merging import all_set, latest_per_key, merge
 from loadweir.session import shared_dir
-from loadweir.sinks.target import ROW_LEVEL_FORMATS, FileTree, Target
+from loadweir.sinks.ledger import LoadLedger
+from loadweir.sinks.target import NULL_PARTITION, ROW_LEVEL_FORMATS, FileTree, Target
 
-# A merge names the partitions it rewrites one by one up to this many; beyond it, the rewritten
-# share of the table is no longer small and the whole table is rewritten instead.
-MAX_NAMED_PARTITIONS = 5_000
+
+#: Tasks that a compaction's shuffle has at most; a task writes several files beyond that.
+MOST_TASKS = 20_000
 
 
 def date_partitions(df: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -154,15 +157,19 @@ def _replace(
     parallelism: int | None = None,
     rows_per_file: int | None = None,
     stage: bool = True,
+    keep_ledger: bool = False,
 ) -> None:
     """Put ``df`` in the place of the table, which ``df`` itself may read.
 
     A folder is written beside the old one and swapped in by two renames, so a failed write leaves
     the old table whole. A plain catalog table is dropped before it is written again, so its new
     rows are staged first, unless they come from a staged table already. Formats with row-level
-    operations replace a table atomically themselves.
+    operations replace a table atomically themselves. Marks of loads go with the rows they are
+    about, unless ``keep_ledger`` says that the new rows are the old ones.
     """
     spark = df.sparkSession
+    if exists and not keep_ledger:
+        LoadLedger(spark, target).clear()
 
     def save(rows: DataFrame, to: Target, mode: str) -> None:
         laid = lay_out(rows, partitions, cluster_by, parallelism)
@@ -211,28 +218,82 @@ def append_once_table(
     extracted_at: datetime | None = None,
     **layout,
 ) -> bool:
-    """Append ``df`` unless the table already holds rows of ``load_id``; True if it wrote.
-
-    The probe is a pushed-down filter for one row. All rows of ``df`` must carry ``load_id``. Ids
-    are unlike each other, so they prune no file by its value range; if a replay is known to carry
-    the same ``extracted_at``, give it, and the probe skips all files of other times.
+    """Append ``df`` unless the table already holds the whole load ``load_id``; True if it wrote.
+
+    All rows of ``df`` must carry ``load_id``. A mark is set before the rows are written and another
+    one after, so a replay knows at the cost of two look-ups by name whether the load ended, stopped
+    half way or never began. What a stopped one left is deleted before it is written again: a commit
+    that was torn between two files neither loses rows nor doubles them. A table without any mark
+    is searched for the id once. ``extracted_at``, if a replay is known to carry the same, prunes
+    that search. Formats whose appends are atomic are only asked for a row of the id.
     """
     spark = df.sparkSession
-    if target.exists(spark):
+    exists = target.exists(spark)
+    mine = quoted(id_column) == load_id
+    if exists and target.fmt in ROW_LEVEL_FORMATS:
+        if not target.read(spark).filter(mine).isEmpty():
+            return False
+        write_table(df, target, "append", **layout)
+        return True
+    if exists:
+        ledger = LoadLedger(spark, target)
+        if ledger.is_committed(load_id):
+            return False
         stored = target.read(spark)
-        if id_column in stored.columns:
-            seen = stored.filter(quoted(id_column) == load_id)
+        if ledger.may_hold(load_id) and id_column in stored.columns:
             if extracted_at is not None and "_extracted_at" in stored.columns:
                 at = typed_literal(extracted_at, stored.schema["_extracted_at"].dataType)
-                seen = seen.filter(quoted("_extracted_at") == at)
+                mine = mine & (quoted("_extracted_at") == at)
                 if "_extracted_at_date" in stored.columns:
-                    seen = seen.filter(quoted("_extracted_at_date") == F.to_date(at))
-            if not seen.select(id_column).isEmpty():
-                return False
+                    mine = mine & (quoted("_extracted_at_date") == F.to_date(at))
+            delete_rows(spark, target, mine)
+        ledger.begin(load_id)
     write_table(df, target, "append", **layout)
+    LoadLedger(spark, target).commit(load_id)
     return True
 
 
+def delete_rows(spark: SparkSession, target: Target, doomed: Column) -> None:
+    """Delete the stored rows for which ``doomed`` is true.
+
+    The condition is pushed down to the files' statistics, so files that cannot hold such a row are
+    not read, and if there is none, nothing changes. Files that hold such rows alone are deleted as
+    they are; only the partitions of files that hold others as well are written again. Formats with
+    row-level operations are best asked with their own ``DELETE``.
+    """
+    partitions = target.partition_columns(spark)
+    stored = _with_text_partitions(spark, target, partitions)
+    where = {f"__p{i}": _as_text(p) for i, p in enumerate(partitions)}
+    located = stored.withColumns({"__path": F.col("_metadata.file_path"), **where})
+    names = ["__path", *where]
+    hits = located.filter(doomed).groupBy(*names).agg(F.count(F.lit(1)).alias("__hit"))
+    with staged(hits, "doomed") as hits:
+        if hits.isEmpty():
+            return
+        # Rows per file come from the footers: no column is read for them.
+        sizes = located.groupBy("__path").agg(F.count(F.lit(1)).alias("__all"))
+        counted = hits.join(sizes, "__path").withColumn("__mixed", F.col("__hit") < F.col("__all"))
+        with staged(counted, "doomed") as counted:
+            mixed = counted.filter("__mixed")
+            kept = F.coalesce(~doomed, F.lit(True))
+            if mixed.isEmpty():
+                whole = counted
+            elif not partitions:
+                _replace(stored.filter(kept), target, True, keep_ledger=True)
+                return
+            else:
+                touched = mixed.groupBy(*where).agg(F.lit(1).alias("__touched"))
+                with staged(touched, "touched") as touched:
+                    rows = _in_partitions(stored, touched, partitions).filter(kept)
+                    _overwrite_partitions(rows, target, partitions, None)
+                whole = counted.join(mixed.select(*where).distinct(), list(where), "left_anti")
+            files = FileTree(spark)
+            for row in whole.select("__path").toLocalIterator():
+                files.delete_uri(row[0])
+    if not target.is_folder:
+        spark.catalog.refreshTable(target.location)
+
+
 def merge_table(
     batch: DataFrame,
     target: Target,
@@ -269,15 +330,17 @@ def merge_table(
     stored = target.read(spark, kinds)
     if partitions and len(kinds) == len(partitions) and _same_columns(stored, batch):
         contenders = _contenders(stored, batch, keys, keep_newer)
-        plan = _partitions_to_rewrite(stored, contenders, keys, order, partitions, partition_fixed)
-        if plan is not None:
+        marks = _partitions_to_rewrite(stored, contenders, keys, order, partitions, partition_fixed)
+        with staged(marks, "touched") as touched:
             _merge_partitions(
-                batch, target, stored, keys, order, partitions, plan, rows_per_file, keep_newer,
+                batch, target, stored, keys, order, partitions, touched, rows_per_file, keep_newer,
                 cluster_by,
             )
-            return
+        return
     merged = merge(stored, _contenders(stored, batch, keys, keep_newer), keys, order)
-    _replace(merged, target, True, partitions, cluster_by, rows_per_file=rows_per_file)
+    _replace(
+        merged, target, True, partitions, cluster_by, rows_per_file=rows_per_file, keep_ledger=True
+    )
 
 
 def _contenders(stored, batch, keys, keep_newer) -> DataFrame:
@@ -301,19 +364,18 @@ def _same_columns(stored: DataFrame, batch: DataFrame) -> bool:
     return {f.name: f.dataType for f in wide.fields} == kinds
 
 
-def _partitions_to_rewrite(
-    stored, contenders, keys, order, partitions, fixed
-) -> tuple[list[tuple], list[tuple]] | None:
-    """``(touched, emptied)`` partition values of a merge, or None if there are too many to name.
+def _partitions_to_rewrite(stored, contenders, keys, order, partitions, fixed) -> DataFrame:
+    """The partitions a merge touches: ``__p0``, ``__p1`` ... as text, ``__touched`` = 1, ``__left``.
 
-    One pass over the keys and partition columns of the table. Rows are reduced to one per
-    partition inside each task, and what reaches the driver is bounded.
+    ``__left`` is 0 where no row is left. One pass over the keys and partition columns of the
+    table; rows are reduced to one per partition inside each task, and none reaches the driver.
     """
-    where = [quoted(p) for p in partitions]
+    where = {f"__p{i}": _as_text(p) for i, p in enumerate(partitions)}
     flags = ("replaced", "kept", "landing")
 
     def flagged(df: DataFrame, *values: Column) -> DataFrame:
-        return df.select(*where, *[v.cast("int").alias(f"__{n}") for v, n in zip(values, flags)])
+        named = [v.cast("int").alias(f"__{n}") for v, n in zip(values, flags)]
+        return df.select(*[text.alias(name) for name, text in where.items()], *named)
 
     winners = latest_per_key(contenders, keys, order)
     marks = flagged(winners, F.lit(0), F.lit(0), F.lit(1))
@@ -325,41 +387,34 @@ def _partitions_to_rewrite(
         marks = marks.unionByName(found)
     sums = marks.groupBy(*where).agg(*[F.max(f"__{n}").alias(f"__{n}") for n in flags])
     touched = sums.filter("__replaced = 1 OR __landing = 1")
-    rows = touched.limit(MAX_NAMED_PARTITIONS + 1).collect()
-    if len(rows) > MAX_NAMED_PARTITIONS:
-        return None
-    named = [(tuple(r[p] for p in partitions), r["__kept"] + r["__landing"]) for r in rows]
-    return [values for values, _ in named], [values for values, left in named if left == 0]
+    return touched.select(*where, F.lit(1).alias("__touched"), F.expr("__kept + __landing").alias("__left"))
 
 
-def _in_partitions(stored: DataFrame, partitions: Sequence[str], rows: list[tuple]) -> Column:
-    """True in the named partitions. Literals on partition columns prune folders at plan time.
+def _with_text_partitions(spark: SparkSession, target: Target, partitions) -> DataFrame:
+    """The stored rows; partition values of a folder as the text they have, not as Spark reads it."""
+    if not (target.is_folder and partitions):
+        return target.read(spark)
+    return target.read(spark, {p: T.StringType() for p in partitions})
 
-    Written as text, which Spark reads in one call and turns into a balanced tree.
-    """
-    kinds = {p: stored.schema[p].dataType.simpleString() for p in partitions}
 
-    def literal(name: str, value: object) -> str:
-        text = str(value).replace("\\", "\\\\").replace("'", "\\'")
-        return f"CAST('{text}' AS {kinds[name]})"
+def _as_text(partition: str) -> Column:
+    """A partition value as text that compares equal to itself, NULL included."""
+    return F.coalesce(quoted(partition).cast("string"), F.lit(NULL_PARTITION))
 
-    def among(name: str, values: list) -> str:
-        listed = ", ".join(literal(name, v) for v in values if v is not None)
-        parts = [f"`{name}` IN ({listed})"] if listed else []
-        return " OR ".join(parts + ([f"`{name}` IS NULL"] if None in values else []))
 
-    groups: dict[tuple, list] = {}
-    for *outer, last in rows:
-        groups.setdefault(tuple(outer), []).append(last)
-    terms = []
-    for outer, values in groups.items():
-        levels = [(n, [v]) for n, v in zip(partitions, outer)] + [(partitions[-1], values)]
-        terms.append(" AND ".join(f"({among(n, vs)})" for n, vs in levels))
-    return F.expr(" OR ".join(f"({t})" for t in terms) if terms else "false")
+def _in_partitions(stored: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """The stored rows of the partitions in ``touched`` (``__p0`` ..., ``__touched``), a frame of any size.
+
+    A semi-join on the partition columns. While ``touched`` measures small enough to be broadcast,
+    Spark prunes the folders by it before it lists their files; beyond that it is a plain join.
+    """
+    wanted = touched.filter("__touched = 1").select(*[f"__p{i}" for i in range(len(partitions))])
+    same = [_as_text(p) == F.col(f"__p{i}") for i, p in enumerate(partitions)]
+    return stored.join(wanted, reduce(and_, same), "left_semi")
 
 
 def _merge_partitions(
-    batch, target, stored, keys, order, partitions, plan, rows_per_file, keep_newer, cluster_by
+    batch, target, stored, keys, order, partitions, touched, rows_per_file, keep_newer, cluster_by
 ) -> None:
     """Rewrite the touched partitions, which are swapped in when the whole write has succeeded.
 
@@ -367,21 +422,25 @@ def _merge_partitions(
     last row to another one gets no new files and is dropped afterwards. A stop in between leaves
     old versions, which the next run of the same batch replaces.
     """
-    touched, emptied = plan
-    if not touched:
+    if touched.isEmpty():
         return
-    part = stored.filter(_in_partitions(stored, partitions, touched))
+    part = _in_partitions(stored, touched, partitions)
     merged = merge(part, _contenders(part, batch, keys, keep_newer), keys, order)
     merged = merged.select(*map(quoted, stored.columns))
     _overwrite_partitions(merged, target, partitions, rows_per_file, cluster_by)
-    _drop_partitions(batch.sparkSession, target, partitions, emptied)
+    _drop_partitions(batch.sparkSession, target, partitions, touched.filter("__left = 0"))
 
 
 def _overwrite_partitions(
-    df: DataFrame, target: Target, partitions, rows_per_file, cluster_by: Sequence[str] = ()
+    df: DataFrame,
+    target: Target,
+    partitions,
+    rows_per_file,
+    cluster_by: Sequence[str] = (),
+    laid_out: bool = False,
 ) -> None:
     """Replace exactly the partitions ``df`` has rows for. Its columns are in the table's order."""
-    out = lay_out(df, partitions, cluster_by)
+    out = df if laid_out else lay_out(df, partitions, cluster_by)
     if target.is_folder:
         fresh = Target.folder(f"{target.location}__next-{uuid4().hex}", target.fmt)
         _save(_writer(out, fresh, "errorifexists", partitions, rows_per_file), fresh)
@@ -418,25 +477,27 @@ _SETTING = Lock()
 _WRITING: dict[int, list] = {}
 
 
-def _drop_partitions(spark: SparkSession, target: Target, partitions, rows: list) -> None:
+def _drop_partitions(spark: SparkSession, target: Target, partitions, gone: DataFrame) -> None:
+    """Drop the partitions of ``gone`` (``__p0`` ... as text), which arrive one by one."""
     files = FileTree(spark)
-    for row in rows:
+    for row in gone.select(*[f"__p{i}" for i in range(len(partitions))]).toLocalIterator():
         if target.is_folder:
             steps = "/".join(f"{n}={_folder_text(v)}" for n, v in zip(partitions, row))
             files.delete(f"{target.location}/{steps}")
         else:
-            spec = ", ".join(
-                f"`{n}` = {'NULL' if v is None else repr(str(v))}" for n, v in zip(partitions, row)
-            )
+            spec = ", ".join(f"`{n}` = {_sql_text(v)}" for n, v in zip(partitions, row))
             spark.sql(f"ALTER TABLE {target.location} DROP IF EXISTS PARTITION ({spec})")
 
 
-def _folder_text(value: object) -> str:
+def _sql_text(value: str) -> str:
+    if value == NULL_PARTITION:
+        return "NULL"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _folder_text(value: str) -> str:
     """A partition value as Spark spells it in a folder name."""
-    if value is None:
-        return "__HIVE_DEFAULT_PARTITION__"
-    text = str(value).lower() if isinstance(value, bool) else str(value)
-    return "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 else c for c in text)
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 else c for c in value)
 
 
 # Characters that are escaped in partition folder names.
@@ -469,25 +530,41 @@ def retain_table(
     """drop stored rows older than ``days``; rows without a date stay.
 
     If the table is partitioned by that date alone, whole partitions before the cut-off day are
-    dropped without reading a row and only the cut-off day is rewritten.
+    dropped without reading a row. Other rows are found by the files' own statistics
+    (:func:`delete_rows`): when nothing has expired no row is read and no file is touched, and a
+    file whose rows have all expired is deleted and not rewritten.
     """
+    if days < 0:
+        raise ValueError("retention days cannot be negative")
     stored = target.read(spark)
     partitions = target.partition_columns(spark)
-    kept = apply_retention(stored, column, as_of, days)
     day = next((p for p in (f"{column}_date", column) if partitions == [p]), None)
+    oldest = as_of - timedelta(days=days)
+    expired = quoted(column) < typed_literal(oldest, stored.schema[column].dataType)
     if day is None:
-        _replace(kept, target, True, partitions)
+        delete_rows(spark, target, expired)
         return
-    cutoff = F.lit((as_of - timedelta(days=days)).date().isoformat()).cast("date")
-    expired = stored.filter(quoted(day) < cutoff).select(quoted(day)).distinct().collect()
+    cutoff = F.lit(oldest.date().isoformat()).cast("date")
+    gone = stored.filter(quoted(day) < cutoff).select(_as_text(day).alias("__p0")).distinct()
+    with staged(gone, "expired") as gone:
+        _drop_partitions(spark, target, partitions, gone)
     if day != column:
-        edge = [(as_of - timedelta(days=days)).date()]
-        with staged(kept.filter(quoted(day) == cutoff), "retention") as held:
-            if held.isEmpty():
-                expired.append(edge)
-            else:
-                _overwrite_partitions(held, target, partitions, None)
-    _drop_partitions(spark, target, partitions, expired)
+        edge = quoted(day) == cutoff
+        delete_rows(spark, target, edge & expired)
+        if target.read(spark).filter(edge).isEmpty():
+            one = spark.range(1).select(cutoff.cast("string").alias("__p0"))
+            _drop_partitions(spark, target, partitions, one)
+
+
+def stored_files(spark: SparkSession, target: Target, partitions: Sequence[str] = ()) -> DataFrame:
+    """``path``, ``length`` and ``__p0`` ... of a table's files, from one listing; no file is opened."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    listed = listed.load(target.path(spark)).select("path", "length")
+    values = {}
+    for i, name in enumerate(partitions):
+        found = F.regexp_extract("path", "/" + re.escape(name) + "=([^/]*)/", 1)
+        values[f"__p{i}"] = F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B")))
+    return listed.withColumns(values) if values else listed
 
 
 def compact(
@@ -499,27 +576,32 @@ def compact(
     """Rewrite small files into files of about ``target_bytes``; the rows do not change.
 
     A table, or a partition of one, is left alone unless it holds more than twice the files it
-    needs. Only file names and sizes are looked at to find out: each task sends one row per file.
+    needs. That is found from a listing of names and sizes alone, which stays a frame: the crowded
+    partitions, however many, are read by a semi-join and dealt to as many files as each needs.
     """
-    stored = target.read(spark)
     partitions = target.partition_columns(spark)
-    files = stored.select(
-        *map(quoted, partitions),
-        F.col("_metadata.file_path").alias("__path"),
-        F.col("_metadata.file_size").alias("__size"),
-    ).distinct()
-    per = files.groupBy(*map(quoted, partitions)).agg(
-        F.count(F.lit(1)).alias("__files"),
-        F.greatest(F.lit(1), F.ceil(F.sum("__size") / target_bytes)).alias("__needed"),
-    )
-    crowded = per.filter("__files > 2 * __needed")
-    rows = crowded.limit(MAX_NAMED_PARTITIONS + 1).collect()
-    if not rows:
-        return
-    if not partitions:
-        _replace(stored, target, True, (), cluster_by, int(rows[0]["__needed"]))
-    elif len(rows) > MAX_NAMED_PARTITIONS:
-        _replace(stored, target, True, partitions, cluster_by)
-    else:
-        named = stored.filter(_in_partitions(stored, partitions, [tuple(r)[:-2] for r in rows]))
-        _overwrite_partitions(named, target, partitions, None, cluster_by)
+    places = [f"__p{i}" for i in range(len(partitions))]
+    needed = F.greatest(F.lit(1), F.ceil(F.sum("length") / target_bytes)).alias("__needed")
+    per = stored_files(spark, target, partitions).groupBy(*places)
+    crowded = per.agg(F.count(F.lit(1)).alias("__files"), needed, F.lit(1).alias("__touched"))
+    with staged(crowded.filter("__files > 2 * __needed"), "crowded") as crowded:
+        if crowded.isEmpty():
+            return
+        stored = _with_text_partitions(spark, target, partitions)
+        if not partitions:
+            files = crowded.first()["__needed"]
+            _replace(stored, target, True, (), cluster_by, int(files), keep_ledger=True)
+            return
+        rows = _in_partitions(stored, crowded, partitions)
+        if cluster_by:
+            _overwrite_partitions(rows, target, partitions, None, cluster_by)
+            return
+        same = [_as_text(p) == F.col(place) for p, place in zip(partitions, places)]
+        bins = crowded.select(*places, "__needed")
+        dealt = rows.join(bins, reduce(and_, same)).drop(*places)
+        bin_of = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("__needed"))
+        dealt = dealt.withColumn("__bin", bin_of).drop("__needed")
+        # A number of its own keeps adaptive execution from joining the bins again.
+        tasks = min(2 * crowded.agg(F.sum("__needed")).first()[0], MOST_TASKS)
+        dealt = dealt.repartition(tasks, *map(quoted, partitions), F.col("__bin")).drop("__bin")
+        _overwrite_partitions(dealt, target, partitions, None, laid_out=True)

@@ -12,6 +12,8 @@ from loadweir.functions.naming import table_name
 
 # Table formats whose catalogs can change rows in place.
 ROW_LEVEL_FORMATS = ("delta", "iceberg")
+# Fixed value: how a folder name spells a partition whose value is NULL.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -95,6 +97,13 @@ class Target:
         fields = [(f.name, partition_types.get(f.name, f.dataType)) for f in stored.schema.fields]
         return self.read(spark, schema=T.StructType([T.StructField(*f) for f in fields]))
 
+    def path(self, spark: SparkSession) -> str:
+        """The folder that holds the files of an existing table."""
+        if self.is_folder:
+            return self.location
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {self.location}")
+        return described.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+
     def partition_columns(self, spark: SparkSession) -> list[str]:
         """The columns the stored table is partitioned by."""
         if not self.is_folder:
@@ -172,6 +181,16 @@ class FileTree:
         files, where = self._open(path)
         files.delete(where, True)
 
+    def delete_uri(self, uri: str) -> None:
+        """Delete a file named by ``_metadata.file_path``, which is an encoded URI."""
+        where = self._jvm.org.apache.hadoop.fs.Path(self._jvm.java.net.URI(uri))
+        where.getFileSystem(self._conf).delete(where, False)
+
+    def mark(self, path: str) -> None:
+        """Create an empty file, with its folders; one that is there already stays."""
+        files, where = self._open(path)
+        files.create(where, True).close()
+
     def move(self, old: str, new: str) -> None:
         files, where = self._open(old)
         to = self._jvm.org.apache.hadoop.fs.Path(new)

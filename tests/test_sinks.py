@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loadweir.sinks import jdbc
 from loadweir.sinks import tables as sink
+from loadweir.sinks.ledger import LoadLedger
 from loadweir.sinks.target import PREVIOUS, Dataset, FileTree, Target
 
 SCHEMA = "id int, ts int, p string, v string"
@@ -150,12 +151,29 @@ def test_merge_leaves_other_partitions_alone(spark, folder):
     assert {f for f in target.read(spark).inputFiles() if "p=b" in f} == before
 
 
-def test_named_partitions_prune_folders(spark, target):
+def test_touched_partitions_prune_folders(spark, target):
     sink.write_table(frame(spark, (1, 1, "a", "x"), (2, 1, "b", "y")), target, partition_by=["p"])
     stored = target.read(spark)
-    named = stored.filter(sink._in_partitions(stored, ["p"], [("a",)]))
-    plan = named._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(p" in plan and "DataFilters: []" in plan
+    wanted = spark.sql("SELECT 'a' AS __p0, 1 AS __touched")
+    with sink.staged(wanted, "touched") as touched:
+        part = sink._in_partitions(stored, touched, ["p"])
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "dynamicpruning" in plan and [r.id for r in part.collect()] == [1]
+
+
+@pytest.mark.parametrize("touched", [3, 40])
+def test_merge_rewrites_touched_partitions_alone(spark, folder, touched):
+    """However many partitions a merge touches, the files of the others stay."""
+    target = Target.folder(folder)
+    start = spark.range(touched + 3).selectExpr("id", "1 AS ts", "CAST(id AS STRING) AS p", "'old' AS v")
+    sink.write_table(start.coalesce(4), target, partition_by=["p"])
+    before = set(target.read(spark).inputFiles())
+    batch = start.filter(f"id < {touched}").withColumns({"ts": F.lit(2), "v": F.lit("new")})
+    sink.merge_table(batch, target, "id", "ts", ["p"])
+    stored = target.read(spark)
+    left = {f for f in stored.inputFiles() if f in before}
+    assert len(left) == 3 and {f.split("/p=")[1].split("/")[0] for f in left} == {str(touched + i) for i in range(3)}
+    assert {r.v: r["count"] for r in stored.groupBy("v").count().collect()} == {"new": touched, "old": 3}
 
 
 def test_merge_drops_an_emptied_partition(spark, target, rows):
@@ -207,13 +225,6 @@ def test_merge_with_a_new_column(spark, target, rows):
     assert rows(target.read(spark), "id", "p", "flag") == [(1, "a", None), (2, "b", True)]
 
 
-def test_many_partitions_rewrite_the_whole_table(spark, target, rows, monkeypatch):
-    monkeypatch.setattr(sink, "MAX_NAMED_PARTITIONS", 1)
-    sink.write_table(frame(spark, (1, 1, "a", "x"), (2, 1, "b", "y")), target, partition_by=["p"])
-    sink.merge_table(frame(spark, (1, 2, "b", "z"), (3, 1, "c", "n")), target, "id", "ts", ["p"])
-    assert rows(target.read(spark), "id", "p", "v") == [(1, "b", "z"), (2, "b", "y"), (3, "c", "n")]
-
-
 def test_keep_newer(spark, target, rows):
     sink.write_table(frame(spark, (1, 5, "a", "newest"), (2, 1, "a", "old")), target)
     batch = frame(spark, (1, 3, "a", "late"), (2, 2, "a", "new"))
@@ -229,6 +240,69 @@ def test_append_once(spark, target, rows):
     assert target.read(spark).count() == 6
 
 
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+@pytest.mark.parametrize("begun", [False, True])
+def test_a_torn_append_is_replaced(spark, target, rows, partition_by, begun):
+    """Some rows of a load are there, as a commit that stopped between two files leaves them."""
+    def load(name, ids):
+        return spark.createDataFrame([(i, "ab"[i % 2], name) for i in ids], "id int, p string, _load_id string")
+
+    assert sink.append_once_table(load("l1", range(5)), target, "l1", partition_by=partition_by)
+    batch = load("l2", range(10, 20))
+    ledger = LoadLedger(spark, target)
+    if begun:
+        ledger.begin("l2")
+    else:
+        ledger.clear()
+    sink.write_table(batch.filter("id < 13"), target)
+    assert sink.append_once_table(batch, target, "l2")
+    assert not sink.append_once_table(batch, target, "l2")
+    assert sorted(rows(target.read(spark), "id")) == [(i,) for i in [*range(5), *range(10, 20)]]
+
+
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_a_torn_append_in_files_of_others(spark, target, rows, partition_by):
+    mixed = spark.createDataFrame([(1, "a", "l1"), (2, "a", "l2"), (3, "b", "l2"), (4, "c", "l1")], "id int, p string, _load_id string")
+    sink.write_table(mixed.coalesce(1), target, partition_by=partition_by)
+    far = {f for f in target.read(spark).inputFiles() if "p=c" in f}
+    batch = mixed.filter("_load_id = 'l2'").withColumn("id", F.col("id") + 10)
+    assert sink.append_once_table(batch, target, "l2")
+    assert sorted(rows(target.read(spark), "id", "p")) == [(1, "a"), (4, "c"), (12, "a"), (13, "b")]
+    assert far <= set(target.read(spark).inputFiles())
+
+
+def test_a_replaced_table_forgets_its_loads(spark, target):
+    batch = spark.range(3).withColumn("_load_id", F.lit("l1"))
+    assert sink.append_once_table(batch, target, "l1")
+    sink.write_table(batch.limit(0), target, "replace")
+    assert sink.append_once_table(batch, target, "l1")
+    assert target.read(spark).count() == 3
+
+
+def test_retention_deletes_whole_files_and_rewrites_none(spark, target):
+    """Files of one day each: those that have expired go, the others stay as they are."""
+    for day in (1, 2, 9):
+        df = spark.sql(f"SELECT {day} AS id, TIMESTAMP'2024-01-0{day} 10:00:00' AS ts")
+        sink.write_table(df, target)
+    before = set(target.read(spark).inputFiles())
+    sink.retain_table(spark, target, "ts", datetime(2024, 1, 8), 7)
+    assert set(target.read(spark).inputFiles()) == before
+    sink.retain_table(spark, target, "ts", datetime(2024, 1, 10, 12), 7)
+    after = target.read(spark)
+    assert [r.id for r in after.collect()] == [9] and set(after.inputFiles()) < before
+
+
+def test_compaction_deals_rows_to_as_many_files_as_needed(spark, folder):
+    target = Target.folder(folder)
+    rows = spark.range(0, 20_000, 1, 1).selectExpr("id", "sha2(string(id), 256) AS v", "'007' AS p")
+    sink.write_table(rows, target, partition_by=["p"], rows_per_file=500)
+    size = sum(r.length for r in sink.stored_files(spark, target, ["p"]).collect())
+    sink.compact(spark, target, target_bytes=size // 3)
+    files = sink.stored_files(spark, target, ["p"]).collect()
+    assert 2 <= len(files) <= 4 and {r["__p0"] for r in files} == {"007"}
+    assert target.read(spark).agg(F.sum("id"), F.count("*")).first()[:] == (199_990_000, 20_000)
+
+
 def test_timestamps_partition_by_day(spark, target, rows):
     df = spark.sql("SELECT 1 AS id, TIMESTAMP'2024-01-01 23:00:00' AS ts")
     for _ in range(2):
