@@ -90,12 +90,13 @@ def failed_texts(rules: Sequence[tuple[Column, str]]) -> Column:
 def orderable(field: T.StructField) -> Column:
     """A column in a form that can be sorted: maps and variants have no order of their own."""
     column = F.col(f"`{field.name}`")
-    return column if _sortable(field.dataType) else F.to_json(F.struct(column))
+    return column if is_sortable(field.dataType) else F.to_json(F.struct(column))
 
 
-def _sortable(data_type: T.DataType) -> bool:
+def is_sortable(data_type: T.DataType) -> bool:
+    """Whether values of a type can be sorted and hashed: no map or variant is in it."""
     if isinstance(data_type, T.ArrayType):
-        return _sortable(data_type.elementType)
+        return is_sortable(data_type.elementType)
     if isinstance(data_type, T.StructType):
-        return all(_sortable(f.dataType) for f in data_type.fields)
+        return all(is_sortable(f.dataType) for f in data_type.fields)
     return not isinstance(data_type, (T.MapType, T.VariantType))

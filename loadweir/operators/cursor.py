@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadweir.functions.columns import orderable, path_col, path_type, typed_literal
+from loadweir.functions.columns import is_sortable, orderable, path_col, path_type, typed_literal
 from loadweir.operators.columns import quoted
 
 
@@ -40,6 +40,37 @@ def incremental(
     return df.filter(path_col(cursor).isNotNull() if predicate is None else predicate)
 
 
+def row_identity(df: DataFrame, paths: Sequence[str]) -> tuple[Column, Column]:
+    """128 bits, as two longs, of what a row holds at ``paths``: equal for equal rows alone.
+
+    Whether a value is NULL counts as well, so a value does not pass for its neighbour's.
+    """
+    values = []
+    for path in paths:
+        value = path_col(path)
+        if not is_sortable(path_type(df, path)):
+            value = F.to_json(F.struct(value.alias("v")))
+        values += [value.isNull(), value]
+    return F.xxhash64(*values), F.xxhash64(F.lit("b"), *reversed(values))
+
+
+def past_boundary(
+    df: DataFrame, cursor: str, bound: Column, known: DataFrame, paths: Sequence[str]
+) -> DataFrame:
+    """F1 with ties: rows at ``bound`` or past it, less those at it that are ``known``; rows without a cursor stay.
+
+    ``known`` has ``seen_a`` and ``seen_b``, the identities of rows read at the bound before. A row that
+    came later with the same cursor is new, however long after. Rows past the bound keep keys of
+    their own in the join, so they spread over its tasks and match nothing.
+    """
+    place = path_col(cursor)
+    a, b = row_identity(df, paths)
+    rows = df.filter((place >= bound) | place.isNull())
+    rows = rows.withColumns({"__tie": F.coalesce(place == bound, F.lit(False)), "__a": a, "__b": b})
+    met = known.select(F.lit(True).alias("__tie"), F.col("seen_a").alias("__a"), F.col("seen_b").alias("__b"))
+    return rows.join(met.distinct(), ["__tie", "__a", "__b"], "left_anti").select(*map(quoted, df.columns))
+
+
 def without_cursor(df: DataFrame, cursor: str) -> DataFrame:
     """F1's rejects: rows whose cursor is NULL, which no high-water mark can place."""
     return df.filter(path_col(cursor).isNull())
@@ -58,11 +89,16 @@ def advance_cursor(df: DataFrame, cursor: str, old: Any = None) -> DataFrame:
 
 def backfill(df: DataFrame, cursor: str, days: int, as_of: datetime) -> DataFrame:
     """rows in ``[as_of - days, as_of)``, whatever the saved state is."""
+    return df.filter(within_backfill(df, cursor, days, as_of))
+
+
+def within_backfill(df: DataFrame, cursor: str, days: int, as_of: datetime) -> Column:
+    """The predicate of F3; NULL for a row without a cursor."""
     if days < 1:
         raise ValueError("backfill needs at least one day")
     column, kind = path_col(cursor), path_type(df, cursor)
     start = typed_literal(as_of - timedelta(days=days), kind)
-    return df.filter((column >= start) & (column < typed_literal(as_of, kind)))
+    return (column >= start) & (column < typed_literal(as_of, kind))
 
 
 def apply_retention(df: DataFrame, column: str, as_of: datetime, days: int = 7) -> DataFrame:

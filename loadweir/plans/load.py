@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadweir.functions.columns import failed_texts, path_col, typed_literal
+from loadweir.functions.columns import failed_texts, path_col, path_type, typed_literal
 from loadweir.functions.naming import to_case
 from loadweir.operators.columns import (
     apply_aliases,
@@ -25,14 +25,16 @@ from loadweir.operators.columns import (
     stamp,
 )
 from loadweir.operators.conform import REASONS, conformed_columns, contract_rules
-from loadweir.operators.cursor import backfill, past_cursor
+from loadweir.operators.cursor import past_boundary, past_cursor, row_identity, within_backfill
 from loadweir.operators.merging import append, merge
 from loadweir.operators.metrics import load_audit
 from loadweir.operators.quality import gate, run_checks, tag_rows
 from loadweir.plans.state import (
+    boundary,
     derive_load_id,
     high_water,
     save_audit,
+    save_boundary,
     save_cursor,
     save_rejects,
 )
@@ -49,6 +51,7 @@ from loadweir.spec import ROW_CHECKS, Check, Column, ResourceSpec
 
 CURSOR = "__cursor"
 RAW = "__raw"
+SEEN = ("__seen_a", "__seen_b")
 
 
 @dataclass(frozen=True)
@@ -68,11 +71,17 @@ class LoadOptions:
 
 
 def new_rows(
-    source: DataFrame, spec: ResourceSpec, state: Any, options: LoadOptions, as_of: datetime | None
+    source: DataFrame,
+    spec: ResourceSpec,
+    state: Any,
+    options: LoadOptions,
+    as_of: datetime | None,
+    known: tuple[int | None, DataFrame] | None = None,
 ) -> DataFrame:
     """the source rows this run is about.
 
-    Rows without a cursor come along, to be rejected where someone can see them.
+    Rows without a cursor come along, to be rejected where someone can see them. With ``known``, what
+    earlier runs have read at the high-water mark, rows that tie with it are new unless they are in it.
     """
     cursor = spec.incremental
     if options.full_refresh or cursor is None or not cursor.enabled:
@@ -80,7 +89,16 @@ def new_rows(
     if options.backfill_days is not None:
         if as_of is None:
             raise ValueError("a backfill needs as_of")
-        return backfill(source, cursor.cursor_field, options.backfill_days, as_of)
+        within = within_backfill(source, cursor.cursor_field, options.backfill_days, as_of)
+        return source.filter(within | path_col(cursor.cursor_field).isNull())
+    if known is not None and state is not None and not cursor.inclusive:
+        micros, seen = known
+        kind = path_type(source, cursor.cursor_field)
+        bound = typed_literal(state, kind)
+        if micros is not None and isinstance(kind, T.TimestampType):
+            bound = F.timestamp_micros(F.lit(micros))
+        paths = _identity_paths(source, spec)
+        return past_boundary(source, cursor.cursor_field, bound, seen, paths)
     fresh = past_cursor(
         source, cursor.cursor_field, state, cursor.initial_value, cursor.inclusive
     )
@@ -89,6 +107,19 @@ def new_rows(
     return source.filter(fresh | path_col(cursor.cursor_field).isNull())
 
 
+def _identity_paths(batch: DataFrame, spec: ResourceSpec) -> list[str]:
+    """What a row is known by at the high-water mark: all that the load reads of it."""
+    contract = _contract(spec, batch)
+    have = match_names(batch.columns, [c.source.split(".")[0] for c in contract])
+    paths = [c.source for c in contract if have[c.source.split(".")[0]]]
+    if not contract or spec.extra_columns == "keep":
+        known = {c.source.lower() for c in contract}
+        paths += [f"`{name}`" if "." not in name else name for name in batch.columns if name.lower() not in known]
+    if spec.incremental is not None and spec.incremental.cursor_field not in paths:
+        paths.append(spec.incremental.cursor_field)
+    return paths
+
+
 def judge(batch: DataFrame, spec: ResourceSpec) -> DataFrame:
     """P1 and P2 in one projection: conformed columns, reasons, cursor, and raw text of rejects.
 
@@ -118,7 +149,11 @@ def judge(batch: DataFrame, spec: ResourceSpec) -> DataFrame:
     raw = F.when(F.size(REASONS) > 0, F.to_json(values))
     # Reasons come first and on their own, so that they are worked out once per row.
     judged = batch.withColumn(REASONS, failed_texts(rules))
-    return judged.select(*columns, quoted(REASONS), place.alias(CURSOR), raw.alias(RAW))
+    own = [quoted(REASONS), place.alias(CURSOR), raw.alias(RAW)]
+    if cursor is not None and cursor.enabled:
+        identity = row_identity(batch, _identity_paths(batch, spec))
+        own += [value.alias(name) for name, value in zip(SEEN, identity)]
+    return judged.select(*columns, *own)
 
 
 def _contract(spec: ResourceSpec, batch: DataFrame) -> list[Column]:
@@ -183,7 +218,7 @@ def load_frame(
 ) -> DataFrame:
     """C1 as one lazy plan: what the table holds after the load. Nothing is written."""
     judged = judge(new_rows(source, spec, state, options, as_of), spec)
-    good = judged.filter(F.size(REASONS) == 0).drop(REASONS, RAW, CURSOR)
+    good = judged.filter(F.size(REASONS) == 0).drop(*_OWN)
     batch = finish(good, spec, case, load_id, extracted_at)
     if stored is None or spec.write_disposition == "replace" or options.full_refresh:
         return batch
@@ -239,20 +274,24 @@ def _attempt(spark, spec, source, dataset, extracted_at, load_id, as_of, options
         load_id = load_id or derive_load_id(spec.name, state, extracted_at)
         result |= {"load_id": load_id, "high_water": state}
         with ExitStack() as held:
-            tagged = judge(new_rows(source, spec, state, options, as_of), spec)
+            known = boundary(spark, dataset, spec.name, state) if spec.incremental else None
+            tagged = judge(new_rows(source, spec, state, options, as_of, known), spec)
             if options.stage:
                 tagged = held.enter_context(staged(tagged, "load"))
             good, facts = _checked(
                 tagged, spec, dataset, load_id, extracted_at, as_of, options, result
             )
             _write(good, spec, dataset, load_id, extracted_at, replay_at, options)
+            newest = facts["newest"]
+            if _moves_cursor(spec, options) and newest is not None:
+                tie = F.col(CURSOR).cast("string") == newest
+                seen = tagged.filter(tie).select(*[F.col(c).alias(n) for c, n in zip(SEEN, ("seen_a", "seen_b"))])
+                save_boundary(seen, dataset, spec.name, newest, facts["micros"], load_id, extracted_at)
         result["rows_processed"] = facts["good"]
-        if _moves_cursor(spec, options) and facts["newest"] not in (None, state):
-            result["high_water"] = facts["newest"]
+        if _moves_cursor(spec, options) and newest not in (None, state):
+            result["high_water"] = newest
             field = spec.incremental.cursor_field
-            save_cursor(
-                spark, dataset, spec.name, field, facts["newest"], load_id, extracted_at
-            )
+            save_cursor(spark, dataset, spec.name, field, newest, load_id, extracted_at)
         if dataset.retention_days is not None and as_of is not None:
             retain_table(spark, target, "_extracted_at", as_of, dataset.retention_days)
         if dataset.compact_after_write:
@@ -286,10 +325,13 @@ def _checked(tagged, spec, dataset, load_id, extracted_at, as_of, options, resul
     if options.quarantine:
         tagged = _divert(tagged, spec, checks)
     is_good = F.size(REASONS) == 0
+    newest = F.max(F.when(is_good, F.col(CURSOR)))
+    instant = isinstance(tagged.schema[CURSOR].dataType, T.TimestampType)
     facts = tagged.agg(
         F.count_if(is_good).alias("good"),
         F.count_if(~is_good).alias("rejected"),
-        F.max(F.when(is_good, F.col(CURSOR))).cast("string").alias("newest"),
+        newest.cast("string").alias("newest"),
+        (F.unix_micros(newest) if instant else F.lit(None).cast("long")).alias("micros"),
     ).first()
     body = tagged.filter(is_good).drop(*_OWN)
     result["rows_rejected"] = facts["rejected"]
@@ -323,7 +365,7 @@ def _divert(tagged: DataFrame, spec: ResourceSpec, checks: Sequence[Check]) -> D
     )
 
 
-_OWN = (REASONS, CURSOR, RAW, "failed_checks")
+_OWN = (REASONS, CURSOR, RAW, *SEEN, "failed_checks")
 
 
 def _check_batch(body, spec, dataset, checks, extracted_at, as_of, is_empty) -> DataFrame:

@@ -23,6 +23,10 @@ _ONE_WRITER = Lock()
 CURSOR_SCHEMA = (
     "resource string, cursor string, high_water string, load_id string, extracted_at timestamp"
 )
+BOUNDARY_SCHEMA = (
+    "resource string, high_water string, micros bigint, load_id string, extracted_at timestamp, "
+    "seen_a bigint, seen_b bigint"
+)
 
 
 def derive_load_id(resource: str, state: Any, upper: Any) -> str:
@@ -66,6 +70,48 @@ def save_cursor(
         append_fixed(spark.range(0, 1, 1, 1).select(*values), dataset.bookkeeping("cursors"))
 
 
+def boundary(
+    spark: SparkSession, dataset: Dataset, resource: str, state: str | None
+) -> tuple[int | None, DataFrame] | None:
+    """What was read at the high-water mark ``state``: its microseconds, if it is an instant, and the rows' identities.
+
+    None if no load has saved any, as before the first one. An instant is known by its microseconds
+    and not by its text, which depends on the session's zone.
+    """
+    target = dataset.bookkeeping("boundaries")
+    if state is None or not target.exists(spark):
+        return None
+    saved = target.read(spark, schema=T.StructType.fromDDL(BOUNDARY_SCHEMA))
+    saved = saved.filter(F.col("resource") == resource)
+    at = saved.filter(F.col("high_water") == state)
+    newest = at.agg(F.count(F.lit(1)).alias("n"), F.max_by("micros", F.struct("extracted_at", "load_id")).alias("micros")).first()
+    if newest["n"] == 0:
+        return None
+    if newest["micros"] is not None:
+        at = saved.filter(F.col("micros") == newest["micros"])
+    return newest["micros"], at.select("seen_a", "seen_b")
+
+
+def save_boundary(
+    seen: DataFrame,
+    dataset: Dataset,
+    resource: str,
+    value: str,
+    micros: int | None,
+    load_id: str,
+    extracted_at: datetime,
+) -> None:
+    """Append the identities ``seen`` of the rows at ``value``; a replay adds equal ones, which change nothing.
+
+    Saved after the rows and before the cursor, so a saved cursor always has its boundary.
+    """
+    row = [resource, value, micros, load_id, as_text(extracted_at)]
+    fields = T.StructType.fromDDL(BOUNDARY_SCHEMA).fields
+    values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]
+    with _ONE_WRITER:
+        append_fixed(seen.select(*values, "seen_a", "seen_b"), dataset.bookkeeping("boundaries"))
+
+
 def save_audit(
     spark: SparkSession, dataset: Dataset, results: Sequence[Mapping[str, Any]]
 ) -> DataFrame:

@@ -226,6 +226,20 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT event_id, user_id, event_type, 'load-' || event_type FROM events
         WHERE event_type = 'purchase'""",
+    "append_torn_replay": """
+        SELECT event_id, 'load-1' AS _load_id FROM events
+        UNION ALL SELECT event_id, 'load-2' AS _load_id FROM events""",
+    "retention_load": "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-24' OR ts IS NULL",
+    "incremental_ties_append": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+               CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS o_orderdate
+        FROM orders WHERE o_orderdate >= TIMESTAMP '1997-12-01' OR o_orderkey % 2 = 0""",
+    "incremental_ties_merge": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
+               CASE WHEN o_orderstatus = 'O' AND o_orderdate >= TIMESTAMP '1997-12-01' THEN 0.5
+                    ELSE o_totalprice END AS o_totalprice,
+               CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS o_orderdate
+        FROM orders WHERE o_orderdate >= TIMESTAMP '1997-12-01' OR o_orderkey % 2 = 0""",
     "append_once_table": "SELECT event_id, 'load-1' AS _load_id FROM events",
     "dq_not_null": _results(
         _check("not_null:o_orderkey", "not_null", "o_orderkey", _rows_where("o_orderkey IS NULL")),

@@ -26,6 +26,7 @@ from loadweir.plans.configured import load_configured
 from loadweir.plans.load import LoadOptions, load_frame, load_resource, load_resources
 from loadweir.session import shared_dir
 from loadweir.sinks import tables as sink
+from loadweir.sinks.ledger import LoadLedger
 from loadweir.sinks.target import Dataset, Target
 from loadweir.sources import readers
 from loadweir.sources.params import bind_params, read_query
@@ -526,6 +527,31 @@ def append_once_table(spark, sf_dir):
     return target.read(spark).select("event_id", "_load_id")
 
 
+@query
+def append_torn_replay(spark, sf_dir):
+    """Three tenths of a load are there when its driver is lost; the replay leaves each row once."""
+    target = Target.folder(shared_dir(spark, "torn"))
+    events = table(spark, sf_dir, "events").select("event_id")
+    sink.append_once_table(cols.stamp(events, "load-1", LOADED_AT, NTZ), target, "load-1")
+    batch = cols.stamp(events, "load-2", LOADED_AT, NTZ)
+    LoadLedger(spark, target).begin("load-2")
+    sink.write_table(batch.filter("event_id % 10 < 3"), target)
+    for _ in range(2):
+        sink.append_once_table(batch, target, "load-2")
+    return target.read(spark).select("event_id", "_load_id")
+
+
+@query
+def retention_load(spark, sf_dir):
+    """days landed one by one, then kept for a week by what the files say of themselves."""
+    target = Target.folder(shared_dir(spark, "retention"))
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    sink.write_table(events, target, cluster_by=["ts"], parallelism=6)
+    for as_of in (AS_OF - timedelta(days=20), AS_OF):
+        sink.retain_table(spark, target, "ts", as_of, 7)
+    return target.read(spark)
+
+
 # ---- quality ----------------------------------------------------------------------------------
 
 
@@ -822,6 +848,41 @@ def load_resource_merge(spark, sf_dir):
     return zoneless(dataset.address("orders").read(spark)).drop("_load_id")
 
 
+def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders dated by month only, so that very many tie."""
+    month = F.date_trunc("month", "o_orderdate").cast("timestamp_ntz")
+    return table(spark, sf_dir, "orders").withColumn("o_orderdate", month)
+
+
+def _two_loads(spark, sf_dir, spec: ResourceSpec, current: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A load of even orders before 1998, then two of all orders; the second of them finds nothing new."""
+    dataset = Dataset(root=shared_dir(spark, "dataset"))
+    orders = _monthly(spark, sf_dir)
+    even = orders.filter("o_orderkey % 2 = 0 AND o_orderdate < TIMESTAMP_NTZ'1998-01-01'")
+    load_resource(spark, spec, even, dataset, LOADED_AT)
+    for hour in (1, 2):
+        load_resource(spark, spec, current(orders), dataset, LOADED_AT + timedelta(hours=hour))
+    return zoneless(dataset.address("orders").read(spark)).drop("_load_id", "_extracted_at")
+
+
+@query
+def incremental_ties_append(spark, sf_dir):
+    """rows that arrive later with the cursor of the high-water mark are appended, known ones are not."""
+    spec = ResourceSpec("orders", columns=ORDERS_CONTRACT, incremental=Incremental("o_orderdate", "1992-01-01T00:00:00Z"))
+    return _two_loads(spark, sf_dir, spec, lambda orders: orders)
+
+
+@query
+def incremental_ties_merge(spark, sf_dir):
+    """the same merged, with rows of that cursor that have changed since."""
+    spec = ResourceSpec(
+        "orders", write_disposition="merge", columns=ORDERS_CONTRACT,
+        incremental=Incremental("o_orderdate", "1992-01-01T00:00:00Z"),
+    )
+    price = F.when(F.col("o_orderstatus") == "O", F.lit(0.5)).otherwise(F.col("o_totalprice"))
+    return _two_loads(spark, sf_dir, spec, lambda orders: orders.withColumn("o_totalprice", price))
+
+
 @query
 def load_audit_rows(spark, sf_dir):
     """Three resources, one of them failing its gate; one audit row for each."""

@@ -289,3 +289,51 @@ def test_the_source_is_read_once(spark, folder, tmp_path):
     load_resource(spark, spec, df, Dataset(root=folder), AT)
     assert reads.value == 1
     assert Dataset(root=folder).address("t").read(spark).agg(F.sum("id")).first()[0] == 45
+
+
+@pytest.mark.parametrize("disposition", ["append", "merge"])
+def test_rows_that_tie_with_the_high_water_mark(spark, dataset, rows, disposition):
+    """Known rows at the mark are skipped, later ones and changed ones are not, in any session zone."""
+    spec = ResourceSpec("e", ("id",), disposition, incremental=Incremental("ts", "2024-01-01 00:00:00"))
+
+    def events(*values):
+        listed = ", ".join(f"({i}, TIMESTAMP'{t}+00:00', {v}, {m})" for i, t, v, m in values)
+        return spark.sql(f"SELECT * FROM VALUES {listed} AS t(id, ts, v, m)")
+
+    hour = timedelta(hours=1)
+    first = [(1, "2024-01-10 00:00:00", "'a'", "map('k', 1)"), (2, "2024-01-10 00:00:00", "NULL", "NULL")]
+    load_resource(spark, spec, events(*first), dataset, AT)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for n, name in enumerate(("Asia/Tokyo", "America/New_York"), 1):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            again = load_resource(spark, spec, events(*first), dataset, AT + n * hour)
+            assert again["rows_processed"] == 0
+            late = (10 + n, "2024-01-10 00:00:00", "'late'", "NULL")
+            got = load_resource(spark, spec, events(*first, late), dataset, AT + 3 * n * hour)
+            assert got["rows_processed"] == 1
+            first.append(late)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    changed = [first[0][:2] + ("'b'", "map('k', 2)"), *first[1:], (3, "2024-01-11 00:00:00", "'c'", "NULL")]
+    got = load_resource(spark, spec, events(*changed), dataset, AT + 9 * hour)
+    assert got["rows_processed"] == 2
+    stored = dataset.address("e").read(spark)
+    old = [] if disposition == "merge" else [(1, "a")]
+    assert sorted(rows(stored, "id", "v"), key=str) == sorted(old + [(1, "b"), (2, None), (3, "c"), (11, "late"), (12, "late")], key=str)
+
+
+def test_rejects_at_the_mark_are_seen_once(spark, folder):
+    dataset = Dataset(root=folder)
+    spec = ResourceSpec("n", columns=(Column("id", "integer"), Column("day", "date")), incremental=Incremental("day", "2024-01-01"))
+    df = spark.sql("SELECT * FROM VALUES ('1', '2024-01-02'), ('x', '2024-01-02') AS t(id, day)")
+    counts = [load_resource(spark, spec, df, dataset, AT + timedelta(hours=h)) for h in range(2)]
+    assert [(c["rows_processed"], c["rows_rejected"]) for c in counts] == [(1, 1), (0, 0)]
+
+
+def test_a_backfill_rejects_rows_without_a_cursor(spark, folder):
+    dataset = Dataset(root=folder)
+    spec = ResourceSpec("e", ("id",), "merge", incremental=Incremental("ts", "2024-01-01 00:00:00"))
+    df = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP'2024-01-05'), (2, NULL) AS t(id, ts)")
+    got = load_resource(spark, spec, df, dataset, AT, as_of=datetime(2024, 1, 10), options=LoadOptions(backfill_days=30))
+    assert (got["rows_processed"], got["rows_rejected"]) == (1, 1)
