@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CORRUPT = "_corrupt_record"
+from loadweir.sources.readers import CORRUPT, json_bodies, read_lines
 
 
 def open_landing(spark: SparkSession, path: str, schema: str | T.StructType, **options) -> DataFrame:
     """The records of ``path`` with the fields of ``schema``, ``_corrupt_record`` and ``_source_file``.
 
-    Lines may be compressed. A line that is no record, or that holds a value of another type, keeps
-    its raw text in ``_corrupt_record`` and is never dropped; what can be read of it is read.
+    Lines may be compressed, and hold a record or an array of records. One that is no record, or that
+    holds a value of another type, keeps its raw text in ``_corrupt_record`` and is never dropped,
+    whichever columns are selected; what can be read of it is read. ``options`` are those of Spark's
+    JSON reader; with ``multiLine`` a file is one text.
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    own = [f for f in fields if f.name not in (CORRUPT, "_source_file")]
-    declared = T.StructType([*own, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(declared).options(**{"columnNameOfCorruptRecord": CORRUPT, **options})
-    return reader.json(path).withColumn("_source_file", F.col("_metadata.file_path"))
+    own = T.StructType([f for f in fields if f.name not in (CORRUPT, "_source_file")])
+    whole = str(options.pop("multiLine", False)).lower() == "true"
+    bodies = json_bodies(read_lines(spark, path, whole), "_line", own, options)
+    return bodies.select(*[F.col("_body")[f.name].alias(f.name) for f in own], F.col("_body")[CORRUPT].alias(CORRUPT), "_source_file")

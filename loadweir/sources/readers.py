@@ -43,6 +43,32 @@ def _wrap(record: T.StructType, records_path: str | None) -> T.DataType:
     return inner
 
 
+def json_bodies(
+    lines: DataFrame, text: str, fields: T.StructType, options: Mapping[str, Any] | None = None
+) -> DataFrame:
+    """``lines`` with ``_body``, the fields and ``_corrupt_record`` of each body that ``text`` holds.
+
+    A text that is an array gives one row for each of its elements. Every field is parsed whatever is
+    selected afterwards, so it never depends on the query whether a body is corrupt: one that is no
+    record, or holds a value of another type, keeps its own text as the mark.
+    """
+    value = quoted(text)
+    listed = F.coalesce(F.from_json(value, "array<string>"), F.array(value))
+    each = F.when(value.rlike(r"^\s*\["), listed).otherwise(F.array(value))
+    declared = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+    # With options given, Spark does not prune the parsed fields to the selected ones.
+    given = {**(options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = lines.withColumn("_text", F.explode(each))
+    return rows.withColumn("_body", F.from_json("_text", declared, given)).drop("_text")
+
+
+def read_lines(spark: SparkSession, path: str | list[str], whole: bool = False) -> DataFrame:
+    """``_line`` and ``_source_file`` of text files, compressed or not, without blank lines."""
+    lines = spark.read.text(path, wholetext=whole)
+    lines = lines.select(F.col("value").alias("_line"), F.col("_metadata.file_path").alias("_source_file"))
+    return lines.filter(F.col("_line").rlike(r"\S"))
+
+
 def read_json_records(
     spark: SparkSession,
     path: str | list[str],
@@ -53,16 +79,11 @@ def read_json_records(
     """Landed response bodies to one typed row per record.
 
     A body is a record, an array of records, or an object holding that array at ``records_path``.
-    A body that cannot be parsed gives one row of NULLs with its text in ``_corrupt_record``. Land
-    one body per line: ``multi_line`` files are read whole by one task each.
+    A body that cannot be parsed gives one row with its text in ``_corrupt_record``, and the rest of
+    its array is kept. Land one body per line: ``multi_line`` files are read whole by one task each.
     """
-    body = T.StructType(
-        list(_struct(_wrap(_struct(schema), records_path)).fields)
-        + [T.StructField(CORRUPT, T.StringType())]
-    )
-    reader = spark.read.schema(body).option("columnNameOfCorruptRecord", CORRUPT)
-    rows = reader.option("mode", "PERMISSIVE").option("multiLine", multi_line).json(path)
-    return rows if records_path is None else _records(rows, path_col(records_path), F.col(CORRUPT))
+    lines = read_lines(spark, path, multi_line)
+    return parse_json_records(lines, "_line", schema, records_path)
 
 
 def parse_json_records(
@@ -74,15 +95,7 @@ def parse_json_records(
 ) -> DataFrame:
     """The same for bodies held in a string column; ``keep`` carries other columns along."""
     record = _struct(schema)
-    body = _struct(_wrap(record, records_path))
-    parsed = df.withColumn(
-        "_body",
-        F.from_json(
-            quoted(col),
-            T.StructType(list(body.fields) + [T.StructField(CORRUPT, T.StringType())]),
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
-        ),
-    )
+    parsed = json_bodies(df, col, _struct(_wrap(record, records_path)))
     corrupt = F.col(f"_body.{CORRUPT}")
     kept = [quoted(k) for k in keep]
     if records_path is None:

@@ -226,6 +226,11 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT event_id, user_id, event_type, 'load-' || event_type FROM events
         WHERE event_type = 'purchase'""",
+    "src_json_bodies": """
+        SELECT 'corrupt' AS outcome, FALSE AS no_id, count(*) AS n FROM events WHERE event_id % 10 = 0
+        UNION ALL SELECT 'corrupt', TRUE, count(*) FROM events WHERE event_id % 10 = 1
+        UNION ALL SELECT 'good', TRUE, count(*) FROM events WHERE event_id % 10 <> 1
+        UNION ALL SELECT 'good', FALSE, count(*) FROM events WHERE event_id % 10 > 1""",
     "append_torn_replay": """
         SELECT event_id, 'load-1' AS _load_id FROM events
         UNION ALL SELECT event_id, 'load-2' AS _load_id FROM events""",

@@ -128,6 +128,25 @@ def src_landing_format(spark, sf_dir):
     return landed.filter(F.col("_corrupt_record").isNull()).select(*events.columns)
 
 
+@query
+def src_json_bodies(spark, sf_dir):
+    """Compressed bodies, each an array of an event's record and a marker; some are broken or of another type.
+
+    Only ids and marks are read back, and no record is lost or passes for a good one.
+    """
+    folder = shared_dir(spark, "bodies")
+    turn = F.col("event_id") % 10
+    good = F.to_json(F.struct("event_id", "user_id"))
+    wrong = F.to_json(F.struct("event_id", F.col("event_type").alias("user_id")))
+    record = F.when(turn == 0, wrong).otherwise(good)
+    array = F.concat(F.lit("["), record, F.lit(', {"user_id": -1}]'))
+    body = F.when(turn == 1, F.concat(F.lit('{"event_id": '), "event_type")).otherwise(array)
+    table(spark, sf_dir, "events").select(body.alias("value")).write.option("compression", "gzip").text(folder)
+    landed = open_source(spark, "landing", path=folder, schema="event_id bigint, user_id bigint")
+    outcome = F.when(F.col("_corrupt_record").isNotNull(), "corrupt").otherwise("good")
+    return landed.groupBy(outcome.alias("outcome"), F.col("event_id").isNull().alias("no_id")).agg(F.count("*").alias("n"))
+
+
 @query
 def src_param_filter(spark, sf_dir):
     """Placeholders filled from parameters, then bound as typed literals."""

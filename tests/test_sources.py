@@ -100,6 +100,17 @@ def test_landing_loses_no_line(spark, tmp_path, rows):
     assert {os.path.basename(r[0]) for r in rows(df, "_source_file")} == {"a.json.gz", "b.json"}
 
 
+@pytest.mark.parametrize("open_it", ["landing", "rest_api"])
+def test_a_corrupt_mark_does_not_depend_on_what_is_selected(spark, tmp_path, open_it):
+    folder = str(tmp_path / "land")
+    lines(folder, "a.json", '{"id": 1, "v": 5}', '{"id": 2, "v": "abc"}', '[{"id": 3, "v": 7}, {"id": "x"}, 4]', "[oops", "  ")
+    df = open_source(spark, open_it, path=folder, schema="id bigint, v bigint")
+    wanted = {(1, None), (2, '{"id": 2, "v": "abc"}'), (3, None), (None, '{"id":"x"}'), (None, "4"), (None, "[oops")}
+    assert {tuple(r) for r in df.select("id", "_corrupt_record").collect()} == wanted
+    assert df.filter("_corrupt_record IS NOT NULL").count() == 4
+    assert df.select("_corrupt_record").filter("_corrupt_record IS NULL").count() == 2
+
+
 class Reader:
     """Stands in for ``spark.read``: no database is started in tests."""
 
