@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime
+from functools import partial
 
+from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,19 +78,58 @@ def _rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 def protect_pii(
     df: DataFrame, fields: Iterable[str], mode: str = "hash", salt: str = "", keep: int = 4
 ) -> DataFrame:
-    """Hash, mask or drop the listed fields in place; NULL stays NULL."""
+    """Hash, mask or drop the listed fields in place; NULL stays NULL.
+
+    A field is a column, or a dotted path into one, through structs and on its way through the
+    elements of arrays and the values of maps. All leaves below a field are protected.
+    """
     if mode not in PII_MODES:
         raise ValueError(f"Unknown protection mode '{mode}'. Known modes: {list(PII_MODES)}")
+    fields = list(fields)
     found = match_names(df.columns, fields)
-    absent = [name for name, column in found.items() if column is None]
+    heads = match_names(df.columns, [f.split(".")[0] for f in fields])
+    absent = [f for f in fields if found[f] is None and heads[f.split(".")[0]] is None]
     if absent:
         raise ValueError(f"Protected fields {absent} not found. Available: {df.columns}")
-    columns = list(found.values())
     if mode == "drop":
-        return df.drop(*columns)
-    if mode == "hash":
-        return df.withColumns({c: hash_text(quoted(c), salt) for c in columns})
-    return df.withColumns({c: mask_text(quoted(c), keep) for c in columns})
+        leaf = None
+    elif mode == "hash":
+        leaf = partial(hash_text, salt=salt)
+    else:
+        leaf = partial(mask_text, keep=keep)
+    for field in fields:
+        column, path = found[field], []
+        if column is None:
+            column, path = heads[field.split(".")[0]], field.split(".")[1:]
+        if leaf is None and not path:
+            df = df.drop(column)
+        else:
+            df = df.withColumn(column, protected(quoted(column), df.schema[column].dataType, path, leaf))
+    return df
+
+
+def protected(
+    value: SparkColumn, kind: T.DataType, path: Sequence[str], leaf: Callable[[SparkColumn], SparkColumn] | None
+) -> SparkColumn:
+    """``value`` with the leaves at ``path`` below it put through ``leaf``, or dropped if that is None."""
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: protected(x, kind.elementType, path, leaf))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, v: protected(v, kind.valueType, path, leaf))
+    if isinstance(kind, T.StructType):
+        if not path:
+            for f in kind.fields:
+                value = value.withField(f"`{f.name}`", protected(value.getField(f.name), f.dataType, [], leaf))
+            return value
+        name = match_names(kind.names, path[:1])[path[0]]
+        if name is not None:
+            if leaf is None and len(path) == 1:
+                return value.dropFields(f"`{name}`") if len(kind.fields) > 1 else F.lit(None).cast(kind)
+            below = protected(value.getField(name), kind[name].dataType, path[1:], leaf)
+            return value.withField(f"`{name}`", below)
+    if path:
+        raise ValueError(f"Protected field '{path[0]}' not found in {kind.simpleString()}")
+    return F.lit(None).cast(kind) if leaf is None else leaf(value)
 
 
 def stamp(

@@ -34,6 +34,10 @@ class QualityError(Exception):
         super().__init__(f"Data quality checks failed: {named}")
 
 
+# Beginnings of the columns that stand for values a frame no longer holds in the clear.
+FAILS, SAME = "__fails:", "__same:"
+
+
 @dataclass(frozen=True)
 class _RowRule:
     """One row-level test: what to call it and when a row fails it."""
@@ -64,13 +68,21 @@ def _row_rules(df: DataFrame, checks: Sequence[Check]) -> list[_RowRule]:
         if check.type not in ROW_CHECKS:
             continue
         if check.type == "completeness":
+            column = ",".join(check.required_columns)
+            label = _label(check, column, True)
+            if FAILS + label in df.columns:
+                rules.append(_RowRule(label, check, column, quoted(FAILS + label)))
+                continue
             found = match_names(df.columns, check.required_columns)
             absent = any(column is None for column in found.values())
             failed = F.lit(True) if absent else ~all_set(list(found.values()))
-            column = ",".join(check.required_columns)
-            rules.append(_RowRule(_label(check, column, True), check, column, failed))
+            rules.append(_RowRule(label, check, column, failed))
             continue
         for name in check.targets:
+            label = _label(check, name, len(check.targets) == 1)
+            if FAILS + label in df.columns:
+                rules.append(_RowRule(label, check, name, quoted(FAILS + label)))
+                continue
             value = quoted(_find(df, name))
             if check.type == "not_null":
                 failed = value.isNull()
@@ -84,7 +96,6 @@ def _row_rules(df: DataFrame, checks: Sequence[Check]) -> list[_RowRule]:
                     failed = failed | (value < check.min_value)
                 if check.max_value is not None:
                     failed = failed | (value > check.max_value)
-            label = _label(check, name, len(check.targets) == 1)
             rules.append(_RowRule(label, check, name, failed))
     labels = [r.name for r in rules]
     twice = sorted({n for n in labels if labels.count(n) > 1})
@@ -93,6 +104,25 @@ def _row_rules(df: DataFrame, checks: Sequence[Check]) -> list[_RowRule]:
     return rules
 
 
+def stand_ins(df: DataFrame, checks: Sequence[Check], fields: Sequence[str]) -> dict[str, SparkColumn]:
+    """Columns by which ``checks`` can still be run once ``fields`` are protected.
+
+    A row-level check of a field is answered while its value is in the clear; a unique one gets a
+    hash in its place, which a mask or a dropped column would not be.
+    """
+    hidden = {f.lower() for f in fields}
+    out = {}
+    for rule in _row_rules(df, [c for c in checks if c.type in ROW_CHECKS]):
+        if hidden & {n.lower() for n in (rule.check.required_columns or (rule.column,))}:
+            out[FAILS + rule.name] = F.coalesce(rule.failed, F.lit(False))
+    for check in checks:
+        if check.type == "unique":
+            for name in check.targets:
+                if name.lower() in hidden:
+                    out[SAME + name.lower()] = F.sha2(quoted(_find(df, name)).cast("string"), 256)
+    return out
+
+
 def _result(name, check: Check, column: str, total, failed, passed) -> SparkColumn:
     return F.struct(
         F.lit(name).alias("check_name"),
@@ -117,7 +147,8 @@ def schema_differences(df: DataFrame, contract: Sequence[Column]) -> list[tuple[
             out.append((column.name, f"type {df.schema[have].dataType.simpleString()}"))
         else:
             out.append((column.name, None))
-    return out + [(name, "extra") for name in df.columns if name not in found.values()]
+    extra = [n for n in df.columns if n not in found.values() and not n.startswith((FAILS, SAME))]
+    return out + [(name, "extra") for name in extra]
 
 
 def run_checks(
@@ -140,7 +171,8 @@ def run_checks(
         slot = f"failed_{len(aggregates)}"
         aggregates.append(F.count_if(rule.failed).alias(slot))
         passed = F.col(slot) == 0
-        if rule.check.type == "completeness" and not _has_all(df, rule.check.required_columns):
+        answered = FAILS + rule.name in df.columns
+        if rule.check.type == "completeness" and not answered and not _has_all(df, rule.check.required_columns):
             passed = F.lit(False)
         results.append(_result(rule.name, rule.check, rule.column, total, F.col(slot), passed))
 
@@ -201,7 +233,8 @@ def _unique(df: DataFrame, check: Check) -> DataFrame:
     The count per key is added up inside each task before the shuffle, so one key with a third of
     all rows is still one partial count per task.
     """
-    keys = [_find(df, name) for name in check.targets]
+    own = [SAME + name.lower() for name in check.targets]
+    keys = [s if s in df.columns else _find(df, name) for s, name in zip(own, check.targets)]
     name = ",".join(check.targets)
     per_key = df.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("n_in_key"))
     beyond = F.when(all_set(keys), F.col("n_in_key") - 1).otherwise(0)

@@ -21,6 +21,7 @@ from loadweir.operators.columns import (
     match_names,
     normalise_columns,
     protect_pii,
+    protected,
     quoted,
     stamp,
 )
@@ -28,7 +29,7 @@ from loadweir.operators.conform import REASONS, conformed_columns, contract_rule
 from loadweir.operators.cursor import past_boundary, past_cursor, row_identity, within_backfill
 from loadweir.operators.merging import append, merge
 from loadweir.operators.metrics import load_audit
-from loadweir.operators.quality import gate, run_checks, tag_rows
+from loadweir.operators.quality import FAILS, SAME, gate, run_checks, stand_ins, tag_rows
 from loadweir.plans.state import (
     boundary,
     derive_load_id,
@@ -124,6 +125,8 @@ def judge(batch: DataFrame, spec: ResourceSpec) -> DataFrame:
     """P1 and P2 in one projection: conformed columns, reasons, cursor, and raw text of rejects.
 
     Everything a load needs to know about a row is here, so the batch has to be read only once.
+    Protected fields leave this projection protected (P6): what is staged, checked and rejected
+    afterwards never holds them in the clear, and checks of them are answered here.
     """
     contract = _contract(spec, batch)
     rules = contract_rules(batch, contract)
@@ -153,7 +156,20 @@ def judge(batch: DataFrame, spec: ResourceSpec) -> DataFrame:
     if cursor is not None and cursor.enabled:
         identity = row_identity(batch, _identity_paths(batch, spec))
         own += [value.alias(name) for name, value in zip(SEEN, identity)]
-    return judged.select(*columns, *own)
+    judged = judged.select(*columns, *own)
+    if not spec.pii_fields:
+        return judged
+    judged = judged.withColumns(stand_ins(judged, spec.checks, spec.pii_fields))
+    fields = [*spec.pii_fields, *_copies(judged, spec)]
+    return protect_pii(judged, fields, spec.pii_mode, spec.pii_salt)
+
+
+def _copies(judged: DataFrame, spec: ResourceSpec) -> list[str]:
+    """Where an undeclared column that is kept holds the source of a protected contract column as well."""
+    hidden = {f.lower() for f in spec.pii_fields}
+    paths = [c.path for c in spec.columns if c.path and "." in c.path and c.name.lower() in hidden]
+    own = {c.name for c in spec.columns}
+    return [p for p in paths if p.split(".")[0] in judged.columns and p.split(".")[0] not in own]
 
 
 def _contract(spec: ResourceSpec, batch: DataFrame) -> list[Column]:
@@ -178,16 +194,28 @@ def _raw_values(batch: DataFrame, spec: ResourceSpec, contract: list[Column]) ->
         field = spec.incremental.cursor_field
         if field not in values and field not in {c.source for c in contract}:
             values[field] = path_col(field)
-    shown = [value.alias(name) for name, value in values.items() if name.lower() not in hidden]
+    sources = {c.name: c.source for c in contract}
+    inside = [f for f in spec.pii_fields if "." in f]
+    inside += [c.source for c in spec.columns if c.name.lower() in hidden and "." in c.source]
+    for name in values:
+        source = sources.get(name, name)
+        for field in inside:
+            if field.lower().startswith(source.lower() + "."):
+                rest, kind = field[len(source) + 1 :].split("."), path_type(batch, source)
+                values[name] = protected(values[name], kind, rest, None)
+    shown = [
+        value.alias(name)
+        for name, value in values.items()
+        if name.lower() not in hidden and sources.get(name, name).lower() not in map(str.lower, inside)
+    ]
     return shown or [F.lit(None).cast("string").alias("hidden")]
 
 
 def finish(
     good: DataFrame, spec: ResourceSpec, case: str, load_id: str, extracted_at: datetime
 ) -> DataFrame:
-    """Good rows as they are stored."""
-    if spec.pii_fields:
-        good = protect_pii(good, spec.pii_fields, spec.pii_mode, spec.pii_salt)
+    """Good rows as they are stored."""
+    good = good.drop(*[c for c in good.columns if c.startswith((FAILS, SAME))])
     aliases = {old: new for old, new in spec.aliases.items() if old in good.columns}
     if len(aliases) < len(spec.aliases):
         raise ValueError(f"Cannot alias unknown columns {sorted(set(spec.aliases) - set(aliases))}")
@@ -353,7 +381,8 @@ def _divert(tagged: DataFrame, spec: ResourceSpec, checks: Sequence[Check]) -> D
     """Q12 in a load: a conformed row that fails an ``error`` check on rows becomes a reject."""
     rules = tuple(c for c in checks if c.type in ROW_CHECKS and c.severity == "error")
     hidden = {f.lower() for f in spec.pii_fields} | {name.lower() for name in _OWN}
-    shown = [quoted(name) for name in tagged.columns if name.lower() not in hidden]
+    names = [n for n in tagged.columns if n.lower() not in hidden and not n.startswith((FAILS, SAME))]
+    shown = [quoted(name) for name in names]
     failed = F.transform("failed_checks", lambda name: F.concat(F.lit("check "), name))
     diverted = (F.size(REASONS) == 0) & (F.size("failed_checks") > 0)
     raw = F.to_json(F.struct(*(shown or [F.lit(None).cast("string").alias("hidden")])))
@@ -376,7 +405,17 @@ def _check_batch(body, spec, dataset, checks, extracted_at, as_of, is_empty) ->
     if "_extracted_at" in named:
         stamped = typed_literal(extracted_at, T.TimestampType())
         seen = body.withColumn("_extracted_at", stamped)
-    contract = _contract(spec, body)
+    # A protected column has another type than the contract says of its source.
+    hidden = {f.lower() for f in spec.pii_fields}
+    contract = [c for c in _contract(spec, body) if c.name.lower() not in hidden]
+    if hidden and any(c.type == "schema" for c in checks):
+        shapes = [c for c in checks if c.type == "schema"]
+        rest = tuple(c for c in checks if c.type != "schema")
+        own = body.drop(*[n for n in body.columns if n.lower() in hidden])
+        found = run_checks(own, shapes, as_of, contract)
+        if not rest:
+            return found
+        return _check_batch(body, spec, dataset, rest, extracted_at, as_of, is_empty).unionByName(found)
     ages = [c for c in checks if c.type == "freshness"]
     if not (ages and is_empty and target.exists(spark)):
         return run_checks(seen, checks, as_of, contract)

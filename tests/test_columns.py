@@ -100,3 +100,25 @@ def test_json_paths(spark, rows):
     df = spark.createDataFrame([('{"a": {"b": 7}}',), ("{oops",), ('{"a": {"b": "x"}}',), (None,)], "j string")
     got = [r[0] for r in df.select(json_get("j", "$.a.b", "bigint")).collect()]
     assert got == [7, None, None, None]
+
+
+@pytest.mark.parametrize("mode", ["hash", "mask", "drop"])
+def test_protection_reaches_nested_leaves(spark, mode):
+    df = spark.sql("""
+        SELECT 1 AS id, named_struct('email', 'ann@example.org', 'city', 'Bonn') AS contact,
+               array(named_struct('email', 'bob@example.org', 'n', 1), NULL) AS friends,
+               map('home', named_struct('email', 'eve@example.org', 'x', 2)) AS more,
+               array('kim@example.org', NULL) AS mails, named_struct('email', 'joe@example.org') AS only
+        UNION ALL SELECT 2, NULL, NULL, NULL, NULL, NULL""")
+    fields = ["contact.email", "friends.email", "more.email", "mails", "only.EMAIL"]
+    out = cols.protect_pii(df, fields, mode)
+    text = str(out.collect())
+    assert "example" not in text and "Bonn" in text and out.columns[:4] == df.columns[:4]
+    last = out.filter("id = 2").first()
+    assert all(v is None for v in last[1:])
+    if mode == "hash":
+        got = out.filter("id = 1").first()
+        assert len(got.contact.email) == len(got.friends[0].email) == len(got.mails[0]) == 64
+        assert got.friends[1] is None and got.mails[1] is None and got.more["home"].x == 2
+    with pytest.raises(ValueError, match="not found"):
+        cols.protect_pii(df, ["contact.phone"], mode)

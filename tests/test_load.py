@@ -1,4 +1,6 @@
 import json
+from contextlib import contextmanager
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -337,3 +339,40 @@ def test_a_backfill_rejects_rows_without_a_cursor(spark, folder):
     df = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP'2024-01-05'), (2, NULL) AS t(id, ts)")
     got = load_resource(spark, spec, df, dataset, AT, as_of=datetime(2024, 1, 10), options=LoadOptions(backfill_days=30))
     assert (got["rows_processed"], got["rows_rejected"]) == (1, 1)
+
+
+@pytest.mark.parametrize("mode", ["hash", "mask", "drop"])
+def test_protected_values_are_nowhere_in_the_shared_folder(spark, folder, monkeypatch, mode):
+    """Neither staged, rejected nor stored; and checks still see what they are about."""
+    seen = []
+    whole = loads.staged
+
+    @contextmanager
+    def looking(df, purpose):
+        with whole(df, purpose) as held:
+            seen.extend(str(r) for r in held.collect())
+            yield held
+
+    monkeypatch.setattr(loads, "staged", looking)
+    dataset = Dataset(root=folder)
+    spec = ResourceSpec(
+        "people", ("id",), "merge", extra_columns="keep", pii_fields=("email", "contact.phone"), pii_mode=mode,
+        columns=(Column("id", "integer"), Column("email", "string", path="contact.email"), Column("age", "integer")),
+        checks=(
+            Check("pattern", column="email", pattern="@", severity="warning"), Check("unique", columns=("email",)),
+            Check("not_null", columns=("email",)), Check("schema", severity="warning"),
+        ),
+    )
+    people = spark.sql("""
+        SELECT '1' AS id, '5' AS age, named_struct('email', 'ann@secret.org', 'phone', '0123456', 'town', 'Ulm') AS contact
+        UNION ALL SELECT '2', '6', named_struct('email', 'secret.org', 'phone', '0123456', 'town', 'Ulm')
+        UNION ALL SELECT '3', 'old', named_struct('email', 'bad@secret.org', 'phone', '0123456', 'town', 'Ulm')""")
+    result = load_resource(spark, spec, people, dataset, AT)
+    assert (result["rows_processed"], result["rows_rejected"]) == (2, 1)
+    everything = seen + [str(r) for n in ("rejects", "loads") for r in book(spark, dataset, n).collect()]
+    everything += [str(r) for r in dataset.address("people").read(spark).collect()]
+    assert seen and not any("secret" in text or "0123456" in text for text in everything)
+    assert "Ulm" in str(book(spark, dataset, "rejects").first().raw)
+    strict = replace(spec, checks=(Check("pattern", column="email", pattern="@"),))
+    with pytest.raises(QualityError, match="pattern:email .1 of 2"):
+        load_resource(spark, strict, people, dataset, AT + timedelta(hours=1))
