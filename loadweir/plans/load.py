@@ -48,7 +48,8 @@ from loadweir.sinks.tables import (
     write_table,
 )
 from loadweir.sinks.target import Dataset
-from loadweir.spec import ROW_CHECKS, Check, Column, ResourceSpec
+from loadweir.sources.readers import feed_from_parent
+from loadweir.spec import ROW_CHECKS, Check, Column, ResourceSpec, in_parent_order
 
 CURSOR = "__cursor"
 RAW = "__raw"
@@ -436,6 +437,11 @@ def _write(good, spec, dataset, load_id, extracted_at, replay_at, options) -> No
         "rows_per_file": dataset.rows_per_file,
     }
     rows = finish(good, spec, dataset.case, load_id, extracted_at)
+    if not dataset.evolve and target.exists(good.sparkSession):
+        have = match_names(target.read(good.sparkSession).columns, rows.columns)
+        new = [name for name, column in have.items() if column is None]
+        if new:
+            raise ValueError(f"Columns {new} are new to {target.location}, whose schema may not evolve")
     if options.full_refresh or spec.write_disposition == "replace":
         write_table(
             rows, target, "replace", **layout, parallelism=parallelism, stage=not options.stage
@@ -477,22 +483,64 @@ def load_resources(
 ) -> DataFrame:
     """Load each resource and return one audit row for each, failures included.
 
-    With ``parallel_loads`` above 1 several loads submit their Spark jobs at once, which keeps a
-    cluster busy while one of them finishes its last tasks.
+    A resource with a parent is loaded after it, from the rows whose key the parent has just loaded
+    (S7); if the parent failed it is skipped, with an audit row that says so. A parent outside of this
+    run is taken as it is stored. With ``parallel_loads`` above 1 several loads submit their Spark
+    jobs at once, which keeps a cluster busy while one of them finishes its last tasks.
     """
     absent = [s.name for s in specs if s.name not in sources]
     if absent:
         raise ValueError(f"Resources {absent} not found. Available: {list(sources)}")
+    results: dict[str, dict[str, Any]] = {}
 
     def one(spec: ResourceSpec) -> dict[str, Any]:
         frame = sources[spec.name]
+        if spec.parent is not None:
+            above = results.get(spec.parent.resource)
+            if above is not None and not above["success"]:
+                return _skipped(spark, spec, dataset, pipeline)
+            frame = _fed(spark, spec, frame, specs, dataset, above)
         return _attempt(
             spark, spec, frame, dataset, extracted_at, None, as_of, options, pipeline
         )[0]
 
-    if parallel_loads > 1:
-        with ThreadPoolExecutor(parallel_loads) as pool:
-            results = list(pool.map(inheritable_thread_target(spark)(one), specs))
-    else:
-        results = [one(spec) for spec in specs]
-    return load_audit(spark, results)
+    for step in in_parent_order(specs):
+        if parallel_loads > 1:
+            with ThreadPoolExecutor(parallel_loads) as pool:
+                found = list(pool.map(inheritable_thread_target(spark)(one), step))
+        else:
+            found = [one(spec) for spec in step]
+        results |= {spec.name: row for spec, row in zip(step, found)}
+    return load_audit(spark, [results[s.name] for s in specs])
+
+
+def _fed(spark, spec: ResourceSpec, frame: DataFrame, specs, dataset: Dataset, above) -> DataFrame:
+    """The rows of ``frame`` whose key the parent's load ``above`` has written, or its table holds."""
+    target = dataset.address(spec.parent.resource)
+    if not target.exists(spark):
+        return frame.limit(0)
+    stored = target.read(spark)
+    if above is not None:
+        stored = stored.filter(quoted("_load_id") == above["load_id"])
+    parent = next((s for s in specs if s.name == spec.parent.resource), ResourceSpec(spec.parent.resource))
+    key = stored_name(parent, spec.parent.parent_key, dataset.case)
+    return feed_from_parent(frame, stored, spec.parent.child_key, key)
+
+
+def _skipped(spark, spec: ResourceSpec, dataset: Dataset, pipeline: str) -> dict[str, Any]:
+    """The audit row of a resource whose parent failed."""
+    now = _utc_now()
+    result = {
+        "pipeline_name": pipeline or spec.name,
+        "resource": spec.name,
+        "success": False,
+        "start_time": now,
+        "end_time": now,
+        "destination": dataset.address(spec.name).location,
+        "rows_processed": 0,
+        "rows_rejected": 0,
+        "error": f"skipped: its parent '{spec.parent.resource}' failed",
+        "row_counts": {dataset.name_of(spec.name): 0},
+    }
+    save_audit(spark, dataset, [result])
+    return result

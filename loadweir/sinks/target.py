@@ -122,6 +122,7 @@ class Dataset:
 
     Give ``root`` for folders or ``schema`` (with an optional ``catalog``) for catalog tables.
     ``partition_fixed`` says that a key never changes partition, so a merge need not look for it.
+    Without ``evolve`` a load that brings columns a table does not have fails.
     """
 
     root: str | None = None
@@ -138,6 +139,7 @@ class Dataset:
     parallelism: int | None = None
     retention_days: int | None = None
     compact_after_write: bool = False
+    evolve: bool = True
 
     def __post_init__(self) -> None:
         if (self.root is None) == (self.schema is None):

@@ -126,6 +126,18 @@ class Incremental:
             raise ValueError("incremental is enabled but cursor_field is empty")
 
 
+@dataclass(frozen=True)
+class Parent:
+    """A resource is read for the keys its parent has just loaded.
+
+    ``child_key`` is a column of this resource's source, ``parent_key`` one of the parent's contract.
+    """
+
+    resource: str
+    parent_key: str
+    child_key: str
+
+
 @dataclass(frozen=True)
 class ResourceSpec:
     """A named record set: its contract, key, cursor, checks and how it is written."""
@@ -142,6 +154,7 @@ class ResourceSpec:
     aliases: Mapping[str, str] = field(default_factory=dict)
     params: Mapping[str, Any] = field(default_factory=dict)
     extra_columns: str = "drop"
+    parent: Parent | None = None
 
     def __post_init__(self) -> None:
         for name in ("primary_key", "pii_fields"):
@@ -174,6 +187,7 @@ class ResourceSpec:
         contract = config.get("schema") or config.get("table_schema") or {}
         quality = config.get("data_quality") or {}
         cursor = config.get("incremental")
+        parent = config.get("parent")
         return cls(
             name=config["name"],
             primary_key=_tuple(config.get("primary_key")),
@@ -194,9 +208,26 @@ class ResourceSpec:
             aliases=dict(config.get("aliases") or {}),
             params=dict(config.get("params") or {}),
             extra_columns=config.get("extra_columns", "drop"),
+            parent=Parent(parent["resource"], parent["key"], parent.get("child_key", parent["key"])) if parent else None,
         )
 
 
+def in_parent_order(specs: Sequence[ResourceSpec]) -> list[list[ResourceSpec]]:
+    """The resources in steps: one stands in a later step than its parent, if that is among them."""
+    names = {s.name for s in specs}
+    steps: list[list[ResourceSpec]] = []
+    done: set[str] = set()
+    left = list(specs)
+    while left:
+        step = [s for s in left if s.parent is None or s.parent.resource in done or s.parent.resource not in names]
+        if not step:
+            raise ValueError(f"Resources {[s.name for s in left]} are each other's parents")
+        steps.append(step)
+        done |= {s.name for s in step}
+        left = [s for s in left if s.name not in done]
+    return steps
+
+
 def specs_from_source(config: Mapping[str, Any]) -> dict[str, ResourceSpec]:
     """Every resource of a parsed source mapping, by name and in file order."""
     body = config.get("source", config)

@@ -27,6 +27,12 @@ def _start(writer, checkpoint: str, trigger: dict[str, Any] | None) -> Streaming
     )
 
 
+def _stream_id(batch: DataFrame, checkpoint: str) -> str:
+    """The id that a stream's checkpoint keeps; a new checkpoint is another stream."""
+    own = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return own or sha256(checkpoint.encode()).hexdigest()
+
+
 def stream_append(
     sdf: DataFrame,
     path: str,
@@ -51,16 +57,19 @@ def stream_merge(
     trigger: dict[str, Any] | None = None,
     partition_by: Sequence[str] = (),
     rejects: str | None = None,
+    partition_fixed: bool = False,
 ) -> StreamingQuery:
     """ST2: upsert each micro-batch by key.
 
     Stored rows of the batch's keys compete with the batch, so a late older row never replaces a
     newer one, and a batch that is run again changes nothing. A merge looks at its batch more than
     once, so the batch is staged first and the stream, with whatever state it has, runs once. Give
-    ``partition_by`` for a large target: only partitions that change are rewritten.
+    ``partition_by`` for a large target: only partitions that change are rewritten. With
+    ``partition_fixed`` (a key never changes partition, as an event its day) the others are not read either.
 
-    Rows with a NULL in their key go to the folder ``rejects`` of this stream, a sub-folder per
-    batch, which a batch that is run again replaces. Without that folder such a row stops the stream.
+    Rows with a NULL in their key go to the folder ``rejects``, a sub-folder per stream and batch,
+    which the same batch run again replaces and no other stream touches. Without that folder such a
+    row stops the stream.
     """
     key_set = all_set(keys)
 
@@ -70,9 +79,10 @@ def stream_merge(
             if not keyless.isEmpty():
                 if rejects is None:
                     raise ValueError(f"batch {batch_id} has rows with a NULL key; give a folder for rejects")
-                keyless.write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+                place = f"{rejects}/stream_id={_stream_id(batch, checkpoint)}/batch_id={batch_id}"
+                keyless.write.mode("overwrite").parquet(place)
             if not rows.isEmpty():
-                merge_table(rows, target, keys, order, partition_by, keep_newer=True)
+                merge_table(rows, target, keys, order, partition_by, partition_fixed, keep_newer=True)
 
     return _start(sdf.writeStream.foreachBatch(write).outputMode("append"), checkpoint, trigger)
 
@@ -140,13 +150,15 @@ def stream_interval_metrics(
 ) -> StreamingQuery:
     """ST4's sink: windows that changed replace their old row.
 
-    ``append`` mode would withhold every window that is still open.
+    ``append`` mode would withhold every window that is still open. The target is partitioned by the
+    day of the window, which a window never leaves, so a batch reads and rewrites the days it is
+    about however long the stream has run; a target from before keeps the layout it has.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with staged(batch, "stream") as rows:
             if not rows.isEmpty():
-                merge_table(rows, target, "window_start", "row_count")
+                merge_table(rows, target, "window_start", "row_count", ["window_start"], True)
 
     return _start(metrics.writeStream.foreachBatch(write).outputMode("update"), checkpoint, trigger)
 
@@ -168,8 +180,7 @@ def stream_quarantine(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        load_id = f"{name}-{stream or sha256(checkpoint.encode()).hexdigest()}-{batch_id}"
+        load_id = f"{name}-{_stream_id(batch, checkpoint)}-{batch_id}"
         tagged = tag_rows(batch, checks).withColumn("_load_id", F.lit(load_id))
         with staged(tagged, "quarantine") as held:
             passed, failed = split_tagged(held)

@@ -231,6 +231,24 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'corrupt', TRUE, count(*) FROM events WHERE event_id % 10 = 1
         UNION ALL SELECT 'good', TRUE, count(*) FROM events WHERE event_id % 10 <> 1
         UNION ALL SELECT 'good', FALSE, count(*) FROM events WHERE event_id % 10 > 1""",
+    "load_parent_child": """
+        WITH o AS (
+            SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 1 ELSE 2 END AS run
+            FROM orders WHERE o_orderdate >= TIMESTAMP '1997-06-01'
+        ),
+        runs AS (SELECT unnest([1, 2]) AS run)
+        SELECT 'orders' AS resource, TRUE AS success, count(o_orderkey) AS rows_processed, FALSE AS skipped
+        FROM runs LEFT JOIN o USING (run) GROUP BY run
+        UNION ALL
+        SELECT 'lineitem', TRUE, count(l_orderkey), FALSE
+        FROM runs LEFT JOIN (SELECT run, l_orderkey FROM lineitem JOIN o ON o_orderkey = l_orderkey) USING (run) GROUP BY run
+        UNION ALL SELECT 'part', FALSE, 0, FALSE FROM runs
+        UNION ALL SELECT 'partsupp', FALSE, 0, TRUE FROM runs""",
+    "pii_nested_load": """
+        SELECT 'rejects' AS place, count(*) AS n, CAST(0 AS BIGINT) AS n_planted, CAST(NULL AS VARCHAR) AS least_mail
+        FROM customer WHERE c_custkey % 10 = 0
+        UNION ALL
+        SELECT 'stored', count(*), 0, min(sha256(c_name || '@planted.example')) FROM customer WHERE c_custkey % 10 <> 0""",
     "append_torn_replay": """
         SELECT event_id, 'load-1' AS _load_id FROM events
         UNION ALL SELECT event_id, 'load-2' AS _load_id FROM events""",

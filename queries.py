@@ -31,7 +31,7 @@ from loadweir.sinks.target import Dataset, Target
 from loadweir.sources import readers
 from loadweir.sources.params import bind_params, read_query
 from loadweir.sources.registry import open_source, select_resources
-from loadweir.spec import Check, Column, Incremental, ResourceSpec
+from loadweir.spec import Check, Column, Incremental, Parent, ResourceSpec
 from loadweir.streaming import streams
 
 AS_OF = datetime(2024, 1, 31)
@@ -816,7 +816,7 @@ def stream_interval_metrics(spark, sf_dir):
         stream(spark, sf_dir, "events"), "ts", error=F.col("event_type") == "error"
     )
     _finish(streams.stream_interval_metrics(metrics, target, shared_dir(spark, "checkpoint")))
-    return zoneless(target.read(spark))
+    return zoneless(target.read(spark)).drop("window_start_date")
 
 
 @query
@@ -924,6 +924,59 @@ def load_audit_rows(spark, sf_dir):
     return audit.select("resource", "success", "rows_processed", "rows_rejected")
 
 
+@query
+def load_parent_child(spark, sf_dir):
+    """Line items are loaded for the orders that the same run has just loaded, and part of a failed chain is skipped.
+
+    Resources are given children first; the orders of the first run do not come again in the second.
+    """
+    dataset = Dataset(root=shared_dir(spark, "chain"))
+    orders = ResourceSpec(
+        "orders", ("o_orderkey",), "merge", incremental=Incremental("o_orderdate", "1997-06-01T00:00:00Z")
+    )
+    items = ResourceSpec("lineitem", parent=Parent("orders", "o_orderkey", "l_orderkey"))
+    failing = ResourceSpec("part", checks=(Check("volume", max_rows=1),))
+    below = ResourceSpec("partsupp", parent=Parent("part", "p_partkey", "l_partkey"))
+    table_of = {n: table(spark, sf_dir, n) for n in ("orders", "lineitem", "part")}
+    narrow = table_of["lineitem"].select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey")
+    early = table_of["orders"].filter("o_orderdate < TIMESTAMP_NTZ'1998-01-01'")
+    audits = [
+        load_resources(
+            spark, [items, orders, below, failing],
+            {**table_of, "orders": rows, "lineitem": narrow, "partsupp": narrow}, dataset, at, parallel_loads=2,
+        )
+        for rows, at in ((early, LOADED_AT), (table_of["orders"], LOADED_AT + timedelta(hours=1)))
+    ]
+    audit = audits[0].unionByName(audits[1])
+    return audit.select(
+        "resource", "success", "rows_processed", F.col("error").startswith("skipped").alias("skipped")
+    ).fillna({"skipped": False})
+
+
+@query
+def pii_nested_load(spark, sf_dir):
+    """Addresses inside a struct and an array are hashed before a load stages, rejects or stores anything."""
+    dataset = Dataset(root=shared_dir(spark, "people"))
+    mail = F.concat("c_name", F.lit("@planted.example"))
+    customer = table(spark, sf_dir, "customer")
+    people = customer.select(
+        F.when(F.col("c_custkey") % 10 != 0, F.col("c_custkey")).alias("c_custkey"),
+        F.struct(mail.alias("mail"), "c_nationkey").alias("contact"),
+        F.array(F.struct(mail.alias("mail"), F.lit(1).alias("rank"))).alias("others"),
+    )
+    spec = ResourceSpec("people", ("c_custkey",), "merge", pii_fields=("contact.mail", "others.mail"))
+    load_resource(spark, spec, people, dataset, LOADED_AT)
+    stored = dataset.address("people").read(spark)
+    texts = {
+        "rejects": dataset.bookkeeping("rejects").read(spark).select(F.col("raw").alias("text"), F.lit(None).alias("mail")),
+        "stored": stored.select(F.to_json(F.struct("contact", "others")).alias("text"), F.col("contact.mail").alias("mail")),
+    }
+    named = [df.select(F.lit(name).alias("place"), "text", F.col("mail").cast("string").alias("mail")) for name, df in texts.items()]
+    both = named[0].unionAll(named[1])
+    planted = F.count_if(F.col("text").contains("planted"))
+    return both.groupBy("place").agg(F.count("*").alias("n"), planted.alias("n_planted"), F.min("mail").alias("least_mail"))
+
+
 @query
 def load_from_config(spark, sf_dir):
     """C2 from parsed configuration: placeholders, an increment, a replace, and a failing check."""

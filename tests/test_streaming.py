@@ -117,3 +117,26 @@ def test_watermark_accepts_zoneless_times(spark, folder):
     spark.sql("SELECT 1 AS id, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts").write.parquet(folder)
     sdf = read_stream(spark, folder, "parquet", "id int, ts timestamp_ntz")
     assert streams.watermarked(sdf, "ts", "1 hour").schema["ts"].dataType.typeName() == "timestamp"
+
+
+def test_rejects_of_two_streams_stay_apart(spark, feed):
+    target, rejects = Target.folder(shared_dir(spark, "out")), shared_dir(spark, "rejects")
+    sdf = feed([(0, "00:00:00", 2)]).selectExpr("nullif(id, 0) AS id", "ts", "v")
+    for _ in range(2):  # a new checkpoint each time: the same batch number of another stream
+        finish(streams.stream_merge(sdf, target, "id", "ts", shared_dir(spark, "log"), rejects=rejects), 1)
+    assert [r.v for r in spark.read.parquet(rejects).collect()] == [2, 2]
+
+
+def test_metrics_rewrite_the_days_of_a_batch_alone(spark, feed):
+    target, log = Target.folder(shared_dir(spark, "out")), shared_dir(spark, "log")
+
+    def run(*groups):
+        sdf = feed(*groups).withColumn("ts", F.col("ts") + F.make_dt_interval(F.col("v")))
+        metrics = streams.interval_metrics(sdf, "ts", lateness="30 days")
+        finish(streams.stream_interval_metrics(metrics, target, log), len(groups))
+        return {f for f in target.read(spark).inputFiles()}
+
+    first = run([(1, "00:00:00", 0)], [(2, "00:01:00", 1)])
+    second = run([(3, "00:02:00", 1)])
+    assert {f for f in first if "2024-01-01" in f} == {f for f in second if "2024-01-01" in f}
+    assert sorted(r.row_count for r in target.read(spark).collect()) == [1, 2]
