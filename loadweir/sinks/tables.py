@@ -119,7 +119,22 @@ def write_table(
         )
     else:
         laid = lay_out(df, partitions, cluster_by, parallelism)
+        if target.is_folder and exists:
+            _widen_schema(spark, target, df.schema)
         _save(_writer(laid, target, "append", partitions, rows_per_file), target)
+        if target.is_folder and not exists:
+            target.save_schema(spark, df.schema)
+
+
+def _widen_schema(spark: SparkSession, target: Target, schema: T.StructType) -> None:
+    """Add columns that are new to the schema a folder keeps of itself, if it keeps one."""
+    saved = target.saved_schema(spark)
+    if saved is None:
+        return
+    known = {name.lower() for name in saved.names}
+    new = [f for f in schema.fields if f.name.lower() not in known]
+    if new:
+        target.save_schema(spark, T.StructType([*saved.fields, *new]))
 
 
 def append_fixed(df: DataFrame, target: Target) -> None:
@@ -177,11 +192,14 @@ def _replace(
 
     if not exists:
         save(df, target, "errorifexists")
+        if target.is_folder:
+            target.save_schema(spark, df.schema)
     elif target.fmt in ROW_LEVEL_FORMATS or not (target.is_folder or stage):
         save(df, target, "overwrite")
     elif target.is_folder:
         fresh = Target.folder(f"{target.location}__next-{uuid4().hex}", target.fmt)
         save(df, fresh, "errorifexists")
+        fresh.save_schema(spark, df.schema)
         target.swap_in(spark, fresh.location)
     else:
         path = shared_dir(spark, "replace")
@@ -328,7 +346,8 @@ def merge_table(
         batch, _ = date_partitions(batch, partition_by)
     kinds = {f.name: f.dataType for f in batch.schema.fields if f.name in partitions}
     stored = target.read(spark, kinds)
-    if partitions and len(kinds) == len(partitions) and _same_columns(stored, batch):
+    if partitions and len(kinds) == len(partitions) and not _widened(stored, batch):
+        stored = _with_new_columns(stored, batch, target, kinds)
         contenders = _contenders(stored, batch, keys, keep_newer)
         marks = _partitions_to_rewrite(stored, contenders, keys, order, partitions, partition_fixed)
         with staged(marks, "touched") as touched:
@@ -357,11 +376,25 @@ def _contenders(stored, batch, keys, keep_newer) -> DataFrame:
     return evolve_union(usable, rivals)
 
 
-def _same_columns(stored: DataFrame, batch: DataFrame) -> bool:
-    """Only part of a table can be rewritten if that part keeps the table's schema."""
-    kinds = {f.name: f.dataType for f in stored.schema.fields}
+def _widened(stored: DataFrame, batch: DataFrame) -> bool:
+    """Whether a stored column gets another type, which its files in every partition would need."""
+    wide = merged_schema(stored.schema, batch.schema)
+    return any(wide[f.name].dataType != f.dataType for f in stored.schema.fields)
+
+
+def _with_new_columns(stored: DataFrame, batch: DataFrame, target: Target, kinds) -> DataFrame:
+    """``stored`` with the batch's new columns, all NULL; old files stay as they are without them."""
+    spark = batch.sparkSession
     wide = merged_schema(stored.schema, batch.schema)
-    return {f.name: f.dataType for f in wide.fields} == kinds
+    new = [f for f in wide.fields if f.name not in stored.columns]
+    if not new:
+        return stored
+    if target.is_folder:
+        _widen_schema(spark, target, T.StructType(new))
+        return stored.withColumns({f.name: F.lit(None).cast(f.dataType) for f in new})
+    added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+    spark.sql(f"ALTER TABLE {target.location} ADD COLUMNS ({added})")
+    return target.read(spark, kinds)
 
 
 def _partitions_to_rewrite(stored, contenders, keys, order, partitions, fixed) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -80,12 +82,18 @@ class Target:
     ) -> DataFrame:
         """The stored rows.
 
-        A folder has no catalog to hold its schema, so its files' schemas are merged unless
-        ``schema`` is given; a large table should be a catalog table. ``partition_types`` overrides
-        what Spark infers from folder names, so that a text such as ``007`` stays a text.
+        A folder has no catalog to hold its schema; a file in it does (:data:`SCHEMA_FILE`), which
+        whoever writes here keeps up to date, so no footer is opened to plan a read and a partition
+        value such as ``007`` keeps its type. A folder that came from elsewhere has its files' schemas
+        merged. ``partition_types`` overrides the types of partition columns, ``schema`` all.
         """
         if not self.is_folder:
             return spark.table(self.location)
+        if schema is None:
+            schema = self.saved_schema(spark)
+            if schema is not None and partition_types:
+                fields = [T.StructField(f.name, partition_types.get(f.name, f.dataType)) for f in schema.fields]
+                schema = T.StructType(fields)
         if schema is not None:
             return spark.read.format(self.fmt).schema(schema).load(self.location)
         reader = spark.read.format(self.fmt)
@@ -97,6 +105,15 @@ class Target:
         fields = [(f.name, partition_types.get(f.name, f.dataType)) for f in stored.schema.fields]
         return self.read(spark, schema=T.StructType([T.StructField(*f) for f in fields]))
 
+    def saved_schema(self, spark: SparkSession) -> T.StructType | None:
+        """The schema that the folder's last writer has left, if any."""
+        text = FileTree(spark).read_text(f"{self.location}/{SCHEMA_FILE}")
+        return None if text is None else T.StructType.fromJson(json.loads(text))
+
+    def save_schema(self, spark: SparkSession, schema: T.StructType) -> None:
+        """Leave the schema of all that the folder holds. Before rows that add columns, so a stop in between loses none."""
+        FileTree(spark).write_text(f"{self.location}/{SCHEMA_FILE}", schema.json())
+
     def path(self, spark: SparkSession) -> str:
         """The folder that holds the files of an existing table."""
         if self.is_folder:
@@ -111,6 +128,8 @@ class Target:
         return FileTree(spark).partition_keys(self.location)
 
 
+# The file of a folder table that holds its schema; Spark ignores names that begin like this.
+SCHEMA_FILE = "_loadweir_schema.json"
 # Endings of the folders that hold what a swap is replacing.
 PREVIOUS = "__previous"
 HELD = "__held"
@@ -188,6 +207,28 @@ class FileTree:
         where = self._jvm.org.apache.hadoop.fs.Path(self._jvm.java.net.URI(uri))
         where.getFileSystem(self._conf).delete(where, False)
 
+    def read_text(self, path: str) -> str | None:
+        """A small file's text, or None if it is not there."""
+        files, where = self._open(path)
+        if not files.exists(where):
+            return None
+        stream = files.open(where)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write_text(self, path: str, text: str) -> None:
+        """Put a small file in its place at once: written beside it, then renamed over it."""
+        files, where = self._open(path)
+        fresh = self._jvm.org.apache.hadoop.fs.Path(f"{path}-{uuid4().hex}")
+        stream = files.create(fresh, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        files.delete(where, False)
+        if not files.rename(fresh, where):
+            raise OSError(f"could not write {path}")
+
     def mark(self, path: str) -> None:
         """Create an empty file, with its folders; one that is there already stays."""
         files, where = self._open(path)

@@ -249,6 +249,10 @@ ORACLE: dict[str, str] = {
         FROM customer WHERE c_custkey % 10 = 0
         UNION ALL
         SELECT 'stored', count(*), 0, min(sha256(c_name || '@planted.example')) FROM customer WHERE c_custkey % 10 <> 0""",
+    "merge_evolving_partitioned": """
+        SELECT o_orderpriority, count(*) AS n,
+               count(*) FILTER (o_orderpriority IN ('1-URGENT', '2-HIGH')) AS n_rush, TRUE AS old_files_kept
+        FROM orders GROUP BY o_orderpriority""",
     "append_torn_replay": """
         SELECT event_id, 'load-1' AS _load_id FROM events
         UNION ALL SELECT event_id, 'load-2' AS _load_id FROM events""",

@@ -463,6 +463,22 @@ def write_merge_table(spark, sf_dir):
     return target.read(spark)
 
 
+@query
+def merge_evolving_partitioned(spark, sf_dir):
+    """A merge that brings a new column into two of a table's partitions; the others keep their files."""
+    target = Target.folder(shared_dir(spark, "evolving"))
+    orders = table(spark, sf_dir, "orders")
+    sink.write_table(orders, target, "replace", partition_by=["o_orderpriority"])
+    before = set(target.read(spark).inputFiles())
+    urgent = orders.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    sink.merge_table(urgent.withColumn("rush", F.lit(True)), target, "o_orderkey", "o_orderdate", ["o_orderpriority"])
+    stored = target.read(spark)
+    kept = len(before & set(stored.inputFiles())) > 0
+    return stored.groupBy("o_orderpriority").agg(
+        F.count("*").alias("n"), F.count("rush").alias("n_rush"), F.lit(kept).alias("old_files_kept")
+    )
+
+
 @query
 def write_catalog_table(spark, sf_dir):
     """A catalog table addressed through its dataset, partitioned and merged."""

@@ -225,6 +225,30 @@ def test_merge_with_a_new_column(spark, target, rows):
     assert rows(target.read(spark), "id", "p", "flag") == [(1, "a", None), (2, "b", True)]
 
 
+def test_merge_with_a_new_column_rewrites_touched_partitions_alone(spark, target, rows):
+    sink.write_table(frame(spark, (1, 1, "a", "x"), (2, 1, "b", "y"), (3, 1, "c", "z")), target, partition_by=["p"])
+    far = {f for f in target.read(spark).inputFiles() if "p=c" in f}
+    batch = frame(spark, (1, 2, "a", "new"), (4, 1, "b", "add")).withColumn("flag", F.lit(True))
+    sink.merge_table(batch, target, "id", "ts", ["p"])
+    stored = target.read(spark)
+    assert rows(stored, "id", "v", "flag") == [(1, "new", True), (2, "y", None), (3, "z", None), (4, "add", True)]
+    assert {f for f in stored.inputFiles() if "p=c" in f} == far
+    sink.merge_table(frame(spark, (3, 2, "c", "last")), target, "id", "ts", ["p"])
+    assert rows(target.read(spark), "id", "flag") == [(1, True), (2, None), (3, None), (4, True)]
+
+
+def test_a_folder_keeps_its_schema(spark, folder, rows):
+    """Reads are planned without opening files, and partition values keep their type."""
+    target = Target.folder(folder)
+    sink.write_table(frame(spark, (1, 1, "007", "x")), target, partition_by=["p"])
+    sink.write_table(frame(spark, (2, 1, "08", "y")).withColumn("extra", F.lit(1.5)), target)
+    stored = target.read(spark)
+    assert stored.schema["p"].dataType.simpleString() == "string" and "extra" in stored.columns
+    assert rows(stored, "id", "p", "extra") == [(1, "007", None), (2, "08", 1.5)]
+    sink.write_table(spark.range(1), target, "replace")
+    assert target.read(spark).columns == ["id"]
+
+
 def test_keep_newer(spark, target, rows):
     sink.write_table(frame(spark, (1, 5, "a", "newest"), (2, 1, "a", "old")), target)
     batch = frame(spark, (1, 3, "a", "late"), (2, 2, "a", "new"))
