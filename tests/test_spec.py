@@ -1,44 +1,38 @@
 import pytest
 
 from loadweir import Check, Column, Incremental, ResourceSpec, specs_from_source
+from loadweir.spec import Parent
 
-# The record contract of the channel resource, as its configuration file declares it.
-CHANNELS = {
-    "name": "channel_stats",
-    "incremental": {
-        "enabled": True,
-        "strategy": "append",
-        "cursor_field": "snippet.publishedAt",
-        "initial_value": "2024-01-01T00:00:00Z",
-    },
-    "primary_key": ["id"],
+# A resource of an invented source: readings of tide gauges.
+READINGS = {
+    "name": "gauge_readings",
+    "primary_key": ["gauge", "taken_at"],
     "write_disposition": "merge",
+    "aliases": {"level_mm": "water_level"},
+    "pii_fields": ["observer"],
+    "incremental": {"cursor_field": "meta.takenAt", "initial_value": "2023-05-01T00:00:00Z"},
+    "parent": {"resource": "gauges", "key": "id", "child_key": "gauge"},
     "schema": {
         "columns": [
-            {"name": "id", "data_type": "string", "nullable": False, "description": "Channel ID"},
-            {"name": "view_count", "data_type": "integer", "nullable": True},
-            {"name": "published_at", "data_type": "timestamp", "nullable": False},
-        ]
-    },
-    "data_quality": {
-        "checks": [
-            {"type": "not_null", "columns": ["id", "published_at"]},
-            {"type": "positive", "columns": ["view_count"]},
-            {"type": "unique", "columns": ["id"]},
+            {"name": "gauge", "data_type": "integer", "nullable": False},
+            {"name": "taken_at", "data_type": "timestamp", "path": "meta.takenAt"},
+            {"name": "level_mm", "data_type": "float"},
+            {"name": "observer", "data_type": "string"},
         ]
     },
-    "pii_fields": [],
-    "aliases": {"view_count": "total_views"},
+    "data_quality": {"checks": [{"type": "range", "column": "level_mm", "min_value": -5000, "max_value": 9000}]},
 }
 
 
 def test_from_parsed_config():
-    spec = ResourceSpec.from_dict(CHANNELS)
-    assert spec.primary_key == ("id",)
-    assert [c.sql_type for c in spec.columns] == ["string", "bigint", "timestamp"]
-    assert [c.type for c in spec.checks] == ["not_null", "positive", "unique"]
-    assert spec.incremental.cursor_field == "snippet.publishedAt"
-    assert spec.aliases == {"view_count": "total_views"}
+    spec = ResourceSpec.from_dict(READINGS)
+    assert spec.primary_key == ("gauge", "taken_at") and spec.pii_fields == ("observer",)
+    assert [c.sql_type for c in spec.columns] == ["bigint", "timestamp", "double", "string"]
+    assert [c.source for c in spec.columns][1] == "meta.takenAt"
+    assert [c.type for c in spec.checks] == ["range"]
+    assert spec.incremental.cursor_field == "meta.takenAt"
+    assert spec.aliases == {"level_mm": "water_level"}
+    assert spec.parent == Parent("gauges", "id", "gauge")
 
 
 def test_source_keeps_file_order():
