@@ -13,7 +13,7 @@ first. Of two sets similar by ``percent`` both have their first common n-gram am
   filter (sizes), the positional one (what is left behind both places) and the suffix one (the ranges
   differ by at least so much), and then compared whole, each pair once.
 * Components are wanted, not all pairs. In each round the sets of an n-gram are compared with some of
-  them, twice as many as in the round before, unless links have joined them already; those then leave.
+  them, eight times as many as in the round before, unless links have joined them already; those then leave.
   It ends when no n-gram has two sets that were neither compared nor joined, so no link between
   different components is lost, and a group of near copies is joined without all of its pairs.
 """
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadweir.llm.common import blocks_for, forget, pack, staged, tidy_shuffles
-from loadweir.llm.components import components
+from loadweir.llm.components import ONE_TASK, components, in_one_task
 
 #: Bytes of text in a part, about.
 PART_BYTES = 8 << 20
@@ -38,6 +38,8 @@ PART_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
 #: Ranges of hashes by which the suffix filter counts, a power of two.
 RANGES = 8
+#: How many times as many sets are compared with in each round.
+GROWTH = 8
 #: Factors of the hash of an n-gram: the words' hashes in a polynomial, and the finaliser of splitmix64.
 STEP, MIX_1, MIX_2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -224,23 +226,30 @@ def similar_sets(reps: DataFrame, percent: int) -> DataFrame:
     forget(spark, entries)
     links = staged(spark.createDataFrame([], "a long, b long"), "links")
     seen, turn = links, 0
-    while not live.isEmpty():
+    while rows := live.count():
+        most = GROWTH**turn
+        near = in_one_task(live, rows * most, 8 * ONE_TASK)
         place = F.row_number().over(Window.partitionBy("gram").orderBy(F.xxhash64("n"), "n"))
-        firsts = live.withColumn("rank", place).where(F.col("rank") <= (1 << turn)).drop("rank")
-        firsts = staged(firsts, "firsts")
-        met = live.alias("x").join(firsts.alias("y"), "gram").where(f"x.root <> y.root and {_passes(percent, 'x', 'y')}")
+        firsts = staged(near.withColumn("rank", place).where(F.col("rank") <= most).drop("rank"), "firsts")
+        several = in_one_task(firsts, rows * most, 8 * ONE_TASK)
+        met = near.alias("x").join(several.alias("y"), "gram").where(f"x.root <> y.root and {_passes(percent, 'x', 'y')}")
         pairs = met.select(F.least("x.n", "y.n").alias("a"), F.greatest("x.n", "y.n").alias("b")).distinct()
         pairs = staged(pairs.join(seen, ["a", "b"], "left_anti"), "pairs")
-        of = [reps.select(F.col("n").alias(c), F.col("size").alias(f"size_{c}"), F.col("shared").alias(f"set_{c}")) for c in "ab"]
+        # only the sets that some pair asks for travel to the pairs
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct()
+        sets = staged(reps.join(nodes, "n", "left_semi"), "compared")
+        of = [sets.select(F.col("n").alias(c), F.col("size").alias(f"size_{c}"), F.col("shared").alias(f"set_{c}")) for c in "ab"]
         both = pairs.join(of[0], "a").join(of[1], "b").withColumn("same", F.size(F.array_intersect("set_a", "set_b")))
         found = staged(both.where(f"100 * same >= {percent} * (size_a + size_b - same)").select("a", "b"), "similar")
         links, seen = links.unionByName(found), seen.unionByName(pairs)
-        roots = components(links).toDF("n", "over")
-        left = live.join(firsts.select("gram", "n"), ["gram", "n"], "left_anti").join(roots, "n", "left")
-        left = staged(left.withColumn("root", F.coalesce("over", "root")).drop("over"), "left")
-        mixed = left.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-        before, live = live, staged(left.join(mixed.select("gram"), "gram", "left_semi"), "live")
-        forget(spark, before, firsts, left)
+        roots = staged(components(links, small=True).toDF("n", "over"), "roots")
+        own = in_one_task(roots, rows)
+        left = in_one_task(live, rows).join(in_one_task(firsts, rows).select("gram", "n"), ["gram", "n"], "left_anti")
+        left = staged(left.join(own, "n", "left").withColumn("root", F.coalesce("over", "root")).drop("over"), "left")
+        rest = in_one_task(left, rows)
+        mixed = rest.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+        before, live = live, staged(rest.join(mixed.select("gram"), "gram", "left_semi"), "live")
+        forget(spark, before, firsts, left, roots, sets)
         turn += 1
     return links
 
