@@ -310,13 +310,14 @@ def _attempt(spark, spec, source, dataset, extracted_at, load_id, as_of, options
             good, facts = _checked(
                 tagged, spec, dataset, load_id, extracted_at, as_of, options, result
             )
-            _write(good, spec, dataset, load_id, extracted_at, replay_at, options)
+            wrote = _write(good, spec, dataset, load_id, extracted_at, replay_at, options)
             newest = facts["newest"]
             if _moves_cursor(spec, options) and newest is not None:
                 tie = F.col(CURSOR).cast("string") == newest
                 seen = tagged.filter(tie).select(*[F.col(c).alias(n) for c, n in zip(SEEN, ("seen_a", "seen_b"))])
                 save_boundary(seen, dataset, spec.name, newest, facts["micros"], load_id, extracted_at)
-        result["rows_processed"] = facts["good"]
+        # A replay of a load that the table holds already adds nothing and counts nothing.
+        result["rows_processed"] = facts["good"] if wrote else 0
         if _moves_cursor(spec, options) and newest not in (None, state):
             result["high_water"] = newest
             field = spec.incremental.cursor_field
@@ -336,7 +337,7 @@ def _attempt(spark, spec, source, dataset, extracted_at, load_id, as_of, options
 
 
 def _utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
 
 
 def _moves_cursor(spec: ResourceSpec, options: LoadOptions) -> bool:
@@ -429,7 +430,8 @@ def _check_batch(body, spec, dataset, checks, extracted_at, as_of, is_empty) ->
     return run_checks(seen, others, as_of, contract).unionByName(fresh) if others else fresh
 
 
-def _write(good, spec, dataset, load_id, extracted_at, replay_at, options) -> None:
+def _write(good, spec, dataset, load_id, extracted_at, replay_at, options) -> bool:
+    """Write the good rows as their disposition says; False if the table held this load already."""
     target, parallelism = dataset.address(spec.name), dataset.parallelism
     layout = {
         "partition_by": dataset.partition_by,
@@ -447,7 +449,7 @@ def _write(good, spec, dataset, load_id, extracted_at, replay_at, options) -> No
             rows, target, "replace", **layout, parallelism=parallelism, stage=not options.stage
         )
     elif spec.write_disposition == "append":
-        append_once_table(
+        return append_once_table(
             rows, target, load_id, extracted_at=replay_at, **layout, parallelism=parallelism
         )
     else:
@@ -456,6 +458,7 @@ def _write(good, spec, dataset, load_id, extracted_at, replay_at, options) -> No
         merge_table(
             rows, target, keys, order, partition_fixed=dataset.partition_fixed, **layout
         )
+    return True
 
 
 def _merge_order(spec: ResourceSpec, rows: DataFrame, case: str) -> list[str]:

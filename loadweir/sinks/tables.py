@@ -46,6 +46,23 @@ def date_partitions(df: DataFrame, partition_by: Sequence[str]) -> tuple[DataFra
     return df, names
 
 
+def _derive_partitions(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """``df`` with the partition columns of the table it goes into.
+
+    ``<name>_date`` is derived from a time column ``<name>``. What cannot be derived is an error: the
+    rows would all land in the partition of NULL.
+    """
+    found = match_names(df.columns, partitions)
+    for name in [n for n, column in found.items() if column is None]:
+        times = match_names(df.columns, [name.removesuffix("_date")])
+        source = next(iter(times.values()))
+        kind = None if source is None else df.schema[source].dataType
+        if not (name.endswith("_date") and isinstance(kind, (T.TimestampType, T.TimestampNTZType))):
+            raise ValueError(f"The rows lack the partition column '{name}'. Available: {df.columns}")
+        df = df.withColumn(name, F.to_date(quoted(source)))
+    return df
+
+
 def lay_out(
     df: DataFrame,
     partitions: Sequence[str] = (),
@@ -69,7 +86,8 @@ def lay_out(
         )
         return placed.sortWithinPartitions(*map(quoted, order)).drop("__spread")
     if partitions:
-        return df.hint("rebalance", *map(quoted, partitions))
+        tasks = [parallelism] if parallelism else []
+        return df.hint("rebalance", *tasks, *map(quoted, partitions))
     return df.repartition(parallelism) if parallelism else df
 
 
@@ -110,8 +128,9 @@ def write_table(
     exists = target.exists(spark)
     if disposition == "append" and exists:
         df, _ = date_partitions(df, partition_by)
-        df = _fit_table(df, target)
         partition_by = target.partition_columns(spark)
+        df = _derive_partitions(df, partition_by)
+        df = _fit_table(df, target)
     df, partitions = date_partitions(df, partition_by)
     if disposition == "replace":
         _replace(
@@ -344,6 +363,7 @@ def merge_table(
     partitions = target.partition_columns(spark)
     if partition_by:
         batch, _ = date_partitions(batch, partition_by)
+    batch = _derive_partitions(batch, partitions)
     kinds = {f.name: f.dataType for f in batch.schema.fields if f.name in partitions}
     stored = target.read(spark, kinds)
     if partitions and len(kinds) == len(partitions) and not _widened(stored, batch):

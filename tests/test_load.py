@@ -161,8 +161,8 @@ def test_quarantine_diverts_rows(spark, folder):
 def test_append_replay_adds_nothing(spark, dataset):
     spec = ResourceSpec("commits", primary_key=("sha",))
     df = spark.sql("SELECT * FROM VALUES ('x'), ('x') AS t(sha)")
-    for _ in range(2):
-        load_resource(spark, spec, df, dataset, AT)
+    counts = [load_resource(spark, spec, df, dataset, AT)["rows_processed"] for _ in range(2)]
+    assert counts == [2, 0]
     # Duplicates stay although there is a key; the replay has the same load id.
     assert dataset.address("commits").read(spark).count() == 2
     load_resource(spark, spec, df, dataset, AT + timedelta(hours=1))

@@ -337,6 +337,17 @@ def test_timestamps_partition_by_day(spark, target, rows):
         sink.write_table(df, target, "replace", partition_by=["day"])
 
 
+def test_no_row_lands_in_the_null_partition_for_want_of_a_column(spark, target, rows):
+    df = spark.sql("SELECT 1 AS id, TIMESTAMP'2024-01-01 23:00:00' AS ts")
+    sink.write_table(df, target, partition_by=["ts"])
+    sink.write_table(df.withColumn("id", F.lit(2)), target)
+    sink.merge_table(df.withColumn("id", F.lit(3)), target, "id", "ts")
+    assert target.read(spark).filter("ts_date = DATE'2024-01-01'").count() == 3
+    for write in (lambda d: sink.write_table(d, target), lambda d: sink.merge_table(d, target, "id")):
+        with pytest.raises(ValueError, match="lack the partition column 'ts_date'"):
+            write(spark.sql("SELECT 9 AS id"))
+
+
 def test_a_hot_partition_is_split(spark, folder):
     # Rows that fill one partition are spread over several tasks once they exceed the advised size.
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
