@@ -322,11 +322,14 @@ def _attempt(spark, spec, source, dataset, extracted_at, load_id, as_of, options
             result["high_water"] = newest
             field = spec.incremental.cursor_field
             save_cursor(spark, dataset, spec.name, field, newest, load_id, extracted_at)
-        if dataset.retention_days is not None and as_of is not None:
-            retain_table(spark, target, "_extracted_at", as_of, dataset.retention_days)
-        if dataset.compact_after_write:
-            compact(spark, target, cluster_by=dataset.cluster_by)
         result["success"] = True
+        try:
+            if dataset.retention_days is not None and as_of is not None:
+                retain_table(spark, target, "_extracted_at", as_of, dataset.retention_days)
+            if dataset.compact_after_write:
+                compact(spark, target, cluster_by=dataset.cluster_by)
+        except Exception as error:  # noqa: BLE001 - the rows and the cursor are saved: the load stands
+            result["error"] = f"after the load: {str(error).splitlines()[0] if str(error) else type(error).__name__}"
     except Exception as error:  # noqa: BLE001 - handed to the caller with its audit row
         failure = error
         result["error"] = str(error).splitlines()[0] if str(error) else type(error).__name__

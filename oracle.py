@@ -253,6 +253,21 @@ ORACLE: dict[str, str] = {
         SELECT o_orderpriority, count(*) AS n,
                count(*) FILTER (o_orderpriority IN ('1-URGENT', '2-HIGH')) AS n_rush, TRUE AS old_files_kept
         FROM orders GROUP BY o_orderpriority""",
+    "stream_merge_batches": """
+        SELECT * EXCLUDE (place), TRUE AS several_batches FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY user_id
+                ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST, event_type DESC NULLS LAST,
+                         value DESC NULLS LAST, props DESC NULLS LAST) AS place
+            FROM events)
+        WHERE place = 1""",
+    "stream_metrics_batches": """
+        SELECT time_bucket(INTERVAL '15 minutes', ts, TIMESTAMP '2024-01-01') AS window_start,
+               time_bucket(INTERVAL '15 minutes', ts, TIMESTAMP '2024-01-01') + INTERVAL '15 minutes' AS window_end,
+               count(*) AS row_count, count(*) FILTER (event_type = 'error') AS error_count, TRUE AS several_batches
+        FROM events GROUP BY ALL""",
+    "stream_quarantine_batches": """
+        SELECT event_id, coalesce(value <= 20, TRUE) AS good, TRUE AS several_batches FROM events""",
     "append_torn_replay": """
         SELECT event_id, 'load-1' AS _load_id FROM events
         UNION ALL SELECT event_id, 'load-2' AS _load_id FROM events""",

@@ -853,6 +853,53 @@ def stream_quarantine(spark, sf_dir):
     return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _in_batches(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    """Events landed as files of a week or so each, read as a stream of one file per micro-batch."""
+    folder = shared_dir(spark, "landed")
+    events = table(spark, sf_dir, "events")
+    events.repartitionByRange(files, "ts").write.parquet(folder)
+    return readers.read_stream(spark, folder, "parquet", events.schema, max_files=1)
+
+
+def _batches(running) -> int:
+    """How many micro-batches with rows a stream had, once it has ended."""
+    _finish(running)
+    return sum(p.numInputRows > 0 for p in running.recentProgress)
+
+
+@query
+def stream_merge_batches(spark, sf_dir):
+    """ST2: the latest event per user, from several micro-batches that need not come in order of time."""
+    target = Target.folder(shared_dir(spark, "stream"))
+    source = _in_batches(spark, sf_dir)
+    n = _batches(streams.stream_merge(source, target, "user_id", "ts", shared_dir(spark, "checkpoint")))
+    return target.read(spark).withColumn("several_batches", F.lit(n > 1))
+
+
+@query
+def stream_metrics_batches(spark, sf_dir):
+    """ST4: events and errors per quarter of an hour from several micro-batches, each of which rewrites its own days alone."""
+    target = Target.folder(shared_dir(spark, "stream"))
+    failed = F.col("event_type") == "error"
+    metrics = streams.interval_metrics(_in_batches(spark, sf_dir), "ts", lateness="40 days", error=failed)
+    n = _batches(streams.stream_interval_metrics(metrics, target, shared_dir(spark, "checkpoint")))
+    stored = zoneless(target.read(spark)).drop("window_start_date")
+    return stored.withColumn("several_batches", F.lit(n > 1))
+
+
+@query
+def stream_quarantine_batches(spark, sf_dir):
+    """ST5: good rows and rejects of several micro-batches; none looks at what the others have stored."""
+    good, rejects = (Target.folder(shared_dir(spark, f"stream-{n}")) for n in ("good", "rejects"))
+    checks = [Check("range", column="value", max_value=20, name="value_in_range")]
+    source = _in_batches(spark, sf_dir)
+    n = _batches(streams.stream_quarantine(source, checks, good, rejects, shared_dir(spark, "checkpoint")))
+    both = good.read(spark).select("event_id", F.lit(True).alias("good")).unionAll(
+        rejects.read(spark).select("event_id", F.lit(False).alias("good"))
+    )
+    return both.withColumn("several_batches", F.lit(n > 1))
+
+
 # ---- whole loads ------------------------------------------------------------------------------
 
 ORDERS_SPEC = ResourceSpec(

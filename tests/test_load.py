@@ -376,3 +376,14 @@ def test_protected_values_are_nowhere_in_the_shared_folder(spark, folder, monkey
     strict = replace(spec, checks=(Check("pattern", column="email", pattern="@"),))
     with pytest.raises(QualityError, match="pattern:email .1 of 2"):
         load_resource(spark, strict, people, dataset, AT + timedelta(hours=1))
+
+
+def test_a_failure_after_the_load_does_not_undo_it(spark, folder, monkeypatch):
+    def stop(*_, **__):
+        raise OSError("no space")
+
+    monkeypatch.setattr(loads, "compact", stop)
+    dataset = Dataset(root=folder, compact_after_write=True)
+    result = load_resource(spark, ResourceSpec("n"), spark.range(3), dataset, AT)
+    assert result["success"] and result["rows_processed"] == 3 and result["error"] == "after the load: no space"
+    assert book(spark, dataset, "loads").first().success
