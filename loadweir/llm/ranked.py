@@ -52,7 +52,7 @@ def measure(docs: DataFrame, text: str = "text") -> tuple[int, int]:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [len(terms_of(t)) for t in batch.column(0).to_pylist()]
+            sizes = [len(terms_of(t.as_py())) for t in batch.column(0)]
             yield pa.RecordBatch.from_pydict({"n": [sum(s > 0 for s in sizes)], "l": [sum(sizes)]})
 
     found = docs.select(text).mapInArrow(run, "n long, l long").agg(F.sum("n"), F.sum("l")).first()
@@ -78,34 +78,32 @@ def treap(rows: np.ndarray, columns: np.ndarray, impacts: np.ndarray, height: in
     codes = _spread(rows) << np.uint64(1) | _spread(columns)
     order = np.argsort(codes)
     codes, impacts = codes[order], impacts[order].astype(np.uint32)
-    # all levels from the cells up: first cell, number of cells, mask and maximum of each node
-    levels = [(codes, np.arange(len(codes)), np.ones(len(codes), np.int64), np.zeros(len(codes), np.uint8), impacts)]
-    for _ in range(height):
-        below, first, count, _, top = levels[-1]
-        codes_up = below >> np.uint64(2)
-        begins = np.flatnonzero(np.concatenate([[True], codes_up[1:] != codes_up[:-1]]))
-        mask = np.bitwise_or.reduceat(np.uint8(1) << (below & np.uint64(3)).astype(np.uint8), begins)
-        levels.append(
-            (
-                codes_up[begins],
-                first[begins],
-                np.add.reduceat(count, begins),
-                mask,
-                np.maximum.reduceat(top, begins),
-            )
-        )
-    out = []
-    keep = np.ones(1, bool)
-    for depth in range(height, -1, -1):
-        _, first, count, mask, top = levels[depth]
-        single = count == 1
-        cell = order[first]
-        place = [np.where(single, x[cell], -1).astype(np.int32) for x in (rows, columns)]
-        out.append([x[keep] for x in (np.where(single, np.uint8(0), mask), top, *place)])
-        if depth:
-            # children of a node with several cells stand; those of a single cell do not
-            keep = np.repeat(keep & ~single, np.diff([*np.searchsorted(levels[depth - 1][1], first), len(levels[depth - 1][1])]))
-    return tuple(np.concatenate(x) for x in zip(*out))
+    # From the whole grid down: only cells of nodes that hold several go on, so a level takes no more
+    # memory than they do. begins: where the cells of each of these nodes begin.
+    alive, begins = np.arange(len(codes)), np.zeros(1, np.int64)
+    several = np.array([len(codes) > 1])
+    tops, cells = [impacts.max(keepdims=True)], [np.where(several, -1, order[:1])]
+    masks = []
+    for depth in range(height):
+        level = np.zeros(len(several), np.uint8)
+        if several.any():
+            below = codes[alive] >> np.uint64(2 * (height - 1 - depth))
+            first = np.flatnonzero(np.concatenate([[True], below[1:] != below[:-1]]))
+            quarter = np.uint8(1) << (below[first] & np.uint64(3)).astype(np.uint8)
+            level[several] = np.bitwise_or.reduceat(quarter, np.searchsorted(first, begins))
+        masks.append(level)
+        if not several.any():
+            break
+        counts = np.diff(np.append(first, len(alive)))
+        tops.append(np.maximum.reduceat(impacts[alive], first))
+        several = counts > 1
+        cells.append(np.where(several, -1, order[alive[first]]))
+        alive = alive[np.repeat(several, counts)]
+        begins = np.cumsum(counts[several]) - counts[several]
+    masks += [np.zeros(len(x), np.uint8) for x in tops[len(masks) :]]
+    cell = np.concatenate(cells)
+    place = [np.where(cell < 0, -1, x[cell]).astype(np.int32) for x in (rows, columns)]
+    return np.concatenate(masks), np.concatenate(tops), *place
 
 
 class _Index:
@@ -197,14 +195,13 @@ def build_index(docs: DataFrame, n: int, total: int, key: str = "doc_id", text:
     fields.append(T.StructField("dfs", T.ArrayType(T.IntegerType())))
     schema = T.StructType(fields + [T.StructField(c, T.BinaryType()) for c in PARTS[2:]])
 
-    def closed(ids: list[pa.Array], counts: list[list[bytes]]) -> pa.RecordBatch:
+    def closed(ids: list[pa.Array], counts: list[np.ndarray], known: dict[bytes, int]) -> pa.RecordBatch:
         keys, sizes = pa.concat_arrays(ids), np.array([len(c) for c in counts], np.int64)
-        known: dict[bytes, int] = {}
-        where = [known.setdefault(t, len(known)) for c in counts for t in c]
+        where = np.concatenate(counts).astype(np.uint64)
         order = np.argsort(sizes, kind="stable")
         column = np.empty(len(order), np.int64)
         column[order] = np.arange(len(order))
-        cells, tf = np.unique(np.array(where, np.uint64) << np.uint64(32) | np.repeat(column, sizes).astype(np.uint64), return_counts=True)
+        cells, tf = np.unique(where << np.uint64(32) | np.repeat(column, sizes).astype(np.uint64), return_counts=True)
         term, column = (cells >> np.uint64(32)).astype(np.int64), (cells & np.uint64(0xFFFFFFFF)).astype(np.int64)
         dfs = np.bincount(term, minlength=len(known))
         by_df = np.argsort(-dfs, kind="stable")
@@ -220,20 +217,20 @@ def build_index(docs: DataFrame, n: int, total: int, key: str = "doc_id", text:
         return pa.RecordBatch.from_arrays([lists.cast(_arrow(schema)[0].type), *values, *packed], schema.names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, counts, size = [], [], 0
+        ids, counts, known, size = [], [], {}, 0
         for batch in batches:
-            for i, value in enumerate(batch.column(1).to_pylist()):
-                found = terms_of(value)
+            for i, value in enumerate(batch.column(1)):
+                found = terms_of(text := value.as_py())
                 if not found:
                     continue
-                if size and size + len(value) > PART_BYTES:
-                    yield closed(ids, counts)
-                    ids, counts, size = [], [], 0
+                if size and size + len(text) > PART_BYTES:
+                    yield closed(ids, counts, known)
+                    ids, counts, known, size = [], [], {}, 0
                 ids.append(batch.column(0).slice(i, 1))
-                counts.append(found)
-                size += len(value)
+                counts.append(np.fromiter((known.setdefault(t, len(known)) for t in found), np.uint32, len(found)))
+                size += len(text)
         if counts:
-            yield closed(ids, counts)
+            yield closed(ids, counts, known)
 
     return docs.select(key, text).mapInArrow(run, schema)
 
