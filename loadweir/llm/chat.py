@@ -1,7 +1,7 @@
 """Chat formatting in budgeted windows.
 
-The rows of a conversation come by turn. Prefix sums of their tokens choose spans of whole turns that
-fit a budget; each window starts with the system turn and some turns of history, which are repeated
+The rows of a conversation come by turn. Prefix sums of their tokens, counted of the turns as they
+are written, choose spans of whole turns that fit a budget; each window starts with the system turn and some turns of history, which are repeated
 and masked, and ends with new turns. Every assistant text is under the loss mask once.
 
 A turn is written ``<turn NUMBER KIND ROLE>TEXT</turn>`` and a line break; KIND is ``new`` or
@@ -70,10 +70,22 @@ def _counter(path: str):
     return made
 
 
-def count_tokens(turns: DataFrame, text: str, path: str) -> DataFrame:
-    """``turns`` with ``n_tokens``, counted before rows of a conversation meet."""
+@lru_cache(maxsize=100_000)
+def _size(path: str, text: str) -> int:
+    """Tokens of a short piece of a turn's mark."""
+    return len(_counter(path).encode(text, add_special_tokens=False).ids)
+
+
+def _marks(path: str, number: int) -> tuple[int, int]:
+    """Tokens of ``<turn NUMBER new`` and ``<turn NUMBER repeat``. A space begins a token, so sizes add up."""
+    both = _size(path, "<turn") + _size(path, f" {number}")
+    return both + _size(path, " new"), both + _size(path, " repeat")
+
+
+def count_tokens(turns: DataFrame, role: str, text: str, path: str) -> DataFrame:
+    """``turns`` with ``n_tokens`` of what is written behind a turn's KIND, counted before rows of a conversation meet."""
     names = turns.columns
-    place = names.index(text)
+    places = names.index(role), names.index(text)
     schema = T.StructType([*turns.schema.fields, T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +93,8 @@ def count_tokens(turns: DataFrame, text: str, path: str) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                texts = [t or "" for t in part.column(place).to_pylist()]
+                roles, bodies = (part.column(p).to_pylist() for p in places)
+                texts = [f" {escape(r)}>{escape(t)}</turn>\n" for r, t in zip(roles, bodies)]
                 sizes = [len(e.ids) for e in made.encode_batch_fast(texts, add_special_tokens=False)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sizes, pa.int64())], [*names, "n_tokens"])
 
@@ -93,7 +106,8 @@ class _Turn:
     number: int
     role: str
     text: str
-    tokens: int
+    tokens: int  # as a new turn
+    again: int  # as a repeated one
     before: int  # tokens of all turns before this one: the prefix sum
 
     def written(self, new: bool) -> tuple[str, int, int]:
@@ -108,6 +122,7 @@ class _Windows:
 
     budget: int
     history: int
+    path: str
     system: _Turn | None = None
     past: list[_Turn] = field(default_factory=list)
     new: list[_Turn] = field(default_factory=list)
@@ -119,19 +134,21 @@ class _Windows:
     def _begin(self, turn: _Turn) -> None:
         """Choose what a window repeats: the system turn, then the last turns that fit in a share of the budget."""
         self.repeated = [self.system] if self.system and self.count else []
-        fixed = sum(t.tokens for t in self.repeated)
+        fixed = sum(t.again for t in self.repeated)
         room = min(self.budget // HISTORY_SHARE, self.budget - fixed - turn.tokens)
         for old in reversed(self.past[-self.history :] if self.history else []):
-            if old.tokens > room:
+            if old.again > room:
                 break
             self.repeated.insert(1 if fixed or self.system in self.repeated else 0, old)
-            room -= old.tokens
+            room -= old.again
 
     def add(self, role: str, text: str, tokens: int) -> dict | None:
-        turn = _Turn(self.turns, role, text, tokens, self.total)
+        """A turn of ``tokens`` behind its KIND."""
+        new, again = _marks(self.path, self.turns)
+        turn = _Turn(self.turns, role, text, tokens + new, tokens + again, self.total)
         done = None
-        fixed = sum(t.tokens for t in self.repeated)
-        if self.new and fixed + turn.before - self.new[0].before + tokens > self.budget:
+        fixed = sum(t.again for t in self.repeated)
+        if self.new and fixed + turn.before - self.new[0].before + turn.tokens > self.budget:
             done = self.close()
         if not self.new:
             self._begin(turn)
@@ -139,7 +156,7 @@ class _Windows:
             self.system = turn
         self.new.append(turn)
         self.turns += 1
-        self.total += tokens
+        self.total += turn.tokens
         return done
 
     def close(self) -> dict | None:
@@ -158,7 +175,7 @@ class _Windows:
             "window": self.count,
             "text": "".join(text),
             "loss": loss,
-            "n_tokens": sum(t.tokens for t in repeated) + span,
+            "n_tokens": sum(t.again for t in repeated) + span,
             "first_turn": self.new[0].number,
             "n_new": len(self.new),
         }
@@ -183,7 +200,9 @@ def format_windows(
     Rows go by ``turn`` (nulls first); ties by role and text; repeated rows are turns of their own. A
     null role or text is empty; rows with a null conversation are one conversation. The first turn,
     if its role is ``system``, is in every window; up to ``history`` earlier turns are repeated while
-    they fit in a third of the budget. A turn larger than the budget has a window of its own: turns are never cut. ``loss`` are
+    they fit in a third of the budget. ``n_tokens`` are those of the whole ``text``, marks and escapes
+    included. A turn that does not fit beside the system turn has a window of its own with it: turns
+    are never cut, and no other window is over the budget. ``loss`` are
     the character ranges of the new assistant texts, as escaped. Other columns play no part.
 
     Windows are made from a sorted stream that holds one window at a time, so a conversation may be
@@ -196,7 +215,7 @@ def format_windows(
         F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("r"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("x"),
     )
-    ordered = count_tokens(rows, "x", path).repartition("c").sortWithinPartitions("c", "t", "r", "x")
+    ordered = count_tokens(rows, "r", "x", path).repartition("c").sortWithinPartitions("c", "t", "r", "x")
     schema = T.StructType([T.StructField(conversation, rows.schema["c"].dataType), *WINDOW.fields])
     kinds = [pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))] + [pa.int64()] * 3
 
@@ -222,7 +241,7 @@ def format_windows(
                 if state is None or c != at:
                     if state:
                         put(state.close())
-                    state, at = _Windows(budget, history), c
+                    state, at = _Windows(budget, history, path), c
                 put(state.add(r, x, n))
             if len(found) > 500:
                 yield out()
