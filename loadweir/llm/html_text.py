@@ -20,6 +20,10 @@ from pyspark.sql import types as T
 
 #: Labelled pages that the model is fitted on, at most: a sample by hash of their ids.
 SAMPLE_PAGES = 300
+#: Characters that a page of that sample has, at most. Pages of any length are extracted from.
+SAMPLE_CHARS = 50_000
+#: Pages fitted side by side: those of like length, so that little is padded.
+SIDE_BY_SIDE = 128
 STEPS = 120
 #: Fixed values of the HTML standard: elements that begin and end a block; whose text is not shown as such.
 BLOCK = set(
@@ -60,7 +64,8 @@ _ALNUM = re.compile(r"[a-z0-9]+")
 def blocks(html: str) -> list[tuple[str, str, float]]:
     """The page's blocks in order: path of ancestors, text, and the share of its characters in links.
 
-    White space inside a block is one space, character references are decoded, comments, scripts and
+    White space inside a block is one space, character references are decoded where no tag or comment
+    divides them, comments, scripts and
     styles have no text. A path is ``tag`` or ``tag.name.name`` of each open element, by ``/``.
     """
     found: list[tuple[str, str, float]] = []
@@ -71,7 +76,7 @@ def blocks(html: str) -> list[tuple[str, str, float]]:
     def flush() -> None:
         nonlocal linked
         if text:
-            whole = " ".join(unescape("".join(text)).split())
+            whole = " ".join("".join(text).split())
             if whole:
                 found.append(("/".join(label for _, label in stack), whole, min(1.0, linked / len(whole))))
             text.clear()
@@ -91,10 +96,10 @@ def blocks(html: str) -> list[tuple[str, str, float]]:
     while at < n:
         match = _TOKEN.search(html, at)
         if match is None:
-            text.append(html[at:])
+            text.append(unescape(html[at:]))
             break
         if match.start() > at:
-            text.append(html[at : match.start()])
+            text.append(unescape(html[at : match.start()]))
             linked += anchors and match.start() - at
         at = match.end()
         if match.group(2) is None:
@@ -239,36 +244,14 @@ def fit(pages: list[str]) -> Crf:
     prior = np.array([PRIOR.get(f, 0.0) for f in names])
     if not sequences:
         return Crf(dict(zip(names, prior.tolist())), np.zeros((2, 2)))
-    sequences = [(seq[:200], labels[:200]) for seq, labels in sequences]
-    longest, n = max(len(seq) for seq, _ in sequences), len(sequences)
-    x = np.zeros((n, longest, len(names)), np.float32)
-    y = np.full((n, longest), -1)
-    for i, (seq, labels) in enumerate(sequences):
-        for j, each in enumerate(seq):
-            x[i, j, [index[f] for f in each]] = 1
-        y[i, : len(labels)] = labels
-    mask = y >= 0
+    sequences.sort(key=lambda pair: len(pair[1]))
+    groups = [_padded(sequences[i : i + SIDE_BY_SIDE], index) for i in range(0, len(sequences), SIDE_BY_SIDE)]
     w, pairs = prior.copy(), np.zeros((2, 2))
     moments = [np.zeros(len(names) + 4), np.zeros(len(names) + 4)]
-    wanted = np.einsum("ijk,ij->k", x, (y == 1).astype(np.float32))
-    wanted_pairs = np.array([[((y[:, :-1] == a) & (y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)])
     for step in range(1, STEPS + 1):
-        emit = np.stack([np.zeros((n, longest)), x @ w], axis=2)
-        forward, backward = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-        forward[:, 0] = emit[:, 0]
-        for j in range(1, longest):
-            reached = np.logaddexp.reduce(forward[:, j - 1, :, None] + pairs, axis=1) + emit[:, j]
-            forward[:, j] = np.where(mask[:, j, None], reached, forward[:, j - 1])
-        for j in range(longest - 2, -1, -1):
-            ahead = np.logaddexp.reduce(pairs + (emit[:, j + 1] + backward[:, j + 1])[:, None, :], axis=2)
-            backward[:, j] = np.where(mask[:, j + 1, None], ahead, 0)
-        total = np.logaddexp.reduce(forward[:, -1], axis=1)
-        here = np.exp(forward + backward - total[:, None, None])[:, :, 1] * mask
-        joint = forward[:, :-1, :, None] + pairs + (emit + backward)[:, 1:, None, :] - total[:, None, None, None]
-        expected = (np.exp(np.minimum(joint, 0)) * mask[:, 1:, None, None]).sum(axis=(0, 1))
-        slope = np.concatenate(
-            [wanted - np.einsum("ijk,ij->k", x, here) - (w - prior), (wanted_pairs - expected - pairs).ravel()]
-        )
+        slope = np.concatenate([prior - w, -pairs.ravel()])
+        for x, y in groups:
+            slope += _slope(x, y, w, pairs)
         moments[0] = 0.9 * moments[0] + 0.1 * slope
         moments[1] = 0.99 * moments[1] + 0.01 * slope**2
         move = 0.1 * moments[0] / (1 - 0.9**step) / (np.sqrt(moments[1] / (1 - 0.99**step)) + 1e-8)
@@ -276,11 +259,57 @@ def fit(pages: list[str]) -> Crf:
     return Crf(dict(zip(names, w.tolist())), pairs)
 
 
-def train(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE_PAGES) -> Crf:
-    """A model fitted on at most ``sample`` pages that mark their article, those of the smallest hash of their id."""
-    marked = pages.where(F.lower(F.col(f"`{html}`")).rlike("<(article|main)[ >]") & (F.length(html) < 50_000))
-    rows = marked.orderBy(F.xxhash64(page_id), page_id, html).select(html).limit(sample).collect()
-    return fit([r[0] for r in rows])
+def _padded(sequences: list[tuple[list[list[str]], list[int]]], index: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers of each block (the rest: one beyond the last feature) and labels (the rest: -1)."""
+    n, longest = len(sequences), max(len(labels) for _, labels in sequences)
+    most = max(len(each) for seq, _ in sequences for each in seq)
+    x, y = np.full((n, longest, most), len(index), np.int32), np.full((n, longest), -1)
+    for i, (seq, labels) in enumerate(sequences):
+        for j, each in enumerate(seq):
+            x[i, j, : len(each)] = [index[f] for f in each]
+        y[i, : len(labels)] = labels
+    return x, y
+
+
+def _slope(x: np.ndarray, y: np.ndarray, w: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Gradient of the likelihood of labels ``y``: what they hold of each feature and label pair, less what is expected."""
+    n, longest = y.shape
+    mask = y >= 0
+    emit = np.stack([np.zeros((n, longest)), np.append(w, 0.0)[x].sum(axis=2)], axis=2)
+    forward, backward = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
+    forward[:, 0] = emit[:, 0]
+    for j in range(1, longest):
+        reached = np.logaddexp.reduce(forward[:, j - 1, :, None] + pairs, axis=1) + emit[:, j]
+        forward[:, j] = np.where(mask[:, j, None], reached, forward[:, j - 1])
+    for j in range(longest - 2, -1, -1):
+        ahead = np.logaddexp.reduce(pairs + (emit[:, j + 1] + backward[:, j + 1])[:, None, :], axis=2)
+        backward[:, j] = np.where(mask[:, j + 1, None], ahead, 0)
+    total = np.logaddexp.reduce(forward[:, -1], axis=1)
+    here = np.exp(forward + backward - total[:, None, None])[:, :, 1] * mask
+    joint = forward[:, :-1, :, None] + pairs + (emit + backward)[:, 1:, None, :] - total[:, None, None, None]
+    expected = (np.exp(np.minimum(joint, 0)) * mask[:, 1:, None, None]).sum(axis=(0, 1))
+    held = [[((y[:, :-1] == a) & (y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)]
+    over = np.repeat(((y == 1) - here).ravel(), x.shape[2])
+    features = np.bincount(x.ravel(), weights=over, minlength=len(w) + 1)[:-1]
+    return np.concatenate([features, (np.array(held) - expected).ravel()])
+
+
+def train(
+    pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE_PAGES, most_chars: int = SAMPLE_CHARS
+) -> Crf:
+    """A model fitted on at most ``sample`` pages that mark their article, those of the smallest hash of their id.
+
+    Pages of more than ``most_chars`` characters are not among them; null pages mark nothing. A count
+    says below which hash about twice the sample lies, so tasks send the driver no more than that.
+    """
+    page = F.col(f"`{html}`")
+    marked = pages.where(F.lower(page).rlike("<(article|main)[ >]") & (F.length(page) <= most_chars))
+    marked = marked.select(F.shiftrightunsigned(F.xxhash64(f"`{page_id}`"), 1).alias("h"), page.alias("html"))
+    n = marked.count()
+    if n > 4 * sample:
+        marked = marked.where(F.col("h") < 2 * sample * 2**63 // n)
+    rows = marked.orderBy("h", "html").limit(sample).collect()
+    return fit([r.html for r in rows])
 
 
 def extract(pages: DataFrame, model: Crf, html: str = "html") -> DataFrame:

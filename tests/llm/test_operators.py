@@ -102,6 +102,22 @@ def test_chat_windows_keep_system_and_budget(spark):
     assert chat.read_back(chat.format_windows(df.limit(0))).count() == 0
 
 
+def test_chat_windows_hold_the_budget_as_written(spark):
+    turns = spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    short = spark.range(3000).selectExpr("-1L conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "'ok' text")
+    marked = spark.range(300).selectExpr("-2L conv_id", "id turn", "if(id = 0, 'system', 'a b') role", "repeat('\\\\<t>', 9) text")
+    long = spark.createDataFrame([(-3, 0, "user", "word " * 50_000)], "conv_id long, turn long, role string, text string")
+    found = chat.format_windows(turns.union(short).union(marked).union(long), budget=1024).collect()
+    tokens = chat._counter(public_tokenizers.path(chat.VOCABULARY))
+    over = 0
+    for w in found:
+        assert w.n_tokens == len(tokens.encode(w.text, add_special_tokens=False).ids)
+        if w.n_tokens > 1024:
+            assert w.n_new == 1 and all(r[1] or r[2] == "system" for r in chat.read_turns(w.text))
+            over += w.conv_id == -3
+    assert over == 1 and sum(w.conv_id == -1 for w in found) > 20
+
+
 # 2 html
 
 
@@ -127,6 +143,25 @@ def test_html_main_text(spark):
     assert html_text.train(odd.limit(0)).extract(PAGE) == model.extract(PAGE)
 
 
+def test_html_references_end_at_tags():
+    assert [text for _, text, _ in html_text.blocks("<p>a&<b>lt;</b> &amp;<i>amp;</i> x&lt;y</p>")] == ["a&lt; &amp; x<y"]
+
+
+def test_html_trains_on_whole_pages_and_on_a_sample(spark):
+    long = "<article>" + "<p>A sentence of the article.</p>" * 700 + "</article><p>no end</p>" * 300
+    assert len(html_text.blocks(long)) == 1000
+    assert html_text.fit([long]).extract(long).count("sentence") == 700
+    pages = spark.range(50).selectExpr("id page_id", "concat('<article><p>Page ', id, '.</p></article><p>menu</p>') html")
+    seen, fit = [], html_text.fit
+    html_text.fit = seen.extend
+    try:
+        html_text.train(pages, sample=5)
+        html_text.train(pages, sample=5, most_chars=10)
+    finally:
+        html_text.fit = fit
+    assert len(seen) == 5
+
+
 def test_html_whole_table(spark):
     import html
 
