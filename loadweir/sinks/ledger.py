@@ -6,7 +6,7 @@ import hashlib
 
 from pyspark.sql import SparkSession
 
-from loadweir.sinks.target import FileTree, Target
+from loadweir.sinks.target import FileTree, Target, unversioned
 
 # Ending of the folder beside a table that holds its marks.
 LOADS = "__loads"
@@ -20,7 +20,7 @@ class LoadLedger:
 
     def __init__(self, spark: SparkSession, target: Target) -> None:
         self._files = FileTree(spark)
-        self._folder = target.path(spark) + LOADS
+        self._folder = unversioned(target.path(spark)) + LOADS
 
     def _mark(self, load_id: str, state: str) -> str:
         return f"{self._folder}/{hashlib.sha256(load_id.encode()).hexdigest()}.{state}"

@@ -21,7 +21,7 @@ from loadweir.operators.conform import evolve_union, fit_columns, merged_schema
 from loadweir.operators.merging import all_set, latest_per_key, merge
 from loadweir.session import shared_dir
 from loadweir.sinks.ledger import LoadLedger
-from loadweir.sinks.target import NULL_PARTITION, ROW_LEVEL_FORMATS, FileTree, Target
+from loadweir.sinks.target import NULL_PARTITION, ROW_LEVEL_FORMATS, VERSION, FileTree, Target, unversioned
 
 
 #: Tasks that a compaction's shuffle has at most; a task writes several files beyond that.
@@ -119,8 +119,8 @@ def write_table(
 ) -> None:
     """Append to or replace a table, laid out as asked.
 
-    ``replace`` drops old partitions too, which dynamic overwrite would keep. ``stage=False`` saves
-    a copy when a catalog table is replaced by rows that are stored elsewhere already.
+    ``replace`` drops old partitions too, which dynamic overwrite would keep. ``stage=False`` saves a
+    copy when a catalog table of another schema is replaced by rows that are stored elsewhere already.
     """
     spark = df.sparkSession
     if disposition not in ("append", "replace"):
@@ -195,11 +195,12 @@ def _replace(
 ) -> None:
     """Put ``df`` in the place of the table, which ``df`` itself may read.
 
-    A folder is written beside the old one and swapped in by two renames, so a failed write leaves
-    the old table whole. A plain catalog table is dropped before it is written again, so its new
-    rows are staged first, unless they come from a staged table already. Formats with row-level
-    operations replace a table atomically themselves. Marks of loads go with the rows they are
-    about, unless ``keep_ledger`` says that the new rows are the old ones.
+    A folder is written beside the old one and swapped in by two renames, and a plain catalog table
+    is moved to a new location (:func:`_move_table`), so a failed write leaves the old table whole. A
+    catalog table that changes its types, partitions or format is dropped before it is written
+    again, so its new rows are staged first, unless they come from a staged table already. Formats
+    with row-level operations replace a table atomically themselves. Marks of loads go with the rows
+    they are about, unless ``keep_ledger`` says that the new rows are the old ones.
     """
     spark = df.sparkSession
     if exists and not keep_ledger:
@@ -213,6 +214,8 @@ def _replace(
         save(df, target, "errorifexists")
         if target.is_folder:
             target.save_schema(spark, df.schema)
+    elif _can_move(spark, target, df.schema, partitions):
+        _move_table(df, target, partitions, save)
     elif target.fmt in ROW_LEVEL_FORMATS or not (target.is_folder or stage):
         save(df, target, "overwrite")
     elif target.is_folder:
@@ -231,6 +234,52 @@ def _replace(
         FileTree(spark).delete(path)
 
 
+def _can_move(spark: SparkSession, target: Target, schema: T.StructType, partitions) -> bool:
+    """Whether a catalog table can hold rows of ``schema`` by a change of its location and new columns alone."""
+    if target.is_folder or target.fmt in ROW_LEVEL_FORMATS:
+        return False
+    facts = target.described(spark)
+    if facts.get("Provider", "").lower() != target.fmt or facts.get("Bucket Columns", "[]") != "[]":
+        return False
+    if target.partition_columns(spark) != list(partitions) or (partitions and not _owned(facts)):
+        return False
+    new = {f.name: f.dataType.simpleString() for f in schema.fields}
+    return all(new.get(f.name) == f.dataType.simpleString() for f in spark.table(target.location).schema)
+
+
+def _owned(facts: dict[str, str]) -> bool:
+    """Whether the folder of a table belongs to it, so that nobody else misses it."""
+    return facts.get("Type") == "MANAGED" or unversioned(facts["Location"]) != facts["Location"]
+
+
+def _move_table(df: DataFrame, target: Target, partitions: Sequence[str], save) -> None:
+    """Write ``df`` once, to a new location, and let the table point there.
+
+    ``df`` may read the table. Until the pointer moves, which is one change in the catalog, the table
+    is as it was; a write that fails is deleted. Then the old folder goes, unless a user chose it for
+    an external table. A partitioned table's list of partitions follows: after a stop in between
+    ``MSCK REPAIR TABLE ... SYNC PARTITIONS`` completes it.
+    """
+    spark, files = df.sparkSession, FileTree(df.sparkSession)
+    facts, known = target.described(spark), set(spark.table(target.location).columns)
+    old = facts["Location"].rstrip("/")
+    fresh = Target.folder(f"{unversioned(old)}{VERSION}{uuid4().hex}", target.fmt)
+    try:
+        save(df, fresh, "errorifexists")
+    except Exception:
+        files.delete(fresh.location)
+        raise
+    added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in known)
+    if added:
+        spark.sql(f"ALTER TABLE {target.location} ADD COLUMNS ({added})")
+    spark.sql(f"ALTER TABLE {target.location} SET LOCATION {_sql_text(fresh.location)}")
+    if _owned(facts):
+        files.delete(old)
+    if partitions:
+        spark.sql(f"MSCK REPAIR TABLE {target.location} SYNC PARTITIONS")
+    spark.catalog.refreshTable(target.location)
+
+
 @contextmanager
 def staged(df: DataFrame, purpose: str):
     """Hold ``df`` as a parquet table in the shared folder while the block runs.

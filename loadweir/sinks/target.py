@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from uuid import uuid4
@@ -118,8 +119,13 @@ class Target:
         """The folder that holds the files of an existing table."""
         if self.is_folder:
             return self.location
-        described = spark.sql(f"DESCRIBE TABLE EXTENDED {self.location}")
-        return described.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+        return self.described(spark)["Location"].rstrip("/")
+
+    def described(self, spark: SparkSession) -> dict[str, str]:
+        """What the catalog says of a table, its columns aside."""
+        rows = [tuple(row)[:2] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {self.location}").collect()]
+        start = next(i for i, (name, _) in enumerate(rows) if name == "# Detailed Table Information")
+        return dict(rows[start + 1 :])
 
     def partition_columns(self, spark: SparkSession) -> list[str]:
         """The columns the stored table is partitioned by."""
@@ -133,6 +139,13 @@ SCHEMA_FILE = "_loadweir_schema.json"
 # Endings of the folders that hold what a swap is replacing.
 PREVIOUS = "__previous"
 HELD = "__held"
+# Ending, with 32 hex digits, of the folder that a replaced catalog table points to.
+VERSION = "__v-"
+
+
+def unversioned(path: str) -> str:
+    """The folder of a catalog table, whatever version of it is in use."""
+    return re.sub(re.escape(VERSION) + "[0-9a-f]{32}$", "", path.rstrip("/"))
 
 
 @dataclass(frozen=True)

@@ -93,6 +93,58 @@ def test_a_failed_replace_leaves_the_table_whole(spark, target, rows):
     assert rows(target.read(spark), "id") == [(1,)]
 
 
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_a_replaced_catalog_table_moves(spark, schema, rows, partition_by):
+    target = Target.table(f"{schema}.moved")
+    sink.write_table(frame(spark, (1, 1, "a", "x"), (2, 1, "b", "y")), target, partition_by=partition_by)
+    first = target.path(spark)
+    # It may read itself, bring a new column, and keeps its kind.
+    wide = target.read(spark).filter("id = 2").selectExpr("id", "ts", "p", "v", "id * 2 AS extra")
+    sink.write_table(wide, target, "replace", partition_by)
+    second = target.path(spark)
+    assert rows(target.read(spark), "id", "p", "v", "extra") == [(2, "b", "y", 4)]
+    assert second != first and not FileTree(spark).exists(first)
+    assert (target.described(spark)["Type"], target.partition_columns(spark)) == ("MANAGED", partition_by)
+    # A write that fails changes nothing and leaves nothing.
+    broken = frame(spark, (3, 1, "c", "z")).selectExpr("raise_error('no') AS id", "ts", "p", "v", "1 AS extra")
+    with pytest.raises(Exception, match="no"):
+        sink.write_table(broken.withColumn("id", F.col("id").cast("int")), target, "replace", partition_by)
+    assert target.path(spark) == second and rows(target.read(spark), "id") == [(2,)]
+    parent, name = first.rsplit("/", 1)
+    files, where = FileTree(spark)._open(parent)
+    assert [x.getPath().getName() for x in files.listStatus(where) if x.getPath().getName().startswith(name)] == [
+        second.rsplit("/", 1)[1]
+    ]
+    # Later writes follow it, and its marks of loads do too.
+    load = frame(spark, (5, 1, "b", "w")).withColumns({"extra": F.lit(1), "_load_id": F.lit("l1")})
+    assert sink.append_once_table(load, target, "l1")
+    sink._replace(target.read(spark), target, True, partition_by, keep_ledger=True)
+    assert target.path(spark) != second and not sink.append_once_table(load, target, "l1")
+    sink.merge_table(frame(spark, (5, 2, "a", "new")), target, "id")
+    assert rows(target.read(spark), "id", "v") == [(2, "y"), (5, "new")]
+    spark.sql(f"DROP TABLE {target.location}")
+    sink.write_table(frame(spark, (1, 1, "a", "x")), target)
+    assert rows(target.read(spark), "id") == [(1,)]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_a_replaced_external_table_leaves_its_first_folder(spark, schema, folder, rows, fmt):
+    target = Target.table(f"{schema}.outside_{fmt}", fmt)
+    frame(spark, (1, 1, "a", "x")).write.format(fmt).option("path", folder).saveAsTable(target.location)
+    for n in (2, 3):
+        before = target.path(spark)
+        sink.write_table(frame(spark, (n, 1, "a", "x")), target, "replace")
+        assert rows(target.read(spark), "id") == [(n,)]
+        assert FileTree(spark).exists(before) == (n == 2)
+
+
+def test_a_catalog_table_of_other_types_is_written_again(spark, schema, rows):
+    target = Target.table(f"{schema}.retyped")
+    sink.write_table(frame(spark, (1, 1, "a", "x")), target)
+    sink.write_table(spark.sql("SELECT 'one' AS id"), target, "replace")
+    assert rows(target.read(spark), "id") == [("one",)]
+
+
 @pytest.mark.parametrize("partition_by", [[], ["p"]])
 def test_merge_is_idempotent(spark, target, rows, partition_by):
     start = frame(spark, (1, 1, "a", "keep"), (2, 1, "a", "old"), (3, 1, "b", "moves"), (4, 1, None, "n"))
