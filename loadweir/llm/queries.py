@@ -55,6 +55,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payload_digest",
         "record_type",
         F.expr("cast(nullif(refers_to, '') as bigint)").alias("refers_to"),
+        "url_key",
+        "captured",
+        "range",
+        "position",
     )
 
 

@@ -24,9 +24,12 @@ from loadweir.llm.common import blocks_for, staged, tidy_shuffles
 from loadweir.session import shared_dir
 
 END = "\r\n\r\n"
-#: Records of one archive at most, and captures of one range of the index, about.
+#: Records of one archive at most, bytes of its payloads, about, and captures of one range of the index, about.
 ARCHIVE_RECORDS = 20_000
+ARCHIVE_BYTES = 256 * 1024 * 1024
 RANGE_CAPTURES = 200_000
+#: Bytes that are packed, and unpacked, in one step while an archive is read.
+STEP = 256 * 1024
 CAPTURE = (
     "url_key string, captured string, record_id string, url string, record_type string, refers_to string,"
     " payload_digest string, payload_bytes long, archive string, offset long, length long"
@@ -77,7 +80,8 @@ def _digest(raw: bytes) -> str:
 def write(pages: DataFrame, path: str, page_id: str, url: str, html: str, captured: Column, least_bytes: int = 0) -> None:
     """Write a record for every row of ``pages`` as gzipped archives in the folder ``path``.
 
-    Of rows with equal payloads of at least ``least_bytes`` bytes, that with the largest ``page_id``
+    Archives hold at most :data:`ARCHIVE_RECORDS` and, if a task's payloads are of mean length, about
+    :data:`ARCHIVE_BYTES`. Of rows with equal payloads of at least ``least_bytes`` bytes, that with the largest ``page_id``
     (of repeated rows one) is a response, the others are revisits of it; smaller ones are all
     responses. A null payload is empty; a null id or URL is written as an empty one.
     """
@@ -111,24 +115,65 @@ def write(pages: DataFrame, path: str, page_id: str, url: str, html: str, captur
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.string())], ["value"])
 
     writer = joined.mapInArrow(run, "value string").write.option("lineSep", END).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
-
-
-def parse(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """Offset, length, headers and payload of each record of an unpacked archive."""
-    at = 0
-    while at < len(data):
-        split = data.find(END.encode(), at)
-        if split < 0 or not data.startswith(b"WARC/", at):
+    mean = rows.agg(F.avg("size")).first()[0] or 1
+    most = max(1, min(ARCHIVE_RECORDS, int(ARCHIVE_BYTES // max(mean, 1))))
+    writer.option("maxRecordsPerFile", most).text(path)
+
+
+def unpacked(packed: memoryview, step: int = STEP) -> Iterator[bytes]:
+    """What a gzipped archive holds, in pieces of at most ``step`` bytes; its gzip members follow one another."""
+    unpack = zlib.decompressobj(wbits=47)
+    for start in range(0, len(packed), step):
+        part = bytes(packed[start : start + step])
+        while True:
+            piece = unpack.decompress(part, step)
+            if piece:
+                yield piece
+            part = unpack.unconsumed_tail
+            if unpack.eof:
+                part = unpack.unused_data
+                if not part:
+                    break
+                unpack = zlib.decompressobj(wbits=47)
+            elif not part and len(piece) < step:
+                break
+        if unpack.eof and start + step < len(packed):
+            unpack = zlib.decompressobj(wbits=47)
+    if len(packed) and not unpack.eof:
+        raise ValueError("the archive is cut off")
+
+
+def parse(pieces: Iterable[bytes]) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """Offset, length, headers and payload of each record of an unpacked archive, which comes in ``pieces``.
+
+    One record, and what follows it in its last piece, is held at a time.
+    """
+    held, at, left = bytearray(), 0, iter(pieces)
+
+    def more() -> bool:
+        piece = next(left, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while held or more():
+        seen = 0
+        while (split := held.find(END.encode(), seen)) < 0:
+            seen = max(0, len(held) - len(END) + 1)
+            if not b"WARC/".startswith(held[:5]) or not more():
+                raise ValueError(f"no record at byte {at}")
+        if not held.startswith(b"WARC/"):
             raise ValueError(f"no record at byte {at}")
-        lines = data[at:split].decode().split("\r\n")[1:]
+        lines = held[:split].decode().split("\r\n")[1:]
         headers = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines)
         begin = split + 4
         end = begin + int(headers["Content-Length"])
-        if data[end : end + 4] != END.encode():
-            raise ValueError(f"the record at byte {at} does not end at byte {end}")
-        yield at, end + 4 - at, headers, data[begin:end]
-        at = end + 4
+        while len(held) < end + 4 and more():
+            pass
+        if held[end : end + 4] != END.encode():
+            raise ValueError(f"the record at byte {at} does not end at byte {at + end}")
+        yield at, end + 4, headers, bytes(held[begin:end])
+        at += end + 4
+        del held[: end + 4]
 
 
 def _id(urn: str | None) -> str | None:
@@ -136,9 +181,9 @@ def _id(urn: str | None) -> str | None:
 
 
 def runs(spark: SparkSession, path: str) -> DataFrame:
-    """The captures of each archive of ``path``, with ``place``, their order by URL key, time and id within it.
+    """The captures of each archive of ``path``, with ``place``, their order by URL key, time and offset within it.
 
-    A response whose payload has another digest than its header fails the job.
+    A worker holds an archive as it is packed, one record unpacked, and the captures. A response whose payload has another digest than its header fails the job.
     """
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
@@ -146,7 +191,7 @@ def runs(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 found: list[tuple[Any, ...]] = []
-                for offset, length, head, payload in parse(zlib.decompress(content.as_buffer(), wbits=47)):
+                for offset, length, head, payload in parse(unpacked(memoryview(content.as_buffer()))):
                     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
                     if head["WARC-Type"] == "response" and _digest(payload) != digest:
                         raise ValueError(f"the payload at byte {offset} of {name} is not the one written")

@@ -223,6 +223,42 @@ def test_lm_edges(spark, edges):
 # 4 warc
 
 
+def test_warc_whole_table(spark):
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
+    last = {}
+    for i, r in pages.items():
+        last[r.html or ""] = max(i, last.get(r.html or "", i))
+    rows = sorted(RUN["op4_warc"](spark, SMALL).collect(), key=lambda r: (r.range, r.position))
+    assert sorted(r.page_id for r in rows) == sorted(pages)
+    for r in rows:
+        raw, top = (pages[r.page_id].html or "").encode(), last[pages[r.page_id].html or ""]
+        assert (r.payload_bytes, r.payload_digest) == (len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode())
+        assert (r.record_type, r.refers_to) == (("response", None) if top == r.page_id else ("revisit", top))
+        assert r.url_key == warc.url_key(pages[r.page_id].url or "")
+    # the merge gives one order over all ranges
+    order = [(r.url_key, r.captured) for r in rows]
+    assert order == sorted(order) and len({r.range for r in rows}) > 1
+
+
+@pytest.mark.parametrize("step", [1, 7, 1000, 1 << 20])
+def test_warc_archives_are_read_in_steps(step):
+    import gzip
+
+    bodies = ["", "a", "\r\n\r\n" * 9, "WARC/1.1\r\n\r\n", "é" * 5000, "x" * 300]
+    made = [warc.record(str(i), "u", "t", b, "D", None).encode() + b"\r\n\r\n" for i, b in enumerate(bodies)]
+    want = [(sum(map(len, made[:i])), len(m), b.encode()) for i, (m, b) in enumerate(zip(made, bodies))]
+    # as one member, and as a member for each record
+    for packed in (gzip.compress(b"".join(made)), b"".join(map(gzip.compress, made))):
+        found = list(warc.parse(warc.unpacked(memoryview(packed), step)))
+        assert [(at, n, payload) for at, n, _, payload in found] == want
+        with pytest.raises(ValueError):
+            list(warc.parse(warc.unpacked(memoryview(packed[:-9]), step)))
+    assert list(warc.parse(warc.unpacked(memoryview(b""), step))) == []
+    for broken in (b"x" * 100, made[1][:-1], made[1] + b"WARC"):
+        with pytest.raises(ValueError):
+            list(warc.parse([broken[i : i + step] for i in range(0, len(broken), step)]))
+
+
 def test_warc_revisits_and_history(spark):
     rows = [(1, "http://b.com/x", "<p>same"), (3, "http://a.com/", "<p>same"), (2, None, "<p>same")]
     rows += [(4, "http://a.com/\r\nX: y", "a\r\n\r\nWARC/1.1 é"), (5, "u", None), (6, "u", ""), (3, "http://a.com/", "<p>same")]
