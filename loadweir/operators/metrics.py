@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import ExitStack
 from datetime import datetime, timedelta
 from functools import reduce
+from threading import Lock
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,17 +122,33 @@ def post_load(
     """``{name: SELECT}`` over the loaded tables, each result visible to later statements.
 
     Results are lazy; write them with :func:`loadweir.sinks.tables.write_table`. Parameters are
-    bound as typed values, never spliced into the text.
+    bound as typed values, never spliced into the text. Names hold while the statements are resolved;
+    afterwards the session has the temporary views that it had before, and no others.
     """
-    known = dict(tables)
     results: dict[str, DataFrame] = {}
-    for name, text in statements.items():
-        for table, df in known.items():
-            df.createOrReplaceTempView(table)
-        results[name] = known[name] = spark.sql(text, args=dict(params or {}))
+    with _NAMES, ExitStack() as undo:
+        views = spark.sql("SHOW VIEWS").filter("isTemporary").select("viewName").collect()
+        taken = {row.viewName.lower() for row in views}
+
+        def name_it(name: str, df: DataFrame) -> None:
+            if name.lower() in taken:
+                undo.callback(spark.table(f"`{name}`").createOrReplaceTempView, name)
+            else:
+                undo.callback(spark.catalog.dropTempView, name)
+            df.createOrReplaceTempView(name)
+
+        for table, df in tables.items():
+            name_it(table, df)
+        for name, text in statements.items():
+            results[name] = spark.sql(text, args=dict(params or {}))
+            name_it(name, results[name])
     return results
 
 
+# Loads side by side share a session, and so its names.
+_NAMES = Lock()
+
+
 def missing_slots(
     df: DataFrame, ts: str, start: datetime, end: datetime, step: timedelta
 ) -> DataFrame:

@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from loadweir.operators import metrics as met
@@ -51,6 +52,21 @@ def test_post_load_statements_see_each_other(spark):
     assert out["n"].first().n == 5
 
 
+def test_post_load_leaves_the_sessions_views_alone(spark):
+    spark.range(3).createOrReplaceTempView("loaded")
+    statements = {"Even": "SELECT id FROM loaded WHERE id % 2 = 0", "n": "SELECT count(*) AS n FROM even"}
+    before = {r.viewName for r in spark.sql("SHOW VIEWS").collect()}
+    try:
+        for _ in range(2):
+            assert met.post_load(spark, {"loaded": spark.range(10)}, statements)["n"].first().n == 5
+        with pytest.raises(AnalysisException):
+            met.post_load(spark, {"loaded": spark.range(10)}, {**statements, "bad": "SELECT x FROM n"})
+        assert spark.table("loaded").count() == 3
+        assert {r.viewName for r in spark.sql("SHOW VIEWS").collect()} == before
+    finally:
+        spark.catalog.dropTempView("loaded")
+
+
 def test_missing_slots(spark):
     df = spark.sql(
         "SELECT CAST(ts AS TIMESTAMP) AS ts FROM VALUES ('2024-01-01 00:10:00'), "
