@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 
@@ -35,8 +36,10 @@ def write_jdbc(
     """Write to a database table by append, replace or merge.
 
     ``parallelism`` bounds the connections. Replace empties the table and keeps its definition. A
-    merge writes the batch, reduced to one row per key, to ``<table>_staging`` in parallel and then
-    hands two statements to ``execute``, so that the database changes its table in one transaction.
+    merge writes the batch, reduced to one row per key, in parallel to a staging table that no other
+    load uses (``<table>_`` and 12 hex digits) and hands two statements to ``execute``, so that the
+    database changes its table in one transaction; the staging table is dropped by another call. A
+    merge that fails leaves it, for a look at its rows.
     """
     options = dict(properties or {})
     if disposition not in ("append", "replace", "merge"):
@@ -55,9 +58,10 @@ def write_jdbc(
     else:
         if execute is None:
             execute = _jvm_transaction(df, url, options)
-        staging = f"{table}_staging"
+        staging = f"{table}_{uuid4().hex[:12]}"
         df.write.jdbc(url, staging, mode="overwrite", properties=options)
         execute(merge_statements(table, staging, list(keys), df.columns))
+        execute([f"DROP TABLE {staging}"])
 
 
 def _jvm_transaction(df: DataFrame, url: str, options: Mapping[str, str]):

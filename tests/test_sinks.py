@@ -2,6 +2,7 @@ from datetime import date, datetime
 from random import Random
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from loadweir.sinks import jdbc
@@ -526,6 +527,26 @@ def test_jdbc_writes(monkeypatch):
         jdbc.write_jdbc(df, "jdbc:x", "t", "merge")
 
 
+def test_jdbc_merges_do_not_share_a_staging_table(spark, monkeypatch):
+    written, ran = [], []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda _, url, table, mode, properties: written.append((table, mode)))
+    df = spark.sql("SELECT 1 AS a, 'x' AS v UNION ALL SELECT 1, 'x'")
+    for _ in range(2):
+        jdbc.write_jdbc(df, "jdbc:x", "t", "merge", keys=["a"], execute=ran.append)
+    (one, mode), (two, _) = written
+    assert one != two and one.startswith("t_") and mode == "overwrite"
+    assert ran[:2] == [jdbc.merge_statements("t", one, ["a"], ["a", "v"]), [f"DROP TABLE {one}"]]
+
+    def failing(statements):
+        ran.append(statements)
+        raise RuntimeError("no")
+
+    ran.clear()
+    with pytest.raises(RuntimeError):
+        jdbc.write_jdbc(df, "jdbc:x", "t", "merge", keys=["a"], execute=failing)
+    assert len(ran) == 1
+
+
 def test_jdbc_merge_statements():
     delete, insert = jdbc.merge_statements("t", "t_staging", ["a", "b"], ["a", "b", "v"])
     assert delete == (
