@@ -220,6 +220,20 @@ def test_lm_edges(spark, edges):
     assert class_lm.score(edges.limit(0)).count() == 0
 
 
+def test_lm_words_seen_once_have_classes(spark, monkeypatch):
+    """Words seen once go to classes by their neighbours, also when those who ask for them are in other parts."""
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 10]
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    texts = [f"red x{i} sun blue y{i} sea red cat sun blue oak sea" for i in range(60)]
+    asked = ["red x7 sun", "red y7 sun", "blue x7 sea", "blue y7 sea", "x9", "new x7"]
+    df = spark.createDataFrame([*zip(ids, texts), *zip(held, asked)], "doc_id long, text string")
+    whole = {r.doc_id: r.score for r in class_lm.score(df).collect()}
+    x_red, y_red, x_blue, y_blue = (whole[i] for i in held[:4])
+    assert x_red > y_red + 0.5 and y_blue > x_blue + 0.5
+    monkeypatch.setattr(class_lm, "PART_BYTES", 100)
+    assert {r.doc_id: r.score for r in class_lm.score(df).collect()} == pytest.approx(whole)
+
+
 # 4 warc
 
 
