@@ -26,6 +26,8 @@ from loadweir.sinks.target import NULL_PARTITION, ROW_LEVEL_FORMATS, VERSION, Fi
 
 #: Tasks that a compaction's shuffle has at most; a task writes several files beyond that.
 MOST_TASKS = 20_000
+#: Bytes of rows that one task of a clustered write sorts, about.
+RANGE_BYTES = 128 << 20
 
 
 def date_partitions(df: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -63,6 +65,20 @@ def _derive_partitions(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df
 
 
+def _range_count(df: DataFrame, least: int) -> int:
+    """How many ranges keep each at about ``RANGE_BYTES``, as Spark sorts rows; ``least`` or more."""
+    width = F.lit(40 + 8 * len(df.columns)).cast("long")
+    for field in df.schema.fields:
+        text = quoted(field.name)
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            text = F.to_json(text)
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            continue
+        width = width + F.coalesce(F.octet_length(text), F.lit(0))
+    total = df.agg(F.sum(width)).first()[0] or 0
+    return max(least, -(-total // RANGE_BYTES))
+
+
 def lay_out(
     df: DataFrame,
     partitions: Sequence[str] = (),
@@ -73,14 +89,16 @@ def lay_out(
 
     Partitioned writes are rebalanced by partition: small partitions share a task and a crowded one
     is split over many. Clustered writes are range-partitioned; a spread column behind the cluster
-    columns lets one value that fills much of the table span several ranges.
+    columns lets one value that fills much of the table span several ranges. They have ``parallelism``
+    ranges at least, and more where those would be larger than a task should sort: one more pass over
+    ``df`` measures that.
     """
     if cluster_by:
         order = [*partitions, *cluster_by]
         spread = df.withColumn("__spread", F.pmod(F.monotonically_increasing_id(), F.lit(4096)))
         ranges = [*map(quoted, order), F.col("__spread")]
         placed = (
-            spread.repartitionByRange(parallelism, *ranges)
+            spread.repartitionByRange(_range_count(df, parallelism), *ranges)
             if parallelism
             else spread.repartitionByRange(*ranges)
         )

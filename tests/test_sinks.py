@@ -428,6 +428,18 @@ def test_clustered_files_do_not_overlap(spark, folder):
     assert all(left[1] < right[0] for left, right in zip(spans, spans[1:]))
 
 
+def test_clustered_ranges_grow_in_number_not_in_size(spark, folder, monkeypatch):
+    df = spark.range(0, 10_000, 1, 4).select(
+        (F.col("id") * 7919 % 10_000).alias("k"), F.array("id").alias("a"), F.lit("x" * 100).alias("s")
+    )
+    monkeypatch.setattr(sink, "RANGE_BYTES", 170_000)
+    sink.write_table(df, Target.folder(folder), "replace", cluster_by=["k"], parallelism=4)
+    spans = ranges(spark, folder, "k")
+    assert sum(n for _, _, n in spans) == 10_000 and len(spans) >= 10
+    assert max(n for _, _, n in spans) < 2_000
+    assert all(left[1] < right[0] for left, right in zip(spans, spans[1:]))
+
+
 def test_a_hot_cluster_value_spans_files(spark, folder):
     df = spark.range(0, 30_000, 1, 4).select(
         F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id")).alias("k")
