@@ -5,12 +5,14 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -35,7 +37,7 @@ from loadweir.llm import (
     substring,
     warc,
 )
-from loadweir.llm.common import staged
+from loadweir.llm.common import BATCH, small_batches, staged
 
 RUN = queries.QUERIES
 
@@ -48,6 +50,22 @@ def lower(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
 
 
+def peak(run):
+    """Bytes that Python and numpy hold at most while ``run`` does."""
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def drawn_texts(seed, texts, size):
+    draw = random.Random(seed)
+    names = ["".join(draw.choices("abcdefghij", k=draw.randint(2, 9))) for _ in range(20_000)]
+    return [" ".join(draw.choices(names, k=size)) for _ in range(texts)]
+
+
 def sha(data):
     return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
 
@@ -332,6 +350,44 @@ def test_cut_edges(spark, edges):
     assert substring.cut_repeats(edges.limit(0)).count() == 0
 
 
+def test_windows_of_a_part_take_little_memory():
+    texts = drawn_texts(5, 300, 1000)
+    assert peak(lambda: substring.Windows(texts, 35, 8)) < 20 * sum(map(len, texts))
+
+
+@pytest.mark.parametrize("width", [4, 16])
+def test_repeated_keys_are_found_in_little_memory(width):
+    draw = np.random.default_rng(5)
+    keys = draw.integers(0, 1 << 20, (400_000, width // 4)).astype(np.uint32)
+    keys[1000:3000] = keys[200_000:202_000]
+    many = draw.random(len(keys)) < 0.01
+    ends = [0, 70_000, 70_001, 250_000, 400_000]
+    rows = [(3, p, keys[a:b].tobytes(), substring._bits(many[a:b])) for p, (a, b) in enumerate(zip(ends, ends[1:]))]
+    names = ["bucket", "part", "keys", "many"]
+    halves = [pa.table([pa.array(c) for c in zip(*some)], names) for some in (rows[:3], rows[3:])]
+    table, found = pa.concat_tables(halves), []
+    assert peak(lambda: found.append(substring._repeated(width)(table))) < keys.nbytes + 40 * len(keys)
+    seen = Counter()
+    for key, twice in zip(map(bytes, keys), many):
+        seen[key] += 1 + int(twice)
+    got = {r["part"]: r["hits"] for r in found[0].to_pylist()}
+    for p, (a, b) in enumerate(zip(ends, ends[1:])):
+        want = np.array([seen[bytes(k)] > 1 for k in keys[a:b]])
+        assert got.get(p) == (substring._bits(want) if want.any() else None)
+
+
+def test_small_batches_bound_what_travels_at_once(spark):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows]})
+
+    rows = spark.range(0, 12, 1, 1).select(F.expr("repeat('x', 1 << 20)").alias("text"))
+    before = spark.conf.get(BATCH)
+    with small_batches(spark):
+        got = [r.rows for r in rows.mapInArrow(run, "rows long").collect()]
+    assert sum(got) == 12 and max(got) <= 4 and spark.conf.get(BATCH) == before
+
+
 # 6 simhash
 
 
