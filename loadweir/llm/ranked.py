@@ -16,14 +16,16 @@ until a range is one document, whose bound is its score; states below the last s
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadweir.llm.common import forget, lower_ascii, staged, tidy_shuffles
+from loadweir.llm.common import forget, lower_ascii, small_batches, staged, tidy_shuffles
 
 #: Bytes of text in a part, about.
 PART_BYTES = 8 << 20
@@ -38,6 +40,13 @@ TERM_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
 TERM_PATTERN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: How an index is written, a part being a large row: the writer looks at its memory after each, and a
+#: reader, which takes a row group's rows together, finds few in one.
+WRITTEN = {
+    "parquet.block.size.row.check.min": "1",
+    "parquet.page.size.row.check.min": "1",
+    "parquet.block.size": str(16 << 20),
+}
 #: Columns of an index besides ``ids``.
 PARTS = ("terms", "dfs", "masks", "tops", "rows", "columns")
 
@@ -76,7 +85,7 @@ def _spread(values: np.ndarray) -> np.ndarray:
 def treap(rows: np.ndarray, columns: np.ndarray, impacts: np.ndarray, height: int) -> tuple[np.ndarray, ...]:
     """Masks, maxima, rows and columns of the nodes over distinct cells; rows and columns of single cells only."""
     codes = _spread(rows) << np.uint64(1) | _spread(columns)
-    order = np.argsort(codes)
+    order = np.argsort(codes).astype(np.int32)
     codes, impacts = codes[order], impacts[order].astype(np.uint32)
     # From the whole grid down: only cells of nodes that hold several go on, so a level takes no more
     # memory than they do. begins: where the cells of each of these nodes begin.
@@ -107,21 +116,30 @@ def treap(rows: np.ndarray, columns: np.ndarray, impacts: np.ndarray, height: in
 
 
 class _Index:
-    """The nodes of one part, with places of children, and a last empty node that stands for nothing."""
+    """The nodes of one part, with places of children, and a last empty node that stands for nothing.
 
-    def __init__(self, row: dict) -> None:
-        self.terms = {t: i for i, t in enumerate(row["terms"])}
+    Of an array of ``terms`` only those that are ``wanted`` are kept.
+    """
+
+    def __init__(self, row: dict, wanted: pa.Array | None = None) -> None:
+        if wanted is None:
+            self.terms = {t: i for i, t in enumerate(row["terms"])}
+        else:
+            places = pc.index_in(wanted, value_set=row["terms"]).to_pylist()
+            self.terms = {t: i for t, i in zip(wanted.to_pylist(), places) if i is not None}
         masks, tops, rows, columns = (
             np.frombuffer(row[c], k) for c, k in zip(PARTS[2:], (np.uint8, np.uint32, np.int32, np.int32))
         )
         self.masks = np.append(masks, np.uint8(0))
-        self.tops = np.append(tops, np.uint32(0)).astype(np.int64)
+        self.tops = np.append(tops, np.uint32(0))
         self.rows, self.columns = np.append(rows, np.int32(-1)), np.append(columns, np.int32(-1))
-        sizes = np.bitwise_count(self.masks).astype(np.int64)
-        self.children = np.cumsum(sizes) - sizes + 1
+        sizes = np.bitwise_count(self.masks)
+        self.children = np.cumsum(sizes, dtype=np.int32)
+        self.children -= sizes
+        self.children += 1
         self.none = len(masks)
         self.ids = row["ids"]
-        self.height = height_of(len(self.terms), len(self.ids))
+        self.height = height_of(len(row["terms"]), len(self.ids))
 
     def best(self, terms: list[bytes], weights: list[int], k: int, floor: int) -> tuple[np.ndarray, np.ndarray]:
         """Scores and columns that hold the best ``k`` documents of at least ``floor``; ties of the last are all there."""
@@ -197,38 +215,53 @@ def build_index(docs: DataFrame, n: int, total: int, key: str = "doc_id", text:
 
     def closed(ids: list[pa.Array], counts: list[np.ndarray], known: dict[bytes, int]) -> pa.RecordBatch:
         keys, sizes = pa.concat_arrays(ids), np.array([len(c) for c in counts], np.int64)
-        where = np.concatenate(counts).astype(np.uint64)
         order = np.argsort(sizes, kind="stable")
-        column = np.empty(len(order), np.int64)
+        column = np.empty(len(order), np.uint32)
         column[order] = np.arange(len(order))
-        cells, tf = np.unique(where << np.uint64(32) | np.repeat(column, sizes).astype(np.uint64), return_counts=True)
-        term, column = (cells >> np.uint64(32)).astype(np.int64), (cells & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        cells = np.concatenate(counts).astype(np.uint64)
+        cells <<= np.uint64(32)
+        cells |= np.repeat(column, sizes)
+        cells.sort()
+        first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+        tf, cells = np.diff(np.append(first, len(cells))), cells[first]
+        term, column = (cells >> np.uint64(32)).astype(np.uint32), cells.astype(np.uint32)
+        del cells, first
         dfs = np.bincount(term, minlength=len(known))
         by_df = np.argsort(-dfs, kind="stable")
-        row = np.empty(len(by_df), np.int64)
+        row = np.empty(len(by_df), np.uint32)
         row[by_df] = np.arange(len(by_df))
         m = np.array([BASE - NORM + NORM * s * n // total for s in sizes[order].tolist()], np.int64)
-        impacts = (SCALE * tf) // (1000 * tf + 8 * m[column])
+        impacts = ((SCALE * tf) // (1000 * tf + 8 * m[column])).astype(np.uint32)
+        del tf
         nodes = treap(row[term], column, impacts, height_of(len(known), len(sizes)))
-        words = np.array(list(known), object)[by_df]
-        values = [pa.array([x], f.type) for x, f in zip((words.tolist(), dfs[by_df].tolist()), (_arrow(schema)[1], _arrow(schema)[2]))]
-        lists = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys.take(pa.array(order)))
-        packed = [pa.array([x.tobytes()], pa.binary()) for x in nodes]
-        return pa.RecordBatch.from_arrays([lists.cast(_arrow(schema)[0].type), *values, *packed], schema.names)
+        words = pa.array(list(known), pa.binary()).take(pa.array(by_df))
+        lists = [one(x).cast(f.type) for x, f in zip((keys.take(pa.array(order)), words, pa.array(dfs[by_df])), _arrow(schema))]
+        return pa.RecordBatch.from_arrays([*lists, *map(packed, nodes)], schema.names)
+
+    def one(values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+    def packed(values: np.ndarray) -> pa.Array:
+        ends = pa.array([0, values.nbytes], pa.int32()).buffers()[1]
+        return pa.Array.from_buffers(pa.binary(), 1, [None, ends, pa.py_buffer(values)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, counts, known, size = [], [], {}, 0
         for batch in batches:
+            # keys are copied: a slice would keep its whole batch, with the texts
+            taken = []
             for i, value in enumerate(batch.column(1)):
                 found = terms_of(text := value.as_py())
                 if not found:
                     continue
                 if size and size + len(text) > PART_BYTES:
+                    ids.append(batch.column(0).take(pa.array(taken, pa.int64())))
                     yield closed(ids, counts, known)
-                    ids, counts, known, size = [], [], {}, 0
-                ids.append(batch.column(0).slice(i, 1))
+                    ids, counts, known, size, taken = [], [], {}, 0, []
+                taken.append(i)
                 counts.append(np.fromiter((known.setdefault(t, len(known)) for t in found), np.uint32, len(found)))
                 size += len(text)
+            ids.append(batch.column(0).take(pa.array(taken, pa.int64())))
         if counts:
             yield closed(ids, counts, known)
 
@@ -263,10 +296,13 @@ def _search(block: list[tuple], k: int, kind: pa.Schema):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[tuple[int, object]]] = [[] for _ in block]
+        wanted = pa.array(sorted({t for _, terms, _ in block for t in terms}), pa.binary())
         for batch in batches:
             for row in range(batch.num_rows):
-                part = batch.slice(row, 1)
-                index = _Index({c: part.column(i)[0].as_py() for i, c in enumerate(("ids", *PARTS))})
+                part = dict(zip(("ids", *PARTS), (column[row] for column in batch.columns)))
+                nodes = {c: part[c].as_buffer() for c in PARTS[2:]}
+                index = _Index({"ids": part["ids"].as_py(), "terms": part["terms"].values, **nodes}, wanted)
+                del part, nodes
                 for place, (_, terms, weights) in enumerate(block):
                     mine = held[place]
                     floor = mine[-1][0] if len(mine) >= k else 1
@@ -275,6 +311,8 @@ def _search(block: list[tuple], k: int, kind: pa.Schema):
                         mine += [(s, index.ids[c]) for s, c in zip(scores.tolist(), columns.tolist())]
                         mine.sort(key=lambda x: (-x[0], x[1] is None, x[1] if x[1] is not None else 0))
                         del mine[k:]
+                del index
+            del batch
         rows = [(item, key, score) for (item, _, _), mine in zip(block, held) for score, key in mine]
         for start in range(0, len(rows), 10_000):
             some = rows[start : start + 10_000]
@@ -304,18 +342,17 @@ def search(
     spark = docs.sparkSession
     if key == item:
         raise ValueError("keys and items need different names")
-    with tidy_shuffles(spark):
+    with tidy_shuffles(spark), small_batches(spark):
         n, total = measure(docs, text)
         index = build_index(docs, n, total, key, text)
-        # a part is a large row: the writer looks at its memory after each
-        index = staged(index, "index", {"parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"})
+        index = staged(index, "index", WRITTEN)
         weighted = staged(weighted_terms(index, items, n, item, item_text), "weighted")
         size = F.expr("aggregate(terms, 0L, (s, t) -> s + octet_length(t) + 16)")
         total_bytes = weighted.agg(F.sum(size)).first()[0] or 0
         blocks = -(-total_bytes // BLOCK_BYTES)
         schema = T.StructType([T.StructField("item", items.schema[item].dataType), T.StructField("key", docs.schema[key].dataType)])
         schema = schema.add("score", "long")
-        found = spark.createDataFrame([], schema)
+        found = []
         numbered = weighted.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(max(1, blocks))))
         for block in range(blocks):
             rows = [
@@ -323,8 +360,9 @@ def search(
                 for r in numbered.where(F.col("block") == block).collect()
             ]
             best = index.mapInArrow(_search(rows, k, _arrow(schema)), schema)
-            found = found.unionByName(staged(best, "best"))
+            found.append(staged(best, "best"))
         forget(spark, index)
         place = Window.partitionBy("item").orderBy(F.desc("score"), F.col("key").asc_nulls_last())
+        found = reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
         ranked = found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
         return ranked.select(F.col("item").alias(item), "rank", F.col("key").alias(key), "score")

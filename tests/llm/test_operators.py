@@ -791,6 +791,29 @@ def test_ranks_are_exact(spark, monkeypatch, texts, part, block, taken):
     assert got == brute_ranks(texts.items(), [(r.item_id, r.text) for r in items.collect()], 7)
 
 
+def test_search_takes_little_more_than_the_index():
+    draw = np.random.default_rng(13)
+    cells = np.unique(draw.integers(0, 60_000 * 2_000, 300_000))
+    rows, columns = cells // 2_000, cells % 2_000
+    values = draw.integers(1, 1 << 20, len(cells))
+    nodes = ranked.treap(rows, columns, values, ranked.height_of(60_000, 2_000))
+    terms = [b"term%d" % i for i in range(60_000)]
+    lists = [pa.array([x], pa.list_(k)) for x, k in ((list(range(2_000)), pa.int64()), (terms, pa.binary()), ([1] * 60_000, pa.int32()))]
+    arrays = [*lists, *(pa.array([x.tobytes()], pa.binary()) for x in nodes)]
+    batch = pa.RecordBatch.from_arrays(arrays, ["ids", *ranked.PARTS])
+    asked, kind, found = [5, 7, 59_999], pa.schema([("item", pa.int64()), ("key", pa.int64()), ("score", pa.int64())]), []
+    block = [(1, [b"none", *(terms[i] for i in asked)], [9, 2, 3, 4])]
+    size, search = batch.nbytes, ranked._search(block, 3, kind)
+    assert peak(lambda: found.extend(search(iter([batch])))) < 2 * size
+    scores = Counter()
+    for i, weight in zip(asked, (2, 3, 4)):
+        here = rows == i
+        for c, v in zip(columns[here].tolist(), values[here].tolist()):
+            scores[c] += weight * v
+    best = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:3]
+    assert [(r["key"], r["score"]) for b in found for r in b.to_pylist()] == best
+
+
 def test_treap_holds_all_cells():
     draw = random.Random(13)
     cells = {(draw.randrange(40), draw.randrange(9)): draw.randint(1, 99) for _ in range(150)}
