@@ -29,13 +29,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadweir.llm.common import blocks_for, forget, pack, staged, tidy_shuffles
+from loadweir.llm.common import blocks_for, flat, forget, pack, slices, small_batches, staged, tidy_shuffles
 from loadweir.llm.components import ONE_TASK, components, in_one_task
 
 #: Bytes of text in a part, about.
 PART_BYTES = 8 << 20
 #: Bytes of text whose n-grams one bucket counts, about.
 BUCKET_BYTES = 16 << 20
+#: Words whose hashes a part keeps at hand.
+KNOWN_WORDS = 1 << 16
 #: Ranges of hashes by which the suffix filter counts, a power of two.
 RANGES = 8
 #: How many times as many sets are compared with in each round.
@@ -46,6 +48,8 @@ STEP, MIX_1, MIX_2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
         found = self[word] = xxhash.xxh64_intdigest(word)
         return found
 
@@ -102,13 +106,14 @@ def _send(width: int, percent: int, buckets: int):
         for batch in batches:
             for part, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
                 known, sets = _WordHashes(), {}
-                for text in texts.as_py():
-                    found = ngram_set(text, width, known)
+                for text in texts.values:
+                    found = ngram_set(text.as_py(), width, known)
                     if _eligible(len(found), percent):
                         sets[xxhash.xxh3_128_digest(found)] = found
                 keys, counts = _part_keys(list(sets.values()), buckets)
-                bucket, rest = (keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32)
-                ends = np.searchsorted(bucket, np.arange(buckets + 1))
+                del known, sets
+                ends = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+                rest = keys.astype(np.uint32)
                 rows = []
                 for b in np.flatnonzero(np.diff(ends)).tolist():
                     here = slice(ends[b], ends[b + 1])
@@ -124,15 +129,16 @@ def _send(width: int, percent: int, buckets: int):
 
 def _count(table: pa.Table) -> pa.Table:
     """For each part, the logarithm of every n-gram's number of sets in the corpus; 0: in one set only."""
-    rests = [np.frombuffer(x, np.uint32) for x in table.column("rests").to_pylist()]
-    counts = [np.ones(len(r), np.int64) for r in rests]
-    for c, at, extra in zip(counts, table.column("several").to_pylist(), table.column("extra").to_pylist()):
-        c[np.frombuffer(at, np.uint32)] = np.frombuffer(extra, np.uint32)
-    _, place = np.unique(np.concatenate(rests), return_inverse=True)
-    sums = np.bincount(place, weights=np.concatenate(counts))
-    classes = np.floor(np.log2(sums)).astype(np.uint8)[place]
-    ends = np.cumsum([0, *map(len, rests)])
-    found = [classes[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+    rests, ends = flat(table.column("rests"), np.uint32)
+    counts, begins = np.ones(len(rests), np.uint32), [0, *ends[:-1].tolist()]
+    for begin, at, extra in zip(begins, table.column("several").to_pylist(), table.column("extra").to_pylist()):
+        counts[begin + np.frombuffer(at, np.uint32).astype(np.int64)] = np.frombuffer(extra, np.uint32)
+    classes = np.empty(len(rests), np.uint8)
+    for at in slices(rests):
+        _, place = np.unique(rests[at], return_inverse=True)
+        sums = np.bincount(place, weights=counts[at])
+        classes[at] = np.floor(np.log2(sums)).astype(np.uint8)[place]
+    found = [classes[a:b].tobytes() for a, b in zip(begins, ends.tolist())]
     columns = {"part": table.column("part"), "bucket": table.column("bucket"), "classes": pa.array(found, pa.binary())}
     return pa.table(columns)
 
@@ -143,8 +149,8 @@ def _order(width: int, percent: int, buckets: int, schema: pa.Schema):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         part, known = left.column("part")[0].as_py(), _WordHashes()
         rows = left.column("rows").combine_chunks().flatten()
-        texts = left.column("texts")[0].as_py()
-        sets = [ngram_set(t, width, known) for t in texts]
+        sets = [ngram_set(t.as_py(), width, known) for t in left.column("texts")[0].values]
+        del known
         digests = [xxhash.xxh3_128_digest(s) if len(s) else None for s in sets]
         sent = {d: s for d, s in zip(digests, sets) if _eligible(len(s), percent) and d}
         keys, _ = _part_keys(list(sent.values()), buckets)
@@ -224,7 +230,7 @@ def similar_sets(reps: DataFrame, percent: int) -> DataFrame:
     several = entries.groupBy("gram").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).where("lo < hi")
     live = staged(entries.join(several.select("gram"), "gram", "left_semi").withColumn("root", F.col("n")), "live")
     forget(spark, entries)
-    links = staged(spark.createDataFrame([], "a long, b long"), "links")
+    links = staged(spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b")), "links")
     seen, turn = links, 0
     while rows := live.count():
         most = GROWTH**turn
@@ -266,7 +272,7 @@ def similar_groups(
     component of null keys alone has a null id. Other columns play no part; an empty table gives no row.
     """
     spark = docs.sparkSession
-    with tidy_shuffles(spark):
+    with tidy_shuffles(spark), small_batches(spark):
         parts = pack(docs.select(key, text), text, PART_BYTES, "parts")
         size = parts.agg(F.sum(F.expr("aggregate(texts, 0L, (s, t) -> s + octet_length(t))"))).first()[0] or 0
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks_for(size, BUCKET_BYTES))

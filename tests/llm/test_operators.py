@@ -757,6 +757,37 @@ def test_jaccard_edges(spark, edges):
     assert jaccard.similar_groups(edges.limit(0)).count() == 0
 
 
+def test_counts_of_a_bucket_take_little_memory():
+    draw, rows = np.random.default_rng(12), []
+    for part in range(4):
+        rests = np.unique(draw.integers(0, 1 << 20, 150_000)).astype(np.uint32)
+        several = np.flatnonzero(draw.random(len(rests)) < 0.1).astype(np.uint32)
+        extra = draw.integers(2, 50, len(several)).astype(np.uint32)
+        rows.append((part, 7, rests.tobytes(), several.tobytes(), extra.tobytes()))
+    names = ["part", "bucket", "rests", "several", "extra"]
+    table = pa.concat_tables(pa.table([pa.array(c) for c in zip(*some)], names) for some in (rows[:1], rows[1:]))
+    sums, total = Counter(), 0
+    for _, _, rests, several, extra in rows:
+        n = np.ones(len(rests) // 4, np.int64)
+        n[np.frombuffer(several, np.uint32)] = np.frombuffer(extra, np.uint32)
+        total += len(n)
+        for rest, k in zip(np.frombuffer(rests, np.uint32).tolist(), n.tolist()):
+            sums[rest] += k
+    found = []
+    assert peak(lambda: found.append(jaccard._count(table))) < 24 * total
+    got = [(r["part"], r["bucket"], r["classes"]) for r in found[0].to_pylist()]
+    assert got == [
+        (p, b, bytes(sums[x].bit_length() - 1 for x in np.frombuffer(rests, np.uint32).tolist())) for p, b, rests, *_ in rows
+    ]
+
+
+def test_ngrams_of_a_part_take_little_memory():
+    draw = random.Random(12)
+    texts = [" ".join("%x" % draw.getrandbits(32) for _ in range(1000)) for _ in range(200)]
+    batch = pa.RecordBatch.from_pydict({"part": [0], "texts": [texts]})
+    assert peak(lambda: list(jaccard._send(3, 90, 8)([batch]))) < 16 * sum(map(len, texts))
+
+
 # 13 ranked search
 
 
